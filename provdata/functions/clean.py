@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from . import refdata
 
 DATE_FMT = "M/d/yyyy"  # accepts both 1/5/2020 and 01/05/2020
+# FIXED VALUE: NULL placeholder of the warehouse surrogate-key macro.
+SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
 
 
 def col_(c: str | Column) -> Column:
@@ -127,7 +129,7 @@ def prefix_any(c: str | Column, prefixes: Iterable[str]) -> Column:
 
 def surrogate_key(*cols: str | Column) -> Column:
     """KEY1: md5 of '-'-joined, NULL-safe text of the columns."""
-    parts = [F.coalesce(col_(c).cast("string"), F.lit("_null_")) for c in cols]
+    parts = [F.coalesce(col_(c).cast("string"), F.lit(SURROGATE_NULL)) for c in cols]
     return F.md5(F.concat_ws("-", *parts))
 
 

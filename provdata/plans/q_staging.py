@@ -1 +1,318 @@
-"""Queries (filled in as operators land)."""
+"""Licence staging, dimension and history/event queries (STG1-4, SET1-2, DIM1, HIS1-4, EVT0-12, FLT5-7)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import events as E
+from ..operators import history as H
+from ..operators import staging as ST
+from ..operators import dims as D
+from ..operators.providers import latest_per_key
+from ..sources.bindings import AS_OF, binding, sql_cte
+from .registry import query
+
+SNAP0, SNAP1 = "2025-06-29", "2025-06-30"
+
+_STATUS = """case
+      when professional_type = 'dentist' and lic_sta_cde in (20, 46, 70) then 'ACTIVE'
+      when professional_type = 'dentist' and lic_sta_cde in (45, 48, 60) then 'LAPSED'
+      when professional_type = 'dentist' and lic_sta_cde in (61, 65, 71, 72) then 'INACTIVE'
+      when professional_type = 'dentist' and lic_sta_cde = 80 then 'DECEASED'
+      when professional_type = 'dentist' and lic_sta_cde = 47 then 'SUSPENDED'
+      when professional_type = 'hygienist' and lic_sta_cde in (20, 46) then 'ACTIVE'
+      when professional_type = 'hygienist' and lic_sta_cde in (45, 48, 60) then 'LAPSED'
+      when professional_type = 'hygienist' and lic_sta_cde in (61, 65, 72) then 'INACTIVE'
+      when professional_type = 'hygienist' and lic_sta_cde = 80 then 'DECEASED'
+      when professional_type = 'hygienist' and lic_sta_cde = 47 then 'SUSPENDED'
+      else 'UNKNOWN' end"""
+
+_SPEC = """case trim(prac_types) when 'GEN' then 'General Dentistry' when 'ORTH' then 'Orthodontics'
+      when 'OMS' then 'Oral & Maxillofacial Surgery' when 'PEDO' then 'Pediatric Dentistry'
+      when 'PERI' then 'Periodontics' when 'PROS' then 'Prosthodontics' when 'END' then 'Endodontics'
+      when 'DPH' then 'Dental Public Health' when 'OMP' then 'Oral Medicine/Pathology'
+      when 'OFPN' then 'Orofacial Pain' when 'OMR' then 'Oral & Maxillofacial Radiology'
+      when 'ANE' then 'Dental Anesthesiology' end"""
+
+# Oracle twin of stage_tx over the combined dentist+hygienist extract.
+STAGED_SQL = sql_cte("tx_license_raw") + f""",
+staged as (
+  select md5(concat_ws('-', 'TX', professional_type, trim(lic_nbr))) as professional_id,
+    'TX' as state_code, professional_type, cast(lic_id as integer) as source_license_id,
+    trim(lic_nbr) as license_number, cast(null as integer) as entity_number,
+    cast(lic_sta_cde as integer) as status_code, cast(null as varchar) as status_description,
+    {_STATUS} as status_category,
+    try_strptime(trim(lic_orig_dte), '%m/%d/%Y')::date as license_issue_date,
+    try_strptime(trim(lic_expr_dte), '%m/%d/%Y')::date as license_expiration_date,
+    trim(first_nme) as first_name, cast(null as varchar) as middle_name, trim(last_nme) as last_name,
+    cast(null as varchar) as former_last_name, cast(null as varchar) as gender,
+    cast(null as varchar) as birth_year, cast(null as varchar) as graduation_year,
+    cast(null as varchar) as school_name, trim(address1) as address_line_1,
+    cast(null as varchar) as address_line_2, trim(city) as city, trim(state) as address_state,
+    trim(zip) as zip_code, trim(county) as county, cast(null as varchar) as country,
+    cast(null as varchar) as phone, cast(null as varchar) as practice_description,
+    case when professional_type = 'dentist' then trim(prac_types) end as specialty_code,
+    case when professional_type = 'dentist' then {_SPEC} end as specialty_description,
+    case when professional_type = 'dentist' and not (nox_permit_dte in ('No Permit', ''))
+         then try_strptime(trim(nox_permit_dte), '%m/%d/%Y')::date end as nitrous_oxide_permit_date,
+    case when professional_type = 'dentist' then not (nox_permit_dte in ('No Permit', '')) else false end as has_nitrous_oxide_permit,
+    case when professional_type = 'dentist' then cast(null as boolean) else false end as has_anesthesia_level_1,
+    case when professional_type = 'dentist' then cast(null as boolean) else false end as has_anesthesia_level_2,
+    case when professional_type = 'dentist' then cast(null as boolean) else false end as has_anesthesia_level_3,
+    case when professional_type = 'dentist' then cast(null as boolean) else false end as has_anesthesia_level_4,
+    case when professional_type = 'dentist' then cast(null as boolean) else false end as has_portability,
+    case when professional_type = 'hygienist' then cast(null as boolean) else false end as has_sealant_certification,
+    case when professional_type = 'hygienist' then cast(null as boolean) else false end as has_nitrous_monitoring,
+    case when professional_type = 'hygienist' then cast(null as boolean) else false end as has_local_infiltration_anesthesia,
+    cast(null as boolean) as has_disciplinary_action, cast(null as boolean) as has_remedial_plans,
+    snapshot_date
+  from tx_license_raw
+)
+"""
+
+# One row per key per snapshot (highest source licence id), as the history step requires.
+SNAPSHOTS_SQL = STAGED_SQL + """,
+snap as (
+  select * exclude (rn) from (
+    select *, row_number() over (partition by professional_id, snapshot_date order by source_license_id desc) as rn
+    from staged) where rn = 1
+),
+s0 as (select * exclude (snapshot_date) from snap where snapshot_date = '2025-06-29'),
+s1 as (select * exclude (snapshot_date) from snap where snapshot_date = '2025-06-30')
+"""
+
+_CHECK = " or ".join(f"c.{c} is distinct from s.{c}" for c in H.LICENSE_CHECK_COLS)
+_COLS = [c for c in ST.STAGED_COLUMNS]
+_C = ", ".join(f"c.{c}" for c in _COLS)
+_S = ", ".join(f"s.{c}" for c in _COLS)
+
+# Oracle twin of two scd2_apply steps: the first snapshot opens everything; the
+# second keeps unchanged, closes changed + removed, opens changed + added.
+HISTORY_SQL = SNAPSHOTS_SQL + f""",
+h0 as (
+  select *, md5(concat_ws('-', professional_id, '2025-06-29 00:00:00')) as scd_id,
+    cast('2025-06-29' as timestamp) as valid_from, cast(null as timestamp) as valid_to from s0
+),
+history as (
+  select {_C}, c.scd_id, c.valid_from, c.valid_to
+    from h0 c join s1 s on c.professional_id = s.professional_id where not ({_CHECK})
+  union all
+  select {_C}, c.scd_id, c.valid_from, cast('2025-06-30' as timestamp)
+    from h0 c join s1 s on c.professional_id = s.professional_id where ({_CHECK})
+  union all
+  select {_C}, c.scd_id, c.valid_from, cast('2025-06-30' as timestamp)
+    from h0 c where not exists (select 1 from s1 s where s.professional_id = c.professional_id)
+  union all
+  select {_S}, md5(concat_ws('-', s.professional_id, '2025-06-30 00:00:00')), cast('2025-06-30' as timestamp), cast(null as timestamp)
+    from s1 s left join h0 c on c.professional_id = s.professional_id
+    where c.professional_id is null or ({_CHECK})
+)
+"""
+
+
+def staged(spark, sf):
+    return ST.stage_tx(binding(spark, sf, "tx_license_raw"))
+
+
+def snapshot(spark, sf, day):
+    s = staged(spark, sf).filter(F.col("snapshot_date") == day).drop("snapshot_date")
+    return latest_per_key(s, ["professional_id"], [F.col("source_license_id")])
+
+
+def history(spark, sf):
+    h = H.scd2_apply(None, snapshot(spark, sf, SNAP0), "professional_id", H.LICENSE_CHECK_COLS, SNAP0)
+    return H.scd2_apply(h, snapshot(spark, sf, SNAP1), "professional_id", H.LICENSE_CHECK_COLS, SNAP1)
+
+
+@query("stage_tx_licenses", STAGED_SQL + "select * from staged", "STG1, STG2, SET1, KEY1, PRJ8")
+def q_staged(spark, sf):
+    return staged(spark, sf)
+
+
+@query("active_licenses", STAGED_SQL + "select * from staged where status_code in (20, 46, 70)", "FLT5, SET2")
+def q_active(spark, sf):
+    return ST.active_licenses(staged(spark, sf))
+
+
+@query("recent_licenses", STAGED_SQL + """
+select * from staged where snapshot_date = '2025-06-30'
+  and license_issue_date >= date '2025-06-30' - 365 and status_category = 'ACTIVE'
+  and professional_type in ('dentist', 'hygienist') and upper(county) in ('COUNTY1', 'COUNTY2')
+""", "FLT6")
+def q_recent(spark, sf):
+    s = staged(spark, sf).filter(F.col("snapshot_date") == SNAP1)
+    return ST.recent_licenses(s, 365, AS_OF, ["dentist", "hygienist"], ["county1", "County2"])
+
+
+@query("recent_license_events", STAGED_SQL + """
+select 'NEW_' || license_number || '_2025-06-30' as event_id, 'NEW_LICENSE' as event_type,
+  '2025-06-30' as timestamp, state_code, professional_type, license_number, first_name, last_name,
+  city, county, left(zip_code, 5) as zip_code, cast(license_issue_date as varchar) as license_issue_date,
+  'HIGH' as priority, 'onboarding_sequence' as marketing_action
+from staged where snapshot_date = '2025-06-30'
+  and license_issue_date >= date '2025-06-30' - 1000 and status_category = 'ACTIVE'
+""", "EVT12, FLT6")
+def q_recent_events(spark, sf):
+    s = staged(spark, sf).filter(F.col("snapshot_date") == SNAP1)
+    return E.recent_to_events(ST.recent_licenses(s, 1000, AS_OF), AS_OF)
+
+
+@query("license_history", HISTORY_SQL + "select * from history", "HIS1, SNK2-style versioning")
+def q_history(spark, sf):
+    return history(spark, sf)
+
+
+@query("license_history_current", HISTORY_SQL + "select * from history where valid_to is null", "HIS4")
+def q_history_current(spark, sf):
+    return H.current_view(history(spark, sf))
+
+
+@query("license_history_as_of", HISTORY_SQL + """
+select * from history where valid_from <= timestamp '2025-06-29 12:00:00'
+  and (valid_to is null or valid_to > timestamp '2025-06-29 12:00:00')
+""", "HIS3")
+def q_history_as_of(spark, sf):
+    return H.as_of_view(history(spark, sf), "2025-06-29 12:00:00")
+
+
+_EVENTS_SQL = HISTORY_SQL + """,
+v as (
+  select h.*, p.status_category as p_cat, p.license_expiration_date as p_exp, p.address_line_1 as p_a1,
+    p.city as p_city, p.address_state as p_state, p.zip_code as p_zip, p.county as p_county,
+    p.has_nitrous_oxide_permit as p_nitrous, p.has_anesthesia_level_4 as p_anes4,
+    p.has_sealant_certification as p_sealant, p.professional_id is null as is_new
+  from (select *, lag(scd_id) over (partition by professional_id order by valid_from) as prev_id from history) h
+  left join history p on h.prev_id = p.scd_id
+),
+ev as (
+  select *, 'NEW_LICENSE' as rk, 'NEW_LICENSE' as event_type, 'New licensee detected' as event_description,
+    cast(null as varchar) as previous_value, status_category as current_value, 'HIGH' as priority,
+    'onboarding' as marketing_action from v where is_new
+  union all select *, 'STATUS_LAPSED', 'STATUS_LAPSED', 'License cancelled or expired', p_cat, status_category,
+    'MEDIUM', 'winback_or_suppress' from v where not is_new and p_cat = 'ACTIVE' and status_category = 'LAPSED'
+  union all select *, 'STATUS_REINSTATED', 'STATUS_REINSTATED', 'License reinstated', p_cat, status_category,
+    'HIGH', 'reengagement' from v where not is_new and p_cat in ('LAPSED', 'SUSPENDED') and status_category = 'ACTIVE'
+  union all select *, 'STATUS_DECEASED', 'STATUS_DECEASED', 'Licensee deceased - remove from all lists', p_cat,
+    status_category, 'CRITICAL', 'suppress_all' from v where not is_new and p_cat != 'DECEASED' and status_category = 'DECEASED'
+  union all select *, 'ADDRESS_CHANGE', 'ADDRESS_CHANGE', 'Practice address changed',
+    coalesce(p_city, '') || ', ' || coalesce(p_state, ''), coalesce(city, '') || ', ' || coalesce(address_state, ''),
+    'LOW', 'update_crm_territory' from v where not is_new and (coalesce(p_a1, '') != coalesce(address_line_1, '')
+      or coalesce(p_city, '') != coalesce(city, '') or coalesce(p_zip, '') != coalesce(zip_code, ''))
+  union all select *, 'TERRITORY_CHANGE', 'TERRITORY_CHANGE', 'County/territory changed', p_county, county,
+    'MEDIUM', 'territory_reassignment' from v where not is_new and coalesce(p_county, '') != coalesce(county, '')
+      and county is not null
+  union all select *, 'NEW_CERT_NITROUS', 'NEW_CERTIFICATION', 'Obtained nitrous oxide permit', 'No permit',
+    'Nitrous oxide permit', 'HIGH', 'upsell_sedation_products' from v
+    where not is_new and p_nitrous = false and has_nitrous_oxide_permit = true
+  union all select *, 'NEW_CERT_ANES_4', 'NEW_CERTIFICATION', 'Obtained anesthesia level 4 permit', 'No level 4 permit',
+    'Anesthesia level 4 permit', 'HIGH', 'upsell_advanced_sedation' from v
+    where not is_new and p_anes4 = false and has_anesthesia_level_4 = true
+  union all select *, 'NEW_CERT_SEALANT', 'NEW_CERTIFICATION', 'Obtained sealant certification', 'No certification',
+    'Sealant certification', 'MEDIUM', 'upsell_preventive_products' from v
+    where not is_new and professional_type = 'hygienist' and p_sealant = false and has_sealant_certification = true
+  union all select *, 'EXPIRATION_APPROACHING', 'EXPIRATION_APPROACHING', 'License expiring within 90 days',
+    cast(p_exp as varchar), cast(license_expiration_date as varchar), 'MEDIUM', 'renewal_reminder' from v
+    where status_category = 'ACTIVE' and license_expiration_date between date '2025-06-30' and date '2025-06-30' + 90
+      and coalesce(p_exp, date '1900-01-01') != license_expiration_date
+),
+events_out as (
+  select md5(concat_ws('-', professional_id, cast(valid_from as varchar), rk)) as event_id, professional_id,
+    state_code, professional_type, license_number, first_name, last_name, valid_from as event_timestamp,
+    event_type, event_description, previous_value, current_value, priority, marketing_action
+  from ev where valid_from > timestamp '1900-01-01'
+)
+"""
+
+
+def license_events(spark, sf):
+    return E.license_events(history(spark, sf), AS_OF)
+
+
+@query("license_events", _EVENTS_SQL + "select * from events_out", "EVT0-EVT10, JOIN6, WIN6, JOIN17")
+def q_events(spark, sf):
+    return license_events(spark, sf)
+
+
+@query("license_events_incremental", _EVENTS_SQL + """
+select * from events_out where event_timestamp > timestamp '2025-06-29 00:00:00'
+""", "EVT0 incremental (JOIN17 watermark from previous run)")
+def q_events_incr(spark, sf):
+    h = history(spark, sf)
+    first_run = E.license_events(H.as_of_view(h, SNAP0), AS_OF)
+    return E.license_events(h, AS_OF, previous_events=first_run)
+
+
+@query("event_type_counts", _EVENTS_SQL + """
+select event_type, count(*) as event_count from events_out group by event_type
+""", "AGG20")
+def q_event_counts(spark, sf):
+    return license_events(spark, sf).groupBy("event_type").agg(F.count(F.lit(1)).alias("event_count"))
+
+
+# Differ: per-type dedupe by highest lic_id, anti-join / inner join on licence number.
+_DIFF_SQL = sql_cte("tx_license_raw") + """,
+r as (select * exclude (rn) from (select *, row_number() over (partition by snapshot_date, professional_type, trim(lic_nbr)
+        order by lic_id desc) as rn from tx_license_raw) where rn = 1),
+c as (select * from r where snapshot_date = '2025-06-30'),
+p as (select * from r where snapshot_date = '2025-06-29'),
+new_rows as (select c.* from c where lic_sta_cde in (20, 46, 70) and not exists
+  (select 1 from p where p.professional_type = c.professional_type and trim(p.lic_nbr) = trim(c.lic_nbr))),
+ch as (select c.*, p.lic_sta_cde as prev_code from c join p on p.professional_type = c.professional_type
+  and trim(p.lic_nbr) = trim(c.lic_nbr) where p.lic_sta_cde is distinct from c.lic_sta_cde),
+shaped as (
+  select 'NEW' as pfx, 'NEW_LICENSE' as event_type, cast(null as varchar) as previous_value, 'HIGH' as priority,
+    'onboarding_sequence' as marketing_action, * exclude (prev_code) from (select *, null as prev_code from new_rows)
+  union all select 'LAPSED', 'LAPSED', '', 'MEDIUM', 'suppress_or_winback', * exclude (prev_code) from ch
+    where prev_code in (20, 46, 70) and lic_sta_cde in (45, 48, 60)
+  union all select 'REINSTATED', 'REINSTATED', '', 'HIGH', 'reengagement_sequence', * exclude (prev_code) from ch
+    where prev_code in (45, 48, 60) and lic_sta_cde in (20, 46, 70)
+)
+select pfx || '_' || trim(lic_nbr) || '_2025-06-30' as event_id,
+  concat_ws('_', pfx, professional_type, trim(lic_nbr), '2025-06-30') as event_key, event_type,
+  '2025-06-30' as timestamp, 'TX' as state_code, professional_type, trim(lic_nbr) as license_number,
+  trim(coalesce(first_nme, '')) as first_name, trim(coalesce(last_nme, '')) as last_name,
+  nullif(trim(city), '') as city, nullif(trim(county), '') as county, nullif(left(trim(zip), 5), '') as zip_code,
+  previous_value, '' as current_value, priority, marketing_action
+from shaped
+"""
+
+
+@query("snapshot_diff_events", _DIFF_SQL, "EVT11, JOIN7, JOIN8, SET5")
+def q_diff(spark, sf):
+    raw = binding(spark, sf, "tx_license_raw")
+    return E.snapshot_diff(raw.filter(F.col("snapshot_date") == SNAP1),
+                           raw.filter(F.col("snapshot_date") == SNAP0), AS_OF)
+
+
+@query("dim_professionals", HISTORY_SQL + """
+select professional_id, state_code, professional_type, source_license_id, license_number, status_code,
+  status_category, license_issue_date, license_expiration_date,
+  cast(year(date '2025-06-30') - year(license_issue_date) as integer) as years_licensed,
+  cast(license_expiration_date - date '2025-06-30' as integer) as days_until_expiration,
+  case when license_expiration_date < date '2025-06-30' then 'EXPIRED'
+       when license_expiration_date < date '2025-06-30' + 30 then 'EXPIRING_30_DAYS'
+       when license_expiration_date < date '2025-06-30' + 90 then 'EXPIRING_90_DAYS' else 'VALID' end as expiration_status,
+  first_name, last_name, concat(first_name, ' ', last_name) as full_name,
+  cast(year(date '2025-06-30') - try_cast(birth_year as integer) as integer) as approximate_age,
+  cast(year(date '2025-06-30') - try_cast(graduation_year as integer) as integer) as years_since_graduation,
+  city, address_state, zip_code, left(zip_code, 5) as zip5, county, specialty_code, specialty_description,
+  case when has_anesthesia_level_4 then 'LEVEL_4' when has_anesthesia_level_3 then 'LEVEL_3'
+       when has_anesthesia_level_2 then 'LEVEL_2' when has_anesthesia_level_1 then 'LEVEL_1'
+       when has_nitrous_oxide_permit then 'NITROUS_ONLY' else 'NONE' end as sedation_level,
+  cast((case when has_nitrous_oxide_permit then 1 else 0 end) + (case when has_anesthesia_level_1 then 1 else 0 end)
+    + (case when has_anesthesia_level_2 then 1 else 0 end) + (case when has_anesthesia_level_3 then 1 else 0 end)
+    + (case when has_anesthesia_level_4 then 1 else 0 end) + (case when has_sealant_certification then 1 else 0 end)
+    + (case when has_nitrous_monitoring then 1 else 0 end)
+    + (case when has_local_infiltration_anesthesia then 1 else 0 end) as integer) as certification_count,
+  case when professional_type = 'dentist' and specialty_code in ('GEN', '') then 'General Dentist'
+       when professional_type = 'dentist' then 'Specialist' when professional_type = 'hygienist' then 'Hygienist'
+       when professional_type = 'dental_assistant' then 'Assistant' else 'Other' end as professional_segment,
+  case when status_category != 'ACTIVE' then 0 when has_disciplinary_action then 1
+       when professional_type = 'dentist' and has_anesthesia_level_4 then 5
+       when professional_type = 'dentist' and specialty_code in ('OMS', 'PERI', 'ORTH') then 4
+       when professional_type = 'dentist' then 3 when professional_type = 'hygienist' then 2 else 1 end as marketing_priority_score,
+  valid_from as record_valid_from
+from history where valid_to is null
+""", "DIM1, HIS4")
+def q_dim(spark, sf):
+    return D.dim_professionals(history(spark, sf), AS_OF)

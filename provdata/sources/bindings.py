@@ -127,7 +127,7 @@ select data_load_id as load_id,
   'TX' as state_code,
   cast(1000 + cast(substr(data_load_id, 5) as int) * 37 as bigint) as row_count,
   cast(cast(substr(data_load_id, 5) as int) * 7 - 140 as bigint) as row_count_delta,
-  cast('2025-06-01' as timestamp) + make_interval(0, 0, 0, cast(substr(data_load_id, 5) as int) % 30, cast(substr(data_load_id, 5) as int) % 24, 0, 0) as loaded_at
+  cast('2025-06-01' as timestamp) + interval 1 day * (cast(substr(data_load_id, 5) as int) % 30) + interval 1 hour * (cast(substr(data_load_id, 5) as int) % 24) as loaded_at
 from (select distinct data_load_id from ({export_queue}) q) l
 """
 
