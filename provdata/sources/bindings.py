@@ -120,15 +120,30 @@ from {supplier}
 
 # Loads registry: distinct data_load_id of the export queue, status by id % 4.
 DATA_LOADS = """
-select data_load_id as load_id,
-  case cast(substr(data_load_id, 5) as int) % 4 when 0 then 'promoted' when 1 then 'validated' when 2 then 'quarantined' else 'pending' end as status,
-  case when cast(substr(data_load_id, 5) as int) % 4 = 1 then cast(substr(data_load_id, 5) as int) % 3 <> 2 end as validation_passed,
-  'tx_' || case cast(substr(data_load_id, 5) as int) % 2 when 0 then 'dentist' else 'hygienist' end as source_type,
-  'TX' as state_code,
-  cast(1000 + cast(substr(data_load_id, 5) as int) * 37 as bigint) as row_count,
-  cast(cast(substr(data_load_id, 5) as int) * 7 - 140 as bigint) as row_count_delta,
-  cast('2025-06-01' as timestamp) + interval 1 day * (cast(substr(data_load_id, 5) as int) % 30) + interval 1 hour * (cast(substr(data_load_id, 5) as int) % 24) as loaded_at
-from (select distinct data_load_id from ({export_queue}) q) l
+select load_id, status, validation_passed, source_type, state_code, row_count, row_count_delta_pct,
+  loaded_at, cast(loaded_at as date) as source_date,
+  case when status in ('validated', 'promoted') then loaded_at + interval 1 hour * (n % 48) end as validated_at,
+  24 as promotion_delay_hours
+from (
+  select data_load_id as load_id, cast(substr(data_load_id, 5) as int) as n,
+    case cast(substr(data_load_id, 5) as int) % 4 when 0 then 'promoted' when 1 then 'validated' when 2 then 'quarantined' else 'pending' end as status,
+    case when cast(substr(data_load_id, 5) as int) % 4 = 1 then cast(substr(data_load_id, 5) as int) % 3 <> 2 end as validation_passed,
+    'tx_' || case cast(substr(data_load_id, 5) as int) % 2 when 0 then 'dentist' else 'hygienist' end as source_type,
+    'TX' as state_code,
+    cast(1000 + cast(substr(data_load_id, 5) as int) * 37 as bigint) as row_count,
+    cast(cast(substr(data_load_id, 5) as int) * 7 - 140 as double) / 1000 as row_count_delta_pct,
+    cast('2025-06-01' as timestamp) + interval 1 day * (cast(substr(data_load_id, 5) as int) % 30) + interval 1 hour * (cast(substr(data_load_id, 5) as int) % 24) as loaded_at
+  from (select distinct data_load_id from ({export_queue}) q) l
+) x
+"""
+
+# Export history: the sent rows of the queue, sent one day after queueing.
+EXPORT_HISTORY = """
+select md5(export_id || '-sent') as history_id, export_id, provider_id, destination, data_load_id,
+  queued_at + interval 1 day as sent_at,
+  case when cast(export_id as bigint) % 7 = 0 then 'bounced' when cast(export_id as bigint) % 11 = 0 then 'complained' else 'delivered' end as delivery_status,
+  email, license_number
+from ({export_queue}) q where status = 'sent'
 """
 
 BINDINGS = {
@@ -157,12 +172,18 @@ def data_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(DATA_LOADS, export_queue=binding(spark, sf_dir, "export_queue"))
 
 
+def export_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(EXPORT_HISTORY, export_queue=binding(spark, sf_dir, "export_queue"))
+
+
 def sql_cte(*names: str) -> str:
     """``WITH`` clause defining the named bindings over the driver's views (oracle side)."""
     parts = []
     for n in names:
         if n == "data_loads":
             text = DATA_LOADS.format(export_queue="select * from export_queue")
+        elif n == "export_history":
+            text = EXPORT_HISTORY.format(export_queue="select * from export_queue")
         else:
             text, tables = BINDINGS[n]
             text = text.format(**{t: t for t in tables})
