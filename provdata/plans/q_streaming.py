@@ -1 +1,105 @@
-"""Queries (filled in as operators land)."""
+"""Touchpoint stream operators, run as their batch twins (STR1-3, STR5-6, HIS2)."""
+
+from __future__ import annotations
+
+from ..operators import history as H
+from ..sources.bindings import binding, sql_cte
+from ..streaming import leads as L
+from .registry import query
+
+_TP = sql_cte("touchpoints")
+
+
+def touchpoints(spark, sf):
+    return binding(spark, sf, "touchpoints")
+
+
+@query("lead_rollup", _TP + """
+select lead_id, cast(count_if(event_type = 'email_sent') as bigint) as total_emails_sent,
+  cast(count_if(event_type = 'email_open') as bigint) as total_opens,
+  cast(count_if(event_type in ('email_click', 'ad_click')) as bigint) as total_clicks,
+  cast(count_if(event_type = 'page_view') as bigint) as total_page_views, count(*) as total_touchpoints,
+  min(event_timestamp) as first_seen_at,
+  max(case when event_type not in ('email_sent', 'ad_impression') then event_timestamp end) as last_engaged_at
+from touchpoints group by lead_id
+""", "STR1 (batch twin)")
+def q_lead_rollup(spark, sf):
+    return L.lead_rollup(touchpoints(spark, sf))
+
+
+@query("lead_stage", _TP + """
+, g as (select lead_id, max(case when event_type in ('email_sent', 'ad_impression') then 1
+    when event_type in ('email_open', 'email_click', 'ad_click', 'page_view') then 2 when event_type = 'form_submit' then 3
+    when event_type = 'demo_booked' then 4 when event_type = 'deal_won' then 5 else 1 end) as stage_rank
+  from touchpoints group by lead_id)
+select lead_id, stage_rank, case stage_rank when 1 then 'new' when 2 then 'engaged' when 3 then 'qualified'
+  when 4 then 'opportunity' when 5 then 'customer' end as current_stage from g
+""", "STR6 (batch twin)")
+def q_lead_stage(spark, sf):
+    return L.lead_stage(touchpoints(spark, sf))
+
+
+@query("attribution_daily", _TP + """
+select date_trunc('day', event_timestamp) as window_start, date_trunc('day', event_timestamp) + interval 1 day as window_end,
+  channel, campaign_id, event_type, count(*) as touchpoints
+from touchpoints group by all
+""", "STR2 (tumbling window, batch twin)")
+def q_attribution_daily(spark, sf):
+    return L.attribution_rollup(touchpoints(spark, sf))
+
+
+@query("channel_attribution", _TP + """
+select channel, campaign_id, event_type, count(*) as touchpoints, count(distinct lead_id) as leads
+from touchpoints group by all
+""", "STR2 (exact distinct leads)")
+def q_channel_attr(spark, sf):
+    return L.channel_attribution(touchpoints(spark, sf))
+
+
+@query("dedupe_events", _TP + """
+select * from (select *, row_number() over (partition by event_id order by event_timestamp) as rn from touchpoints)
+where rn = 1
+""".replace("select * from (", "select * exclude (rn) from ("), "STR3 (batch twin)")
+def q_dedupe(spark, sf):
+    return L.dedupe_events(touchpoints(spark, sf))
+
+
+@query("engagement_features", _TP + """
+, base as (select lead_id, count(*) as events, count(distinct cast(event_timestamp as date)) as active_days,
+    cast(count_if(dayofweek(event_timestamp) = 0) as bigint) as dow_1, cast(count_if(dayofweek(event_timestamp) = 1) as bigint) as dow_2,
+    cast(count_if(dayofweek(event_timestamp) = 2) as bigint) as dow_3, cast(count_if(dayofweek(event_timestamp) = 3) as bigint) as dow_4,
+    cast(count_if(dayofweek(event_timestamp) = 4) as bigint) as dow_5, cast(count_if(dayofweek(event_timestamp) = 5) as bigint) as dow_6,
+    cast(count_if(dayofweek(event_timestamp) = 6) as bigint) as dow_7
+  from touchpoints group by lead_id),
+ch as (select lead_id, channel, count(*) as n from touchpoints group by all),
+top_ch as (select lead_id, channel as top_channel from (select *, row_number() over (partition by lead_id order by n desc, channel) as r from ch) where r = 1),
+hr as (select lead_id, cast(hour(event_timestamp) as integer) as hour, count(*) as n from touchpoints group by all),
+peak as (select lead_id, hour as peak_hour from (select *, row_number() over (partition by lead_id order by n desc, hour) as r from hr) where r = 1),
+ordered as (select lead_id, event_timestamp, lag(event_timestamp) over (partition by lead_id order by event_timestamp) as prev from touchpoints),
+sess as (select lead_id, cast(count_if(prev is null or event_timestamp - prev >= interval 30 minute) as bigint) as sessions from ordered group by lead_id)
+select base.*, top_channel, peak_hour, sessions, cast(events as double) / active_days as events_per_active_day
+from base join top_ch using (lead_id) join peak using (lead_id) join sess using (lead_id)
+""", "STR5 (batch twin)")
+def q_engagement(spark, sf):
+    return L.engagement_features(touchpoints(spark, sf))
+
+
+@query("touchpoint_metadata", _TP + """
+select count(*) as touchpoints, cast(count(json_extract(event_metadata, '$.k')) as bigint) as with_k,
+  cast(sum(cast(json_extract(event_metadata, '$.k') as integer)) as bigint) as sum_k
+from touchpoints
+""", "event metadata VARIANT (parse_json / variant_get)")
+def q_metadata(spark, sf):
+    from pyspark.sql import functions as F
+    m = L.metadata_fields(touchpoints(spark, sf))
+    return m.agg(F.count(F.lit(1)).alias("touchpoints"), F.count("meta_k").cast("bigint").alias("with_k"),
+                 F.sum(F.col("meta_k").cast("bigint")).alias("sum_k"))
+
+
+@query("state_log_history", sql_cte("state_log") + """
+, l as (select user_id, ts, event_id, event_type, lag(event_type) over (partition by user_id order by ts, event_id) as p from state_log),
+v as (select user_id, ts, event_id, event_type from l where p is null or p <> event_type)
+select user_id, event_type, ts as valid_from, lead(ts) over (partition by user_id order by ts, event_id) as valid_to from v
+""", "HIS2")
+def q_state_log_history(spark, sf):
+    return H.scd2_from_changes(binding(spark, sf, "state_log"), "user_id", ["event_type"], ["ts", "event_id"])
