@@ -83,9 +83,10 @@ def address_full(line1: str | Column, line2: str | Column) -> Column:
                     .otherwise(F.lit("")))
 
 
-def to_e164(phone: str | Column, country: str | Column = F.lit("US")) -> Column:
+def to_e164(phone: str | Column, country: str | Column | None = None) -> Column:
     """PRJ7: '+...' unchanged; US with 10 digits -> '+1' + digits; else '+' + digits."""
     p = col_(phone)
+    country = F.lit("US") if country is None else col_(country)
     d = digits_only(p)
     return (F.when(p.isNull(), F.lit(None).cast("string"))
             .when(F.startswith(p, F.lit("+")), p)

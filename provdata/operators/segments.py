@@ -15,8 +15,12 @@ from ..functions import clean as C
 from ..functions import refdata
 from .providers import us_states_only
 
-_NEW = F.col("practice_age_cohort").isin(*refdata.NEW_COHORTS)
-_FEMALE = F.col("gender") == "Female"
+def _new() -> F.Column:
+    return F.col("practice_age_cohort").isin(*refdata.NEW_COHORTS)
+
+
+def _female() -> F.Column:
+    return F.col("gender") == "Female"
 
 
 def _cnt(cond) -> F.Column:
@@ -27,12 +31,12 @@ def state_insights(providers: DataFrame) -> DataFrame:
     """AGG1: per state totals, female share, cohort counts, innovation score, distinct zips/cities."""
     return us_states_only(providers).groupBy(F.col("practice_state").alias("state")).agg(
         F.count(F.lit(1)).alias("total_dentists"),
-        _cnt(_FEMALE).alias("female_dentists"),
-        C.percent(F.count_if(_FEMALE), F.count(F.lit(1))).alias("female_pct"),
-        _cnt(_NEW).alias("new_practices"),
+        _cnt(_female()).alias("female_dentists"),
+        C.percent(F.count_if(_female()), F.count(F.lit(1))).alias("female_pct"),
+        _cnt(_new()).alias("new_practices"),
         _cnt(F.col("practice_age_cohort") == "Established (5-10 yrs)").alias("growth_practices"),
         _cnt(F.col("practice_age_cohort") == "Mature (10-20 yrs)").alias("established_practices"),
-        C.percent(F.count_if(_NEW), F.count(F.lit(1))).alias("innovation_score"),
+        C.percent(F.count_if(_new()), F.count(F.lit(1))).alias("innovation_score"),
         F.count_distinct("practice_zip").alias("zip_count"),
         F.count_distinct("practice_city").alias("city_count"),
     )
@@ -43,12 +47,12 @@ def city_density(providers: DataFrame) -> DataFrame:
     return us_states_only(providers).groupBy(
         F.col("practice_city").alias("city"), F.col("practice_state").alias("state")).agg(
         F.count(F.lit(1)).alias("provider_count"),
-        _cnt(_FEMALE).alias("female_count"),
-        C.percent(F.count_if(_FEMALE), F.count(F.lit(1))).alias("female_pct"),
-        _cnt(_NEW).alias("new_practice_count"),
+        _cnt(_female()).alias("female_count"),
+        C.percent(F.count_if(_female()), F.count(F.lit(1))).alias("female_pct"),
+        _cnt(_new()).alias("new_practice_count"),
         _cnt(F.col("practice_age_cohort") == "Established (5-10 yrs)").alias("mid_practice_count"),
         _cnt(F.col("practice_age_cohort") == "Mature (10-20 yrs)").alias("established_count"),
-        C.percent(F.count_if(_NEW), F.count(F.lit(1))).alias("innovation_score"),
+        C.percent(F.count_if(_new()), F.count(F.lit(1))).alias("innovation_score"),
     ).withColumn("city_state", F.concat_ws(", ", "city", "state"))
 
 
@@ -66,9 +70,9 @@ def market_opportunity(providers: DataFrame) -> DataFrame:
     stats = us_states_only(providers).groupBy(
         F.col("practice_city").alias("city"), F.col("practice_state").alias("state")).agg(
         F.count(F.lit(1)).alias("total_providers"),
-        _cnt(_NEW).alias("new_practices"),
-        C.percent(F.count_if(_NEW), F.count(F.lit(1))).alias("new_practice_pct"),
-        C.percent(F.count_if(_FEMALE), F.count(F.lit(1))).alias("female_pct"),
+        _cnt(_new()).alias("new_practices"),
+        C.percent(F.count_if(_new()), F.count(F.lit(1))).alias("new_practice_pct"),
+        C.percent(F.count_if(_female()), F.count(F.lit(1))).alias("female_pct"),
     )
     return stats.select(
         "city", "state", F.concat_ws(", ", "city", "state").alias("market"),
@@ -125,8 +129,8 @@ def top_state_specialties(providers_with_taxonomy: DataFrame, k: int = 10) -> Da
 
 
 def _org_aggs():
-    return [F.count(F.lit(1)).alias("org_count"), _cnt(_NEW).alias("new_orgs"),
-            C.percent(F.count_if(_NEW), F.count(F.lit(1))).alias("innovation_score")]
+    return [F.count(F.lit(1)).alias("org_count"), _cnt(_new()).alias("new_orgs"),
+            C.percent(F.count_if(_new()), F.count(F.lit(1))).alias("innovation_score")]
 
 
 def org_by_state(orgs: DataFrame) -> DataFrame:

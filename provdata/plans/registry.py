@@ -27,11 +27,36 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
+def _zero_count_if(sql: str) -> str:
+    """DuckDB's ``count_if`` is NULL when every input is NULL (Spark and the warehouse give 0).
+
+    Rewrite each ``count_if(...)`` call to ``coalesce(count_if(...), 0)``.
+    """
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len(key) - 1
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        inner = _zero_count_if(sql[j + len(key):k])
+        out.append(sql[i:j] + f"coalesce(count_if({inner}), 0)")
+        i = k + 1
+
+
 def query(name: str, oracle: str | None, operators: str):
     def deco(fn: Builder) -> Builder:
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = Query(name, fn, oracle, operators)
+        REGISTRY[name] = Query(name, fn, _zero_count_if(oracle) if oracle else None, operators)
         return fn
     return deco
 

@@ -60,15 +60,51 @@ def family(t: str) -> str:
     return t
 
 
+def duck(sf: str):
+    con = duckdb.connect()
+    for t in DRIVER_TABLES:
+        con.execute(f"create view {t} as select * from read_parquet('{sf}/{t}.parquet')")
+    return con
+
+
+def compare(spark, con, q, sf: str) -> tuple[list[str], int]:
+    """Messages describing differences (empty = match) and the Spark row count."""
+    sdf = q.build(spark, sf)
+    scols = sdf.columns
+    stypes = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    srows = [tuple(norm(r[c]) for c in sorted(scols)) for r in sdf.collect()]
+    if q.oracle is None:
+        return [], len(srows)
+    rel = con.sql(q.oracle)
+    ocols = rel.columns
+    otypes = dict(zip(ocols, [str(x) for x in rel.types]))
+    orows = [tuple(norm(r[ocols.index(c)]) for c in sorted(ocols)) for r in rel.fetchall()]
+    msgs = []
+    if sorted(scols) != sorted(ocols):
+        msgs.append(f"columns differ: spark-only {sorted(set(scols) - set(ocols))} "
+                    f"oracle-only {sorted(set(ocols) - set(scols))}")
+    else:
+        tdiff = {c: (stypes[c], otypes[c]) for c in scols if family(stypes[c]) != family(otypes[c])}
+        if tdiff:
+            msgs.append(f"types {tdiff}")
+    if len(srows) != len(orows):
+        msgs.append(f"rows spark={len(srows)} oracle={len(orows)}")
+    if not msgs or all(m.startswith("types") for m in msgs):
+        cs, co = Counter(srows), Counter(orows)
+        if cs != co:
+            only_s = list((cs - co).elements())[:3]
+            only_o = list((co - cs).elements())[:3]
+            msgs.append(f"values differ; cols={sorted(scols)}\n   spark-only {only_s}\n   oracle-only {only_o}")
+    return msgs, len(srows)
+
+
 def main() -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
     spark = build_session()
-    con = duckdb.connect()
-    for t in DRIVER_TABLES:
-        con.execute(f"create view {t} as select * from read_parquet('{args.sf}/{t}.parquet')")
+    con = duck(args.sf)
     reg = load_all()
     names = args.names or list(reg)
     bad = 0
@@ -76,48 +112,19 @@ def main() -> int:
         q = reg[name]
         t0 = time.time()
         try:
-            sdf = q.build(spark, args.sf)
-            scols = sdf.columns
-            stypes = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
-            srows = [tuple(norm(r[c]) for c in sorted(scols)) for r in sdf.collect()]
+            msgs, n = compare(spark, con, q, args.sf)
         except Exception as e:  # noqa: BLE001
-            print(f"FAIL {name}: spark error {type(e).__name__}: {str(e)[:400]}")
+            print(f"FAIL {name}: error {type(e).__name__}: {str(e)[:400]}")
             bad += 1
             continue
         ts = time.time() - t0
         if q.oracle is None:
-            print(f"rows {name}: {len(srows)} rows (no oracle) {ts:.1f}s")
-            continue
-        try:
-            rel = con.sql(q.oracle)
-            ocols = rel.columns
-            otypes = dict(zip(ocols, [str(x) for x in rel.types]))
-            orows = [tuple(norm(r[ocols.index(c)]) for c in sorted(ocols)) for r in rel.fetchall()]
-        except Exception as e:  # noqa: BLE001
-            print(f"FAIL {name}: duckdb error {type(e).__name__}: {str(e)[:400]}")
-            bad += 1
-            continue
-        msgs = []
-        if sorted(scols) != sorted(ocols):
-            msgs.append(f"columns differ: spark-only {sorted(set(scols) - set(ocols))} "
-                        f"oracle-only {sorted(set(ocols) - set(scols))}")
-        else:
-            tdiff = {c: (stypes[c], otypes[c]) for c in scols if family(stypes[c]) != family(otypes[c])}
-            if tdiff:
-                msgs.append(f"types {tdiff}")
-        if len(srows) != len(orows):
-            msgs.append(f"rows spark={len(srows)} oracle={len(orows)}")
-        if not msgs or all(m.startswith("types") for m in msgs):
-            cs, co = Counter(srows), Counter(orows)
-            if cs != co:
-                only_s = list((cs - co).elements())[:3]
-                only_o = list((co - cs).elements())[:3]
-                msgs.append(f"values differ; cols={sorted(scols)}\n   spark-only {only_s}\n   oracle-only {only_o}")
-        if msgs:
+            print(f"rows {name}: {n} rows (no oracle) {ts:.1f}s")
+        elif msgs:
             bad += 1
-            print(f"FAIL {name} ({len(srows)} rows, {ts:.1f}s): " + " | ".join(msgs))
+            print(f"FAIL {name} ({n} rows, {ts:.1f}s): " + " | ".join(msgs))
         else:
-            print(f"ok   {name}: {len(srows)} rows {ts:.1f}s")
+            print(f"ok   {name}: {n} rows {ts:.1f}s")
     print(f"{len(names) - bad}/{len(names)} ok")
     spark.stop()
     return 1 if bad else 0
