@@ -37,8 +37,8 @@ def since_watermark(df: DataFrame, ts_col: str, target: DataFrame | None, target
     """JOIN17: rows later than ``coalesce(max(target.ts), '1900-01-01')`` (scalar, one row)."""
     if target is None:
         return df.filter(F.col(ts_col) > F.lit("1900-01-01").cast("timestamp_ntz"))
-    mark = target.agg(F.coalesce(F.max(target_col), F.lit("1900-01-01").cast("timestamp_ntz")).alias("_wm"))
-    return df.crossJoin(F.broadcast(mark)).filter(F.col(ts_col) > F.col("_wm")).drop("_wm")  # 1-row side
+    mark = target.select(F.coalesce(F.max(target_col), F.lit("1900-01-01").cast("timestamp_ntz"))).scalar()
+    return df.filter(F.col(ts_col) > mark)  # scalar subquery, evaluated once
 
 
 def _rule(fires: Column, rule_key: str, event_type: str, desc: str, prev_v: Column | None,

@@ -199,11 +199,10 @@ def kpis(individuals: DataFrame, orgs: DataFrame, decision_makers: DataFrame) ->
     """AGG9: the headline counts in one row (each input scanned once)."""
     i = individuals.agg(F.count(F.lit(1)).alias("dentists"),
                         F.count_distinct("city").alias("cities"))
-    o = orgs.agg(F.count(F.lit(1)).alias("orgs"))
-    d = decision_makers.agg(F.count(F.lit(1)).alias("decision_makers"))
-    return i.crossJoin(o).crossJoin(d).select(  # 1 x 1 x 1 rows
-        "dentists", "orgs", "decision_makers", F.lit(len(refdata.US_STATES)).cast("bigint").alias("states"),
-        "cities")
+    orgs_n = orgs.select(F.count(F.lit(1))).scalar()
+    dm_n = decision_makers.select(F.count(F.lit(1))).scalar()
+    return i.select("dentists", orgs_n.alias("orgs"), dm_n.alias("decision_makers"),
+                    F.lit(len(refdata.US_STATES)).cast("bigint").alias("states"), "cities")
 
 
 def cohort_pie(state_ins: DataFrame) -> DataFrame:

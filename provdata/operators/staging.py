@@ -235,7 +235,8 @@ def stage_wa(raw: DataFrame, active_only: bool = False) -> DataFrame:
         _txt(raw, "lastname").alias("last_name"), _txt(raw, "birthyear").alias("birth_year"),
         iso("firstissuedate").alias("first_issue_date"), iso("lastissuedate").alias("last_issue_date"),
         iso("expirationdate").alias("expiration_date"), iso("ceduedate").alias("ce_due_date"),
-        (F.coalesce(F.col("actiontaken"), F.lit("No")) == "Yes").alias("has_enforcement_action"))
+        ((F.coalesce(F.col("actiontaken"), F.lit("No")) if "actiontaken" in raw.columns else F.lit("No"))
+         == "Yes").alias("has_enforcement_action"))
     return df.filter(F.upper("status") == "ACTIVE") if active_only else df
 
 

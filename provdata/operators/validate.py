@@ -77,7 +77,7 @@ def validate_load(df: DataFrame, rules, prev: DataFrame | None = None, as_of: st
                 continue
             extra.append(prev.agg(F.count(F.lit(1)).alias(f"_prev{i}")))
             p = F.col(f"_prev{i}")
-            delta = F.abs(n - p).cast("double") / p
+            delta = F.try_divide(F.abs(n - p).cast("double"), p)
             # An empty previous load is treated as 'no previous load'.
             structs.append(F.when(p == 0, _r(i, rtype, rtype, "warning", F.lit(True), F.lit(None),
                                               params["max_delta_pct"], "skipped: no previous load"))
@@ -92,7 +92,7 @@ def validate_load(df: DataFrame, rules, prev: DataFrame | None = None, as_of: st
             if types[f] == "string":
                 ok = ok & (F.trim(F.col(f)) != "")
             aggs[f"_pop{i}"] = F.count_if(ok)
-            share = F.col(f"_pop{i}").cast("double") / n
+            share = F.try_divide(F.col(f"_pop{i}").cast("double"), n)
             structs.append(_r(i, f"field_populated_{f}", rtype, sev_override or "error",
                               share >= params["min_pct"], share, params["min_pct"]))
         elif rtype == "field_format":
@@ -101,7 +101,7 @@ def validate_load(df: DataFrame, rules, prev: DataFrame | None = None, as_of: st
             aggs[f"_nn{i}"] = F.count(s)
             # Match anchored at the start only (prefix match), like re.match.
             aggs[f"_fm{i}"] = F.count_if(s.rlike(f"^(?:{params['pattern']})"))
-            share = F.col(f"_fm{i}").cast("double") / F.col(f"_nn{i}")
+            share = F.try_divide(F.col(f"_fm{i}").cast("double"), F.col(f"_nn{i}"))
             structs.append(F.when(F.col(f"_nn{i}") == 0,
                                   _r(i, f"field_format_{f}", rtype, "error", F.lit(False), F.lit(None),
                                      params["min_pct"], "no non-null values"))
@@ -140,16 +140,17 @@ def validate_load(df: DataFrame, rules, prev: DataFrame | None = None, as_of: st
             f = params["field"]
             # Compared as text: a file may hold the code as '20' or 20.
             aggs[f"_vd{i}"] = F.count_if(F.col(f).cast("string") == str(params["value"]))
-            share = F.col(f"_vd{i}").cast("double") / n
+            share = F.try_divide(F.col(f"_vd{i}").cast("double"), n)
             structs.append(_r(i, f"value_distribution_{f}_{params['value']}", rtype, sev_override or "error",
                               share >= params["min_pct"], share, params["min_pct"]))
         else:
             structs.append(_r(i, rtype, "unknown", "warning", F.lit(False), F.lit(None), None,
                               f"unknown rule: {rtype}"))
     one = df.agg(*[v.alias(k) for k, v in aggs.items()])
-    for e in extra:
-        one = one.crossJoin(e)  # every side is a one-row aggregate
-    return one.select(F.inline(F.array(*structs)))
+    # Side counters (previous-load size, duplicate counts) are one-row aggregates:
+    # attach them as scalar subqueries (each runs once; no join).
+    side = [e.select(F.col(e.columns[0])).scalar().alias(e.columns[0]) for e in extra]
+    return one.select("*", *side).select(F.inline(F.array(*structs)))
 
 
 def load_verdict(results: DataFrame) -> DataFrame:
