@@ -71,6 +71,21 @@ from {customer} cross join (select 0 as d union all select 1 as d) dd
 where not (d = 1 and c_custkey % 29 = 7) and not (d = 0 and c_custkey % 31 = 8)
 """
 
+# Registry rows with the organisation / credential fields the decision-maker views use
+# (B1 plus: credential, DBA name, authorised official, listed licence).
+NPI_RAW_FULL = NPI_RAW.replace("  cast(v as int) as version", """  case when c_custkey % 4 <> 3 then case c_custkey % 5 when 0 then 'DDS' when 1 then 'DMD' when 2 then 'D.D.S.' end end as credential,
+  case when c_custkey % 8 = 7 then c_name || ' Dental' end as dba_name,
+  case when c_custkey % 4 = 3 then case c_custkey % 6 when 0 then 'Robert' when 1 then 'Rupert' when 2 then 'Ann' when 3 then ' Anne ' when 4 then 'Jon' else 'Maria' end end as auth_official_first_name,
+  case when c_custkey % 4 = 3 then case when c_custkey % 10 = 5 then 'Smyth'
+    else substr('BDFGKLMNPRST', cast(1 + c_custkey % 12 as int), 1) || 'a'
+      || substr('bdlmrcbdlmrc', cast(1 + floor(c_custkey / 12.0) % 12 as int), 1) || 'e'
+      || substr('dlmrcbdlmrcb', cast(1 + floor(c_custkey / 144.0) % 12 as int), 1) end end as auth_official_last_name,
+  case when c_custkey % 4 = 3 then case c_custkey % 7 when 0 then 'DDS' when 1 then 'MBA' when 2 then 'RDH' when 3 then '' when 4 then 'CEO' when 5 then 'Office Manager' end end as auth_official_credential,
+  case when c_custkey % 4 = 3 then '(512) 777-' || lpad(cast(c_custkey % 10000 as string), 4, '0') end as auth_official_phone,
+  case when c_custkey % 4 <> 3 and c_custkey % 3 = 0 then 'L' || cast(c_custkey as string) end as license_number,
+  case when c_custkey % 4 <> 3 and c_custkey % 3 = 0 then 'TX' end as license_state,
+  cast(v as int) as version""")
+
 STATE_LOG = """
 select user_id, ts, event_id, event_type from {events}
 """
@@ -148,6 +163,7 @@ from ({export_queue}) q where status = 'sent'
 
 BINDINGS = {
     "npi_raw": (NPI_RAW, ["customer"]),
+    "npi_raw_full": (NPI_RAW_FULL, ["customer"]),
     "tx_license_raw": (TX_LICENSE_RAW, ["customer"]),
     "state_log": (STATE_LOG, ["events"]),
     "touchpoints": (TOUCHPOINTS, ["events"]),
