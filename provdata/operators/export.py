@@ -284,3 +284,16 @@ def queue_status(queue: DataFrame, as_of: str) -> DataFrame:
 def batch_unprocessed(records: DataFrame, done: DataFrame, key: str, order: list[str], limit: int) -> DataFrame:
     """TOP4 / JOIN9 / JOIN10: records not yet processed (null-safe anti-join), first ``limit`` in order."""
     return records.join(done.select(key).distinct(), key, "left_anti").orderBy(*order).limit(limit)
+
+
+def trigger_results(events: DataFrame, types=None, counties=None, crm_configured: bool = True,
+                    webhook_configured: bool = True) -> DataFrame:
+    """EXP9: dry-run counts of the new-licensee trigger (NEW_LICENSE events after type/county filters)."""
+    from .events import filter_events
+    ev = events.filter(F.col("event_type") == "NEW_LICENSE")
+    f = filter_events(ev, None, types, counties)
+    n = f.select(F.count(F.lit(1))).scalar()
+    return ev.agg(F.count(F.lit(1)).alias("total_events")).select(
+        "total_events", n.alias("filtered_events"),
+        (n if crm_configured else F.lit(0).cast("bigint")).alias("crm_created"),
+        (n if webhook_configured else F.lit(0).cast("bigint")).alias("webhook_sent"))

@@ -64,5 +64,5 @@ def query(name: str, oracle: str | None, operators: str):
 def load_all() -> dict[str, Query]:
     # Importing the modules registers their queries.
     from . import (q_providers, q_staging, q_match, q_enrich, q_history,  # noqa: F401
-                   q_governance, q_export, q_streaming, q_people)
+                   q_governance, q_export, q_streaming, q_people, q_ops)
     return REGISTRY

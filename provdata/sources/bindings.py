@@ -86,6 +86,61 @@ NPI_RAW_FULL = NPI_RAW.replace("  cast(v as int) as version", """  case when c_c
   case when c_custkey % 4 <> 3 and c_custkey % 3 = 0 then 'TX' end as license_state,
   cast(v as int) as version""")
 
+# Person-match API responses for the licence of each customer key (JSON text).
+PERSON_RESPONSES = """
+select cast(c_custkey as string) as license_id, 'L' || cast(c_custkey as string) as license_number,
+  case
+    when c_custkey % 13 = 0 then '{{"error": "rate limited"}}'
+    when c_custkey % 11 = 0 then '{{"person": null}}'
+    when c_custkey % 17 = 0 then '{{"person": {{}}}}'
+    else '{{"person": {{"id": "p' || cast(c_custkey as string) || '", "email": '
+      || case when c_custkey % 3 = 0 then 'null' else '"u' || cast(c_custkey as string) || '@example.com"' end
+      || ', "email_status": "' || case when c_custkey % 2 = 0 then 'verified' else 'guessed' end || '"'
+      || ', "linkedin_url": "https://linkedin.example/in/u' || cast(c_custkey as string) || '"'
+      || ', "city": "City' || cast(c_custkey % 11 as string) || '", "state": "TX", "country": "United States"'
+      || ', "phone_numbers": ' || case c_custkey % 4
+           when 0 then '[]'
+           when 1 then '[{{"type": "mobile", "sanitized_number": "+1512' || lpad(cast(c_custkey % 10000000 as string), 7, '0') || '"}}]'
+           when 2 then '[{{"type": "work_hq", "sanitized_number": "+1214' || lpad(cast(c_custkey % 10000000 as string), 7, '0') || '"}}, {{"type": "mobile", "sanitized_number": "+1512' || lpad(cast(c_custkey % 10000000 as string), 7, '0') || '"}}, {{"type": "mobile", "sanitized_number": "+1737' || lpad(cast(c_custkey % 10000000 as string), 7, '0') || '"}}]'
+           else '[{{"type": "other", "sanitized_number": "+1972' || lpad(cast(c_custkey % 10000000 as string), 7, '0') || '"}}]' end
+      || ', "employment_history": ' || case when c_custkey % 5 = 0 then '[]'
+           else '[{{"organization_name": "' || c_name || '", "title": "' || case c_custkey % 3 when 0 then 'Owner' when 1 then 'Office Manager' else 'Associate Dentist' end || '"}}, {{"organization_name": "Old Practice", "title": "Associate"}}]' end
+      || case when c_custkey % 7 = 0 then '' else ', "organization": {{"name": "Org ' || cast(c_custkey as string) || '", "primary_domain": "org' || cast(c_custkey as string) || '.example"}}' end
+      || '}}}}'
+  end as response
+from {customer}
+"""
+
+# Address-check API responses, one per customer key (JSON text).
+ADDRESS_RESPONSES = """
+select cast(1000000000 + c_custkey as string) as provider_id,
+  case when c_custkey % 19 = 0 then '{{"error": "timeout"}}'
+  else '{{"status": "' || case c_custkey % 5 when 0 then 'invalid' when 1 then 'unknown' else 'valid' end || '"'
+    || case when c_custkey % 7 = 0 then '' else ', "deliverable": ' || case when c_custkey % 3 = 0 then 'false' else 'true' end end
+    || ', "address": {{"delivery_line_1": "' || cast(c_custkey % 500 as string) || ' MAIN ST", "delivery_line_2": "'
+    || case when c_custkey % 4 = 0 then 'STE ' || cast(c_custkey % 90 as string) else '' end
+    || '", "city": "CITY' || cast(c_custkey % 11 as string) || '", "state": "TX", "zip": "'
+    || cast(75000 + c_custkey % 17 as string) || '", "zip4": "0001"}}'
+    || ', "metadata": {{"dpv_match": "' || case when c_custkey % 2 = 0 then 'Y' else 'N' end || '"'
+    || case when c_custkey % 6 = 0 then '' else ', "confidence": 0.' || cast(50 + c_custkey % 50 as string) end
+    || ', "dpv_footnotes": ["AA", "BB"]}}}}'
+  end as response
+from {customer}
+"""
+
+# Phone-check API responses, one per customer key (JSON text).
+PHONE_RESPONSES = """
+select cast(1000000000 + c_custkey as string) as provider_id,
+  '{{"phone_number": "+1512555' || lpad(cast(c_custkey % 10000 as string), 4, '0') || '"'
+  || ', "national_format": "(512) 555-' || lpad(cast(c_custkey % 10000 as string), 4, '0') || '"'
+  || ', "country_code": "US", "valid": ' || case when c_custkey % 9 = 0 then 'false' else 'true' end
+  || case c_custkey % 3 when 0 then ', "line_type_intelligence": {{"type": "mobile", "carrier_name": "Carrier A"}}'
+       when 1 then ', "line_type_intelligence": {{}}, "carrier": {{"name": "Carrier B", "type": "landline"}}'
+       else '' end
+  || '}}' as response
+from {customer}
+"""
+
 STATE_LOG = """
 select user_id, ts, event_id, event_type from {events}
 """
@@ -164,6 +219,9 @@ from ({export_queue}) q where status = 'sent'
 BINDINGS = {
     "npi_raw": (NPI_RAW, ["customer"]),
     "npi_raw_full": (NPI_RAW_FULL, ["customer"]),
+    "person_responses": (PERSON_RESPONSES, ["customer"]),
+    "address_responses": (ADDRESS_RESPONSES, ["customer"]),
+    "phone_responses": (PHONE_RESPONSES, ["customer"]),
     "tx_license_raw": (TX_LICENSE_RAW, ["customer"]),
     "state_log": (STATE_LOG, ["events"]),
     "touchpoints": (TOUCHPOINTS, ["events"]),
