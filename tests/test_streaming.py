@@ -34,3 +34,28 @@ def test_dedupe_stream_keeps_one_row_per_event(spark):
     out = L.run_available_now(stream, tempfile.mkdtemp(prefix="ck-"), "dedupe_t", "append")
     n = binding(spark, SF_SMALL, "touchpoints").select("event_id").distinct().count()
     assert out.count() == n
+
+
+def test_license_snapshot_stream_equals_batch_history(spark):
+    import os
+
+    from provdata.plans.q_staging import history
+    from provdata.sources import io as IO
+    from provdata.streaming.changes import change_events_stream
+
+    root = tempfile.mkdtemp(prefix="snap-")
+    raw = binding(spark, SF_SMALL, "tx_license_raw")
+    # One file per snapshot date, arriving in date order.
+    for day in ("2025-06-29", "2025-06-30"):
+        raw.filter(F.col("snapshot_date") == day).coalesce(1).write.mode("append") \
+            .partitionBy("snapshot_date").parquet(os.path.join(root, "in"))
+    schema = spark.read.parquet(os.path.join(root, "in")).schema
+    q = change_events_stream(spark, os.path.join(root, "in"), schema, os.path.join(root, "hist"),
+                             os.path.join(root, "events"), os.path.join(root, "ck"), as_of="2025-06-30")
+    q.awaitTermination(600)
+    got = IO.read_current(spark, os.path.join(root, "hist"))
+    exp = history(spark, SF_SMALL)
+    cols = ["professional_id", "status_category", "valid_from", "valid_to"]
+    assert _rows(got.select(*cols)) == _rows(exp.select(*cols))
+    ev = IO.read_current(spark, os.path.join(root, "events"))
+    assert ev.count() == ev.select("event_id").distinct().count() > 0
