@@ -31,11 +31,13 @@ HISTORY_COLS = ["scd_id", "valid_from", "valid_to"]
 
 
 def changed(check_cols: Sequence[str], a: str = "c", b: str = "s") -> Column:
-    """NULL-safe 'any tracked column differs' between two aliased sides."""
-    out = F.lit(False)
-    for c in check_cols:
-        out = out | ~F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
-    return out
+    """NULL-safe 'any tracked column differs' between two aliased sides (one SQL expression)."""
+    return F.expr(" OR ".join(f"NOT ({a}.`{c}` <=> {b}.`{c}`)" for c in check_cols) or "false")
+
+
+def _struct(side: str, cols: Sequence[str], extra: str) -> str:
+    fields = ", ".join(f"'{c}', {side}.`{c}`" for c in cols)
+    return f"named_struct({fields}, {extra})"
 
 
 def empty_history(snapshot: DataFrame) -> DataFrame:
@@ -64,19 +66,21 @@ def scd2_apply(history: DataFrame | None, snapshot: DataFrame, key: str, check_c
     in_s = F.col(f"s.{key}").isNotNull()
     diff = changed(check_cols)
 
-    def old(valid_to: Column) -> Column:
-        return F.struct(*[F.col(f"c.{c}").alias(c) for c in cols], F.col("c.scd_id").alias("scd_id"),
-                        F.col("c.valid_from").alias("valid_from"), valid_to.alias("valid_to"))
-
-    new = F.struct(*[F.col(f"s.{c}").alias(c) for c in cols],
-                   C.surrogate_key(F.col(f"s.{key}"), ts).alias("scd_id"),
-                   ts.alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to"))
-    keep_or_close = (F.when(in_c & in_s & ~diff, old(F.col("c.valid_to")))
-                     .when(in_c & in_s & diff, old(ts)))
+    # Wide structs are built as one SQL expression each (one parse, not one JVM call per column).
+    def old(valid_to_sql: str) -> Column:
+        return F.expr(_struct("c", cols, f"'scd_id', c.scd_id, 'valid_from', c.valid_from, 'valid_to', {valid_to_sql}"))
+
+    ts_sql = f"CAST('{as_of}' AS TIMESTAMP_NTZ)"
+    new = F.expr(_struct("s", cols,
+                         f"'scd_id', md5(concat_ws('-', coalesce(CAST(s.`{key}` AS STRING), '{C.SURROGATE_NULL}'), "
+                         f"CAST({ts_sql} AS STRING))), 'valid_from', {ts_sql}, "
+                         f"'valid_to', CAST(NULL AS TIMESTAMP_NTZ)"))
+    keep_or_close = (F.when(in_c & in_s & ~diff, old("c.valid_to"))
+                     .when(in_c & in_s & diff, old(ts_sql)))
     if close_missing:
-        keep_or_close = keep_or_close.when(in_c & ~in_s, old(ts))
+        keep_or_close = keep_or_close.when(in_c & ~in_s, old(ts_sql))
     else:
-        keep_or_close = keep_or_close.when(in_c & ~in_s, old(F.col("c.valid_to")))
+        keep_or_close = keep_or_close.when(in_c & ~in_s, old("c.valid_to"))
     opened = F.when(in_s & (~in_c | diff), new)
     rows = j.select(F.explode(F.filter(F.array(keep_or_close, opened), lambda x: x.isNotNull())).alias("r"))
     return closed.unionByName(rows.select("r.*"))

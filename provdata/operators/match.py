@@ -9,13 +9,15 @@ asc) and licences without a candidate are kept with confidence 0.
 Execution: scoring every pair of a block is quadratic in the block, and a
 common surname in a big state is one huge block. But "best tier, then lowest
 NPI" only needs, per tier, the lowest NPI among the NPI rows that share the
-licence's tier key. So each tier is an equi-join of the licences against the
-NPI side *pre-aggregated by that tier key* (``min(struct(npi, ...))``, which
-combines map-side): every join has at most one partner per licence, nothing
-is emitted per pair, and a hot surname collapses to one NPI row per key
-before any shuffle. The result is identical to the all-pairs form (the DuckDB
-oracle runs that form). AQE broadcasts tier tables that turn out small and
-splits skewed licence partitions of the block-only tier.
+licence's tier key. So both sides are expanded to one row per tier key (5
+tiers share one key layout), the NPI side is *pre-aggregated by (tier, key)*
+(``min(struct(npi, ...))``, which combines map-side), and ONE equi-join gives
+each licence at most one partner per tier; a final per-licence ``min`` picks
+the best tier. Nothing is emitted per pair, a hot surname collapses to one
+NPI row per key before any shuffle, and the NPI file is scanned once. The
+result is identical to the all-pairs form (the DuckDB oracle runs that
+form). AQE broadcasts a candidate table that turns out small and splits
+skewed licence partitions of the block-only tier.
 """
 
 from __future__ import annotations
@@ -62,44 +64,62 @@ def license_match_side(licenses: DataFrame) -> DataFrame:
         C.zip5("zip_code").alias("zip5"), F.upper(F.trim("county")).alias("county"))
 
 
-def _tier_table(npi: DataFrame, keys: list[str], i: int) -> DataFrame:
-    best = F.min(F.struct(F.col("npi_number"), F.col("first_name"), F.col("last_name"), F.col("city"),
-                          F.col("state"), F.col("zip5"), F.col("phone")))
-    # Candidates must share the block: non-NULL soundex keys on both sides.
-    side = npi.filter(F.col("first_sx").isNotNull() & F.col("last_sx").isNotNull())
-    return side.groupBy(*[F.col(k).alias(f"_k{i}_{k}") for k in keys]).agg(best.alias(f"_m{i}"))
+def _tier_rows(df: DataFrame, payload: list[str]) -> DataFrame:
+    """One row per tier whose key components are all present: (tier, k1, k2, k3, k4, payload...).
+
+    Keys of different tiers share one column layout (tier 70 has three
+    components; its k4 is ''), so every tier is served by ONE equi-join.
+    """
+    rows = []
+    for rank, (_, _, keys) in enumerate(TIERS):
+        comps = [F.col(k) for k in keys] + [F.lit("")] * (4 - len(keys))
+        present = None
+        for k in keys:
+            c = F.col(k).isNotNull()
+            present = c if present is None else present & c
+        # Candidates must share the block: both soundex keys present.
+        present = present & F.col("first_sx").isNotNull() & F.col("last_sx").isNotNull()
+        rows.append(F.when(present, F.struct(F.lit(rank).alias("tier"), *[c.alias(f"k{i}") for i, c in enumerate(comps)])))
+    keyed = df.select(*payload, F.filter(F.array(*rows), lambda x: x.isNotNull()).alias("_tiers"))
+    return keyed.select(*payload, F.explode_outer("_tiers").alias("t")).select(*payload, "t.*")
 
 
 def best_match(licenses: DataFrame, npi_raw: DataFrame) -> DataFrame:
-    """JOIN3 + JOIN4: one row per licence with its best NPI candidate (or no_match)."""
+    """JOIN3 + JOIN4: one row per licence with its best NPI candidate (or no_match).
+
+    Plan: NPI rows -> one row per tier key -> ``min(struct(npi, ...))`` per
+    (tier, key) (combined map-side); licences -> one row per tier key; ONE
+    left equi-join on (tier, key); ``min(struct(tier, npi, ...))`` per
+    licence picks the first tier that has a candidate and, in it, the lowest
+    NPI. Three shuffles in total, nothing emitted per candidate pair.
+    """
     lic = license_match_side(licenses)
     npi = npi_match_side(npi_raw)
-    out = lic
-    for i, (_, _, keys) in enumerate(TIERS):
-        t = _tier_table(npi, keys, i)
-        cond = None
-        for k in keys:
-            c = F.col(k) == F.col(f"_k{i}_{k}")
-            cond = c if cond is None else cond & c
-        block_ok = F.col("first_sx").isNotNull() & F.col("last_sx").isNotNull()
-        out = out.join(t, cond & block_ok, "left").drop(*[f"_k{i}_{k}" for k in keys])
-    conf = None
-    mtype = None
-    best = None
-    for i, (score, name, _) in enumerate(TIERS):
-        hit = F.col(f"_m{i}").isNotNull()
-        conf = F.when(hit, F.lit(score)) if conf is None else conf.when(hit, F.lit(score))
-        mtype = F.when(hit, F.lit(name)) if mtype is None else mtype.when(hit, F.lit(name))
-    best = F.coalesce(*[F.col(f"_m{i}") for i in range(len(TIERS))])
-    conf = conf.otherwise(F.lit(0))
-    scored = out.select(
+    npi_keys = _tier_rows(npi, ["npi_number", "first_name", "last_name", "city", "state", "zip5", "phone",
+                                "first_sx", "last_sx"])
+    cand = npi_keys.filter(F.col("tier").isNotNull()).groupBy("tier", "k0", "k1", "k2", "k3").agg(
+        F.min(F.struct(F.col("npi_number"), F.col("first_name"), F.col("last_name"), F.col("city"),
+                       F.col("state"), F.col("zip5"), F.col("phone"))).alias("m"))
+    lic_cols = ["professional_id", "state_code", "license_number", "professional_type", "first_name", "last_name",
+                "city", "state", "zip5", "first_sx", "last_sx"]
+    lic_keys = _tier_rows(lic, lic_cols)
+    j = lic_keys.join(cand, ["tier", "k0", "k1", "k2", "k3"], "left")
+    hit = F.when(F.col("m").isNotNull(), F.struct(F.col("tier"), F.col("m").alias("m")))
+    best = j.groupBy(*lic_cols).agg(F.min(hit).alias("b"))
+    conf = F.lit(0)
+    mtype = F.lit("no_match")
+    for rank, (score, name, _) in reversed(list(enumerate(TIERS))):
+        conf = F.when(F.col("b.tier") == rank, F.lit(score)).otherwise(conf)
+        mtype = F.when(F.col("b.tier") == rank, F.lit(name)).otherwise(mtype)
+    m = F.col("b.m")
+    scored = best.select(
         "professional_id", "state_code", "license_number", "professional_type",
         F.col("first_name").alias("lic_first_name"), F.col("last_name").alias("lic_last_name"),
         F.col("city").alias("lic_city"), F.col("state").alias("lic_state"), F.col("zip5").alias("lic_zip5"),
-        best.npi_number.alias("npi_number"), best.first_name.alias("npi_first_name"),
-        best.last_name.alias("npi_last_name"), best.city.alias("npi_city"), best.state.alias("npi_state"),
-        best.zip5.alias("npi_zip5"), best.phone.alias("npi_phone"),
-        conf.alias("match_confidence"), mtype.otherwise(F.lit("no_match")).alias("match_type"))
+        m.npi_number.alias("npi_number"), m.first_name.alias("npi_first_name"),
+        m.last_name.alias("npi_last_name"), m.city.alias("npi_city"), m.state.alias("npi_state"),
+        m.zip5.alias("npi_zip5"), m.phone.alias("npi_phone"),
+        conf.alias("match_confidence"), mtype.alias("match_type"))
     c = F.col("match_confidence")
     return scored.select(
         "*",

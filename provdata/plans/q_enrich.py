@@ -8,6 +8,7 @@ from ..operators import enrich as N
 from ..sources.bindings import AS_OF, ENRICHMENTS, binding, sql_cte
 from .q_match import MATCH_SQL, matches
 from .q_staging import SNAP1, snapshot
+from .memo import per_session
 from .registry import query
 
 
@@ -92,10 +93,12 @@ golden as (
 """
 
 
+@per_session
 def enrichments(spark, sf):
     return binding(spark, sf, "enrichments")
 
 
+@per_session
 def golden(spark, sf):
     lic = snapshot(spark, sf, SNAP1)
     return N.golden(matches(spark, sf), lic, N.npi_details(binding(spark, sf, "npi_raw")),

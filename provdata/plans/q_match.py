@@ -10,6 +10,7 @@ from ..operators import match as M
 from ..operators import staging as ST
 from ..sources.bindings import NPI_RAW, binding
 from .q_staging import SNAP1, SNAPSHOTS_SQL, snapshot
+from .memo import per_session
 from .registry import query
 
 _CODES = ", ".join(f"'{c}'" for c in refdata.MATCH_TAXONOMY_CODES)
@@ -70,10 +71,12 @@ match_out as (
 """
 
 
+@per_session
 def licenses(spark, sf):
     return ST.active_licenses(snapshot(spark, sf, SNAP1))
 
 
+@per_session
 def matches(spark, sf):
     return M.best_match(licenses(spark, sf), binding(spark, sf, "npi_raw"))
 

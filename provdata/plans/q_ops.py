@@ -12,6 +12,7 @@ from ..operators import staging as ST
 from ..sources.bindings import AS_OF, binding, sql_cte
 from .q_providers import PROVIDERS_SQL, pct_sql
 from .q_staging import STAGED_SQL, SNAP1, _EVENTS_SQL, license_events, staged
+from .memo import per_session
 from .registry import query
 
 _PERSON_SQL = sql_cte("person_responses") + """,
@@ -43,6 +44,7 @@ parsed as (
 """
 
 
+@per_session
 def person(spark, sf):
     return R.parse_person_response(binding(spark, sf, "person_responses"))
 
@@ -85,6 +87,7 @@ usage as (select strftime(enriched_at, '%Y-%m') as cycle, cast(sum(credits) as b
 """
 
 
+@per_session
 def usage(spark, sf):
     runs = binding(spark, sf, "enrichments").filter((F.col("source") == "apollo") & F.col("email").isNotNull()) \
         .withColumn("credits", F.lit(1))

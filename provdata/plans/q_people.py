@@ -17,6 +17,7 @@ from ..sources.catalog import query_sql, register_catalog
 from .q_enrich import WATERFALL_CTE
 from .q_providers import PROVIDERS_SQL, pct_sql
 from .q_staging import STAGED_SQL, SNAP1
+from .memo import per_session
 from .registry import query
 
 # Oracle twin of clean_providers over the registry extract with official / credential fields.
@@ -65,10 +66,12 @@ dm as (select * exclude (rn) from pairs where rn = 1)
 """
 
 
+@per_session
 def full_providers(spark, sf):
     return P.clean_providers(binding(spark, sf, "npi_raw_full"), AS_OF)
 
 
+@per_session
 def dms(spark, sf):
     return PE.decision_makers(full_providers(spark, sf))
 

@@ -8,6 +8,7 @@ from ..functions import refdata
 from ..operators import providers as P
 from ..operators import segments as S
 from ..sources.bindings import AS_OF, binding, sql_cte
+from .memo import per_session
 from .registry import query
 
 _STATES = ", ".join(f"'{s}'" for s in refdata.US_STATES)
@@ -98,6 +99,7 @@ orgs as (
 """
 
 
+@per_session
 def providers(spark, sf):
     return P.clean_providers(binding(spark, sf, "npi_raw"), AS_OF)
 

@@ -10,6 +10,7 @@ from ..operators import staging as ST
 from ..operators import dims as D
 from ..operators.providers import latest_per_key
 from ..sources.bindings import AS_OF, binding, sql_cte
+from .memo import per_session
 from .registry import query
 
 SNAP0, SNAP1 = "2025-06-29", "2025-06-30"
@@ -110,15 +111,18 @@ history as (
 """
 
 
+@per_session
 def staged(spark, sf):
     return ST.stage_tx(binding(spark, sf, "tx_license_raw"))
 
 
+@per_session
 def snapshot(spark, sf, day):
     s = staged(spark, sf).filter(F.col("snapshot_date") == day).drop("snapshot_date")
     return latest_per_key(s, ["professional_id"], [F.col("source_license_id")])
 
 
+@per_session
 def history(spark, sf):
     h = H.scd2_apply(None, snapshot(spark, sf, SNAP0), "professional_id", H.LICENSE_CHECK_COLS, SNAP0)
     return H.scd2_apply(h, snapshot(spark, sf, SNAP1), "professional_id", H.LICENSE_CHECK_COLS, SNAP1)
@@ -224,6 +228,7 @@ events_out as (
 """
 
 
+@per_session
 def license_events(spark, sf):
     return E.license_events(history(spark, sf), AS_OF)
 

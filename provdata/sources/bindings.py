@@ -257,8 +257,21 @@ def spark_text(name: str) -> str:
     return text
 
 
+_BOUND: dict = {}
+
+
 def binding(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Return binding ``name`` as a DataFrame over the parquet files in ``sf_dir``."""
+    """Return binding ``name`` as a DataFrame over the parquet files in ``sf_dir`` (memoised per session)."""
+    key = (id(spark), sf_dir, name)
+    hit = _BOUND.get(key)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    df = _binding(spark, sf_dir, name)
+    _BOUND[key] = (spark, df)
+    return df
+
+
+def _binding(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     _, tables = BINDINGS[name]
     frames = {t: read_table(spark, sf_dir, t) for t in tables}
     return spark.sql(spark_text(name), **frames)
