@@ -86,20 +86,46 @@ def scd2_apply(history: DataFrame | None, snapshot: DataFrame, key: str, check_c
     return closed.unionByName(rows.select("r.*"))
 
 
-def scd2_from_changes(log: DataFrame, key: str, value_cols: Sequence[str], order: Sequence[str]) -> DataFrame:
+def scd2_from_changes(log: DataFrame, key: str, value_cols: Sequence[str], order: Sequence[str],
+                      bucket: Column | None = None) -> DataFrame:
     """HIS2: whole history from an ordered change log in one pass.
 
     A row opens a version when its tracked values differ (NULL-safe) from the
     previous row of the same key; a version ends where the next one starts.
+
+    With ``bucket`` (any expression that never decreases along ``order``,
+    e.g. the hour of the timestamp) the windows run per (key, bucket) and the
+    bucket boundaries are stitched through a per-bucket table (last row /
+    first change of each bucket, shifted by one bucket). A key holding a
+    third of all rows is then spread over its buckets instead of being
+    sorted by one task; the result is identical.
     """
-    w = Window.partitionBy(key).orderBy(*order)
-    prev = F.lag(F.struct(*value_cols)).over(w)
-    cur = F.struct(*value_cols)
-    starts = log.select("*", (prev.isNull() | ~cur.eqNullSafe(prev)).alias("_starts")) \
-        .filter("_starts").drop("_starts")
-    w2 = Window.partitionBy(key).orderBy(*order)
-    return starts.select(key, *value_cols, F.col(order[0]).alias("valid_from"),
-                         F.lead(F.col(order[0])).over(w2).alias("valid_to"))
+    vals = F.struct(*value_cols)
+    if bucket is None:
+        w = Window.partitionBy(key).orderBy(*order)
+        prev = F.lag(vals).over(w)
+        starts = log.select("*", (prev.isNull() | ~vals.eqNullSafe(prev)).alias("_starts")) \
+            .filter("_starts").drop("_starts")
+        return starts.select(key, *value_cols, F.col(order[0]).alias("valid_from"),
+                             F.lead(F.col(order[0])).over(w).alias("valid_to"))
+    d = log.withColumn("_b", bucket)
+    kb = [key, "_b"]
+    # Level 1: the last row of every (key, bucket), shifted to the next bucket of the key.
+    last = d.groupBy(*kb).agg(F.max(F.struct(*[F.col(o) for o in order], vals.alias("v"))).alias("_last"))
+    by_bucket = Window.partitionBy(key).orderBy("_b")
+    prevb = last.select(*kb, F.lag("_last.v").over(by_bucket).alias("_pv"))
+    # Level 2: previous row inside the bucket, else the previous bucket's last row.
+    w = Window.partitionBy(*kb).orderBy(*order)
+    prev = F.coalesce(F.lag(vals).over(w), F.col("_pv"))
+    starts = d.join(prevb, kb, "left").select(
+        key, "_b", *value_cols, *[c for c in order if c not in value_cols and c != key],
+        (prev.isNull() | ~vals.eqNullSafe(prev)).alias("_starts")).filter("_starts").drop("_starts")
+    # valid_to: next change inside the bucket, else the first change of the next non-empty bucket.
+    firsts = starts.groupBy(*kb).agg(F.min(F.struct(*[F.col(o) for o in order])).alias("_f"))
+    nextb = firsts.select(*kb, F.lead(F.col(f"_f.{order[0]}")).over(by_bucket).alias("_nb"))
+    out = starts.join(nextb, kb, "left")
+    return out.select(key, *value_cols, F.col(order[0]).alias("valid_from"),
+                      F.coalesce(F.lead(F.col(order[0])).over(w), F.col("_nb")).alias("valid_to"))
 
 
 def as_of_view(history: DataFrame, ts: str) -> DataFrame:

@@ -102,4 +102,6 @@ v as (select user_id, ts, event_id, event_type from l where p is null or p <> ev
 select user_id, event_type, ts as valid_from, lead(ts) over (partition by user_id order by ts, event_id) as valid_to from v
 """, "HIS2")
 def q_state_log_history(spark, sf):
-    return H.scd2_from_changes(binding(spark, sf, "state_log"), "user_id", ["event_type"], ["ts", "event_id"])
+    from pyspark.sql import functions as F
+    return H.scd2_from_changes(binding(spark, sf, "state_log"), "user_id", ["event_type"], ["ts", "event_id"],
+                               bucket=F.date_trunc("hour", "ts"))

@@ -196,3 +196,14 @@ def test_state_transforms(spark):
                                "licensetype string, linktoverifylicense struct<url:string>")
     got = [(r.professional_type, r.license_type_description, r.verification_url) for r in ST.stage_co(co).collect()]
     assert got == [("dentist", "Dentist", "u1"), ("other", "XX", "")]
+
+
+def test_change_log_history_bucketed_equals_plain_under_skew(spark):
+    # One hot key with most rows, values flipping; buckets split it.
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 10 < 8, F.lit(1)).otherwise(F.col("id") % 7).alias("k"),
+        (F.col("id") * 37 % 3001).alias("t"), F.col("id").alias("i"),
+        F.when((F.col("id") * 13) % 5 < 2, F.lit("a")).otherwise(F.lit("b")).alias("v"))
+    plain = H.scd2_from_changes(df, "k", ["v"], ["t", "i"])
+    bucketed = H.scd2_from_changes(df, "k", ["v"], ["t", "i"], bucket=F.floor(F.col("t") / 97))
+    assert rows(plain, "k", "v", "valid_from", "valid_to") == rows(bucketed, "k", "v", "valid_from", "valid_to")
