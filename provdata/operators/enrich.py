@@ -79,13 +79,14 @@ def union_enrichment_sources(npi: DataFrame | None = None, apollo: DataFrame | N
             elif c in df.columns:
                 exprs.append(F.col(c))
             else:
-                exprs.append(F.lit(None).alias(c))
+                exprs.append(F.lit(None).cast("int" if c == "employee_count" else "string").alias(c))
         return df.select(*exprs)
 
     if npi is not None:
-        parts.append(pick(npi.filter(F.col("entity_type_code") == "1"), "npi",
+        parts.append(pick(npi.filter(F.col("entity_type_code") == "1")
+                          .withColumn("_updated", C.safe_date("last_update_date")), "npi",
                           {"provider_id": "npi", "phone": "practice_phone", "company_name": "organization_name",
-                           "enriched_at": "last_update_date"}).withColumn("email", F.lit(None).cast("string")))
+                           "enriched_at": "_updated"}).withColumn("email", F.lit(None).cast("string")))
     if apollo is not None:
         parts.append(pick(apollo.filter(F.col("email").isNotNull()), "apollo", {"website": "website_url"}))
     if wiza is not None:

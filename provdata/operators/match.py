@@ -153,11 +153,17 @@ def block_histogram(licenses: DataFrame, npi_raw: DataFrame) -> DataFrame:
                                             (F.col("licenses") * F.col("npi_rows")).alias("pairs"))
 
 
-def license_entity_to_npi(licenses: DataFrame, npi_raw: DataFrame) -> DataFrame:
-    """JOIN18: licence entity number + state -> the NPI that lists that licence number."""
+def license_entity_to_npi(licenses: DataFrame, npi_raw: DataFrame, lic_col: str = "license_number") -> DataFrame:
+    """JOIN18: licence -> the NPI record that lists that licence number for the same state (left join).
+
+    The NPI side is reduced to one row per (licence number, state) — the
+    lowest NPI — so a licence never fans out.
+    """
     npi = npi_raw.select(F.col("npi").cast("string").alias("npi_number"),
                          F.trim("license_number").alias("npi_license_number"),
-                         F.trim("license_state").alias("npi_license_state"))
-    npi = npi.dropDuplicates(["npi_license_number", "npi_license_state", "npi_number"])
-    return licenses.join(npi, (F.col("entity_number").cast("string") == F.col("npi_license_number"))
-                         & (F.col("state_code") == F.col("npi_license_state")), "left")
+                         F.trim("license_state").alias("npi_license_state")) \
+        .filter(F.col("npi_license_number").isNotNull() & F.col("npi_license_state").isNotNull()) \
+        .groupBy("npi_license_number", "npi_license_state").agg(F.min("npi_number").alias("npi_number"))
+    return licenses.join(npi, (F.col(lic_col).cast("string") == F.col("npi_license_number"))
+                         & (F.col("state_code") == F.col("npi_license_state")), "left") \
+        .drop("npi_license_number", "npi_license_state")

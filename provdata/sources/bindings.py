@@ -141,6 +141,56 @@ select cast(1000000000 + c_custkey as string) as provider_id,
 from {customer}
 """
 
+# State-board JSON records (Washington, Colorado, Florida) and a Texas ETN extract, one per customer key.
+WA_RECORDS = """
+select cast(c_custkey as string) as record_id,
+  '{{"credentialnumber": "WA' || cast(c_custkey as string) || '", "credentialtype": "'
+  || case c_custkey % 6 when 0 then 'Dentist License' when 1 then 'Dental Hygiene License'
+       when 2 then 'Dental Assistant Registration' when 3 then 'Expanded Function Dental Auxiliary'
+       when 4 then 'Denturist License' else 'Pharmacist License' end
+  || '", "status": "' || case when c_custkey % 3 = 1 then 'EXPIRED' else 'ACTIVE' end
+  || '", "firstname": "F' || cast(c_custkey % 50 as string) || '", "lastname": "' || c_name
+  || '", "birthyear": "' || cast(1950 + c_custkey % 50 as string) || '", "firstissuedate": "'
+  || case when c_custkey % 13 = 0 then '' when c_custkey % 10 = 0 then '2020015'
+       else cast(2000 + c_custkey % 25 as string) || lpad(cast(1 + c_custkey % 12 as string), 2, '0') || lpad(cast(1 + c_custkey % 28 as string), 2, '0') end
+  || '", "expirationdate": "2026' || lpad(cast(1 + c_custkey % 12 as string), 2, '0') || '15"'
+  || case when c_custkey % 7 = 0 then ', "actiontaken": "Yes"' when c_custkey % 7 = 1 then '' else ', "actiontaken": "No"' end
+  || '}}' as record
+from {customer}
+"""
+
+CO_RECORDS = """
+select cast(c_custkey as string) as record_id,
+  '{{"licensenumber": "CO' || cast(c_custkey as string) || '", "licensetype": "'
+  || case c_custkey % 6 when 0 then 'DEN' when 1 then 'T-DEN' when 2 then 'MSDEN' when 3 then 'DH' when 4 then 'T-DH' else 'RPH' end
+  || '", "licensestatusdescription": "' || case when c_custkey % 4 = 1 then 'Expired' else 'Active' end
+  || '", "firstname": "F' || cast(c_custkey % 50 as string) || '", "lastname": "' || c_name
+  || '", "city": "City' || cast(c_custkey % 11 as string) || '", "state": "CO", "mailzipcode": "80' || lpad(cast(c_custkey % 1000 as string), 3, '0')
+  || '", "licensefirstissuedate": "' || cast(2000 + c_custkey % 25 as string) || '-08-05T00:00:00.000"'
+  || ', "licenseexpirationdate": "2026-05-31T00:00:00.000"'
+  || case when c_custkey % 5 = 0 then '' else ', "linktoverifylicense": {{"url": "https://verify.example/CO' || cast(c_custkey as string) || '"}}' end
+  || '}}' as record
+from {customer}
+"""
+
+FL_RECORDS = """
+select cast(c_custkey as string) as record_id,
+  '{{"LicenseNumber": "FL' || cast(c_custkey as string) || '", "Name": "'
+  || case c_custkey % 5 when 0 then upper(c_name) when 1 then upper(c_name) || ', ANN' when 2 then '' else upper(c_name) || ', ANN MARIE LEE' end
+  || '", "City": "MIAMI", "State": "FL", "ZipCode": "33' || lpad(cast(c_custkey % 1000 as string), 3, '0') || '", "County": "DADE"'
+  || ', "Status": "' || case c_custkey % 6 when 0 then 'Clear/Active' when 1 then 'Active' when 2 then 'Expired' when 3 then 'Null and Void' when 4 then 'Retired' else 'Delinquent' end
+  || '", "OriginalIssueDate": "01/0' || cast(1 + c_custkey % 9 as string) || '/2010", "ExpirationDate": "02/28/2026"}}' as record
+from {customer}
+"""
+
+TX_ETN_RAW = """
+select 'E' || cast(c_custkey as string) as lic_nbr, cast(case when c_custkey % 3 = 0 then 20 else 45 end as int) as lic_sta_cde,
+  case when c_custkey % 3 = 0 then 'Active' else 'Expired' end as lic_sta_desc,
+  case when c_custkey % 8 = 0 then 'n/a' else lpad(cast(1 + c_custkey % 12 as string), 2, '0') || '/01/2024' end as rank_efct_dte,
+  case when c_custkey % 2 = 0 then 'YES' else 'no' end as erx_waiver
+from {customer}
+"""
+
 STATE_LOG = """
 select user_id, ts, event_id, event_type from {events}
 """
@@ -220,6 +270,10 @@ BINDINGS = {
     "npi_raw": (NPI_RAW, ["customer"]),
     "npi_raw_full": (NPI_RAW_FULL, ["customer"]),
     "person_responses": (PERSON_RESPONSES, ["customer"]),
+    "wa_records": (WA_RECORDS, ["customer"]),
+    "co_records": (CO_RECORDS, ["customer"]),
+    "fl_records": (FL_RECORDS, ["customer"]),
+    "tx_etn_raw": (TX_ETN_RAW, ["customer"]),
     "address_responses": (ADDRESS_RESPONSES, ["customer"]),
     "phone_responses": (PHONE_RESPONSES, ["customer"]),
     "tx_license_raw": (TX_LICENSE_RAW, ["customer"]),
