@@ -143,3 +143,19 @@ DESTINATIONS = [
 
 # --- FIXED VALUES: monthly enrichment credit budget -------------------------
 MONTHLY_CREDIT_BUDGET = 2500
+
+# --- FIXED VALUES: governance validation-rule seed --------------------------
+# (rule_id, source_type, rule_name, rule_type, rule_config JSON, severity)
+VALIDATION_RULES = [
+    ("rule-001", "tx_license", "row_count_min", "row_count", '{"min": 1000}', "error"),
+    ("rule-002", "tx_license", "row_count_delta", "row_count_delta", '{"max_delta_pct": 0.20}', "error"),
+    ("rule-003", "tx_license", "row_count_delta_warning", "row_count_delta", '{"max_delta_pct": 0.05}', "warning"),
+    ("rule-010", "tx_license", "license_number_required", "field_populated", '{"field": "LICENSE_NUMBER", "min_pct": 0.99}', "error"),
+    ("rule-011", "tx_license", "last_name_required", "field_populated", '{"field": "LAST_NAME", "min_pct": 0.99}', "error"),
+    ("rule-012", "tx_license", "city_populated", "field_populated", '{"field": "CITY", "min_pct": 0.90}', "warning"),
+    ("rule-020", "tx_license", "active_ratio", "value_distribution", '{"field": "STATUS_CODE", "value": 20, "min_pct": 0.50}', "error"),
+    ("rule-030", "tx_license", "no_future_dates", "date_range", '{"field": "LICENSE_ORIGINAL_DATE", "max": "CURRENT_DATE()"}', "error"),
+    ("rule-031", "tx_license", "no_ancient_dates", "date_range", '{"field": "LICENSE_ORIGINAL_DATE", "min": "1900-01-01"}', "error"),
+    ("rule-040", "npi", "row_count_min", "row_count", '{"min": 100000}', "error"),
+    ("rule-041", "npi", "npi_format", "field_format", '{"field": "NPI", "pattern": "^[0-9]{10}$", "min_pct": 0.99}', "error"),
+]

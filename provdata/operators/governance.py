@@ -122,3 +122,25 @@ def load_health(loads: DataFrame, as_of: str, days: int = 30) -> DataFrame:
         F.count_if(F.col("status") == "quarantined").cast("bigint").alias("quarantined_loads"),
         F.avg(F.col("row_count").cast("double")).alias("avg_row_count"),
         F.avg(F.col("row_count_delta_pct").cast("double")).alias("avg_delta_pct"))
+
+
+def register_load(loads: DataFrame, new_loads: DataFrame, as_of: str) -> DataFrame:
+    """GOV1: append new load rows (created/updated at ``as_of``); an existing load id is left as is."""
+    from ..sources.io import merge_upsert
+    now = F.lit(as_of).cast("timestamp_ntz")
+    add = new_loads.select("*", now.alias("created_at"), now.alias("updated_at"))
+    return merge_upsert(loads, add, ["load_id"], mode="insert_only")
+
+
+def update_load(loads: DataFrame, updates: DataFrame, as_of: str) -> DataFrame:
+    """GOV1: set the given fields of existing loads (``updates`` has load_id + changed columns)."""
+    now = F.lit(as_of).cast("timestamp_ntz")
+    changed = [c for c in updates.columns if c != "load_id"]
+    u = updates.select(F.col("load_id").alias("_u"), *[F.col(c).alias(f"_u_{c}") for c in changed])
+    j = loads.join(u, loads["load_id"] == u["_u"], "left")
+    hit = F.col("_u").isNotNull()
+    cols = [F.when(hit, F.col(f"_u_{c}")).otherwise(F.col(c)).alias(c) if c in changed else F.col(c)
+            for c in loads.columns if c != "updated_at"]
+    upd = F.when(hit, now).otherwise(F.col("updated_at") if "updated_at" in loads.columns
+                                     else F.lit(None).cast("timestamp_ntz")).alias("updated_at")
+    return j.select(*cols, upd)

@@ -126,3 +126,27 @@ def overview_stats(individuals: DataFrame, orgs: DataFrame, dm: DataFrame, offic
         "dentists", o.alias("orgs"), d.alias("decision_makers"),
         a.select("auth_officials").scalar().alias("auth_officials"), a.select("enriched").scalar().alias("enriched"),
         a.select("enrichment_rate").scalar().alias("enrichment_rate"))
+
+
+def match_import(contacts: DataFrame, providers: DataFrame) -> DataFrame:
+    """JOIN20 (reconstructed): imported contacts matched to individual providers by name + state.
+
+    One provider per contact (lowest NPI) through an equi-join against the
+    providers pre-aggregated by (first, last, state); keeps e-mail type
+    (work / personal), phone, profile and title of the import.
+    """
+    from .metrics import PERSONAL_DOMAINS
+    ind = providers.filter(F.col("entity_type") == "Individual").select(
+        F.upper(F.trim("first_name")).alias("_fn"), F.upper(F.trim("last_name")).alias("_ln"),
+        F.upper(F.trim("practice_state")).alias("_st"), "npi", "display_name")
+    side = ind.filter(F.col("_fn").isNotNull() & F.col("_ln").isNotNull()).groupBy("_fn", "_ln", "_st").agg(
+        F.min(F.struct("npi", "display_name")).alias("_m"))
+    c = contacts.select("*", F.upper(F.trim("first_name")).alias("_cfn"), F.upper(F.trim("last_name")).alias("_cln"),
+                        F.upper(F.trim("state")).alias("_cst"))
+    j = c.join(side, (F.col("_cfn") == F.col("_fn")) & (F.col("_cln") == F.col("_ln")) & (F.col("_cst") == F.col("_st")),
+               "left")
+    domain = F.lower(F.substring_index(F.col("email"), "@", -1))
+    return j.select(*contacts.columns, F.col("_m.npi").alias("matched_npi"), F.col("_m.display_name").alias("matched_name"),
+                    F.when(F.col("email").isNull(), F.lit(None).cast("string"))
+                    .when(domain.isin(*PERSONAL_DOMAINS), "personal").otherwise("work").alias("email_type"),
+                    F.col("_m").isNotNull().alias("is_matched"))

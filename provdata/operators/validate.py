@@ -173,3 +173,38 @@ def source_freshness(df: DataFrame, loaded_at: str, as_of: str, by=None, warn_da
     age = F.timestamp_diff("HOUR", F.col("latest_loaded_at"), today).cast("double") / 24
     return grp.select("*", age.alias("age_days"),
                       F.when(age > error_days, "error").when(age > warn_days, "warn").otherwise("pass").alias("freshness"))
+
+
+_RULE_TYPES = {"row_count": "row_count_min", "row_count_delta": "row_count_delta", "field_populated": "field_populated",
+               "field_format": "field_format", "value_distribution": "value_distribution", "date_range": "date_range"}
+
+
+def rules_from_table(rules: DataFrame, source_type: str, column_map: dict[str, str]) -> list:
+    """VAL9: active rules of one source from a rules table -> ``validate_load`` rules (severity kept).
+
+    The rules table is configuration (a few dozen rows), so it is read on
+    the driver; ``column_map`` maps warehouse field names to input columns.
+    """
+    import json
+    out = []
+    sel = rules.filter((F.col("source_type") == source_type)
+                       & F.coalesce(F.col("is_active"), F.lit(True))).orderBy("rule_id")
+    for r in sel.select("rule_name", "rule_type", "rule_config", "severity").collect():
+        cfg = json.loads(r["rule_config"])
+        rtype = _RULE_TYPES.get(r["rule_type"], r["rule_type"])
+        if "field" in cfg:
+            cfg["field"] = column_map.get(cfg["field"], cfg["field"].lower())
+        if rtype == "row_count_min":
+            cfg = {"min_rows": cfg["min"]}
+        if rtype == "date_range":
+            cfg = {"field": cfg["field"], "min_date": cfg.get("min"), "max_date": cfg.get("max")}
+        out.append((rtype, cfg, r["severity"]))
+    return out
+
+
+def rules_table(spark) -> DataFrame:
+    from ..functions import refdata
+    return spark.createDataFrame(
+        [(a, b, c, d, e, f, True) for a, b, c, d, e, f in refdata.VALIDATION_RULES],
+        "rule_id string, source_type string, rule_name string, rule_type string, rule_config string, "
+        "severity string, is_active boolean")

@@ -191,6 +191,23 @@ select 'E' || cast(c_custkey as string) as lic_nbr, cast(case when c_custkey % 3
 from {customer}
 """
 
+# A contact import list (names, state, e-mail, phone, profile, title) for every 7th customer key.
+CONTACT_IMPORT = """
+select 'imp' || cast(c_custkey as string) as import_id,
+  case c_custkey % 6 when 0 then 'ROBERT' when 1 then 'RUPERT' when 2 then 'ANN' when 3 then 'ANNE' when 4 then 'JON' else 'MARIA' end as first_name,
+  case when c_custkey % 10 = 0 then 'SMITH' when c_custkey % 10 = 5 then 'SMYTH'
+    else upper(substr('BDFGKLMNPRST', cast(1 + c_custkey % 12 as int), 1) || 'a'
+      || substr('bdlmrcbdlmrc', cast(1 + floor(c_custkey / 12.0) % 12 as int), 1) || 'e'
+      || substr('dlmrcbdlmrcb', cast(1 + floor(c_custkey / 144.0) % 12 as int), 1)) end as last_name,
+  case c_nationkey % 5 when 0 then 'TX' when 1 then 'CA' when 2 then 'NY' when 3 then 'PR' else 'TX' end as state,
+  case when c_custkey % 2 = 0 then 'dr' || cast(c_custkey as string) || '@gmail.com'
+       else 'office' || cast(c_custkey as string) || '@practice' || cast(c_custkey % 97 as string) || '.example' end as email,
+  '(512) 444-' || lpad(cast(c_custkey % 10000 as string), 4, '0') as phone,
+  'https://linkedin.example/in/c' || cast(c_custkey as string) as linkedin_url,
+  case c_custkey % 3 when 0 then 'Owner' when 1 then 'Associate Dentist' else 'Office Manager' end as title
+from {customer} where c_custkey % 7 = 0
+"""
+
 STATE_LOG = """
 select user_id, ts, event_id, event_type from {events}
 """
@@ -271,6 +288,7 @@ BINDINGS = {
     "npi_raw_full": (NPI_RAW_FULL, ["customer"]),
     "person_responses": (PERSON_RESPONSES, ["customer"]),
     "wa_records": (WA_RECORDS, ["customer"]),
+    "contact_import": (CONTACT_IMPORT, ["customer"]),
     "co_records": (CO_RECORDS, ["customer"]),
     "fl_records": (FL_RECORDS, ["customer"]),
     "tx_etn_raw": (TX_ETN_RAW, ["customer"]),
