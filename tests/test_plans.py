@@ -33,3 +33,18 @@ def test_match_has_no_pair_ranking_window(spark):
 def test_events_single_window_for_previous_version(spark):
     p = plan(spark, "license_events")
     assert p.count("Window [") + p.count("Window(") <= 1 or p.count("\n+- Window") + p.count(" Window ") <= 2
+
+
+def test_filters_and_columns_reach_the_parquet_scan(spark, tmp_path):
+    from provdata.operators import providers as P
+    from provdata.sources.bindings import binding
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    path = str(tmp_path / "npi")
+    binding(spark, SF_SMALL, "npi_raw").write.parquet(path)
+    df = P.clean_providers(spark.read.parquet(path), "2025-06-30")
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "StringStartsWith(taxonomy_code,1223)" in p
+    assert "EqualTo(practice_country,US)" in p
+    # The scan reads only the columns the build uses.
+    scan = [line for line in p.splitlines() if "ReadSchema" in line][0]
+    assert "version" not in scan
