@@ -114,7 +114,7 @@ def clean_providers(npi_raw: DataFrame, as_of: str, prefixes: Iterable[str] = re
         F.col("last_update_date").alias("_last_update_raw"),
         b("license_number").alias("license_number"),
         b("license_state").alias("license_state"),
-        C.yes_flag(b("is_sole_proprietor")).alias("is_sole_proprietor"),
+        b("is_sole_proprietor").alias("is_sole_proprietor"),
     )
     latest = latest_per_key(cleaned, ["npi"], [F.col("npi_last_update_date"), F.col("_last_update_raw")])
     return latest.select(
@@ -122,7 +122,7 @@ def clean_providers(npi_raw: DataFrame, as_of: str, prefixes: Iterable[str] = re
         "name_prefix", "name_suffix", "credential",
         C.display_name("entity_type_code", "name_prefix", "first_name", "last_name", "credential",
                        "organization_name", "dba_name").alias("display_name"),
-        C.full_name("name_prefix", "first_name", "middle_name", "last_name", "name_suffix").alias("full_name"),
+        C.full_name("name_prefix", "first_name", "middle_name", "last_name", "name_suffix").alias("provider_full_name"),
         "organization_name", "dba_name", "practice_address_1", "practice_address_2",
         C.address_full("practice_address_1", "practice_address_2").alias("practice_address_full"),
         "practice_city", "practice_state",
@@ -138,7 +138,12 @@ def clean_providers(npi_raw: DataFrame, as_of: str, prefixes: Iterable[str] = re
         "enumeration_date", "npi_last_update_date",
         C.practice_age_cohort("enumeration_date", as_of, null_cohort).alias("practice_age_cohort"),
         "license_number", "license_state", "is_sole_proprietor",
-        # PRJ12: enrichment placeholders filled by later stages.
+        C.yes_flag("is_sole_proprietor").alias("is_sole_proprietor_flag"),
+        # PRJ12: validation and enrichment placeholders filled by later stages.
+        F.lit(None).cast("boolean").alias("address_validated"),
+        F.lit(None).cast("double").alias("address_confidence"),
+        F.lit(None).cast("boolean").alias("phone_validated"),
+        F.lit(None).cast("string").alias("phone_line_type"),
         F.lit(None).cast("string").alias("enriched_email"),
         F.lit(None).cast("string").alias("enriched_linkedin_url"),
         F.lit(None).cast("string").alias("enrichment_source"),

@@ -54,7 +54,7 @@ providers as (
     case when entity_type_code = '1' then coalesce(name_prefix || ' ', '') || coalesce(first_name, '') || ' '
            || coalesce(last_name, '') || coalesce(', ' || credential, '')
          else coalesce(organization_name, dba_name, 'Unknown Organization') end as display_name,
-    trim(regexp_replace(concat_ws(' ', name_prefix, first_name, middle_name, last_name, name_suffix), '\\s+', ' ', 'g')) as full_name,
+    trim(regexp_replace(concat_ws(' ', name_prefix, first_name, middle_name, last_name, name_suffix), '\\s+', ' ', 'g')) as provider_full_name,
     organization_name, dba_name, practice_address_1, practice_address_2,
     coalesce(practice_address_1, '') || case when practice_address_2 is not null then ', ' || practice_address_2 else '' end as practice_address_full,
     practice_city, practice_state, left(practice_zip_full, 5) as practice_zip, practice_zip_full, practice_country,
@@ -76,7 +76,9 @@ providers as (
          when year(date '{AS_OF}') - year(enumeration_date) <= 20 then 'Mature (10-20 yrs)'
          else 'Legacy (20+ yrs)' end as practice_age_cohort,
     cast(null as varchar) as license_number, cast(null as varchar) as license_state,
-    false as is_sole_proprietor,
+    cast(null as varchar) as is_sole_proprietor, false as is_sole_proprietor_flag,
+    cast(null as boolean) as address_validated, cast(null as double) as address_confidence,
+    cast(null as boolean) as phone_validated, cast(null as varchar) as phone_line_type,
     cast(null as varchar) as enriched_email, cast(null as varchar) as enriched_linkedin_url,
     cast(null as varchar) as enrichment_source, cast(null as timestamp) as enriched_at
   from ranked where rn = 1
@@ -332,3 +334,13 @@ select * from individuals where {_NEW}
 """, "SEG1")
 def q_innovation_ready(spark, sf):
     return S.innovation_ready_targets(individuals(spark, sf))
+
+
+_MH_FILTER = " or ".join(f"starts_with(taxonomy_code, '{p}')" for p in refdata.MENTAL_HEALTH_PREFIXES)
+MH_SQL = PROVIDERS_SQL.replace("where starts_with(taxonomy_code, '1223')", f"where ({_MH_FILTER})")
+assert MH_SQL != PROVIDERS_SQL
+
+
+@query("clean_mental_health_providers", MH_SQL + "select * from providers", "FLT2 (mental-health prefixes), PRJ*, WIN1")
+def q_mental_health(spark, sf):
+    return P.clean_providers(binding(spark, sf, "npi_raw"), AS_OF, prefixes=refdata.MENTAL_HEALTH_PREFIXES)
