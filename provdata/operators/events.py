@@ -173,15 +173,18 @@ def snapshot_diff(cur: DataFrame, prev: DataFrame, as_of: str, state_code: str =
             .unionByName(shape(back, "REINSTATED", "REINSTATED", pdesc, desc, "HIGH", "reengagement_sequence")))
 
 
-def recent_to_events(recent: DataFrame, as_of: str) -> DataFrame:
-    """EVT12: recent-licence rows as NEW_LICENSE events."""
+def recent_to_events(recent: DataFrame) -> DataFrame:
+    """EVT12: recent-licence rows as NEW_LICENSE events (id = first 12 hex of md5(state-licence-type))."""
+    t = lambda c: F.coalesce(F.trim(F.col(c)), F.lit(""))
     return recent.select(
-        F.concat(F.lit("NEW_"), F.col("license_number"), F.lit("_" + as_of[:10])).alias("event_id"),
-        F.lit("NEW_LICENSE").alias("event_type"), F.lit(as_of).alias("timestamp"), "state_code",
-        "professional_type", "license_number", "first_name", "last_name", "city", "county",
-        F.left(F.col("zip_code"), F.lit(5)).alias("zip_code"),
-        F.col("license_issue_date").cast("string").alias("license_issue_date"),
-        F.lit("HIGH").alias("priority"), F.lit("onboarding_sequence").alias("marketing_action"))
+        C.short_id("state_code", "license_number", F.lit("NEW_LICENSE")).alias("event_id"),
+        F.lit("NEW_LICENSE").alias("event_type"),
+        F.date_format(F.col("license_issue_date").cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
+        "state_code", "professional_type", "license_number",
+        t("first_name").alias("first_name"), t("last_name").alias("last_name"), t("city").alias("city"),
+        t("county").alias("county"), t("zip_code").alias("zip_code"),
+        F.coalesce(F.trim(F.col("address_state")), F.col("state_code")).alias("state"),
+        F.lit("HIGH").alias("priority"), F.lit("new_licensee_campaign").alias("marketing_action"))
 
 
 def filter_events(events: DataFrame, event_type: str | None = None, types=None, counties=None) -> DataFrame:

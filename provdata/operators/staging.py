@@ -148,11 +148,20 @@ def active_licenses(df: DataFrame, codes=tuple(refdata.MATCH_ACTIVE_CODES)) -> D
     return df.filter(F.col("status_code").isin(*codes))
 
 
+# FIXED VALUES: status codes the recent-licence finder treats as active, per type.
+RECENT_ACTIVE_CODES = {"dentist": [20, 46, 70], "hygienist": [20, 46, 70], "dental_assistant": [20, 46]}
+
+
 def recent_licenses(staged: DataFrame, days: int, as_of: str, types=None, counties=None) -> DataFrame:
-    """FLT6: issued on/after ``as_of - days`` (future dates pass), active for the type,
-    optional type list and case-insensitive county list."""
+    """FLT6: issued on/after ``as_of - days`` (future dates pass), status active for the file kind
+    (per-type code lists; kinds without a list are not searched), optional type list and
+    case-insensitive county list (a missing county never matches)."""
     cutoff = F.date_sub(F.lit(as_of).cast("date"), days)
-    out = staged.filter((F.col("license_issue_date") >= cutoff) & (F.col("status_category") == "ACTIVE"))
+    active = None
+    for ptype, codes in RECENT_ACTIVE_CODES.items():
+        c = (F.col("professional_type") == ptype) & F.col("status_code").isin(*codes)
+        active = c if active is None else active | c
+    out = staged.filter((F.col("license_issue_date") >= cutoff) & active)
     if types:
         out = out.filter(F.col("professional_type").isin(*types))
     if counties:

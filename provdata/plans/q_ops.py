@@ -200,12 +200,13 @@ def q_status_dist(spark, sf):
 
 @query("new_licensee_trigger_dry_run", STAGED_SQL + f"""
 , ev as (select * from staged where snapshot_date = '{SNAP1}' and license_issue_date >= date '{AS_OF}' - 1000
-         and status_category = 'ACTIVE'),
+         and ((professional_type in ('dentist', 'hygienist') and status_code in (20, 46, 70))
+              or (professional_type = 'dental_assistant' and status_code in (20, 46)))),
 f as (select * from ev where professional_type in ('dentist') and upper(coalesce(county, '')) in ('COUNTY1', 'COUNTY3'))
 select (select count(*) from ev) as total_events, (select count(*) from f) as filtered_events,
   (select count(*) from f) as crm_created, (select count(*) from f) as webhook_sent
 """, "EXP9, FLT7")
 def q_trigger(spark, sf):
     s = staged(spark, sf).filter(F.col("snapshot_date") == SNAP1)
-    ev = E.recent_to_events(ST.recent_licenses(s, 1000, AS_OF), AS_OF)
+    ev = E.recent_to_events(ST.recent_licenses(s, 1000, AS_OF))
     return X.trigger_results(ev, ["dentist"], ["county1", "County3"])

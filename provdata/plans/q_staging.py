@@ -138,9 +138,13 @@ def q_active(spark, sf):
     return ST.active_licenses(staged(spark, sf))
 
 
-@query("recent_licenses", STAGED_SQL + """
+_RECENT_ACTIVE = """((professional_type in ('dentist', 'hygienist') and status_code in (20, 46, 70))
+  or (professional_type = 'dental_assistant' and status_code in (20, 46)))"""
+
+
+@query("recent_licenses", STAGED_SQL + f"""
 select * from staged where snapshot_date = '2025-06-30'
-  and license_issue_date >= date '2025-06-30' - 365 and status_category = 'ACTIVE'
+  and license_issue_date >= date '2025-06-30' - 365 and {_RECENT_ACTIVE}
   and professional_type in ('dentist', 'hygienist') and upper(county) in ('COUNTY1', 'COUNTY2')
 """, "FLT6")
 def q_recent(spark, sf):
@@ -148,17 +152,18 @@ def q_recent(spark, sf):
     return ST.recent_licenses(s, 365, AS_OF, ["dentist", "hygienist"], ["county1", "County2"])
 
 
-@query("recent_license_events", STAGED_SQL + """
-select 'NEW_' || license_number || '_2025-06-30' as event_id, 'NEW_LICENSE' as event_type,
-  '2025-06-30' as timestamp, state_code, professional_type, license_number, first_name, last_name,
-  city, county, left(zip_code, 5) as zip_code, cast(license_issue_date as varchar) as license_issue_date,
-  'HIGH' as priority, 'onboarding_sequence' as marketing_action
+@query("recent_license_events", STAGED_SQL + f"""
+select left(md5(concat_ws('-', state_code, license_number, 'NEW_LICENSE')), 12) as event_id, 'NEW_LICENSE' as event_type,
+  strftime(cast(license_issue_date as timestamp), '%Y-%m-%dT%H:%M:%S') as timestamp, state_code, professional_type,
+  license_number, coalesce(trim(first_name), '') as first_name, coalesce(trim(last_name), '') as last_name,
+  coalesce(trim(city), '') as city, coalesce(trim(county), '') as county, coalesce(trim(zip_code), '') as zip_code,
+  coalesce(trim(address_state), state_code) as state, 'HIGH' as priority, 'new_licensee_campaign' as marketing_action
 from staged where snapshot_date = '2025-06-30'
-  and license_issue_date >= date '2025-06-30' - 1000 and status_category = 'ACTIVE'
+  and license_issue_date >= date '2025-06-30' - 1000 and {_RECENT_ACTIVE}
 """, "EVT12, FLT6")
 def q_recent_events(spark, sf):
     s = staged(spark, sf).filter(F.col("snapshot_date") == SNAP1)
-    return E.recent_to_events(ST.recent_licenses(s, 1000, AS_OF), AS_OF)
+    return E.recent_to_events(ST.recent_licenses(s, 1000, AS_OF))
 
 
 @query("license_history", HISTORY_SQL + "select * from history", "HIS1, SNK2-style versioning")
