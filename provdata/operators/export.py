@@ -267,18 +267,20 @@ def export_daily_summary(history: DataFrame, config: DataFrame) -> DataFrame:
 QUEUE_STATES = ["queued", "approved", "scheduled", "sent", "failed", "cancelled"]
 
 
-def queue_status(queue: DataFrame, as_of: str) -> DataFrame:
-    """AGG19: per destination: rows by status (pivot on the fixed state list), pending, ready, sent on ``as_of``."""
-    now = F.lit(as_of).cast("timestamp_ntz")
-    sched = F.col("scheduled_send_at") if "scheduled_send_at" in queue.columns else F.lit(None).cast("timestamp_ntz")
-    ready = (F.col("status") == "approved") & (sched.isNull() | (sched <= now))
-    sent_col = F.col("sent_at") if "sent_at" in queue.columns else F.lit(None).cast("timestamp_ntz")
-    return queue.groupBy("destination").agg(
+def queue_status(queue: DataFrame, history: DataFrame, as_of: str) -> DataFrame:
+    """AGG19: per destination: rows by status (fixed state list), pending approval, ready (approved),
+    sent on ``as_of`` and sent all time (from the history table)."""
+    q = queue.groupBy("destination").agg(
         F.count(F.lit(1)).alias("total"),
         *[F.count_if(F.col("status") == s).cast("bigint").alias(s) for s in QUEUE_STATES],
         F.count_if(F.col("status") == "queued").cast("bigint").alias("pending_approval"),
-        F.count_if(ready).cast("bigint").alias("ready_to_send"),
-        F.count_if((F.col("status") == "sent") & (F.to_date(sent_col) == F.to_date(now))).cast("bigint").alias("sent_today"))
+        F.count_if(F.col("status") == "approved").cast("bigint").alias("ready_to_send"))
+    h = history.groupBy("destination").agg(
+        F.count_if(F.to_date("sent_at") == F.lit(as_of).cast("date")).cast("bigint").alias("sent_today"),
+        F.count(F.lit(1)).alias("sent_all_time"))
+    return q.join(h, "destination", "full_outer").select(
+        "destination", *[F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c) for c in
+                         ["total", *QUEUE_STATES, "pending_approval", "ready_to_send", "sent_today", "sent_all_time"]])
 
 
 def batch_unprocessed(records: DataFrame, done: DataFrame, key: str, order: list[str], limit: int) -> DataFrame:

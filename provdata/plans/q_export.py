@@ -211,17 +211,26 @@ def q_daily_summary(spark, sf):
     return X.export_daily_summary(export_history(spark, sf), G.destination_config(spark))
 
 
-@query("queue_status", sql_cte("export_queue") + """
-select destination, count(*) as total,
+QUEUE_DAY = "1998-08-02"
+
+
+@query("queue_status", sql_cte("export_queue", "export_history") + f"""
+, q as (select destination, count(*) as total,
   cast(count_if(status = 'queued') as bigint) as queued, cast(count_if(status = 'approved') as bigint) as approved,
   cast(count_if(status = 'scheduled') as bigint) as scheduled, cast(count_if(status = 'sent') as bigint) as sent,
   cast(count_if(status = 'failed') as bigint) as failed, cast(count_if(status = 'cancelled') as bigint) as cancelled,
-  cast(count_if(status = 'queued') as bigint) as pending_approval,
-  cast(count_if(status = 'approved') as bigint) as ready_to_send, cast(0 as bigint) as sent_today
-from export_queue group by destination
+  cast(count_if(status = 'queued') as bigint) as pending_approval, cast(count_if(status = 'approved') as bigint) as ready_to_send
+  from export_queue group by destination),
+h as (select destination, cast(count_if(cast(sent_at as date) = date '{QUEUE_DAY}') as bigint) as sent_today,
+  count(*) as sent_all_time from export_history group by destination)
+select coalesce(q.destination, h.destination) as destination, coalesce(total, 0) as total, coalesce(queued, 0) as queued,
+  coalesce(approved, 0) as approved, coalesce(scheduled, 0) as scheduled, coalesce(sent, 0) as sent,
+  coalesce(failed, 0) as failed, coalesce(cancelled, 0) as cancelled, coalesce(pending_approval, 0) as pending_approval,
+  coalesce(ready_to_send, 0) as ready_to_send, coalesce(sent_today, 0) as sent_today, coalesce(sent_all_time, 0) as sent_all_time
+from q full outer join h on q.destination = h.destination
 """, "AGG19")
 def q_queue_status(spark, sf):
-    return X.queue_status(_queue(spark, sf), AS_OF)
+    return X.queue_status(_queue(spark, sf), export_history(spark, sf), QUEUE_DAY)
 
 
 @query("contact_payloads", None, "EXP7, EXP10 (rows-only: JSON text)")
