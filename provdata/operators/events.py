@@ -127,18 +127,18 @@ def _person(df: DataFrame) -> list[Column]:
             F.coalesce(desc, F.lit("")).alias("status_desc")]
 
 
-def new_keys(cur: DataFrame, prev: DataFrame) -> DataFrame:
+def new_keys(cur: DataFrame, prev: DataFrame, deduped: bool = False) -> DataFrame:
     """JOIN7 / SET5: licence numbers in ``cur`` but not ``prev`` (per type), active only."""
-    c = _dedupe_license(cur)
-    p = _dedupe_license(prev).select("professional_type", "lic_nbr")
+    c = cur if deduped else _dedupe_license(cur)
+    p = (prev if deduped else _dedupe_license(prev)).select("professional_type", "lic_nbr")
     return c.join(p, ["professional_type", "lic_nbr"], "left_anti") \
         .filter(F.col("lic_sta_cde").try_cast("int").isin(*DIFF_ACTIVE))
 
 
-def status_changes(cur: DataFrame, prev: DataFrame) -> DataFrame:
+def status_changes(cur: DataFrame, prev: DataFrame, deduped: bool = False) -> DataFrame:
     """JOIN8: inner join on licence number (per type), status code differs."""
-    c = _dedupe_license(cur)
-    p = _dedupe_license(prev).select("professional_type", "lic_nbr",
+    c = cur if deduped else _dedupe_license(cur)
+    p = (prev if deduped else _dedupe_license(prev)).select("professional_type", "lic_nbr",
                                      F.col("lic_sta_cde").try_cast("int").alias("prev_code"),
                                      (F.col("lic_sta_desc") if "lic_sta_desc" in prev.columns
                                       else F.lit(None).cast("string")).alias("prev_desc"))
@@ -161,8 +161,10 @@ def snapshot_diff(cur: DataFrame, prev: DataFrame, as_of: str, state_code: str =
             prev_v.cast("string").alias("previous_value"), cur_v.cast("string").alias("current_value"),
             F.lit(priority).alias("priority"), F.lit(action).alias("marketing_action")).drop("status_desc")
 
-    new = new_keys(cur, prev)
-    ch = status_changes(cur, prev)
+    # Each snapshot is de-duplicated once and shared by both detectors.
+    cur, prev = _dedupe_license(cur), _dedupe_license(prev)
+    new = new_keys(cur, prev, deduped=True)
+    ch = status_changes(cur, prev, deduped=True)
     desc = F.coalesce(F.col("lic_sta_desc") if "lic_sta_desc" in cur.columns else F.lit(None), F.lit(""))
     pdesc = F.coalesce(F.col("prev_desc"), F.lit(""))
     lapsed = ch.filter(F.col("prev_code").isin(*DIFF_ACTIVE) & F.col("cur_code").isin(*DIFF_LAPSED))

@@ -84,15 +84,21 @@ def engagement_features(tp: DataFrame, ts: str = "event_timestamp", session_gap:
     deterministic tie-break (smaller value wins), computed as aggregates —
     no per-lead lists are collected.
     """
-    base = tp.groupBy("lead_id").agg(
-        F.count(F.lit(1)).alias("events"),
-        F.count_distinct(F.to_date(ts)).alias("active_days"),
-        *[_count(F.dayofweek(ts) == d).alias(f"dow_{d}") for d in range(1, 8)])
-    by_ch = tp.groupBy("lead_id", "channel").agg(F.count(F.lit(1)).alias("n"))
+    # One scan, one shuffle: per-lead totals and per-(lead, channel) / per-(lead, hour) counts
+    # come from a single GROUPING SETS aggregate, split by grouping id afterwards.
+    g = (tp.select("lead_id", "channel", F.hour(ts).alias("hour"), F.to_date(ts).alias("day"),
+                   F.dayofweek(ts).alias("dow"))
+         .groupingSets([["lead_id"], ["lead_id", "channel"], ["lead_id", "hour"]], "lead_id", "channel", "hour")
+         .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("day").alias("active_days"),
+              *[_count(F.col("dow") == d).alias(f"dow_{d}") for d in range(1, 8)],
+              F.grouping_id().alias("gid")))
+    base = g.filter(F.col("gid") == 3).select(
+        "lead_id", F.col("n").alias("events"), "active_days", *[f"dow_{d}" for d in range(1, 8)])
+    by_ch = g.filter(F.col("gid") == 1).select("lead_id", "channel", "n")
     # Smaller channel wins ties: order by (count desc, channel asc) via min over (-count, channel).
     top_ch = by_ch.groupBy("lead_id").agg(F.min(F.struct((-F.col("n")).alias("neg"), F.col("channel"))).alias("m")) \
         .select("lead_id", F.col("m.channel").alias("top_channel"))
-    by_hr = tp.groupBy("lead_id", F.hour(ts).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    by_hr = g.filter(F.col("gid") == 2).select("lead_id", "hour", "n")
     peak = by_hr.groupBy("lead_id").agg(F.min(F.struct((-F.col("n")).alias("neg"), F.col("hour"))).alias("m")) \
         .select("lead_id", F.col("m.hour").alias("peak_hour"))
     sess = tp.groupBy("lead_id", F.session_window(ts, session_gap)).count() \
