@@ -23,6 +23,7 @@ HEADLINE = [
     "enrichment_waterfall", "provider_golden", "license_history", "license_events",
     "snapshot_diff_events", "validate_tx_license", "enqueue_outcomes", "exports_ready_to_send",
     "rate_limited_sends", "lead_rollup", "engagement_features", "state_log_history",
+    "decision_makers", "person_responses_parsed", "enrichment_budget_cut",
 ]
 
 
