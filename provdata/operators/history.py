@@ -108,24 +108,11 @@ def scd2_from_changes(log: DataFrame, key: str, value_cols: Sequence[str], order
             .filter("_starts").drop("_starts")
         return starts.select(key, *value_cols, F.col(order[0]).alias("valid_from"),
                              F.lead(F.col(order[0])).over(w).alias("valid_to"))
-    d = log.withColumn("_b", bucket)
-    kb = [key, "_b"]
-    # Level 1: the last row of every (key, bucket), shifted to the next bucket of the key.
-    last = d.groupBy(*kb).agg(F.max(F.struct(*[F.col(o) for o in order], vals.alias("v"))).alias("_last"))
-    by_bucket = Window.partitionBy(key).orderBy("_b")
-    prevb = last.select(*kb, F.lag("_last.v").over(by_bucket).alias("_pv"))
-    # Level 2: previous row inside the bucket, else the previous bucket's last row.
-    w = Window.partitionBy(*kb).orderBy(*order)
-    prev = F.coalesce(F.lag(vals).over(w), F.col("_pv"))
-    starts = d.join(prevb, kb, "left").select(
-        key, "_b", *value_cols, *[c for c in order if c not in value_cols and c != key],
-        (prev.isNull() | ~vals.eqNullSafe(prev)).alias("_starts")).filter("_starts").drop("_starts")
-    # valid_to: next change inside the bucket, else the first change of the next non-empty bucket.
-    firsts = starts.groupBy(*kb).agg(F.min(F.struct(*[F.col(o) for o in order])).alias("_f"))
-    nextb = firsts.select(*kb, F.lead(F.col(f"_f.{order[0]}")).over(by_bucket).alias("_nb"))
-    out = starts.join(nextb, kb, "left")
-    return out.select(key, *value_cols, F.col(order[0]).alias("valid_from"),
-                      F.coalesce(F.lead(F.col(order[0])).over(w), F.col("_nb")).alias("valid_to"))
+    from .windows import with_next_start, with_previous
+    d = with_previous(log, key, order, value_cols, bucket, out="_prev")
+    starts = d.filter(F.col("_prev").isNull() | ~vals.eqNullSafe(F.col("_prev"))).drop("_prev")
+    out = with_next_start(starts, key, order, order[0], "valid_to")
+    return out.select(key, *value_cols, F.col(order[0]).alias("valid_from"), "valid_to")
 
 
 def as_of_view(history: DataFrame, ts: str) -> DataFrame:

@@ -76,12 +76,13 @@ top_ch as (select lead_id, channel as top_channel from (select *, row_number() o
 hr as (select lead_id, cast(hour(event_timestamp) as integer) as hour, count(*) as n from touchpoints group by all),
 peak as (select lead_id, hour as peak_hour from (select *, row_number() over (partition by lead_id order by n desc, hour) as r from hr) where r = 1),
 ordered as (select lead_id, event_timestamp, lag(event_timestamp) over (partition by lead_id order by event_timestamp) as prev from touchpoints),
-sess as (select lead_id, cast(count_if(prev is null or event_timestamp - prev >= interval 30 minute) as bigint) as sessions from ordered group by lead_id)
+sess as (select lead_id, count(*) as sessions from ordered where prev is null or event_timestamp - prev >= interval 30 minute group by lead_id)
 select base.*, top_channel, peak_hour, sessions, cast(events as double) / active_days as events_per_active_day
 from base join top_ch using (lead_id) join peak using (lead_id) join sess using (lead_id)
 """, "STR5 (batch twin)")
 def q_engagement(spark, sf):
-    return L.engagement_features(touchpoints(spark, sf))
+    from pyspark.sql import functions as F
+    return L.engagement_features(touchpoints(spark, sf), bucket=F.date_trunc("hour", "event_timestamp"))
 
 
 @query("touchpoint_metadata", _TP + """

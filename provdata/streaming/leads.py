@@ -77,12 +77,15 @@ def dedupe_events(tp: DataFrame, streaming: bool = False, ts: str = "event_times
     return tp.dropDuplicates(["event_id"])
 
 
-def engagement_features(tp: DataFrame, ts: str = "event_timestamp", session_gap: str = "30 minutes") -> DataFrame:
+def engagement_features(tp: DataFrame, ts: str = "event_timestamp", session_gap_s: int = 1800,
+                        bucket: Column | None = None) -> DataFrame:
     """STR5: per lead: activity by weekday, active days, velocity, top channel, peak hour, sessions.
 
     Top channel / peak hour are the argmax of per-(lead, value) counts with a
     deterministic tie-break (smaller value wins), computed as aggregates —
-    no per-lead lists are collected.
+    no per-lead lists are collected. Sessions come from the previous-touch
+    gap; with ``bucket`` (e.g. the hour) a hot lead is not sorted by one task.
+    (In a stream, ``session_window`` with a watermark is the stateful form.)
     """
     # One scan, one shuffle: per-lead totals and per-(lead, channel) / per-(lead, hour) counts
     # come from a single GROUPING SETS aggregate, split by grouping id afterwards.
@@ -101,7 +104,9 @@ def engagement_features(tp: DataFrame, ts: str = "event_timestamp", session_gap:
     by_hr = g.filter(F.col("gid") == 2).select("lead_id", "hour", "n")
     peak = by_hr.groupBy("lead_id").agg(F.min(F.struct((-F.col("n")).alias("neg"), F.col("hour"))).alias("m")) \
         .select("lead_id", F.col("m.hour").alias("peak_hour"))
-    sess = tp.groupBy("lead_id", F.session_window(ts, session_gap)).count() \
+    # Sessions = rows at least ``session_gap_s`` after the lead's previous touch (skew-safe with a bucket).
+    from ..operators.windows import session_starts
+    sess = session_starts(tp.select("lead_id", ts), "lead_id", ts, session_gap_s, bucket) \
         .groupBy("lead_id").agg(F.count(F.lit(1)).alias("sessions"))
     out = base.join(top_ch, "lead_id").join(peak, "lead_id").join(sess, "lead_id")
     return out.select("*", (F.col("events").cast("double") / F.col("active_days")).alias("events_per_active_day"))

@@ -207,3 +207,14 @@ def test_change_log_history_bucketed_equals_plain_under_skew(spark):
     plain = H.scd2_from_changes(df, "k", ["v"], ["t", "i"])
     bucketed = H.scd2_from_changes(df, "k", ["v"], ["t", "i"], bucket=F.floor(F.col("t") / 97))
     assert rows(plain, "k", "v", "valid_from", "valid_to") == rows(bucketed, "k", "v", "valid_from", "valid_to")
+
+
+def test_session_starts_bucketed_equals_plain(spark):
+    from provdata.operators.windows import session_starts
+    df = spark.range(0, 2000).select(
+        F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise((F.col("id") % 5).cast("string")).alias("lead"),
+        F.timestamp_add("MINUTE", (F.col("id") * 7919 % 20011).cast("int"),
+                        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias("ts"))
+    plain = session_starts(df, "lead", "ts", 1800)
+    bucketed = session_starts(df, "lead", "ts", 1800, bucket=F.date_trunc("hour", "ts"))
+    assert rows(plain, "lead", "ts") == rows(bucketed, "lead", "ts")
