@@ -115,7 +115,7 @@ select export_id, provider_id, destination, status, data_load_id, match_confiden
   case when outcome = 'queued' and delay_hours > 0 then timestamp '{AS_OF}' + interval 1 hour * delay_hours end as scheduled_send_at,
   case when outcome = 'queued' then 'retry-2025-06-30' end as new_data_load_id
 from outc
-""", "EXP1, JOIN11")
+""", "EXP1, JOIN11, KEY2")
 def q_enqueue(spark, sf):
     return _enqueue(spark, sf)
 

@@ -166,7 +166,7 @@ def q_recent_events(spark, sf):
     return E.recent_to_events(ST.recent_licenses(s, 1000, AS_OF))
 
 
-@query("license_history", HISTORY_SQL + "select * from history", "HIS1, SNK2-style versioning")
+@query("license_history", HISTORY_SQL + "select * from history", "HIS1, STR4 (batch twin)")
 def q_history(spark, sf):
     return history(spark, sf)
 
@@ -238,7 +238,7 @@ def license_events(spark, sf):
     return E.license_events(history(spark, sf), AS_OF)
 
 
-@query("license_events", _EVENTS_SQL + "select * from events_out", "EVT0-EVT10, JOIN6, WIN6, JOIN17")
+@query("license_events", _EVENTS_SQL + "select * from events_out", "EVT0-EVT10, JOIN6, WIN6, JOIN17, STR4 (batch twin)")
 def q_events(spark, sf):
     return license_events(spark, sf)
 

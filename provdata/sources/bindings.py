@@ -208,6 +208,23 @@ select 'imp' || cast(c_custkey as string) as import_id,
 from {customer} where c_custkey % 7 = 0
 """
 
+# Texas dental-assistant and dental-lab extracts (one combined raw table) from supplier keys.
+TX_OTHER_RAW = """
+select cast(s_suppkey as bigint) as lic_id, 'A' || cast(s_suppkey as string) as lic_nbr,
+  case when s_suppkey % 2 = 0 then 'dental_assistant' else 'dental_lab' end as professional_type,
+  cast(case s_suppkey % 9 when 0 then 20 when 1 then 46 when 2 then 71 when 3 then 27 when 4 then 80 when 5 then 47
+    when 6 then 65 when 7 then 45 else 70 end as int) as lic_sta_cde,
+  lpad(cast(1 + s_suppkey % 12 as string), 2, '0') || '/15/' || cast(2000 + s_suppkey % 20 as string) as lic_orig_dte,
+  cast(1 + s_suppkey % 12 as string) || '/1/2026' as lic_expr_dte,
+  case when s_suppkey % 2 = 0 then 'PAT' end as first_nme, case when s_suppkey % 2 = 0 then upper(s_name) end as last_nme,
+  case when s_suppkey % 2 = 1 then s_name || ' Lab' end as lab_nme,
+  cast(s_suppkey % 300 as string) || ' Oak St' as address1, 'City' || cast(s_suppkey % 11 as string) as city,
+  'TX' as state, cast(75000 + s_suppkey % 17 as string) as zip, 'COUNTY' || cast(s_suppkey % 9 as string) as county,
+  case s_suppkey % 3 when 0 then 'YES' when 1 then 'no' end as nom_mod,
+  case when s_suppkey % 4 = 0 then 'Yes' else 'No' end as disc_action
+from {supplier}
+"""
+
 STATE_LOG = """
 select user_id, ts, event_id, event_type from {events}
 """
@@ -288,6 +305,7 @@ BINDINGS = {
     "npi_raw_full": (NPI_RAW_FULL, ["customer"]),
     "person_responses": (PERSON_RESPONSES, ["customer"]),
     "wa_records": (WA_RECORDS, ["customer"]),
+    "tx_other_raw": (TX_OTHER_RAW, ["supplier"]),
     "contact_import": (CONTACT_IMPORT, ["customer"]),
     "co_records": (CO_RECORDS, ["customer"]),
     "fl_records": (FL_RECORDS, ["customer"]),

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from ..operators.providers import RAW_COLUMNS
 
 NULL_TOKENS = ["", "NULL", "null"]
+TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def string_schema(columns: Sequence[str], corrupt: str | None = "_corrupt_record") -> T.StructType:
@@ -117,15 +118,18 @@ def unchanged_snapshots(cur: DataFrame, prev: DataFrame, by: Sequence[str]) -> D
 
 # --- JSON events (SRC6) -------------------------------------------------------
 
-def read_events_json(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
-    """SRC6: event objects (JSON lines, or one JSON array per file with ``multiLine``)."""
-    r = spark.read.option("multiLine", True)
+def read_events_json(spark: SparkSession, path: str, schema: str | T.StructType | None = None,
+                     array_files: bool = False) -> DataFrame:
+    """SRC6: event objects — JSON lines, or (``array_files``) one JSON array per file as the
+    trigger scripts write them."""
+    r = (spark.read.option("multiLine", array_files).option("timestampNTZFormat", TS_FORMAT)
+         .option("timestampFormat", TS_FORMAT))
     return (r.schema(schema) if schema is not None else r).json(path)
 
 
 def write_events_json(df: DataFrame, path: str) -> None:
-    """SRC6."""
-    df.write.mode("overwrite").json(path)
+    """SRC6 (timestamps keep microseconds)."""
+    df.write.mode("overwrite").option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT).json(path)
 
 
 # --- writers (SNK1-SNK4) -------------------------------------------------------
