@@ -340,9 +340,14 @@ _SPARK_FANOUT = [
 ]
 
 
+# Literal timestamps are zone-free in DuckDB; Spark's TIMESTAMP is zone-aware, so the
+# Spark side types them TIMESTAMP_NTZ (no dependence on the session time zone).
+_SPARK_TYPES = [("cast('2025-06-01' as timestamp)", "cast('2025-06-01' as timestamp_ntz)")]
+
+
 def spark_text(name: str) -> str:
     text = BINDINGS[name][0]
-    for shared, spark_form in _SPARK_FANOUT:
+    for shared, spark_form in _SPARK_FANOUT + _SPARK_TYPES:
         text = text.replace(shared, spark_form)
     return text
 
@@ -368,7 +373,10 @@ def _binding(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def data_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(DATA_LOADS, export_queue=binding(spark, sf_dir, "export_queue"))
+    text = DATA_LOADS
+    for shared, spark_form in _SPARK_TYPES:
+        text = text.replace(shared, spark_form)
+    return spark.sql(text, export_queue=binding(spark, sf_dir, "export_queue"))
 
 
 def export_history(spark: SparkSession, sf_dir: str) -> DataFrame:
