@@ -195,19 +195,41 @@ def add_suppression(suppression: DataFrame, new: DataFrame, as_of: str) -> DataF
     return suppression.unionByName(add, allowMissingColumns=True)
 
 
-def contact_payload(df: DataFrame, new_licensee_col: str | None = None) -> DataFrame:
-    """EXP7: JSON contact payload with tags (``new_licensee`` when flagged) and custom fields."""
-    tags = [F.lit("provider"), F.col("professional_type")]
-    if new_licensee_col:
-        tags.append(F.when(F.col(new_licensee_col), F.lit("new_licensee")))
+def _json(struct_col: Column) -> Column:
+    # Keep NULL fields (the source serialises missing values as null, not by omission).
+    return F.to_json(struct_col, {"ignoreNullFields": "false"})
+
+
+def crm_contact_payload(golden_df: DataFrame, location_id: str) -> DataFrame:
+    """EXP7: CRM contact payload of a golden record (tags: type, licence state, new licensee)."""
+    tags = F.array_compact(F.array(
+        F.concat(F.lit("license_"), F.coalesce(F.col("professional_type"), F.lit("unknown"))),
+        F.concat(F.lit("state_"), F.coalesce(F.col("license_state"), F.lit("unknown"))),
+        F.when(F.coalesce(F.col("is_new_licensee"), F.lit(False)), F.lit("new_licensee"))))
+    payload = F.struct(
+        F.lit(location_id).alias("locationId"), F.col("first_name").alias("firstName"),
+        F.col("last_name").alias("lastName"), F.col("email").alias("email"), F.col("phone").alias("phone"),
+        F.col("address1").alias("address1"), F.col("city").alias("city"), F.col("state").alias("state"),
+        F.col("zip_code").alias("postalCode"), F.lit("License Pipeline").alias("source"), tags.alias("tags"))
+    return golden_df.select("provider_id", _json(payload).alias("payload"))
+
+
+def event_contact_payload(events: DataFrame, location_id: str) -> DataFrame:
+    """EXP7: contact payload of a new-licensee event (contact fields empty until enriched)."""
+    tags = F.array(F.lit("new_licensee"),
+                   F.concat(F.lit("license_"), F.coalesce(F.col("professional_type"), F.lit("dentist"))),
+                   F.concat(F.lit("county_"), F.coalesce(F.col("county"), F.lit("unknown"))))
     payload = F.struct(
-        F.col("first_name").alias("firstName"), F.col("last_name").alias("lastName"),
-        F.col("email").alias("email"), F.col("phone").alias("phone"),
-        F.col("city").alias("city"), F.col("state").alias("state"),
-        F.array_compact(F.array(*tags)).alias("tags"),
-        F.struct(F.col("license_number").alias("license_number"), F.col("npi_number").alias("npi"),
-                 F.col("match_confidence").alias("match_confidence")).alias("customField"))
-    return df.select("provider_id", F.to_json(payload).alias("payload"))
+        F.lit(location_id).alias("locationId"), F.col("first_name").alias("firstName"),
+        F.col("last_name").alias("lastName"), F.lit("").alias("email"), F.lit("").alias("phone"),
+        F.lit("").alias("address1"), F.col("city").alias("city"),
+        F.coalesce(F.col("state_code"), F.lit("TX")).alias("state"), F.col("zip_code").alias("postalCode"),
+        F.lit("License Pipeline").alias("source"), tags.alias("tags"),
+        F.struct(F.col("license_number").alias("license_number"),
+                 F.left(F.coalesce(F.col("timestamp"), F.lit("")), F.lit(10)).alias("license_date"),
+                 F.col("professional_type").alias("professional_type"),
+                 F.col("county").alias("county")).alias("customField"))
+    return events.select("event_id", _json(payload).alias("payload"))
 
 
 def payload_hash(df: DataFrame, payload_col: str = "payload") -> DataFrame:

@@ -233,8 +233,19 @@ def q_queue_status(spark, sf):
     return X.queue_status(_queue(spark, sf), export_history(spark, sf), QUEUE_DAY)
 
 
-@query("contact_payloads", None, "EXP7, EXP10 (rows-only: JSON text)")
+def _crm_sql():
+    from .q_enrich import GOLDEN_SQL
+    return GOLDEN_SQL + """,
+p as (select provider_id, cast(json_object('locationId', 'loc-1', 'firstName', first_name, 'lastName', last_name,
+    'email', email, 'phone', phone, 'address1', address1, 'city', city, 'state', state, 'postalCode', zip_code,
+    'source', 'License Pipeline', 'tags', list_filter(['license_' || coalesce(professional_type, 'unknown'),
+      'state_' || coalesce(license_state, 'unknown'), case when coalesce(is_new_licensee, false) then 'new_licensee' end],
+      lambda x: x is not null)) as varchar) as payload from golden)
+select provider_id, payload, sha256(payload) as payload_hash from p
+"""
+
+
+@query("crm_contact_payloads", _crm_sql(), "EXP7, EXP10")
 def q_payloads(spark, sf):
     from .q_enrich import golden
-    g = golden(spark, sf)
-    return X.payload_hash(X.contact_payload(g, "is_new_licensee"))
+    return X.payload_hash(X.crm_contact_payload(golden(spark, sf), "loc-1"))

@@ -326,3 +326,24 @@ from history where valid_to is null
 """, "DIM1, HIS4")
 def q_dim(spark, sf):
     return D.dim_professionals(history(spark, sf), AS_OF)
+
+
+@query("new_licensee_payloads", STAGED_SQL + f"""
+, ev as (select left(md5(concat_ws('-', state_code, license_number, 'NEW_LICENSE')), 12) as event_id,
+    strftime(cast(license_issue_date as timestamp), '%Y-%m-%dT%H:%M:%S') as timestamp, state_code, professional_type,
+    license_number, coalesce(trim(first_name), '') as first_name, coalesce(trim(last_name), '') as last_name,
+    coalesce(trim(city), '') as city, coalesce(trim(county), '') as county, coalesce(trim(zip_code), '') as zip_code
+  from staged where snapshot_date = '2025-06-30' and license_issue_date >= date '2025-06-30' - 1000 and {_RECENT_ACTIVE}),
+p as (select event_id, cast(json_object('locationId', 'loc-1', 'firstName', first_name, 'lastName', last_name, 'email', '',
+    'phone', '', 'address1', '', 'city', city, 'state', coalesce(state_code, 'TX'), 'postalCode', zip_code,
+    'source', 'License Pipeline', 'tags', ['new_licensee', 'license_' || coalesce(professional_type, 'dentist'),
+    'county_' || coalesce(county, 'unknown')],
+    'customField', json_object('license_number', license_number, 'license_date', left(coalesce(timestamp, ''), 10),
+      'professional_type', professional_type, 'county', county)) as varchar) as payload from ev)
+select event_id, payload, sha256(payload) as payload_hash from p
+""", "EXP7, EXP10, EVT12")
+def q_payloads_events(spark, sf):
+    from ..operators import export as X
+    s = staged(spark, sf).filter(F.col("snapshot_date") == SNAP1)
+    ev = E.recent_to_events(ST.recent_licenses(s, 1000, AS_OF))
+    return X.payload_hash(X.event_contact_payload(ev, "loc-1"))
