@@ -11,9 +11,9 @@ common surname in a big state is one huge block. But "best tier, then lowest
 NPI" only needs, per tier, the lowest NPI among the NPI rows that share the
 licence's tier key. So both sides are expanded to one row per tier key (5
 tiers share one key layout), the NPI side is *pre-aggregated by (tier, key)*
-(``min(struct(npi, ...))``, which combines map-side), and ONE equi-join gives
-each licence at most one partner per tier; a final per-licence ``min`` picks
-the best tier. Nothing is emitted per pair, a hot surname collapses to one
+(``min(npi)``, a hash aggregate that combines map-side), and ONE equi-join
+gives each licence at most one partner per tier; a final per-licence ``min``
+picks the best tier; attributes are fetched for the chosen NPIs only. Nothing is emitted per pair, a hot surname collapses to one
 NPI row per key before any shuffle, and the NPI file is scanned once. The
 result is identical to the all-pairs form (the DuckDB oracle runs that
 form). AQE broadcasts a candidate table that turns out small and splits
@@ -84,35 +84,45 @@ def _tier_rows(df: DataFrame, payload: list[str]) -> DataFrame:
     return keyed.select(*payload, F.explode_outer("_tiers").alias("t")).select(*payload, "t.*")
 
 
+_TIER_SCALE = 10 ** 10  # NPIs are 10-digit numbers: tier * scale + npi orders by (tier, npi)
+
+
 def best_match(licenses: DataFrame, npi_raw: DataFrame) -> DataFrame:
     """JOIN3 + JOIN4: one row per licence with its best NPI candidate (or no_match).
 
-    Plan: NPI rows -> one row per tier key -> ``min(struct(npi, ...))`` per
-    (tier, key) (combined map-side); licences -> one row per tier key; ONE
-    left equi-join on (tier, key); ``min(struct(tier, npi, ...))`` per
-    licence picks the first tier that has a candidate and, in it, the lowest
-    NPI. Three shuffles in total, nothing emitted per candidate pair.
+    Plan: NPI rows -> one row per tier key -> ``min(npi)`` per (tier, key);
+    licences -> one row per tier key; ONE left equi-join on (tier, key);
+    ``min(tier * 1e10 + npi)`` per licence picks the first tier with a
+    candidate and, in it, the lowest NPI. Both aggregates have fixed-width
+    buffers, so they run as hash aggregates with map-side combine (a sort-based
+    struct aggregate over the 5x expanded registry was 3x slower at 9.2 M
+    rows). The NPI attributes are then fetched only for the chosen NPIs.
+    Nothing is emitted per candidate pair.
     """
     lic = license_match_side(licenses)
-    npi = npi_match_side(npi_raw)
-    npi_keys = _tier_rows(npi, ["npi_number", "first_name", "last_name", "city", "state", "zip5", "phone",
-                                "first_sx", "last_sx"])
-    cand = npi_keys.filter(F.col("tier").isNotNull()).groupBy("tier", "k0", "k1", "k2", "k3").agg(
-        F.min(F.struct(F.col("npi_number"), F.col("first_name"), F.col("last_name"), F.col("city"),
-                       F.col("state"), F.col("zip5"), F.col("phone"))).alias("m"))
+    npi = npi_match_side(npi_raw).withColumn("npi_long", F.col("npi_number").try_cast("long"))
+    npi_keys = _tier_rows(npi.filter(F.col("npi_long").isNotNull()),
+                          ["npi_long", "first_name", "last_name", "city", "state", "zip5", "first_sx", "last_sx"])
+    cand = npi_keys.filter(F.col("tier").isNotNull()).groupBy("tier", "k0", "k1", "k2", "k3") \
+        .agg(F.min("npi_long").alias("m"))
     lic_cols = ["professional_id", "state_code", "license_number", "professional_type", "first_name", "last_name",
                 "city", "state", "zip5", "first_sx", "last_sx"]
-    lic_keys = _tier_rows(lic, lic_cols)
-    j = lic_keys.join(cand, ["tier", "k0", "k1", "k2", "k3"], "left")
-    hit = F.when(F.col("m").isNotNull(), F.struct(F.col("tier"), F.col("m").alias("m")))
-    best = j.groupBy(*lic_cols).agg(F.min(hit).alias("b"))
+    j = _tier_rows(lic, lic_cols).join(cand, ["tier", "k0", "k1", "k2", "k3"], "left")
+    code = F.when(F.col("m").isNotNull(), F.col("tier").cast("long") * _TIER_SCALE + F.col("m"))
+    best = j.groupBy(*lic_cols).agg(F.min(code).alias("_b")).select(
+        *lic_cols, (F.col("_b") / _TIER_SCALE).cast("int").alias("_tier"),
+        (F.col("_b") % _TIER_SCALE).alias("npi_long"))
+    chosen = best.select("npi_long").where(F.col("npi_long").isNotNull()).distinct()
+    attrs = (npi.join(chosen, "npi_long", "left_semi").groupBy("npi_long")
+             .agg(F.min(F.struct("npi_number", "first_name", "last_name", "city", "state", "zip5", "phone")).alias("m")))
+    out = best.join(attrs, "npi_long", "left")
     conf = F.lit(0)
     mtype = F.lit("no_match")
     for rank, (score, name, _) in reversed(list(enumerate(TIERS))):
-        conf = F.when(F.col("b.tier") == rank, F.lit(score)).otherwise(conf)
-        mtype = F.when(F.col("b.tier") == rank, F.lit(name)).otherwise(mtype)
-    m = F.col("b.m")
-    scored = best.select(
+        conf = F.when(F.col("_tier") == rank, F.lit(score)).otherwise(conf)
+        mtype = F.when(F.col("_tier") == rank, F.lit(name)).otherwise(mtype)
+    m = F.col("m")
+    scored = out.select(
         "professional_id", "state_code", "license_number", "professional_type",
         F.col("first_name").alias("lic_first_name"), F.col("last_name").alias("lic_last_name"),
         F.col("city").alias("lic_city"), F.col("state").alias("lic_state"), F.col("zip5").alias("lic_zip5"),
