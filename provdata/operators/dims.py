@@ -10,7 +10,7 @@ from .history import current_view
 
 
 def dim_professionals(history: DataFrame, as_of: str) -> DataFrame:
-    """Current version per professional with expiry status, sedation level, segment and priority.
+    """DIM1: current version per professional with expiry status, sedation level, segment and priority.
 
     ``specialty_code IN ('GEN', '', NULL)`` of the source never matches NULL,
     so a dentist without a specialty code is a 'Specialist' (kept as is).

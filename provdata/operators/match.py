@@ -88,7 +88,7 @@ _TIER_SCALE = 10 ** 10  # NPIs are 10-digit numbers: tier * scale + npi orders b
 
 
 def best_match(licenses: DataFrame, npi_raw: DataFrame) -> DataFrame:
-    """JOIN3 + JOIN4: one row per licence with its best NPI candidate (or no_match).
+    """JOIN3 + JOIN4 + WIN2 + SET4: one row per licence with its best NPI candidate (or no_match).
 
     Plan: NPI rows -> one row per tier key -> ``min(npi)`` per (tier, key);
     licences -> one row per tier key; ONE left equi-join on (tier, key);

@@ -85,7 +85,7 @@ def cohort_rank(c: F.Column) -> F.Column:
 
 
 def practice_age_distribution(providers: DataFrame) -> DataFrame:
-    """AGG4: count and percent of total per cohort, with the display rank."""
+    """AGG4 + WIN7 + TOP2: count and percent of total per cohort, with the display rank."""
     g = us_states_only(providers).groupBy("practice_age_cohort").agg(
         F.count(F.lit(1)).alias("provider_count"))
     total = F.sum("provider_count").over(Window.partitionBy())  # one row per cohort: 5 rows
@@ -95,7 +95,7 @@ def practice_age_distribution(providers: DataFrame) -> DataFrame:
 
 
 def state_share(providers: DataFrame, limit: int = 10) -> DataFrame:
-    """AGG5 / TOP1: providers per state, percent of all, top ``limit`` (ties by state)."""
+    """AGG5 + WIN7 + TOP1: providers per state, percent of all, top ``limit`` (ties by state)."""
     g = providers.groupBy("practice_state").agg(F.count(F.lit(1)).alias("provider_count"))
     total = F.sum("provider_count").over(Window.partitionBy())
     return (g.select("practice_state", "provider_count",

@@ -228,7 +228,8 @@ def _txt(df: DataFrame, c: str) -> F.Column:
 
 
 def stage_wa(raw: DataFrame, active_only: bool = False) -> DataFrame:
-    """STG6: credential type map, YYYYMMDD -> ISO only when exactly 8 characters, action flag."""
+    """STG6 + STG9: credential type map, YYYYMMDD -> ISO only when exactly 8 characters, action flag;
+    ``active_only`` filters before anything is written."""
     def iso(c):
         s = _txt(raw, c)
         return F.when(F.length(s) == 8, F.concat(F.substring(s, 1, 4), F.lit("-"), F.substring(s, 5, 2),
@@ -250,7 +251,7 @@ def stage_wa(raw: DataFrame, active_only: bool = False) -> DataFrame:
 
 
 def stage_co(raw: DataFrame, active_only: bool = False) -> DataFrame:
-    """STG7: type code map, ISO timestamp prefix -> date text, nested URL or ''."""
+    """STG7 + STG9: type code map, ISO timestamp prefix -> date text, nested URL or '' (``active_only``)."""
     code = _txt(raw, "licensetype")
 
     def url(c):

@@ -58,7 +58,7 @@ def _r(i: int, name: str, rtype: str, severity: Column | str, passed: Column, ob
 
 
 def validate_load(df: DataFrame, rules, prev: DataFrame | None = None, as_of: str | None = None) -> DataFrame:
-    """VAL8: every rule's verdict as rows (rule_index, rule_name, type, severity, passed, observed, threshold)."""
+    """VAL1-VAL8: every rule's verdict as rows (rule_index, rule_name, type, severity, passed, observed, threshold)."""
     cols = set(df.columns)
     types = dict(df.dtypes)
     aggs: dict[str, Column] = {"_n": F.count(F.lit(1))}

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def register_catalog(spark: SparkSession, tables: dict[str, DataFrame], prefix: str = "") -> dict[str, str]:
-    """Register each DataFrame as a temp view ``prefix + name``; return name -> view name."""
+    """VIEW3: register each DataFrame as a temp view ``prefix + name``; return name -> view name."""
     out = {}
     for name, df in tables.items():
         view = f"{prefix}{name}"
@@ -21,5 +21,5 @@ def register_catalog(spark: SparkSession, tables: dict[str, DataFrame], prefix:
 
 
 def query_sql(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
-    """Run SQL text against registered views (and any DataFrames passed as ``{name}`` parameters)."""
+    """VIEW3: run SQL text against registered views (and DataFrames passed as ``{name}`` parameters)."""
     return spark.sql(sql, **frames) if frames else spark.sql(sql)

@@ -41,7 +41,7 @@ def apply_snapshot(spark: SparkSession, raw_snapshot: DataFrame, day: str, histo
 
 def change_events_stream(spark: SparkSession, snapshot_dir: str, schema, history_base: str, events_base: str,
                          checkpoint_dir: str, as_of: str | None = None, max_files: int = 1):
-    """Start the stream over ``snapshot_dir`` (parquet partitioned by snapshot_date); returns the query."""
+    """STR4: start the stream over ``snapshot_dir`` (parquet partitioned by snapshot_date); returns the query."""
     raw = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(snapshot_dir))
 
     def process(batch: DataFrame, batch_id: int) -> None:
