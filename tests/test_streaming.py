@@ -59,3 +59,12 @@ def test_license_snapshot_stream_equals_batch_history(spark):
     assert _rows(got.select(*cols)) == _rows(exp.select(*cols))
     ev = IO.read_current(spark, os.path.join(root, "events"))
     assert ev.count() == ev.select("event_id").distinct().count() > 0
+
+
+def test_attribution_windows_stream_equals_batch(spark):
+    batch = L.attribution_rollup(binding(spark, SF_SMALL, "touchpoints"))
+    stream = L.attribution_rollup(L.touchpoint_stream(spark, SF_SMALL).withWatermark("event_timestamp", "1 day"))
+    out = L.run_available_now(stream, tempfile.mkdtemp(prefix="ck-"), "attr_t", "complete")
+    out = out.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c.startswith("window_") else F.col(c)
+                       for c in out.columns])
+    assert _rows(out.select(*batch.columns)) == _rows(batch)
