@@ -58,7 +58,9 @@ def scd2_apply(history: DataFrame | None, snapshot: DataFrame, key: str, check_c
     ts = F.lit(as_of).cast("timestamp_ntz")
     cols = [c for c in snapshot.columns]
     if history is None:
-        history = empty_history(snapshot)
+        # First snapshot: every key opens a version; no join needed.
+        return snapshot.select("*", C.surrogate_key(F.col(key), ts).alias("scd_id"), ts.alias("valid_from"),
+                               F.lit(None).cast("timestamp_ntz").alias("valid_to"))
     open_v = history.filter(F.col("valid_to").isNull())
     closed = history.filter(F.col("valid_to").isNotNull())
     j = open_v.alias("c").join(snapshot.alias("s"), F.col(f"c.{key}") == F.col(f"s.{key}"), "full_outer")

@@ -116,10 +116,15 @@ def staged(spark, sf):
     return ST.stage_tx(binding(spark, sf, "tx_license_raw"))
 
 
+@per_session
+def snapshots(spark, sf):
+    """One row per (professional, snapshot date) for every snapshot, in one aggregate."""
+    return latest_per_key(staged(spark, sf), ["professional_id", "snapshot_date"], [F.col("source_license_id")])
+
+
 @per_session
 def snapshot(spark, sf, day):
-    s = staged(spark, sf).filter(F.col("snapshot_date") == day).drop("snapshot_date")
-    return latest_per_key(s, ["professional_id"], [F.col("source_license_id")])
+    return snapshots(spark, sf).filter(F.col("snapshot_date") == day).drop("snapshot_date")
 
 
 @per_session
