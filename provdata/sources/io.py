@@ -2,9 +2,9 @@
 
 Raw files are read with explicit all-string schemas (no inference pass over
 the data) and typed at staging. Writes never update in place: a table
-version is a new directory and a small ``_CURRENT`` pointer file names the
-live one, so a failed job leaves the previous version intact and a rerun
-simply writes the version again (executor loss only retries tasks).
+version is a new directory published by an empty ``_commit_<n>`` marker,
+so a failed job leaves the previous version intact and a rerun simply
+writes the version again (executor loss only retries tasks).
 """
 
 from __future__ import annotations
@@ -191,16 +191,13 @@ def _hadoop_fs(spark: SparkSession, path: str):
 
 
 def current_version(spark: SparkSession, base: str) -> int | None:
-    fs, p = _hadoop_fs(spark, f"{base.rstrip('/')}/_CURRENT")
+    """Highest committed version under ``base`` (an empty ``_commit_<n>`` marker per version)."""
+    fs, p = _hadoop_fs(spark, base.rstrip("/"))
     if not fs.exists(p):
         return None
-    stream = fs.open(p)
-    try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream))
-        return int(reader.readLine().strip())
-    finally:
-        stream.close()
+    versions = [int(st.getPath().getName()[len("_commit_"):]) for st in fs.listStatus(p)
+                if st.getPath().getName().startswith("_commit_")]
+    return max(versions) if versions else None
 
 
 def read_current(spark: SparkSession, base: str) -> DataFrame | None:
@@ -209,22 +206,17 @@ def read_current(spark: SparkSession, base: str) -> DataFrame | None:
 
 
 def write_version(spark: SparkSession, df: DataFrame, base: str) -> int:
-    """Write ``df`` as the next version directory, then swap the ``_CURRENT`` pointer.
+    """Write ``df`` as the next version directory, then publish it with a commit marker.
 
-    Readers keep reading the old version until the pointer changes; a job
-    that dies before the swap leaves the table as it was.
+    Creating the empty ``_commit_<n>`` file is the single atomic step:
+    readers never see a half-written version, a job that dies before the
+    marker leaves the table as it was, and a rerun overwrites that version
+    directory (same number, since it was never committed).
     """
     v = (current_version(spark, base) or 0) + 1
     df.write.mode("overwrite").parquet(f"{base.rstrip('/')}/v={v}")
-    fs, tmp = _hadoop_fs(spark, f"{base.rstrip('/')}/_CURRENT.tmp")
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray(str(v), "utf-8"))
-    finally:
-        out.close()
-    _, cur = _hadoop_fs(spark, f"{base.rstrip('/')}/_CURRENT")
-    fs.delete(cur, False)
-    fs.rename(tmp, cur)
+    fs, marker = _hadoop_fs(spark, f"{base.rstrip('/')}/_commit_{v}")
+    fs.create(marker, True).close()
     return v
 
 

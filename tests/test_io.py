@@ -54,3 +54,14 @@ def test_fingerprint_detects_change(spark):
     fp = lambda x: IO.snapshot_fingerprint(x.withColumn("g", F.lit(1)), ["g"])
     assert fp(df).first().digest == fp(same).first().digest
     assert fp(df).first().digest != fp(diff).first().digest
+
+
+def test_uncommitted_version_is_invisible_and_rewritten(spark):
+    base = tempfile.mkdtemp(prefix="tbl-")
+    IO.write_version(spark, spark.createDataFrame([("a", 1)], "k string, v int"), base)
+    # A job that wrote v=2 but died before committing it.
+    spark.createDataFrame([("junk", 9)], "k string, v int").write.parquet(f"{base}/v=2")
+    assert IO.current_version(spark, base) == 1
+    assert [tuple(r) for r in IO.read_current(spark, base).collect()] == [("a", 1)]
+    assert IO.write_version(spark, spark.createDataFrame([("b", 2)], "k string, v int"), base) == 2
+    assert [tuple(r) for r in IO.read_current(spark, base).collect()] == [("b", 2)]
