@@ -218,3 +218,32 @@ def test_session_starts_bucketed_equals_plain(spark):
     plain = session_starts(df, "lead", "ts", 1800)
     bucketed = session_starts(df, "lead", "ts", 1800, bucket=F.date_trunc("hour", "ts"))
     assert rows(plain, "lead", "ts") == rows(bucketed, "lead", "ts")
+
+
+def test_promote_and_quarantine_transitions(spark):
+    from provdata.operators import governance as G
+    loads = spark.createDataFrame([("a", "validated", True), ("b", "validated", False), ("c", "pending", None)],
+                                  "load_id string, status string, validation_passed boolean")
+    targets = spark.createDataFrame([("a",), ("b",), ("c",)], "load_id string")
+    got = rows(G.promote_loads(loads, targets, "ops", "2025-06-30"), "load_id", "status", "promotion_result")
+    assert got == [("a", "promoted", "promoted"), ("b", "validated", "error: Load did not pass validation"),
+                   ("c", "pending", "error: Load must be in validated status to promote")]
+    queue = spark.createDataFrame([("e1", "a", "queued"), ("e2", "a", "sent"), ("e3", "z", "approved"), ("e4", "c", "queued")],
+                                  "export_id string, data_load_id string, status string")
+    new_loads, new_queue = G.quarantine_loads(loads, queue, spark.createDataFrame([("a",), ("z",)], "load_id string"),
+                                              "bad", "ops", "2025-06-30")
+    assert rows(new_queue, "export_id", "status") == [("e1", "cancelled"), ("e2", "sent"), ("e3", "cancelled"), ("e4", "queued")]
+    got = rows(new_loads, "load_id", "status", "exports_cancelled")
+    # 'z' was not registered: it is created, quarantined.
+    assert got == [("a", "quarantined", 1), ("b", "validated", None), ("c", "pending", None), ("z", "quarantined", 1)]
+
+
+def test_budget_cut_two_level_equals_running_sum(spark):
+    from pyspark.sql import Window
+    from provdata.operators.metrics import budget_cut
+    df = spark.range(0, 3000).select(F.col("id").alias("k"), ((F.col("id") * 7) % 3 != 0).alias("matched"))
+    got = rows(budget_cut(df, ["k"], "matched", 700, F.floor(F.col("k") / 250)), "k", "credits_before")
+    w = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    exp = df.withColumn("credits_before", F.coalesce(F.sum(F.col("matched").cast("int")).over(w), F.lit(0)).cast("long")) \
+        .filter("credits_before < 700")
+    assert got == rows(exp, "k", "credits_before")
