@@ -191,7 +191,7 @@ select 'E' || cast(c_custkey as string) as lic_nbr, cast(case when c_custkey % 3
 from {customer}
 """
 
-# A contact import list (names, state, e-mail, phone, profile, title) for every 7th customer key.
+# A contact import list (names, state, e-mail, phone, profile, title), one contact per customer.
 CONTACT_IMPORT = """
 select 'imp' || cast(c_custkey as string) as import_id,
   case c_custkey % 6 when 0 then 'ROBERT' when 1 then 'RUPERT' when 2 then 'ANN' when 3 then 'ANNE' when 4 then 'JON' else 'MARIA' end as first_name,
@@ -205,7 +205,7 @@ select 'imp' || cast(c_custkey as string) as import_id,
   '(512) 444-' || lpad(cast(c_custkey % 10000 as string), 4, '0') as phone,
   'https://linkedin.example/in/c' || cast(c_custkey as string) as linkedin_url,
   case c_custkey % 3 when 0 then 'Owner' when 1 then 'Associate Dentist' else 'Office Manager' end as title
-from {customer} where c_custkey % 7 = 0
+from {customer}
 """
 
 # Texas dental-assistant and dental-lab extracts (one combined raw table) from supplier keys.
