@@ -9,7 +9,7 @@ from ..operators import export as X
 from ..operators import metrics as MET
 from ..operators import responses as R
 from ..operators import staging as ST
-from ..sources.bindings import AS_OF, binding, sql_cte
+from ..sources.bindings import AS_OF, PERSON_RESPONSES, binding, sql_cte
 from .q_providers import PROVIDERS_SQL, pct_sql
 from .q_staging import STAGED_SQL, SNAP1, _EVENTS_SQL, license_events, staged
 from .memo import per_session
@@ -104,7 +104,9 @@ def q_usage(spark, sf):
 
 
 @query("plan_enrichment_requests", STAGED_SQL.replace("with ", _CREDITS_SQL[:-1] + ",\n", 1) + f""",
-done as (select cast(c_custkey as integer) as source_license_id from customer where c_custkey % 2 = 0),
+person_responses as ({PERSON_RESPONSES.format(customer='customer')}),
+done as (select cast(license_id as integer) as source_license_id from person_responses
+         where json_extract_string(response, '$.error') is distinct from 'rate limited'),
 todo as (select * from staged s where snapshot_date = '{SNAP1}' and status_category = 'ACTIVE'
          and not exists (select 1 from done d where d.source_license_id = s.source_license_id)
          order by source_license_id limit 200)
@@ -113,8 +115,9 @@ from todo
 """, "ENR2, JOIN10, TOP4")
 def q_plan(spark, sf):
     lic = staged(spark, sf).filter((F.col("snapshot_date") == SNAP1) & (F.col("status_category") == "ACTIVE"))
-    done = spark.read.parquet(f"{sf.rstrip('/')}/customer.parquet").filter(F.col("c_custkey") % 2 == 0) \
-        .select(F.col("c_custkey").cast("int").alias("source_license_id"))
+    # Already processed: every licence with a stored response except the rate-limited ones.
+    done = person(spark, sf).filter(~F.coalesce(F.col("api_error") == "rate limited", F.lit(False))) \
+        .select(F.col("license_id").cast("int").alias("source_license_id"))
     out = MET.plan_requests(lic, done, "source_license_id", ["source_license_id"], AS_OF, usage(spark, sf), limit=200)
     return out.withColumn("effective_credit_limit", F.col("effective_credit_limit").cast("int"))
 
