@@ -41,9 +41,11 @@ def main():
     spark = build_session(shuffle_partitions=64, extra={"spark.driver.memory": "16g"})
     cust = spark.read.parquet(f"{sf}/customer.parquet")
     t0 = time.perf_counter()
-    spark.sql(spark_text("npi_raw"), customer=expanded(cust, nf)).write.mode("overwrite").parquet(f"{scratch}/npi")
+    # Many files, as a registry extract lands; a single file with one row group would be read by one task.
+    (spark.sql(spark_text("npi_raw"), customer=expanded(cust, nf)).repartition(64)
+     .write.mode("overwrite").parquet(f"{scratch}/npi"))
     raw = spark.sql(spark_text("tx_license_raw"), customer=expanded(cust, lf)).filter("snapshot_date = '2025-06-30'")
-    ST.stage_tx(raw).write.mode("overwrite").parquet(f"{scratch}/lic")
+    ST.stage_tx(raw).repartition(16).write.mode("overwrite").parquet(f"{scratch}/lic")
     t1 = time.perf_counter()
     npi = spark.read.parquet(f"{scratch}/npi")
     lic = latest_per_key(spark.read.parquet(f"{scratch}/lic"), ["professional_id"], [F.col("source_license_id")])
