@@ -34,9 +34,15 @@ def _blank_to_null(c):
 def parse_person_response(df: DataFrame, json_col: str = "response") -> DataFrame:
     """ENR1: error -> api_error; no person -> 'No match found'; last mobile / last other phone;
     first employment is current; company falls back to the organisation name."""
-    r = F.from_json(F.col(json_col), PERSON_SCHEMA)
-    person_txt = F.get_json_object(F.col(json_col), "$.person")
-    has_error = F.get_json_object(F.col(json_col), "$.error").isNotNull()
+    # Parse once into a column; every field below reads that column (an expression repeated inside
+    # CASE branches would be re-evaluated per field).
+    df = df.select("*", F.from_json(F.col(json_col), PERSON_SCHEMA).alias("_r"),
+                   F.get_json_object(F.col(json_col), "$.person").alias("_person_txt"))
+    base_cols = [c for c in df.columns if c not in ("_r", "_person_txt")]
+    r = F.col("_r")
+    person_txt = F.col("_person_txt")
+    # The source tests key presence ("error" in response), so a null error still counts.
+    has_error = F.coalesce(F.array_contains(F.json_object_keys(F.col(json_col)), "error"), F.lit(False))
     no_person = person_txt.isNull() | (F.regexp_replace(person_txt, r"\s", "") == "{}")
     p = r["person"]
     phones = p["phone_numbers"]
@@ -47,7 +53,7 @@ def parse_person_response(df: DataFrame, json_col: str = "response") -> DataFram
     v = lambda c: F.when(ok, c)
     company = F.coalesce(_blank_to_null(first_job["organization_name"]), p["organization"]["name"])
     return df.select(
-        "*",
+        *base_cols,
         F.when(has_error, r["error"]).when(no_person, F.lit("No match found")).alias("api_error"),
         v(p["id"]).alias("apollo_id"), v(p["email"]).alias("email"), v(p["email_status"]).alias("email_status"),
         v(F.try_element_at(others, F.lit(-1))["sanitized_number"]).alias("phone"),
@@ -62,13 +68,15 @@ def parse_person_response(df: DataFrame, json_col: str = "response") -> DataFram
 def parse_address_response(df: DataFrame, json_col: str = "response") -> DataFrame:
     """ENR6: valid = status 'valid' and deliverable; lines joined by a space skipping blanks;
     confidence defaults to 0; text fields default to ''. An error response is invalid with blanks."""
-    r = F.from_json(F.col(json_col), ADDRESS_SCHEMA)
+    df = df.select("*", F.from_json(F.col(json_col), ADDRESS_SCHEMA).alias("_r"))
+    base_cols = [c for c in df.columns if c != "_r"]
+    r = F.col("_r")
     err = r["error"].isNotNull()
     a, m = r["address"], r["metadata"]
     t = lambda c: F.when(err, F.lit("")).otherwise(F.coalesce(c, F.lit("")))
     l1, l2 = F.coalesce(a["delivery_line_1"], F.lit("")), F.coalesce(a["delivery_line_2"], F.lit(""))
     return df.select(
-        "*",
+        *base_cols,
         (~err & (F.coalesce(r["status"], F.lit("unknown")) == "valid")
          & F.coalesce(r["deliverable"], F.lit(False))).alias("valid"),
         F.when(err, F.lit(0.0)).otherwise(F.coalesce(m["confidence"], F.lit(0.0))).alias("confidence"),
@@ -84,11 +92,13 @@ def parse_address_response(df: DataFrame, json_col: str = "response") -> DataFra
 def parse_phone_response(df: DataFrame, json_col: str = "response") -> DataFrame:
     """ENR7: line type from line-type intelligence, else carrier type, else 'unknown'; carrier name
     likewise; confidence 1 when valid else 0."""
-    r = F.from_json(F.col(json_col), PHONE_SCHEMA)
+    df = df.select("*", F.from_json(F.col(json_col), PHONE_SCHEMA).alias("_r"))
+    base_cols = [c for c in df.columns if c != "_r"]
+    r = F.col("_r")
     lt, ca = r["line_type_intelligence"], r["carrier"]
     valid = F.coalesce(r["valid"], F.lit(False))
     return df.select(
-        "*", valid.alias("valid"), F.when(valid, 1.0).otherwise(0.0).alias("confidence"),
+        *base_cols, valid.alias("valid"), F.when(valid, 1.0).otherwise(0.0).alias("confidence"),
         F.coalesce(r["national_format"], F.lit("")).alias("formatted_number"),
         F.coalesce(r["phone_number"], F.lit("")).alias("e164_format"),
         F.coalesce(_blank_to_null(lt["type"]), ca["type"], F.lit("unknown")).alias("line_type"),
