@@ -64,21 +64,26 @@ def license_match_side(licenses: DataFrame) -> DataFrame:
         C.zip5("zip_code").alias("zip5"), F.upper(F.trim("county")).alias("county"))
 
 
-def _tier_rows(df: DataFrame, payload: list[str]) -> DataFrame:
+# Optional first tier (decision D3): the licence record carries the NPI itself.
+NPI_TIER = (100, "exact_npi", ["npi_key"])
+
+
+def _tier_rows(df: DataFrame, payload: list[str], tiers=TIERS) -> DataFrame:
     """One row per tier whose key components are all present: (tier, k1, k2, k3, k4, payload...).
 
     Keys of different tiers share one column layout (tier 70 has three
     components; its k4 is ''), so every tier is served by ONE equi-join.
     """
     rows = []
-    for rank, (_, _, keys) in enumerate(TIERS):
+    for rank, (_, _, keys) in enumerate(tiers):
         comps = [F.col(k) for k in keys] + [F.lit("")] * (4 - len(keys))
         present = None
         for k in keys:
             c = F.col(k).isNotNull()
             present = c if present is None else present & c
-        # Candidates must share the block: both soundex keys present.
-        present = present & F.col("first_sx").isNotNull() & F.col("last_sx").isNotNull()
+        # Name tiers need the block: both soundex keys present (the NPI tier does not).
+        if keys != NPI_TIER[2]:
+            present = present & F.col("first_sx").isNotNull() & F.col("last_sx").isNotNull()
         rows.append(F.when(present, F.struct(F.lit(rank).alias("tier"), *[c.alias(f"k{i}") for i, c in enumerate(comps)])))
     keyed = df.select(*payload, F.filter(F.array(*rows), lambda x: x.isNotNull()).alias("_tiers"))
     return keyed.select(*payload, F.explode_outer("_tiers").alias("t")).select(*payload, "t.*")
@@ -87,7 +92,7 @@ def _tier_rows(df: DataFrame, payload: list[str]) -> DataFrame:
 _TIER_SCALE = 10 ** 10  # NPIs are 10-digit numbers: tier * scale + npi orders by (tier, npi)
 
 
-def best_match(licenses: DataFrame, npi_raw: DataFrame) -> DataFrame:
+def best_match(licenses: DataFrame, npi_raw: DataFrame, npi_on_license_col: str | None = None) -> DataFrame:
     """JOIN3 + JOIN4 + WIN2 + SET4: one row per licence with its best NPI candidate (or no_match).
 
     Plan: NPI rows -> one row per tier key -> ``min(npi)`` per (tier, key);
@@ -99,15 +104,21 @@ def best_match(licenses: DataFrame, npi_raw: DataFrame) -> DataFrame:
     rows). The NPI attributes are then fetched only for the chosen NPIs.
     Nothing is emitted per candidate pair.
     """
+    tiers = ([NPI_TIER] + TIERS) if npi_on_license_col else TIERS
+    if npi_on_license_col:
+        licenses = licenses.withColumn("npi_key", F.trim(F.col(npi_on_license_col).cast("string")))
     lic = license_match_side(licenses)
-    npi = npi_match_side(npi_raw).withColumn("npi_long", F.col("npi_number").try_cast("long"))
+    npi = npi_match_side(npi_raw).withColumn("npi_long", F.col("npi_number").try_cast("long")) \
+        .withColumn("npi_key", F.col("npi_number"))
     npi_keys = _tier_rows(npi.filter(F.col("npi_long").isNotNull()),
-                          ["npi_long", "first_name", "last_name", "city", "state", "zip5", "first_sx", "last_sx"])
+                          ["npi_long", "first_name", "last_name", "city", "state", "zip5", "first_sx", "last_sx",
+                           "npi_key"], tiers)
     cand = npi_keys.filter(F.col("tier").isNotNull()).groupBy("tier", "k0", "k1", "k2", "k3") \
         .agg(F.min("npi_long").alias("m"))
     lic_cols = ["professional_id", "state_code", "license_number", "professional_type", "first_name", "last_name",
                 "city", "state", "zip5", "first_sx", "last_sx"]
-    j = _tier_rows(lic, lic_cols).join(cand, ["tier", "k0", "k1", "k2", "k3"], "left")
+    j = _tier_rows(lic, lic_cols + (["npi_key"] if npi_on_license_col else []), tiers).drop("npi_key") \
+        .join(cand, ["tier", "k0", "k1", "k2", "k3"], "left")
     code = F.when(F.col("m").isNotNull(), F.col("tier").cast("long") * _TIER_SCALE + F.col("m"))
     best = j.groupBy(*lic_cols).agg(F.min(code).alias("_b")).select(
         *lic_cols, (F.col("_b") / _TIER_SCALE).cast("int").alias("_tier"),
@@ -118,7 +129,7 @@ def best_match(licenses: DataFrame, npi_raw: DataFrame) -> DataFrame:
     out = best.join(attrs, "npi_long", "left")
     conf = F.lit(0)
     mtype = F.lit("no_match")
-    for rank, (score, name, _) in reversed(list(enumerate(TIERS))):
+    for rank, (score, name, _) in reversed(list(enumerate(tiers))):
         conf = F.when(F.col("_tier") == rank, F.lit(score)).otherwise(conf)
         mtype = F.when(F.col("_tier") == rank, F.lit(name)).otherwise(mtype)
     m = F.col("m")

@@ -58,7 +58,7 @@ def yes(c) -> F.Column:
     return F.upper(F.trim(C.col_(c))) == "YES"
 
 
-def stage_tx(raw: DataFrame, professional_type: str | None = None) -> DataFrame:
+def stage_tx(raw: DataFrame, professional_type: str | None = None, coalesce_flags: bool = False) -> DataFrame:
     """STG1-STG4: stage a Texas licence extract.
 
     ``professional_type`` names the file kind; when None the input carries a
@@ -66,6 +66,8 @@ def stage_tx(raw: DataFrame, professional_type: str | None = None) -> DataFrame:
     by its own type. Flags that do not apply to a type are ``false`` and
     text that does not apply is NULL, as the unified 42-column schema wants
     (SET1), so the result of several kinds is already union-compatible.
+    Permit flags keep the source's three-valued result (a missing permit
+    date gives NULL, not false) unless ``coalesce_flags`` is set.
     """
     df = _with_columns(raw, TX_RAW_COLUMNS)
     ptype = F.lit(professional_type) if professional_type else F.col("professional_type")
@@ -119,9 +121,11 @@ def stage_tx(raw: DataFrame, professional_type: str | None = None) -> DataFrame:
         yes("remedial_plns").alias("has_remedial_plans"),
         *extra,
     )
+    flag_cols = [c for c in STAGED_COLUMNS if c.startswith("has_")]
     return staged.select(
         C.surrogate_key("state_code", "professional_type", "license_number").alias("professional_id"),
-        *[c for c in STAGED_COLUMNS if c != "professional_id"], *extra)
+        *[F.coalesce(F.col(c), F.lit(False)).alias(c) if (coalesce_flags and c in flag_cols) else F.col(c)
+          for c in STAGED_COLUMNS if c != "professional_id"], *extra)
 
 
 def stage_tx_etn(raw: DataFrame) -> DataFrame:

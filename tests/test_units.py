@@ -274,3 +274,19 @@ def test_replaying_a_snapshot_changes_nothing(spark, tmp_path):
                    hist, ev, as_of="2025-06-30")
     assert rows(IO.read_current(spark, hist), "professional_id", "valid_from", "valid_to") == h1
     assert rows(IO.read_current(spark, ev), "event_id") == e1
+
+
+def test_optional_exact_npi_tier_and_flag_coalescing(spark):
+    npi = spark.createDataFrame([("1000000001", "1", "Ann", "Smith", "TX", "City1", "75001", "1223G0001X", None, "p1"),
+                                 ("1000000002", "1", "Bob", "Jones", "CA", "City9", "90001", "1223G0001X", None, "p2")],
+                                "npi string, entity_type_code string, first_name string, last_name string, practice_state string, "
+                                "practice_city string, practice_zip string, taxonomy_code string, deactivation_date string, practice_phone string")
+    lic = spark.createDataFrame([("k1", "TX", "L1", "dentist", "ANN", "SMITH", "City1", "TX", "75001", None, "1000000002")],
+                                "professional_id string, state_code string, license_number string, professional_type string, "
+                                "first_name string, last_name string, city string, address_state string, zip_code string, county string, npi string")
+    assert rows(M.best_match(lic, npi), "npi_number", "match_confidence") == [("1000000001", 95)]
+    assert rows(M.best_match(lic, npi, npi_on_license_col="npi"), "npi_number", "match_confidence", "match_type") == \
+        [("1000000002", 100, "exact_npi")]
+    raw = spark.createDataFrame([("L1", "dentist", None)], "lic_nbr string, professional_type string, nox_permit_dte string")
+    assert ST.stage_tx(raw).first().has_nitrous_oxide_permit is None
+    assert ST.stage_tx(raw, coalesce_flags=True).first().has_nitrous_oxide_permit is False
