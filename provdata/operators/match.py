@@ -61,7 +61,8 @@ def license_match_side(licenses: DataFrame) -> DataFrame:
         F.upper(F.trim("first_name")).alias("first_name"), F.upper(F.trim("last_name")).alias("last_name"),
         C.soundex_key("first_name").alias("first_sx"), C.soundex_key("last_name").alias("last_sx"),
         F.upper(F.trim("city")).alias("city"), F.upper(F.trim("address_state")).alias("state"),
-        C.zip5("zip_code").alias("zip5"), F.upper(F.trim("county")).alias("county"))
+        C.zip5("zip_code").alias("zip5"), F.upper(F.trim("county")).alias("county"),
+        *(["npi_key"] if "npi_key" in licenses.columns else []))
 
 
 # Optional first tier (decision D3): the licence record carries the NPI itself.
