@@ -153,6 +153,20 @@ def write_clustered(df: DataFrame, path: str, cluster_by: Sequence[str], partiti
     w.parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, key: Sequence[str], buckets: int, sort: bool = True) -> None:
+    """Write a catalog table bucketed (and sorted) on ``key``.
+
+    Tables joined repeatedly on the same key (providers and their golden
+    rows on the NPI, licences and history on the professional id) written
+    with the same bucket count join without any shuffle: Spark reads each
+    bucket pair as one partition.
+    """
+    w = df.write.mode("overwrite").bucketBy(buckets, *key)
+    if sort:
+        w = w.sortBy(*key)
+    w.saveAsTable(table)
+
+
 def write_by_type(df: DataFrame, path: str, col: str = "professional_type", max_records_per_file: int = 5_000_000) -> None:
     """SNK3: one directory per professional type (the combined table is the parent path).
 

@@ -48,3 +48,22 @@ def test_filters_and_columns_reach_the_parquet_scan(spark, tmp_path):
     # The scan reads only the columns the build uses.
     scan = [line for line in p.splitlines() if "ReadSchema" in line][0]
     assert "version" not in scan
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from pyspark.sql import functions as F
+    from provdata.sources import io as IO
+    from provdata.plans.q_providers import providers
+    from provdata.sources.bindings import binding
+    prov = providers(spark, SF_SMALL).select("npi", "practice_state", "practice_age_cohort")
+    enr = binding(spark, SF_SMALL, "enrichments").select(F.col("provider_id").alias("npi"), "source", "email")
+    IO.write_bucketed(prov, "t_prov_bucketed", ["npi"], 8)
+    IO.write_bucketed(enr, "t_enr_bucketed", ["npi"], 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("t_prov_bucketed").join(spark.table("t_enr_bucketed"), "npi")
+        p = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in p and "Exchange" not in p
+        assert j.count() == prov.join(enr, "npi").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
