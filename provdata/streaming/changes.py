@@ -28,15 +28,28 @@ from ..sources import io as IO
 
 
 def apply_snapshot(spark: SparkSession, raw_snapshot: DataFrame, day: str, history_base: str, events_base: str,
-                   check_cols: Sequence[str] = tuple(H.LICENSE_CHECK_COLS), as_of: str | None = None) -> None:
-    """Apply one raw snapshot (all licence kinds of one date) to the versioned history and events."""
+                   check_cols: Sequence[str] = tuple(H.LICENSE_CHECK_COLS), as_of: str | None = None,
+                   max_delta_pct: float | None = 0.20) -> str:
+    """Apply one raw snapshot (all licence kinds of one date) to the versioned history and events.
+
+    A partial file must not close most of the history: when the snapshot's
+    key count differs from the open versions by more than ``max_delta_pct``
+    (the row-count-delta rule) the load is refused and nothing is written.
+    Returns 'applied' or 'refused'.
+    """
     staged = ST.stage_tx(raw_snapshot)
     snap = latest_per_key(staged, ["professional_id"], [F.col("source_license_id")])
     hist = IO.read_current(spark, history_base)
+    if hist is not None and max_delta_pct is not None:
+        open_n = hist.filter(F.col("valid_to").isNull()).select(F.count(F.lit(1))).scalar()
+        delta = snap.select((F.abs(F.count(F.lit(1)) - open_n) / F.greatest(open_n, F.lit(1))).alias("d")).first()["d"]
+        if delta is not None and delta > max_delta_pct:
+            return "refused"
     IO.write_version(spark, H.scd2_apply(hist, snap, "professional_id", list(check_cols), day), history_base)
     prev_events = IO.read_current(spark, events_base)
     ev = E.license_events(IO.read_current(spark, history_base), as_of or day, previous_events=prev_events)
     IO.upsert(spark, events_base, ev, ["event_id"], mode="insert_only")
+    return "applied"
 
 
 def change_events_stream(spark: SparkSession, snapshot_dir: str, schema, history_base: str, events_base: str,

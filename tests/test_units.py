@@ -290,3 +290,18 @@ def test_optional_exact_npi_tier_and_flag_coalescing(spark):
     raw = spark.createDataFrame([("L1", "dentist", None)], "lic_nbr string, professional_type string, nox_permit_dte string")
     assert ST.stage_tx(raw).first().has_nitrous_oxide_permit is None
     assert ST.stage_tx(raw, coalesce_flags=True).first().has_nitrous_oxide_permit is False
+
+
+def test_partial_snapshot_is_refused(spark, tmp_path):
+    from provdata.sources import io as IO
+    from provdata.sources.bindings import binding
+    from provdata.streaming.changes import apply_snapshot
+    from tests.conftest import SF_SMALL
+    raw = binding(spark, SF_SMALL, "tx_license_raw")
+    hist, ev = str(tmp_path / "h"), str(tmp_path / "e")
+    day0 = raw.filter(F.col("snapshot_date") == "2025-06-29").drop("snapshot_date")
+    assert apply_snapshot(spark, day0, "2025-06-29", hist, ev) == "applied"
+    before = IO.current_version(spark, hist)
+    partial = raw.filter((F.col("snapshot_date") == "2025-06-30") & (F.col("lic_id") % 2 == 0)).drop("snapshot_date")
+    assert apply_snapshot(spark, partial, "2025-06-30", hist, ev) == "refused"
+    assert IO.current_version(spark, hist) == before
