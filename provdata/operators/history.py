@@ -88,6 +88,25 @@ def scd2_apply(history: DataFrame | None, snapshot: DataFrame, key: str, check_c
     return closed.unionByName(rows.select("r.*"))
 
 
+def build_history(snapshots: DataFrame, key: str, check_cols: Sequence[str], dates: Sequence[str],
+                  date_col: str = "snapshot_date", checkpoint_every: int = 8) -> DataFrame:
+    """HIS1 over many snapshots: apply them in date order.
+
+    Each step's plan contains the previous one, so lineage grows with the
+    number of snapshots; every ``checkpoint_every`` steps the history is
+    checkpointed (reliable checkpoint under ``spark.checkpoint.dir``, which
+    survives executor loss) and the plan restarts from the written data.
+    ``dates`` is the (small) list of snapshot dates, not data.
+    """
+    hist = None
+    for i, day in enumerate(sorted(dates)):
+        snap = snapshots.filter(F.col(date_col) == day).drop(date_col)
+        hist = scd2_apply(hist, snap, key, check_cols, day)
+        if checkpoint_every and (i + 1) % checkpoint_every == 0:
+            hist = hist.checkpoint(eager=True)
+    return hist
+
+
 def scd2_from_changes(log: DataFrame, key: str, value_cols: Sequence[str], order: Sequence[str],
                       bucket: Column | None = None) -> DataFrame:
     """HIS2: whole history from an ordered change log in one pass.

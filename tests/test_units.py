@@ -305,3 +305,12 @@ def test_partial_snapshot_is_refused(spark, tmp_path):
     partial = raw.filter((F.col("snapshot_date") == "2025-06-30") & (F.col("lic_id") % 2 == 0)).drop("snapshot_date")
     assert apply_snapshot(spark, partial, "2025-06-30", hist, ev) == "refused"
     assert IO.current_version(spark, hist) == before
+
+
+def test_build_history_with_checkpoints_equals_stepwise(spark):
+    from provdata.plans.q_staging import history, snapshots
+    from tests.conftest import SF_SMALL
+    got = H.build_history(snapshots(spark, SF_SMALL), "professional_id", H.LICENSE_CHECK_COLS,
+                          ["2025-06-30", "2025-06-29"], checkpoint_every=1)
+    cols = ["professional_id", "status_category", "valid_from", "valid_to"]
+    assert rows(got, *cols) == rows(history(spark, SF_SMALL), *cols)
