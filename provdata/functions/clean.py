@@ -178,3 +178,13 @@ def percent(num: Column, den: Column, scale: int = 1) -> Column:
     """
     raw = num.cast("double") * 100 / F.nullif(den, F.lit(0)).cast("double")
     return F.round(raw.cast("decimal(20,6)"), scale).cast("double")
+
+
+def money(c: Column, scale: int = 6) -> Column:
+    """A sum or average of non-integral doubles rounded on an exact decimal.
+
+    Double addition is not associative, so the last bits of a sum depend on
+    the order partitions are combined in; rounding on a decimal makes the
+    value independent of that order (and equal across engines).
+    """
+    return F.round(c.cast("decimal(38,12)"), scale).cast("double")

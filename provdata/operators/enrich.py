@@ -250,14 +250,14 @@ def enrichment_cost_rollup(results: DataFrame, cost_per_credit: dict[str, float]
         F.count_if(found).cast("bigint").alias("credits_used"),
         F.count(F.lit(1)).alias("records_enriched"),
         F.count_if(found).cast("bigint").alias("records_found"),
-        F.sum(F.when(found, price).otherwise(0.0)).alias("total_cost_usd"),
+        C.money(F.sum(F.when(found, price).otherwise(0.0))).alias("total_cost_usd"),
         F.count_if(F.col("email").isNotNull()).alias("_emails"),
         F.count_if(F.col("phone").isNotNull()).alias("_phones"))
     return g.select(
         "date", "source", "credits_used", "records_enriched", "records_found",
         (F.col("records_found").cast("double") / F.col("records_enriched")).alias("success_rate"),
         "total_cost_usd",
-        (F.col("total_cost_usd") / F.nullif(F.col("records_found"), F.lit(0))).alias("cost_per_enriched_record"),
+        C.money(F.col("total_cost_usd") / F.nullif(F.col("records_found"), F.lit(0))).alias("cost_per_enriched_record"),
         C.percent(F.col("_emails"), F.col("records_enriched")).alias("email_found_pct"),
         C.percent(F.col("_phones"), F.col("records_enriched")).alias("phone_found_pct"))
 

@@ -281,7 +281,7 @@ def export_daily_summary(history: DataFrame, config: DataFrame) -> DataFrame:
     h = history.join(F.broadcast(config.select("destination", "cost_per_record")), "destination", "left")
     return h.groupBy(F.to_date("sent_at").alias("send_date"), "destination").agg(
         F.count(F.lit(1)).alias("total_sent"),
-        F.sum(F.coalesce("cost_per_record", F.lit(0.0))).alias("estimated_cost"),
+        C.money(F.sum(F.coalesce("cost_per_record", F.lit(0.0)))).alias("estimated_cost"),
         F.count_if(F.col("delivery_status") == "bounced").cast("bigint").alias("bounces"),
         F.count_if(F.col("delivery_status") == "complained").cast("bigint").alias("complaints"))
 

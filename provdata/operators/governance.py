@@ -121,7 +121,8 @@ def load_health(loads: DataFrame, as_of: str, days: int = 30) -> DataFrame:
         F.count_if(F.col("status") == "promoted").cast("bigint").alias("promoted_loads"),
         F.count_if(F.col("status") == "quarantined").cast("bigint").alias("quarantined_loads"),
         F.avg(F.col("row_count").cast("double")).alias("avg_row_count"),
-        F.avg(F.col("row_count_delta_pct").cast("double")).alias("avg_delta_pct"))
+        F.round(F.avg(F.col("row_count_delta_pct").cast("double")).cast("decimal(38,12)"), 6).cast("double")
+        .alias("avg_delta_pct"))
 
 
 def register_load(loads: DataFrame, new_loads: DataFrame, as_of: str) -> DataFrame:

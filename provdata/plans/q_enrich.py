@@ -172,8 +172,9 @@ COSTS = {"apollo": 0.10, "wiza": 0.15, "scraped": 0.0}
     count_if(email is not null) as e, count_if(phone is not null) as p
   from enrichments where source <> 'npi' group by 1, 2)
 select date, source, credits_used, records_enriched, records_found,
-  cast(records_found as double) / records_enriched as success_rate, cast(total_cost_usd as double) as total_cost_usd,
-  cast(total_cost_usd as double) / nullif(records_found, 0) as cost_per_enriched_record,
+  cast(records_found as double) / records_enriched as success_rate,
+  cast(round(cast(cast(total_cost_usd as double) as decimal(38,12)), 6) as double) as total_cost_usd,
+  cast(round(cast(cast(round(cast(cast(total_cost_usd as double) as decimal(38,12)), 6) as double) / nullif(records_found, 0) as decimal(38,12)), 6) as double) as cost_per_enriched_record,
   cast(round(cast(cast(e as double) * 100 / cast(records_enriched as double) as decimal(20,6)), 1) as double) as email_found_pct,
   cast(round(cast(cast(p as double) * 100 / cast(records_enriched as double) as decimal(20,6)), 1) as double) as phone_found_pct
 from g

@@ -202,7 +202,7 @@ def q_rate_limited(spark, sf):
 
 @query("export_daily_summary", sql_cte("export_queue", "export_history") + f""", {_CFG}
 select cast(sent_at as date) as send_date, h.destination, count(*) as total_sent,
-  sum(coalesce(c.cost_per_record, 0.0)) as estimated_cost,
+  cast(round(cast(sum(coalesce(c.cost_per_record, 0.0)) as decimal(38,12)), 6) as double) as estimated_cost,
   cast(count_if(delivery_status = 'bounced') as bigint) as bounces,
   cast(count_if(delivery_status = 'complained') as bigint) as complaints
 from export_history h left join cfg c on h.destination = c.destination group by 1, 2

@@ -209,7 +209,8 @@ def q_reversals(spark, sf):
 select source_type, state_code, max(source_date) as latest_source_date, max(loaded_at) as latest_load,
   cast(count_if(status = 'promoted') as bigint) as promoted_loads,
   cast(count_if(status = 'quarantined') as bigint) as quarantined_loads,
-  avg(cast(row_count as double)) as avg_row_count, avg(cast(row_count_delta_pct as double)) as avg_delta_pct
+  avg(cast(row_count as double)) as avg_row_count,
+  cast(round(cast(avg(cast(row_count_delta_pct as double)) as decimal(38,12)), 6) as double) as avg_delta_pct
 from data_loads where loaded_at >= cast(date '{AS_OF}' - 30 as timestamp) group by source_type, state_code
 """, "AGG18")
 def q_load_health(spark, sf):

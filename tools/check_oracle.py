@@ -27,13 +27,16 @@ from provdata.session import build_session  # noqa: E402
 from provdata.sources.bindings import DRIVER_TABLES  # noqa: E402
 
 
+STRICT = False
+
+
 def norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return v if STRICT else round(v, 6)
     if isinstance(v, decimal.Decimal):
         return round(float(v), 6)
     if isinstance(v, dt.datetime):
@@ -101,8 +104,11 @@ def compare(spark, con, q, sf: str) -> tuple[list[str], int]:
 def main() -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--strict", action="store_true", help="compare doubles bit for bit")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
+    global STRICT
+    STRICT = args.strict
     spark = build_session()
     con = duck(args.sf)
     reg = load_all()
