@@ -27,6 +27,40 @@ DENTAL_TAXONOMY = [
     ("1223X2210X", "Orofacial Pain"),
 ]
 
+# --- FIXED VALUES: mental-health taxonomy dimension (code, category, specialty name, is facility)
+MENTAL_HEALTH_TAXONOMY = [
+    ("101Y00000X", "Counselor", "Counselor (General)", False),
+    ("101YM0800X", "Counselor", "Mental Health Counselor", False),
+    ("101YA0400X", "Counselor", "Addiction Counselor", False),
+    ("101YP2500X", "Counselor", "Professional Counselor", False),
+    ("101YP1600X", "Counselor", "Pastoral Counselor", False),
+    ("101YS0200X", "Counselor", "School Counselor", False),
+    ("1041C0700X", "Social Worker", "Clinical Social Worker", False),
+    ("106H00000X", "Therapist", "Marriage & Family Therapist", False),
+    ("103T00000X", "Psychologist", "Psychologist (General)", False),
+    ("103TC0700X", "Psychologist", "Clinical Psychologist", False),
+    ("103TC1900X", "Psychologist", "Counseling Psychologist", False),
+    ("103TC2200X", "Psychologist", "Child Psychologist", False),
+    ("103TS0200X", "Psychologist", "School Psychologist", False),
+    ("103TB0200X", "Psychologist", "Behavioral Psychologist", False),
+    ("103TA0400X", "Psychologist", "Addiction Psychologist", False),
+    ("2084P0800X", "Psychiatrist", "Psychiatrist", False),
+    ("2084P0804X", "Psychiatrist", "Addiction Psychiatrist", False),
+    ("261QM0801X", "Facility", "Mental Health Clinic", True),
+    ("261QM0850X", "Facility", "Adult Mental Health Clinic", True),
+    ("261QM0855X", "Facility", "Child Mental Health Clinic", True),
+    ("261QM1300X", "Facility", "Multi-Specialty Mental Health", True),
+    ("261QM1200X", "Facility", "MHMR Center", True),
+    ("261QM2500X", "Facility", "Medical Specialty Clinic", True),
+    ("261QM2800X", "Facility", "Methadone Clinic", True),
+    ("261QR0400X", "Facility", "Rehabilitation Clinic", True),
+    ("261QR0405X", "Facility", "Substance Use Rehab", True),
+    ("261QR1300X", "Facility", "Rural Health Clinic", True),
+    ("261QR0200X", "Facility", "Physical Rehab Clinic", True),
+    ("324500000X", "Facility", "Substance Abuse Facility", True),
+    ("283Q00000X", "Facility", "Psychiatric Hospital", True),
+]
+
 # --- FIXED VALUES: taxonomy codes accepted by the NPI-licence match ---------
 MATCH_TAXONOMY_CODES = [
     "1223G0001X", "122300000X", "1223D0001X", "1223E0200X", "1223P0106X",

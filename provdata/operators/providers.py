@@ -187,3 +187,16 @@ def v_organizations(providers: DataFrame, us_only: bool = True) -> DataFrame:
         F.col("primary_taxonomy_code").alias("taxonomy_code"), "auth_official_full_name",
         "auth_official_credential", "auth_official_phone", "practice_age_cohort",
         F.lit("Organization").alias("record_type"))
+
+
+def mental_health_taxonomy_dim(spark) -> DataFrame:
+    return spark.createDataFrame(refdata.MENTAL_HEALTH_TAXONOMY,
+                                 "taxonomy_code string, provider_category string, specialty_name string, "
+                                 "is_facility boolean")
+
+
+def mental_health_providers(npi_raw: DataFrame, dim: DataFrame, as_of: str) -> DataFrame:
+    """Mental-health variant of the provider build (FLT2 with nine prefixes, JOIN1 with the
+    30-row category dimension: provider_category, specialty_name, is_facility)."""
+    base = clean_providers(npi_raw, as_of, prefixes=refdata.MENTAL_HEALTH_PREFIXES)
+    return with_taxonomy(base, dim)

@@ -339,8 +339,15 @@ def q_innovation_ready(spark, sf):
 _MH_FILTER = " or ".join(f"starts_with(taxonomy_code, '{p}')" for p in refdata.MENTAL_HEALTH_PREFIXES)
 MH_SQL = PROVIDERS_SQL.replace("where starts_with(taxonomy_code, '1223')", f"where ({_MH_FILTER})")
 assert MH_SQL != PROVIDERS_SQL
+_MH_TAX = " union all ".join(
+    f"select '{c}' as taxonomy_code, '{cat}' as provider_category, '{n.replace(chr(39), chr(39) * 2)}' as specialty_name, "
+    f"{str(f).lower()} as is_facility" for c, cat, n, f in refdata.MENTAL_HEALTH_TAXONOMY)
 
 
-@query("clean_mental_health_providers", MH_SQL + "select * from providers", "FLT2 (mental-health prefixes), PRJ*, WIN1")
+@query("clean_mental_health_providers", MH_SQL + f"""
+, mh_tax as ({_MH_TAX})
+select p.*, t.provider_category, t.specialty_name, t.is_facility
+from providers p left join mh_tax t on p.primary_taxonomy_code = t.taxonomy_code
+""", "FLT2 (mental-health prefixes), JOIN1 (category dimension), PRJ*, WIN1")
 def q_mental_health(spark, sf):
-    return P.clean_providers(binding(spark, sf, "npi_raw"), AS_OF, prefixes=refdata.MENTAL_HEALTH_PREFIXES)
+    return P.mental_health_providers(binding(spark, sf, "npi_raw"), P.mental_health_taxonomy_dim(spark), AS_OF)
