@@ -9,6 +9,9 @@ from ..functions import clean as C
 from .history import current_view
 
 
+PASSTHROUGH = ["entity_number", "status_description", "middle_name", "former_last_name", "gender", "birth_year", "graduation_year", "school_name", "address_line_1", "address_line_2", "country", "phone", "practice_description", "has_nitrous_oxide_permit", "has_anesthesia_level_1", "has_anesthesia_level_2", "has_anesthesia_level_3", "has_anesthesia_level_4", "has_portability", "has_sealant_certification", "has_nitrous_monitoring", "has_local_infiltration_anesthesia", "has_disciplinary_action", "has_remedial_plans"]
+
+
 def dim_professionals(history: DataFrame, as_of: str) -> DataFrame:
     """DIM1: current version per professional with expiry status, sedation level, segment and priority.
 
@@ -49,4 +52,6 @@ def dim_professionals(history: DataFrame, as_of: str) -> DataFrame:
         .when((ptype == "dentist") & F.col("specialty_code").isin("OMS", "PERI", "ORTH"), 4)
         .when(ptype == "dentist", 3).when(ptype == "hygienist", 2).otherwise(1)
         .alias("marketing_priority_score"),
-        F.col("valid_from").alias("record_valid_from"))
+        F.col("valid_from").alias("record_valid_from"),
+        # Licence attributes carried through unchanged.
+        *PASSTHROUGH)

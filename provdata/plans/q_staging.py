@@ -326,7 +326,7 @@ select professional_id, state_code, professional_type, source_license_id, licens
        when professional_type = 'dentist' and has_anesthesia_level_4 then 5
        when professional_type = 'dentist' and specialty_code in ('OMS', 'PERI', 'ORTH') then 4
        when professional_type = 'dentist' then 3 when professional_type = 'hygienist' then 2 else 1 end as marketing_priority_score,
-  valid_from as record_valid_from
+  valid_from as record_valid_from, entity_number, status_description, middle_name, former_last_name, gender, birth_year, graduation_year, school_name, address_line_1, address_line_2, country, phone, practice_description, has_nitrous_oxide_permit, has_anesthesia_level_1, has_anesthesia_level_2, has_anesthesia_level_3, has_anesthesia_level_4, has_portability, has_sealant_certification, has_nitrous_monitoring, has_local_infiltration_anesthesia, has_disciplinary_action, has_remedial_plans
 from history where valid_to is null
 """, "DIM1, HIS4")
 def q_dim(spark, sf):
