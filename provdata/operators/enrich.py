@@ -176,7 +176,8 @@ def golden(matches: DataFrame, licenses: DataFrame, npi: DataFrame, enrichment:
         F.col("enr.linkedin_url").alias("linkedin_url"), F.col("enr.linkedin_source").alias("linkedin_source"),
         F.col("enr.website").alias("website"), F.col("enr.website_source").alias("website_source"),
         *[v.alias(k) for k, v in addr.items()],
-        F.col("lic.address_line_1").alias("license_address1"), F.col("lic.city").alias("license_city"),
+        F.col("lic.address_line_1").alias("license_address1"), F.col("lic.address_line_2").alias("license_address2"),
+        F.col("lic.city").alias("license_city"),
         F.col("lic.address_state").alias("license_state_addr"), F.col("lic.zip_code").alias("license_zip"),
         F.col("lic.county").alias("county"),
         F.col("lic.status_category").alias("license_status"), F.col("lic.status_code").alias("license_status_code"),
@@ -184,6 +185,9 @@ def golden(matches: DataFrame, licenses: DataFrame, npi: DataFrame, enrichment:
         F.col("lic.license_expiration_date").alias("license_expiration_date"),
         F.col("lic.practice_description").alias("practice_type"),
         F.col("lic.specialty_code").alias("specialty_codes"),
+        F.col("lic.has_disciplinary_action").alias("disciplinary_action"),
+        F.col("lic.school_name").alias("school"), F.col("lic.graduation_year").alias("graduation_year"),
+        F.col("lic.birth_year").alias("birth_year"),
         F.coalesce(F.col("enr.company_name"), F.col("npi.organization_name")).alias("company_name"),
         # The source labels the company 'npi' even when there is none (kept).
         F.coalesce(F.col("enr.company_source"), F.lit("npi")).alias("company_source"),

@@ -70,10 +70,12 @@ golden as (
     cast(null as varchar) as fax, e.linkedin_url, e.linkedin_source, e.website, e.website_source,
     coalesce(cast(null as varchar), l.address_line_1) as address1, coalesce(cast(null as varchar), l.address_line_2) as address2,
     coalesce(n.practice_city, l.city) as city, coalesce(n.practice_state, l.address_state) as state,
-    coalesce(n.practice_zip, l.zip_code) as zip_code, l.address_line_1 as license_address1, l.city as license_city,
+    coalesce(n.practice_zip, l.zip_code) as zip_code, l.address_line_1 as license_address1,
+    l.address_line_2 as license_address2, l.city as license_city,
     l.address_state as license_state_addr, l.zip_code as license_zip, l.county, l.status_category as license_status,
     l.status_code as license_status_code, l.license_issue_date as license_original_date, l.license_expiration_date,
     l.practice_description as practice_type, l.specialty_code as specialty_codes,
+    l.has_disciplinary_action as disciplinary_action, l.school_name as school, l.graduation_year, l.birth_year,
     coalesce(e.company_name, n.organization_name) as company_name, coalesce(e.company_source, 'npi') as company_source,
     e.title, e.employee_count, m.match_confidence, m.match_type, m.needs_manual_review, m.auto_approve_for_email,
     m.auto_approve_for_mail, coalesce(e.enrichment_score, 0) as enrichment_score,
