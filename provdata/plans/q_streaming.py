@@ -48,6 +48,17 @@ def q_attribution_daily(spark, sf):
     return L.attribution_rollup(touchpoints(spark, sf))
 
 
+@query("attribution_sliding", _TP + """
+, hops as (select *, unnest(range(0, 4)) as h from touchpoints),
+w as (select *, date_trunc('hour', event_timestamp) - interval 1 hour * (hour(event_timestamp) % 6) - interval 6 hour * h
+        as window_start from hops)
+select window_start, window_start + interval 1 day as window_end, channel, campaign_id, event_type, count(*) as touchpoints
+from w group by all
+""", "STR2 (sliding 1-day windows every 6 hours, batch twin)")
+def q_attribution_sliding(spark, sf):
+    return L.attribution_rollup(touchpoints(spark, sf), window="1 day", slide="6 hours")
+
+
 @query("channel_attribution", _TP + """
 select channel, campaign_id, event_type, count(*) as touchpoints, count(distinct lead_id) as leads
 from touchpoints group by all

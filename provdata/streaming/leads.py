@@ -55,9 +55,11 @@ def lead_stage(tp: DataFrame) -> DataFrame:
     return g.select("lead_id", "stage_rank", name.alias("current_stage"))
 
 
-def attribution_rollup(tp: DataFrame, ts: str = "event_timestamp", window: str = "1 day") -> DataFrame:
-    """STR2: touchpoints per tumbling window, channel, campaign and event type."""
-    return tp.groupBy(F.window(ts, window).alias("w"), "channel", "campaign_id", "event_type").agg(
+def attribution_rollup(tp: DataFrame, ts: str = "event_timestamp", window: str = "1 day",
+                       slide: str | None = None) -> DataFrame:
+    """STR2: touchpoints per tumbling (or, with ``slide``, sliding) window, channel, campaign and event type."""
+    w = F.window(ts, window, slide) if slide else F.window(ts, window)
+    return tp.groupBy(w.alias("w"), "channel", "campaign_id", "event_type").agg(
         F.count(F.lit(1)).alias("touchpoints")) \
         .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                 "channel", "campaign_id", "event_type", "touchpoints")
