@@ -40,12 +40,6 @@ def _struct(side: str, cols: Sequence[str], extra: str) -> str:
     return f"named_struct({fields}, {extra})"
 
 
-def empty_history(snapshot: DataFrame) -> DataFrame:
-    return snapshot.select("*", F.lit(None).cast("string").alias("scd_id"),
-                           F.lit(None).cast("timestamp_ntz").alias("valid_from"),
-                           F.lit(None).cast("timestamp_ntz").alias("valid_to")).limit(0)
-
-
 def scd2_apply(history: DataFrame | None, snapshot: DataFrame, key: str, check_cols: Sequence[str],
                as_of: str, close_missing: bool = True) -> DataFrame:
     """HIS1: apply one full snapshot to a type-2 history.

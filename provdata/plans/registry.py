@@ -63,6 +63,6 @@ def query(name: str, oracle: str | None, operators: str):
 
 def load_all() -> dict[str, Query]:
     # Importing the modules registers their queries.
-    from . import (q_providers, q_staging, q_match, q_enrich, q_history,  # noqa: F401
+    from . import (q_providers, q_staging, q_match, q_enrich,  # noqa: F401
                    q_governance, q_export, q_streaming, q_people, q_ops, q_io, q_more, q_gov2, q_connectors)
     return REGISTRY
