@@ -144,3 +144,27 @@ def run_available_now(df: DataFrame, checkpoint_dir: str, query_name: str, mode:
     if q.exception():
         raise q.exception()
     return spark.table(query_name)
+
+
+def run_upsert_stream(df: DataFrame, key: list[str], base: str, checkpoint_dir: str, available_now: bool = True,
+                      timeout_s: int = 600):
+    """Run an aggregating stream in update mode into a versioned table keyed by ``key``.
+
+    Each micro-batch carries the keys whose aggregate changed; they replace
+    their rows in the current version (``io.upsert``) and a new version is
+    published by its commit marker. A replayed micro-batch re-merges the same
+    rows, so the table ends up identical (exactly-once result).
+    """
+    from ..sources import io as IO
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        IO.upsert(batch.sparkSession, base, batch, key, mode="replace")
+
+    w = df.writeStream.outputMode("update").foreachBatch(merge).option("checkpointLocation", checkpoint_dir)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    q = w.start()
+    if available_now:
+        q.awaitTermination(timeout_s)
+        if q.exception():
+            raise q.exception()
+    return q

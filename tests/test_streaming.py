@@ -68,3 +68,24 @@ def test_attribution_windows_stream_equals_batch(spark):
     out = out.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c.startswith("window_") else F.col(c)
                        for c in out.columns])
     assert _rows(out.select(*batch.columns)) == _rows(batch)
+
+
+def test_lead_rollup_update_stream_into_versioned_table(spark):
+    import os
+    from provdata.sources import io as IO
+    root = tempfile.mkdtemp(prefix="upd-")
+    src = os.path.join(root, "events")
+    # The events arrive as several files, so the stream runs several micro-batches.
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    for i in range(3):
+        ev.filter(F.col("event_id") % 3 == i).coalesce(1).write.mode("append").parquet(src)
+    schema = spark.read.parquet(src).schema
+    raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    from provdata.sources.bindings import TOUCHPOINTS
+    tp = spark.sql(TOUCHPOINTS, events=raw).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
+    L.run_upsert_stream(L.lead_rollup(tp), ["lead_id"], os.path.join(root, "rollup"), os.path.join(root, "ck"))
+    got = IO.read_current(spark, os.path.join(root, "rollup"))
+    got = got.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c.endswith("_at") else F.col(c) for c in got.columns])
+    batch = L.lead_rollup(binding(spark, SF_SMALL, "touchpoints"))
+    assert _rows(got.select(*batch.columns)) == _rows(batch)
+    assert IO.current_version(spark, os.path.join(root, "rollup")) >= 3
