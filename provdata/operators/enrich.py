@@ -110,10 +110,18 @@ def first_success(df: DataFrame, providers: list[str]) -> DataFrame:
     return df.select("*", hit.provider.alias("enriched_by"), hit.result.alias("enrichment_result"))
 
 
-def npi_details(npi_raw: DataFrame) -> DataFrame:
-    """Individual NPI rows, one per NPI (latest update; the raw file repeats NPIs)."""
+def npi_details(npi_raw: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    """Individual NPI rows, one per NPI (latest update; the raw file repeats NPIs).
+
+    ``only`` (a column ``npi_number``) restricts the registry to those NPIs
+    before the de-duplication, e.g. to the NPIs a match actually chose.
+    """
     from .providers import latest_per_key
-    ind = npi_raw.filter(F.col("entity_type_code") == "1").select(
+    ind = npi_raw.filter(F.col("entity_type_code") == "1")
+    if only is not None:
+        keep = only.select(F.col("npi_number").alias("_keep")).where(F.col("_keep").isNotNull()).distinct()
+        ind = ind.join(keep, F.col("npi").cast("string") == F.col("_keep"), "left_semi")
+    ind = ind.select(
         F.col("npi").cast("string").alias("npi_number"),
         F.col("first_name").alias("provider_first_name"), F.col("last_name").alias("provider_last_name"),
         *[F.col(c) if c in npi_raw.columns else F.lit(None).cast("string").alias(c)

@@ -103,7 +103,9 @@ def enrichments(spark, sf):
 @per_session
 def golden(spark, sf):
     lic = snapshot(spark, sf, SNAP1)
-    return N.golden(matches(spark, sf), lic, N.npi_details(binding(spark, sf, "npi_raw")),
+    m = matches(spark, sf)
+    # Attributes are needed only for the NPIs the match chose.
+    return N.golden(m, lic, N.npi_details(binding(spark, sf, "npi_raw"), only=m),
                     N.waterfall(enrichments(spark, sf)), AS_OF)
 
 
