@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from ..operators import enrich as N
 from ..sources.bindings import AS_OF, ENRICHMENTS, binding, sql_cte

@@ -10,7 +10,7 @@ from ..operators import governance as G
 from ..operators import people as PE
 from ..operators import validate as V
 from ..operators import enrich as N
-from ..sources.bindings import AS_OF, CONTACT_IMPORT, DATA_LOADS, ENRICHMENTS, EXPORT_QUEUE, binding, data_loads, sql_cte
+from ..sources.bindings import AS_OF, CONTACT_IMPORT, DATA_LOADS, ENRICHMENTS, EXPORT_QUEUE, binding, data_loads
 from .q_governance import _TX_VALIDATION_SQL, _tx_raw
 from .q_providers import PROVIDERS_SQL, providers
 from .q_enrich import WATERFALL_CTE
