@@ -27,17 +27,22 @@ def infer_role(title: str | Column) -> Column:
 
 
 def _people_side(individuals: DataFrame, keys: list[str], i: int) -> DataFrame:
-    best = F.min(F.struct("npi", "display_name", "first_name", "last_name", "credential", "gender",
-                          "practice_phone_clean", "primary_taxonomy_code"))
-    return individuals.groupBy(*[F.col(k).alias(f"_k{i}_{k}") for k in keys]).agg(best.alias(f"_m{i}"))
+    # Fixed-width min(npi) per key: a hash aggregate that combines map-side.
+    return individuals.groupBy(*[F.col(k).alias(f"_k{i}_{k}") for k in keys]).agg(F.min("_npi_long").alias(f"_m{i}"))
 
 
 def decision_makers(providers: DataFrame) -> DataFrame:
-    """JOIN13 (reconstructed): one owner per organisation whose authorised official is a listed dentist."""
+    """JOIN13 (reconstructed): one owner per organisation whose authorised official is a listed dentist.
+
+    Tier HIGH (same name, state and city) then MEDIUM (same name and state),
+    lowest NPI within a tier; the owner's attributes are fetched only for the
+    chosen NPIs.
+    """
     ind = providers.filter(F.col("entity_type") == "Individual").select(
         "*", F.upper(F.trim("first_name")).alias("fn"), F.upper(F.trim("last_name")).alias("ln"),
-        F.upper(F.trim("practice_state")).alias("st"), F.upper(F.trim("practice_city")).alias("ct"))
-    ind = ind.filter(F.col("fn").isNotNull() & F.col("ln").isNotNull())
+        F.upper(F.trim("practice_state")).alias("st"), F.upper(F.trim("practice_city")).alias("ct"),
+        F.col("npi").try_cast("long").alias("_npi_long"))
+    ind = ind.filter(F.col("fn").isNotNull() & F.col("ln").isNotNull() & F.col("_npi_long").isNotNull())
     org = providers.filter((F.col("entity_type") == "Organization")
                            & F.col("auth_official_first_name").isNotNull()
                            & F.col("auth_official_last_name").isNotNull()).select(
@@ -53,18 +58,22 @@ def decision_makers(providers: DataFrame) -> DataFrame:
             c = F.col(k) == F.col(f"_k{i}_{k}")
             cond = c if cond is None else cond & c
         out = out.join(t, cond, "left").drop(*[f"_k{i}_{k}" for k in keys])
-    m = F.coalesce(F.col("_m0"), F.col("_m1"))
-    return out.filter(m.isNotNull()).select(
+    chosen_npi = F.coalesce(F.col("_m0"), F.col("_m1"))
+    out = out.filter(chosen_npi.isNotNull()).select(
+        "*", chosen_npi.alias("_owner"), F.when(F.col("_m0").isNotNull(), "HIGH").otherwise("MEDIUM").alias("_conf"))
+    owners = ind.join(out.select(F.col("_owner").alias("_npi_long")).distinct(), "_npi_long", "left_semi").select(
+        F.col("_npi_long").alias("_owner"), F.col("npi").alias("owner_npi"), F.col("display_name").alias("owner_name"),
+        F.col("first_name").alias("owner_first_name"), F.col("last_name").alias("owner_last_name"),
+        F.col("credential").alias("owner_credential"), F.col("gender").alias("owner_gender"),
+        F.col("practice_phone_clean").alias("owner_phone"), F.col("primary_taxonomy_code").alias("owner_taxonomy"))
+    j = out.join(owners, "_owner", "left")
+    return j.select(
         F.col("npi").alias("organization_npi"), "organization_name", "dba_name",
         F.col("practice_address_full").alias("org_address"), F.col("practice_city").alias("org_city"),
         F.col("practice_state").alias("org_state"), F.col("practice_zip").alias("org_zip"),
         F.col("practice_phone_clean").alias("org_phone"),
-        m.npi.alias("owner_npi"), m.display_name.alias("owner_name"), m.first_name.alias("owner_first_name"),
-        m.last_name.alias("owner_last_name"), m.credential.alias("owner_credential"),
-        m.gender.alias("owner_gender"), m.practice_phone_clean.alias("owner_phone"),
-        m.primary_taxonomy_code.alias("owner_taxonomy"),
-        F.when(F.col("_m0").isNotNull(), "HIGH").otherwise("MEDIUM").alias("match_confidence"),
-        "practice_age_cohort")
+        "owner_npi", "owner_name", "owner_first_name", "owner_last_name", "owner_credential", "owner_gender",
+        "owner_phone", "owner_taxonomy", F.col("_conf").alias("match_confidence"), "practice_age_cohort")
 
 
 def credential_category(cred: str | Column) -> Column:
