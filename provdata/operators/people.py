@@ -147,15 +147,20 @@ def match_import(contacts: DataFrame, providers: DataFrame) -> DataFrame:
     from .metrics import PERSONAL_DOMAINS
     ind = providers.filter(F.col("entity_type") == "Individual").select(
         F.upper(F.trim("first_name")).alias("_fn"), F.upper(F.trim("last_name")).alias("_ln"),
-        F.upper(F.trim("practice_state")).alias("_st"), "npi", "display_name")
-    side = ind.filter(F.col("_fn").isNotNull() & F.col("_ln").isNotNull()).groupBy("_fn", "_ln", "_st").agg(
-        F.min(F.struct("npi", "display_name")).alias("_m"))
+        F.upper(F.trim("practice_state")).alias("_st"), F.col("npi").try_cast("long").alias("_npi_long"),
+        "npi", "display_name")
+    ind = ind.filter(F.col("_fn").isNotNull() & F.col("_ln").isNotNull() & F.col("_npi_long").isNotNull())
+    side = ind.groupBy("_fn", "_ln", "_st").agg(F.min("_npi_long").alias("_m"))  # hash aggregate
     c = contacts.select("*", F.upper(F.trim("first_name")).alias("_cfn"), F.upper(F.trim("last_name")).alias("_cln"),
                         F.upper(F.trim("state")).alias("_cst"))
     j = c.join(side, (F.col("_cfn") == F.col("_fn")) & (F.col("_cln") == F.col("_ln")) & (F.col("_cst") == F.col("_st")),
                "left")
+    names = ind.join(j.select(F.col("_m").alias("_npi_long")).where("_npi_long is not null").distinct(),
+                     "_npi_long", "left_semi").select(F.col("_npi_long").alias("_m"), F.col("npi").alias("matched_npi"),
+                                                      F.col("display_name").alias("matched_name"))
+    j = j.join(names, "_m", "left")
     domain = F.lower(F.substring_index(F.col("email"), "@", -1))
-    return j.select(*contacts.columns, F.col("_m.npi").alias("matched_npi"), F.col("_m.display_name").alias("matched_name"),
+    return j.select(*contacts.columns, "matched_npi", "matched_name",
                     F.when(F.col("email").isNull(), F.lit(None).cast("string"))
                     .when(domain.isin(*PERSONAL_DOMAINS), "personal").otherwise("work").alias("email_type"),
-                    F.col("_m").isNotNull().alias("is_matched"))
+                    F.col("matched_npi").isNotNull().alias("is_matched"))
