@@ -5,8 +5,8 @@ with the same first and last name in the same state: HIGH when the city is
 the same too, MEDIUM otherwise, one individual per organisation (HIGH first,
 then lowest NPI). As in the NPI-licence match, each tier joins the
 organisations against the individuals *pre-aggregated by the tier key*
-(``min(struct(npi, ...))``), so a common name never produces all
-organisation x individual pairs.
+(``min(npi)``, a hash aggregate), so a common name never produces all
+organisation x individual pairs; attributes are fetched for the chosen NPIs.
 """
 
 from __future__ import annotations
