@@ -314,3 +314,33 @@ def test_build_history_with_checkpoints_equals_stepwise(spark):
                           ["2025-06-30", "2025-06-29"], checkpoint_every=1)
     cols = ["professional_id", "status_category", "valid_from", "valid_to"]
     assert rows(got, *cols) == rows(history(spark, SF_SMALL), *cols)
+
+
+def test_enqueue_threshold_and_delay_edges(spark):
+    from provdata.operators.governance import destination_config
+    queue = spark.createDataFrame([], "export_id string, provider_id string, destination string, status string")
+    recs = spark.createDataFrame([(1, "p1", "ghl", 70), (2, "p2", "ghl", 69), (3, "p3", "lob_postcard", 99)],
+                                 "seq int, provider_id string, destination string, match_confidence int")
+    supp = spark.createDataFrame([], "email string, license_number string, npi string, destination string, "
+                                     "is_active boolean, expires_at date")
+    out = X.enqueue(recs, queue, supp, destination_config(spark), "L", "2025-06-30 00:00:00", "seq")
+    got = rows(out, "seq", "new_status", "scheduled_send_at")
+    # ghl: auto-approve at >= 70, no delay; lob_postcard: never auto, 24 h delay.
+    assert got == [(1, "approved", None), (2, "queued", None), (3, "queued", dt.datetime(2025, 7, 1, 0, 0))]
+
+
+def test_validation_share_exactly_at_threshold_passes(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "city string")
+    r = V.validate_load(df, [("field_populated", {"field": "city", "min_pct": 0.75})]).first()
+    assert (r.passed, r.observed) == (True, 0.75)
+
+
+def test_waterfall_value_only_in_lowest_source(spark):
+    df = spark.createDataFrame([("p", "apollo", None, "2025-01-01"), ("p", "npi", "x@y", "2025-01-02")],
+                               "provider_id string, source string, email string, enriched_at string") \
+        .withColumn("enriched_at", F.col("enriched_at").cast("date"))
+    for c in ("phone", "linkedin_url", "website", "company_name", "title"):
+        df = df.withColumn(c, F.lit(None).cast("string"))
+    df = df.withColumn("employee_count", F.lit(None).cast("int"))
+    r = N.waterfall(df).first()
+    assert (r.email, r.email_source, r.enrichment_score) == ("x@y", "npi", 40)
