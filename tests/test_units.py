@@ -344,3 +344,29 @@ def test_waterfall_value_only_in_lowest_source(spark):
     df = df.withColumn("employee_count", F.lit(None).cast("int"))
     r = N.waterfall(df).first()
     assert (r.email, r.email_source, r.enrichment_score) == ("x@y", "npi", 40)
+
+
+def test_expiration_window_edges(spark):
+    from provdata.operators import events as E
+    cols = ("professional_id string, state_code string, professional_type string, license_number string, "
+            "first_name string, last_name string, status_category string, license_expiration_date date, "
+            "address_line_1 string, city string, address_state string, zip_code string, county string, "
+            "specialty_code string, has_nitrous_oxide_permit boolean, has_anesthesia_level_4 boolean, "
+            "has_sealant_certification boolean")
+    d = dt.date
+    snap = spark.createDataFrame([
+        (k, "TX", "dentist", k, "A", "B", "ACTIVE", e, "1 Main", "X", "TX", "75001", "C1", "GEN", False, False, False)
+        for k, e in [("d0", d(2025, 6, 30)), ("d90", d(2025, 9, 28)), ("d91", d(2025, 9, 29)), ("past", d(2025, 6, 29))]],
+        cols)
+    h = H.scd2_apply(None, snap, "professional_id", ["license_expiration_date"], "2025-06-30")
+    ev = E.license_events(h, "2025-06-30").filter(F.col("event_type") == "EXPIRATION_APPROACHING")
+    assert rows(ev, "professional_id") == [("d0",), ("d90",)]
+
+
+def test_organisation_display_names(spark):
+    schema = ("npi string, entity_type_code string, organization_name string, dba_name string, taxonomy_code string, "
+              "practice_country string, practice_state string, deactivation_date string, last_update_date string")
+    npi = spark.createDataFrame([("1", "2", None, "Smile Co", "1223G0001X", "US", "TX", None, "01/01/2024"),
+                                 ("2", "2", " ", None, "1223G0001X", "US", "TX", None, "01/01/2024")], schema)
+    got = rows(P.clean_providers(npi, "2025-06-30"), "npi", "display_name")
+    assert got == [("1", "Smile Co"), ("2", "Unknown Organization")]
