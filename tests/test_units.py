@@ -370,3 +370,22 @@ def test_organisation_display_names(spark):
                                  ("2", "2", " ", None, "1223G0001X", "US", "TX", None, "01/01/2024")], schema)
     got = rows(P.clean_providers(npi, "2025-06-30"), "npi", "display_name")
     assert got == [("1", "Smile Co"), ("2", "Unknown Organization")]
+
+
+def test_null_transitions_emit_no_events_but_open_versions(spark):
+    from provdata.operators import events as E
+    cols = ("professional_id string, state_code string, professional_type string, license_number string, "
+            "first_name string, last_name string, status_category string, license_expiration_date date, "
+            "address_line_1 string, city string, address_state string, zip_code string, county string, "
+            "specialty_code string, has_nitrous_oxide_permit boolean, has_anesthesia_level_4 boolean, "
+            "has_sealant_certification boolean")
+    e = dt.date(2027, 1, 1)
+    base = ("TX", "dentist", "L", "A", "B")
+    s1 = spark.createDataFrame([("k",) + base + (None, e, "1 Main", "X", "TX", "75001", "C1", "GEN", None, False, False)], cols)
+    s2 = spark.createDataFrame([("k",) + base + ("DECEASED", e, "1 Main", "X", "TX", "75001", None, "GEN", True, False, False)], cols)
+    track = ["status_category", "county", "has_nitrous_oxide_permit"]
+    h = H.scd2_apply(H.scd2_apply(None, s1, "professional_id", track, "2025-06-29"), s2, "professional_id", track, "2025-06-30")
+    assert h.count() == 2  # NULL -> value changes open a new version (NULL-safe comparison)
+    kinds = rows(E.license_events(h, "2025-06-30"), "event_type", "event_timestamp")
+    # Only the first version's NEW_LICENSE: NULL -> DECEASED, county -> NULL, flag NULL -> true emit nothing.
+    assert [k for k, _ in kinds] == ["NEW_LICENSE"]
