@@ -389,3 +389,16 @@ def test_null_transitions_emit_no_events_but_open_versions(spark):
     kinds = rows(E.license_events(h, "2025-06-30"), "event_type", "event_timestamp")
     # Only the first version's NEW_LICENSE: NULL -> DECEASED, county -> NULL, flag NULL -> true emit nothing.
     assert [k for k, _ in kinds] == ["NEW_LICENSE"]
+
+
+def test_other_state_never_matches_and_all_null_format_fails(spark):
+    npi = spark.createDataFrame([("1000000001", "1", "Ann", "Smith", "CA", "City1", "75001", "1223G0001X", None, "p")],
+                                "npi string, entity_type_code string, first_name string, last_name string, practice_state string, "
+                                "practice_city string, practice_zip string, taxonomy_code string, deactivation_date string, practice_phone string")
+    lic = spark.createDataFrame([("k1", "TX", "L1", "dentist", "ANN", "SMITH", "City1", "TX", "75001", None)],
+                                "professional_id string, state_code string, license_number string, professional_type string, "
+                                "first_name string, last_name string, city string, address_state string, zip_code string, county string")
+    assert rows(M.best_match(lic, npi), "npi_number", "match_type") == [(None, "no_match")]
+    df = spark.createDataFrame([(None,), (None,)], "npi string")
+    r = V.validate_load(df, [("field_format", {"field": "npi", "pattern": r"^\d{10}$", "min_pct": 0.99})]).first()
+    assert (r.passed, r.detail) == (False, "no non-null values")
