@@ -44,12 +44,18 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is respected as is.
-    Only when it is unset (local tests) a scratch folder is created.
+    On a cluster that setting points at storage which the driver and every executor see, and it
+    is used as is. Where it is unset, a scratch folder is made only for ``local[...]`` masters
+    (one machine); any other master raises, because files that executors write to their own
+    disks cannot be read back.
     """
+    sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="provdata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(current)
     return current
