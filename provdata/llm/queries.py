@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provdata.llm import exact_dedup, mixing, packing
+from provdata.llm import exact_dedup, mixing, packing, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -83,3 +83,59 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+#: Host rules of the contract, and pattern rules for pages that a crawl holds several times over.
+HOST_RULES = [
+    url_rules.HostRule("allow", "com", "/"), url_rules.HostRule("block", "example.com", "/en/"),
+    url_rules.HostRule("allow", "www.example.com", "/en/"), url_rules.HostRule("block", "net", "/es/"),
+    url_rules.HostRule("block", "net", "/fr/"),
+]
+PATTERN_RULES = [
+    url_rules.PatternRule("block", "paged listing", r"[?&]page=[0-9]+(&|#|$)", ("page",)),
+    url_rules.PatternRule("block", "referral link", r"[?&]ref=[a-z0-9]+(&|#|$)", ("ref",)),
+    url_rules.PatternRule("block", "paged referral", r"[?&]page=[0-9]+&ref=", ("page", "ref")),
+    url_rules.PatternRule("block", "session", r"[?&;](sid|phpsessid|jsessionid)=[a-z0-9]+"),
+    url_rules.PatternRule("block", "campaign", r"[?&]utm_(source|medium|campaign)=", ("utm",)),
+    url_rules.PatternRule("block", "advert host", r"://(ads?|banner)[0-9]*\."),
+    url_rules.PatternRule("block", "log in", r"/(user/)?login(/|[?#]|$)", ("login",)),
+    url_rules.PatternRule("allow", "first page", r"[?&]page=1(&|#|$)", ("page", "1")),
+    url_rules.PatternRule("allow", "static document", r"^https?://www\.[^/]+/[a-z]{2}/[0-9]+\.html([?#]|$)", ("www", "html")),
+]
+
+
+def _pattern_rows() -> str:
+    quoted = [(r.verdict, r.name, r.pattern) for r in PATTERN_RULES]
+    return ", ".join("(" + str(k) + ", " + ", ".join("'" + x.replace("'", "''") + "'" for x in row) + ")"
+                     for k, row in enumerate(quoted))
+
+
+@_query(f"""
+with host_rules(verdict, host, path) as (values
+  ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+  ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+pattern_rules(nr, verdict, name, pattern) as (values {_pattern_rows()}),
+parsed as (
+  select row_number() over () as row, page_id, url,
+         case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest
+  from pages),
+split as (
+  select row, page_id, translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as url,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+  from parsed),
+fits as (
+  select row, arg_max(struct_pack(rule := r.host || r.path, verdict := r.verdict), length(r.host || r.path)) as best
+  from split s join host_rules r
+    on (s.host = r.host or ends_with(s.host, '.' || r.host)) and starts_with(s.path, r.path)
+  group by row),
+hits as (
+  select row, arg_min(struct_pack(name := r.name, verdict := r.verdict), (r.verdict <> 'allow')::int * 1000 + nr) as hit
+  from split s join pattern_rules r on regexp_matches(s.url, r.pattern)
+  group by row)
+select page_id, host, path, best.rule as rule, coalesce(best.verdict, hit.verdict, 'allow') as verdict
+from split left join fits using (row) left join hits using (row)
+""")
+def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (url_rules.judge_urls(_table(spark, sf_dir, "pages"), HOST_RULES, PATTERN_RULES)
+            .select("page_id", "host", "path", "rule", "verdict"))
