@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provdata.llm import exact_dedup, mixing, packing, url_rules
+from provdata.llm import exact_dedup, mixing, packing, quality, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -139,3 +139,8 @@ from split left join fits using (row) left join hits using (row)
 def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (url_rules.judge_urls(_table(spark, sf_dir, "pages"), HOST_RULES, PATTERN_RULES)
             .select("page_id", "host", "path", "rule", "verdict"))
+
+
+@_query()
+def op3_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge_quality(_table(spark, sf_dir, "documents"))
