@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provdata.llm import exact_dedup, mixing, packing, quality, url_rules
+from provdata.llm import exact_dedup, mixing, packing, quality, toxicity, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +30,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query()
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model).withColumn("held_out", toxicity.held_out(F.col("doc_id")))
+
+
 @_query("""
 select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
        doc_id = max(doc_id) over g as kept, sha256(coalesce(text, '')) as text_sha256
