@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provdata.llm import exact_dedup, mixing, packing, quality, toxicity, url_rules
+from provdata.llm import exact_dedup, jaccard_join, mixing, packing, quality, toxicity, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -117,6 +117,11 @@ def _pattern_rows() -> str:
                      for k, row in enumerate(quoted))
 
 
+@_query()
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_components(_table(spark, sf_dir, "documents"))
+
+
 @_query(f"""
 with host_rules(verdict, host, path) as (values
   ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
