@@ -37,8 +37,10 @@ class Encoder:
     """Token ids of texts, each distinct blank-separated part encoded once.
 
     The vocabulary's patterns attach one blank to what follows it and never reach over a blank behind
-    a visible character, so a text is the sequence of its parts " word". Texts in which a
-    blank meets other white space are encoded whole.
+    a visible character, so a text is the sequence of its parts " word". Parts that are new are
+    joined and encoded in one call, by the same merges in tiktoken, which is several times faster;
+    the lengths of the tokens' bytes then show where each part ends. Texts in which a blank meets
+    other white space are encoded whole by the tokenizers library.
     """
 
     def __init__(self, path: str):
@@ -46,48 +48,100 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.fast, self.n_bytes = _byte_bpe(path)
         self._clear()
 
     def _clear(self) -> None:
-        self.slots: dict[str, int] = {}
+        self.after: dict[str, int] = {}
+        self.first: dict[str, int] = {}
         self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _slots(self, parts: list[str]) -> np.ndarray:
-        new = list(dict.fromkeys(p for p in parts if p not in self.slots))
+    def _add(self, lengths: np.ndarray, ids: np.ndarray) -> int:
+        """Store more parts; the slot of the first."""
+        slot = len(self.lengths)
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
+        self.lengths, self.ids = np.concatenate([self.lengths, lengths]), np.concatenate([self.ids, ids])
+        return slot
+
+    def _slots_after(self, parts: list[str]) -> np.ndarray:
+        """Slots of the distinct ``parts``, each behind a blank."""
+        slots = list(map(self.after.get, parts))
+        new = [p for p, slot in zip(parts, slots) if slot is None]
+        if new:
+            ids = self.fast.encode_to_numpy(" " + " ".join(new), allowed_special=set(), disallowed_special=())
+            ends = np.cumsum(np.fromiter((len(p.encode()) + 1 for p in new), np.int64, len(new)))
+            cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), ends, side="right")
+            slot = self._add(np.diff(cuts, prepend=0), ids.astype(np.uint32))
+            self.after.update(zip(new, range(slot, slot + len(new))))
+            slots = map(self.after.__getitem__, parts)
+        return np.fromiter(slots, np.int64, len(parts))
+
+    def _slots_first(self, parts: list[str]) -> np.ndarray:
+        new = list(dict.fromkeys(p for p in parts if p not in self.first))
         if new:
-            found = self._encode(new)
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            self.slots.update(zip(new, range(len(self.lengths), len(self.lengths) + len(new))))
-            starts = len(self.ids) + np.cumsum(lengths) - lengths
-            self.ids = np.concatenate([self.ids, np.fromiter((i for x in found for i in x), np.uint32, int(lengths.sum()))])
-            self.starts, self.lengths = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths])
-        return np.fromiter((self.slots[p] for p in parts), np.int64, len(parts))
+            found = [self.fast.encode_ordinary(p) for p in new]
+            slot = self._add(np.array([len(x) for x in found], np.int64), np.array(sum(found, []), np.uint32))
+            self.first.update(zip(new, range(slot, slot + len(new))))
+        return np.fromiter(map(self.first.__getitem__, parts), np.int64, len(parts))
 
     def __call__(self, texts: pa.Array) -> list[np.ndarray]:
         texts = pc.fill_null(texts, "")
         odd = np.flatnonzero(pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(zero_copy_only=False))
+        if self.fast is None:
+            odd = np.arange(len(texts))
         parts = split_lists(pc.split_pattern(pc.replace_with_mask(
             texts, pa.array(np.isin(np.arange(len(texts)), odd)), pa.scalar("")), " "))
-        if len(self.slots) > _CACHE_ENTRIES:
+        if len(self.after) + len(self.first) > _CACHE_ENTRIES:
             self._clear()
         plain = parts.dictionary.to_pylist()
-        slots = self._slots([" " + p for p in plain])[parts.codes]
         firsts = parts.offsets[:-1]
-        slots[firsts] = self._slots([plain[c] for c in parts.codes[firsts]])
+        later = np.ones(len(parts.codes), bool)
+        later[firsts] = False
+        slots = np.zeros(len(parts.codes), np.int64)
+        used = np.unique(parts.codes[later])
+        by_code = np.zeros(len(plain), np.int64)
+        by_code[used] = self._slots_after([plain[c] for c in used])
+        slots[later] = by_code[parts.codes[later]]
+        slots[firsts] = self._slots_first([plain[c] for c in parts.codes[firsts]])
         lengths = self.lengths[slots]
         ends = np.cumsum(lengths)
         flat = self.ids[np.repeat(self.starts[slots] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
         cuts = np.concatenate(([0], ends))[parts.offsets]
         out = [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
-        for k, ids in zip(odd, self._encode([texts[int(k)].as_py() for k in odd])):
-            out[k] = np.array(ids, np.uint32)
+        for k in odd:
+            out[k] = np.array(self.tokenizer.encode(texts[int(k)].as_py(), add_special_tokens=False).ids, np.uint32)
         return out
 
 
+def _byte_bpe(path: str):
+    """The vocabulary in tiktoken, and the number of bytes of each id; None if it isn't a byte-level BPE in rank order."""
+    import json
+
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model = spec["model"]
+    if model["type"] != "BPE" or spec["pre_tokenizer"]["type"] != "ByteLevel" or spec["pre_tokenizer"]["add_prefix_space"]:
+        return None, None
+    # Byte-level vocabularies write printable Latin-1 bytes as themselves, the others as U+0100 onwards.
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    as_byte = {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
+    special = {t["content"] for t in spec["added_tokens"]}
+    ranks = {bytes(as_byte[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
+    merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    if spec.get("normalizer") or merged != sorted(merged):
+        return None, None
+    n_bytes = np.zeros(max(ranks.values()) + 1, np.int64)
+    for token, i in ranks.items():
+        n_bytes[i] = len(token)
+    # The pattern that the ByteLevel pre-tokenizer splits by (fixed value).
+    pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+    return tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), n_bytes
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
