@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provdata.llm import exact_dedup, hpy_lm, jaccard_join, mixing, packing, quality, toxicity, url_rules
+from provdata.llm import exact_dedup, hpy_lm, html_text, jaccard_join, mixing, packing, quality, toxicity, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -161,3 +161,8 @@ def op3_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op8_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hpy_lm.score_texts(_table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op2_layout_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(_table(spark, sf_dir, "pages"))
