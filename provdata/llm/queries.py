@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provdata.llm import exact_dedup, hpy_lm, html_text, jaccard_join, mixing, packing, quality, toxicity, url_rules
+from provdata.llm import exact_dedup, hpy_lm, html_text, jaccard_join, mixing, packing, quality, tool_chat, toxicity, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -166,3 +166,19 @@ def op8_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op2_layout_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(_table(spark, sf_dir, "pages"))
+
+
+#: Argument schemas of the two tools that the calls read out of ``conversations`` use.
+TOOL_SCHEMAS = {
+    "search": {"type": "object", "required": ["query", "limit"], "additionalProperties": False, "properties": {
+        "query": {"type": "string", "minLength": 1}, "limit": {"type": "integer", "minimum": 1, "maximum": 100},
+        "after": {"type": "array", "items": {"type": "string"}}}},
+    "note": {"type": "object", "required": ["query"], "properties": {
+        "query": {"type": "string", "maxLength": 400}, "limit": {"type": "integer", "minimum": 2}}},
+}
+
+
+@_query()
+def op6_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = tool_chat.calls_of_conversations(_table(spark, sf_dir, "conversations"))
+    return tool_chat.link_tool_calls(calls, results, TOOL_SCHEMAS)
