@@ -1,4 +1,8 @@
-"""The corpus pipeline: operators of ``provdata.llm`` applied to ``documents`` one after the other."""
+"""The corpus pipeline: operators of ``provdata.llm`` applied to ``documents`` one after the other.
+
+Each stage takes what its predecessor kept, whole, and its decisions take effect: all but the last
+return the columns of ``documents``, the last one row per packed piece.
+"""
 
 from __future__ import annotations
 
@@ -6,23 +10,41 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from provdata.llm import exact_dedup, mixing
+from provdata.llm import exact_dedup, jaccard_join, mixing, packing, toxicity
 from provdata.session import ensure_checkpoint_dir
 
 
-def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the largest doc_id stays."""
+def clean_of_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents below their language's toxicity threshold, by a classifier of the labelled ones."""
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, the row with the largest doc_id."""
     return exact_dedup.drop_exact_duplicates(docs)
 
 
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a shingle similarity of 0.75 or more, the one with the smallest doc_id."""
+    return jaccard_join.drop_near_duplicates(docs)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows as often as the mix to source weights 1, 2, 3 takes them."""
     return mixing.repeat_to_mix(docs)
 
 
-STAGES = [("exact dedup", exact_copies), ("source mix", source_mix)]
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 2048 tokens, placed in sequences."""
+    import public_tokenizers
+
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [("toxicity", clean_of_toxic), ("exact dedup", without_copies), ("near duplicates", without_near_copies),
+          ("source mix", source_mix), ("packing", packed)]
 
-#: None: stages run trained models, tokenizers and similarity joins, which SQL cannot express.
+#: None: stages run a trained model, a similarity join and a tokenizer, which SQL cannot express.
 ORACLE_SQL = None
 
 
