@@ -87,16 +87,16 @@ def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     the same id and text are all found by that; where there are such, one of each is taken.
     """
     rows = materialize(digest_rows(df, id_col, text_col))
-    groups = materialize(merge_runs(rows, keep, fan_in).select(F.col("keep_id").alias("k_id"), *[
-        F.col(c).alias(f"k_{c}") for c in _KEYS], "group_size"))
-    found = {f"k_{n}": c for n, c in _digest_columns(F.col(text_col)).items()}
-    on = F.col(id_col).eqNullSafe(F.col("k_id"))
+    groups = materialize(merge_runs(rows, keep, fan_in).select(F.col("keep_id").alias("__k_id"), *[
+        F.col(c).alias(f"__k_{c}") for c in _KEYS], F.col("group_size").alias("__k_size")))
+    found = {f"__k_{n}": c for n, c in _digest_columns(F.col(text_col)).items()}
+    on = F.col(id_col).eqNullSafe(F.col("__k_id"))
     for name, c in found.items():
         on = on & (c == F.col(name))
     stay = df.alias("d").join(groups.alias("g"), on, "left_semi")
     # A kept row is repeated only if its group has several rows; ids of such groups, counted per id.
-    again = (rows.join(groups.where("group_size > 1"), [F.col("id").eqNullSafe(F.col("k_id"))] + [
-        F.col(c) == F.col(f"k_{c}") for c in _KEYS], "left_semi")
+    again = (rows.join(groups.where("__k_size > 1"), [F.col("id").eqNullSafe(F.col("__k_id"))] + [
+        F.col(c) == F.col(f"__k_{c}") for c in _KEYS], "left_semi")
         .groupBy("id", *_KEYS).count().where("count > 1"))
     if again.isEmpty():
         return stay
