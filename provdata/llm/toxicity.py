@@ -113,7 +113,7 @@ def _responses(batch: _Batch, projected: np.ndarray, params: Params) -> list[np.
 class _Scorer:
     """Logits of texts; keeps what the filters make of the words it has met, up to a fixed number."""
 
-    most = 300_000
+    most = 100_000
 
     def __init__(self, model: Model):
         self.model, self.places = model, {}
@@ -306,7 +306,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params(), folds: in
 def _score_rows(model: Model, at: int, schema: pa.Schema):
     def run(batches) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(model) if model.table is not None else None
-        for batch in slices(batches, "__text"):
+        for batch in slices(batches, "__text", 1 << 20):
             found = scorer.scores(batch["__text"]) if scorer else np.full(batch.num_rows, model.constant)
             yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(found)], schema=schema)
     return run
