@@ -148,7 +148,11 @@ def status_changes(cur: DataFrame, prev: DataFrame, deduped: bool = False) -> Da
 
 
 def snapshot_diff(cur: DataFrame, prev: DataFrame, as_of: str, state_code: str = "TX") -> DataFrame:
-    """EVT11: NEW_LICENSE / LAPSED / REINSTATED between two snapshots of the same files."""
+    """EVT11: NEW_LICENSE / LAPSED / REINSTATED between two snapshots of the same files.
+
+    A professional type without a file in the previous snapshot cannot be compared and is skipped,
+    so its licences do not all come out as new.
+    """
     day = as_of[:10]
 
     def shape(df, etype, prefix, prev_v, cur_v, priority, action):
@@ -161,10 +165,17 @@ def snapshot_diff(cur: DataFrame, prev: DataFrame, as_of: str, state_code: str =
             prev_v.cast("string").alias("previous_value"), cur_v.cast("string").alias("current_value"),
             F.lit(priority).alias("priority"), F.lit(action).alias("marketing_action")).drop("status_desc")
 
-    # Each snapshot is de-duplicated once and shared by both detectors.
+    # Each snapshot is de-duplicated once; one left join gives new licences and status changes alike.
     cur, prev = _dedupe_license(cur), _dedupe_license(prev)
-    new = new_keys(cur, prev, deduped=True)
-    ch = status_changes(cur, prev, deduped=True)
+    cur = cur.join(prev.select("professional_type").distinct(), "professional_type", "left_semi")
+    before = prev.select("professional_type", "lic_nbr", F.lit(True).alias("known"),
+                         F.col("lic_sta_cde").try_cast("int").alias("prev_code"),
+                         (F.col("lic_sta_desc") if "lic_sta_desc" in prev.columns
+                          else F.lit(None).cast("string")).alias("prev_desc"))
+    both = cur.join(before, ["professional_type", "lic_nbr"], "left").withColumn(
+        "cur_code", F.col("lic_sta_cde").try_cast("int"))
+    new = both.filter(F.col("known").isNull() & F.col("cur_code").isin(*DIFF_ACTIVE))
+    ch = both.filter(F.col("known") & ~F.col("cur_code").eqNullSafe(F.col("prev_code")))
     desc = F.coalesce(F.col("lic_sta_desc") if "lic_sta_desc" in cur.columns else F.lit(None), F.lit(""))
     pdesc = F.coalesce(F.col("prev_desc"), F.lit(""))
     lapsed = ch.filter(F.col("prev_code").isin(*DIFF_ACTIVE) & F.col("cur_code").isin(*DIFF_LAPSED))

@@ -164,9 +164,15 @@ def ready_to_send(queue: DataFrame, as_of: str, destination: str | None = None,
 
 
 def apply_send_results(queue: DataFrame, results: DataFrame, config: DataFrame, as_of: str) -> tuple[DataFrame, DataFrame]:
-    """EXP5: results (export_id, external_id, error) -> new queue (failed / sent) and history rows."""
+    """EXP5: results (export_id, external_id, error) -> new queue (failed / sent) and history rows.
+
+    Several results of one export count once: a success over a failure (it was sent), then the
+    lowest external id and error text. Results without an export id are ignored.
+    """
     now = F.lit(as_of).cast("timestamp_ntz")
-    res = results.select(F.col("export_id").alias("_eid"), "external_id", F.col("error").alias("_err"))
+    res = (results.where("export_id is not null").groupBy(F.col("export_id").alias("_eid"))
+           .agg(F.min(F.struct(F.col("error").isNotNull().alias("failed"), "external_id", "error")).alias("r"))
+           .select("_eid", F.col("r.external_id").alias("external_id"), F.col("r.error").alias("_err")))
     j = queue.join(res, queue["export_id"] == res["_eid"], "left")
     has = F.col("_eid").isNotNull()
     failed = has & F.col("_err").isNotNull()
@@ -238,7 +244,7 @@ def payload_hash(df: DataFrame, payload_col: str = "payload") -> DataFrame:
 
 
 def capped_rank(df: DataFrame, keys: list[str], order: list[Column], cap: int | Column,
-                salts: int = 32) -> DataFrame:
+                salts: int | None = None) -> DataFrame:
     """Rank within ``keys`` by ``order``, keeping only ranks <= ``cap`` — skew-safe.
 
     Two phases: rank inside (keys, salt) sub-groups and keep the first
@@ -246,8 +252,10 @@ def capped_rank(df: DataFrame, keys: list[str], order: list[Column], cap: int |
     of its sub-group), then rank the survivors per key. The second phase
     sees at most ``salts * cap`` rows per key however hot the key is.
     ``order`` must be a total order (end with a unique column). ``cap`` may
-    be a column (a per-group cap such as a destination's daily limit).
+    be a column (a per-group cap such as a destination's daily limit). There
+    are as many salts as shuffle partitions, so a hot key spreads over all of them.
     """
+    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cap = cap if isinstance(cap, Column) else F.lit(cap)
     salt = (F.abs(F.xxhash64(*order)) % salts).alias("_salt")
     w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
@@ -257,16 +265,34 @@ def capped_rank(df: DataFrame, keys: list[str], order: list[Column], cap: int |
         .drop("_salt", "_r1")
 
 
-def rate_limited(queue: DataFrame, config: DataFrame, as_of: str) -> DataFrame:
-    """EXP8: ready exports within each destination's per-day cap (FIFO); uncapped destinations pass whole."""
-    ready = ready_to_send_all(queue, as_of).join(
-        F.broadcast(config.select("destination", "rate_limit_per_day")), "destination", "left")
-    day = F.to_date("queued_at")
-    ready = ready.withColumn("send_day", day)
-    uncapped = ready.filter(F.col("rate_limit_per_day").isNull()) \
-        .withColumn("rank_in_group", F.lit(None).cast("int"))
-    capped = capped_rank(ready.filter(F.col("rate_limit_per_day").isNotNull()), ["destination", "send_day"],
-                         [F.col("queued_at"), F.col("export_id")], F.col("rate_limit_per_day"))
+def rate_limited(queue: DataFrame, config: DataFrame, as_of: str, history: DataFrame | None = None) -> DataFrame:
+    """EXP8: ready exports that each destination may still send at ``as_of`` (FIFO); uncapped destinations pass whole.
+
+    A cap holds for the day and the hour of ``as_of``, whenever the exports were queued, and what
+    ``history`` says was sent in them already counts. ``allowed`` is what is left of the tighter cap.
+    """
+    now = F.lit(as_of).cast("timestamp_ntz")
+    caps = config.select("destination", "rate_limit_per_day",
+                         (F.col("rate_limit_per_hour") if "rate_limit_per_hour" in config.columns
+                          else F.lit(None).cast("int")).alias("rate_limit_per_hour"))
+    if history is not None:
+        sent = history.groupBy("destination").agg(
+            F.count_if(F.to_date("sent_at") == F.to_date(now)).alias("_day"),
+            F.count_if(F.date_trunc("hour", "sent_at") == F.date_trunc("hour", now)).alias("_hour"))
+        caps = caps.join(sent, "destination", "left")
+    else:
+        caps = caps.withColumns({"_day": F.lit(0), "_hour": F.lit(0)})
+    left = F.least(F.col("rate_limit_per_day") - F.coalesce("_day", F.lit(0)),
+                   F.col("rate_limit_per_hour") - F.coalesce("_hour", F.lit(0)))
+    caps = caps.select("destination", "rate_limit_per_day", F.greatest(left, F.when(left.isNotNull(), 0)).cast("int").alias("allowed"))
+    most = caps.agg(F.max("allowed")).first()[0]  # of the few configured destinations
+    ready = ready_to_send_all(queue, as_of).join(caps, "destination", "left")
+    uncapped = ready.filter(F.col("allowed").isNull()).withColumn("rank_in_group", F.lit(None).cast("int"))
+    if most is None:
+        return uncapped
+    # A literal cap lets each salted window stop early; the destination's own cap follows.
+    capped = capped_rank(ready.filter(F.col("allowed").isNotNull()), ["destination"],
+                         [F.col("queued_at"), F.col("export_id")], int(most)).filter(F.col("rank_in_group") <= F.col("allowed"))
     return uncapped.unionByName(capped)
 
 

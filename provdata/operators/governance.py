@@ -61,6 +61,7 @@ def quarantine_loads(loads: DataFrame, queue: DataFrame, load_ids: DataFrame, re
     """GOV4: quarantine loads and cancel their pending exports.
 
     A target load missing from the registry is created (quarantined).
+    Loads that were quarantined earlier keep their own time, user, reason and count.
     Returns (new loads with ``exports_cancelled``, new queue).
     """
     now = F.lit(as_of).cast("timestamp_ntz")
@@ -79,15 +80,17 @@ def quarantine_loads(loads: DataFrame, queue: DataFrame, load_ids: DataFrame, re
     base = loads.unionByName(missing, allowMissingColumns=True)
     j = base.join(t, base["load_id"] == t["_target"], "left").join(cancelled, F.col("load_id") == F.col("_cl"), "left")
     hitl = F.col("_target").isNotNull()
+    old = lambda c, t: F.col(c).cast(t) if c in loads.columns else F.lit(None).cast(t)
     keep = [c for c in loads.columns if c not in ("status", "quarantined_at", "quarantined_by",
                                                    "quarantine_reason", "exports_cancelled")]
     new_loads = j.select(
         *keep,
         F.when(hitl, F.lit("quarantined")).otherwise(F.col("status")).alias("status"),
-        F.when(hitl, now).otherwise(F.lit(None).cast("timestamp_ntz")).alias("quarantined_at"),
-        F.when(hitl, F.lit(user)).otherwise(F.lit(None).cast("string")).alias("quarantined_by"),
-        F.when(hitl, F.lit(reason)).otherwise(F.lit(None).cast("string")).alias("quarantine_reason"),
-        F.when(hitl, F.coalesce(F.col("_nc"), F.lit(0))).cast("bigint").alias("exports_cancelled"))
+        F.when(hitl, now).otherwise(old("quarantined_at", "timestamp_ntz")).alias("quarantined_at"),
+        F.when(hitl, F.lit(user)).otherwise(old("quarantined_by", "string")).alias("quarantined_by"),
+        F.when(hitl, F.lit(reason)).otherwise(old("quarantine_reason", "string")).alias("quarantine_reason"),
+        F.when(hitl, F.coalesce(F.col("_nc"), F.lit(0))).otherwise(old("exports_cancelled", "bigint"))
+        .cast("bigint").alias("exports_cancelled"))
     return new_loads, new_queue
 
 
@@ -99,9 +102,9 @@ def quarantined_loads(loads: DataFrame) -> DataFrame:
 def destination_config(spark) -> DataFrame:
     """Destination settings as a table (5 fixed rows; broadcast is bounded by this list)."""
     return spark.createDataFrame(
-        [(d, c, r, a, m, h, lim, True) for d, c, r, a, m, h, lim in refdata.DESTINATIONS],
+        [(d, c, r, a, m, h, lim, None, True) for d, c, r, a, m, h, lim in refdata.DESTINATIONS],
         "destination string, cost_per_record double, is_reversible boolean, auto_approve boolean, "
-        "min_confidence_for_auto int, delay_hours int, rate_limit_per_day int, is_active boolean")
+        "min_confidence_for_auto int, delay_hours int, rate_limit_per_day int, rate_limit_per_hour int, is_active boolean")
 
 
 def plan_reversals(history: DataFrame, load_ids: DataFrame, config: DataFrame) -> DataFrame:

@@ -90,6 +90,16 @@ def _tier_rows(df: DataFrame, payload: list[str], tiers=TIERS) -> DataFrame:
     return keyed.select(*payload, F.explode_outer("_tiers").alias("t")).select(*payload, "t.*")
 
 
+def _usable_npi(c: str):
+    return F.coalesce(F.col(c).rlike("^[0-9]{1,10}$"), F.lit(False))
+
+
+def unusable_npis(npi_raw: DataFrame) -> DataFrame:
+    """Registry rows the match cannot use: their NPI is missing or no number of at most 10 digits (counted by text)."""
+    npi = npi_raw.select(F.trim(F.col("npi").cast("string")).alias("npi"))
+    return npi.filter(~_usable_npi("npi")).groupBy("npi").agg(F.count(F.lit(1)).alias("rows"))
+
+
 _TIER_SCALE = 10 ** 10  # NPIs are 10-digit numbers: tier * scale + npi orders by (tier, npi)
 
 
@@ -111,23 +121,33 @@ def best_match(licenses: DataFrame, npi_raw: DataFrame, npi_on_license_col: str
     lic = license_match_side(licenses)
     npi = npi_match_side(npi_raw).withColumn("npi_long", F.col("npi_number").try_cast("long")) \
         .withColumn("npi_key", F.col("npi_number"))
-    npi_keys = _tier_rows(npi.filter(F.col("npi_long").isNotNull()),
+    npi_keys = _tier_rows(npi.filter(_usable_npi("npi_number")),
                           ["npi_long", "first_name", "last_name", "city", "state", "zip5", "first_sx", "last_sx",
                            "npi_key"], tiers)
     cand = npi_keys.filter(F.col("tier").isNotNull()).groupBy("tier", "k0", "k1", "k2", "k3") \
         .agg(F.min("npi_long").alias("m"))
     lic_cols = ["professional_id", "state_code", "license_number", "professional_type", "first_name", "last_name",
-                "city", "state", "zip5", "first_sx", "last_sx"]
-    j = _tier_rows(lic, lic_cols + (["npi_key"] if npi_on_license_col else []), tiers).drop("npi_key") \
+                "city", "state", "zip5", "first_sx", "last_sx"] + (["npi_key"] if npi_on_license_col else [])
+    j = _tier_rows(lic, lic_cols, tiers) \
         .join(cand, ["tier", "k0", "k1", "k2", "k3"], "left")
     code = F.when(F.col("m").isNotNull(), F.col("tier").cast("long") * _TIER_SCALE + F.col("m"))
     best = j.groupBy(*lic_cols).agg(F.min(code).alias("_b")).select(
         *lic_cols, (F.col("_b") / _TIER_SCALE).cast("int").alias("_tier"),
         (F.col("_b") % _TIER_SCALE).alias("npi_long"))
-    chosen = best.select("npi_long").where(F.col("npi_long").isNotNull()).distinct()
-    attrs = (npi.join(chosen, "npi_long", "left_semi").groupBy("npi_long")
-             .agg(F.min(F.struct("npi_number", "first_name", "last_name", "city", "state", "zip5", "phone")).alias("m")))
-    out = best.join(attrs, "npi_long", "left")
+    # The attributes are those of the registry row that matched: of the chosen NPI's rows, one with the
+    # winning tier's key. Unmatched licences are set aside: their NULL key would be one hot partition.
+    keys = F.array(*[F.struct(*[c.alias(f"k{i}") for i, c in enumerate([F.col(k) for k in t[2]] + [F.lit("")] * (4 - len(t[2])))])
+                     for t in tiers])
+    won = best.where("npi_long is not null").withColumn("_k", F.get(keys, F.col("_tier"))).select(
+        "*", F.col("_tier").alias("tier"), "_k.*").drop("_k")
+    chosen = won.select("npi_long").distinct()
+    fields = ["npi_number", "first_name", "last_name", "city", "state", "zip5", "phone"]
+    attrs = (_tier_rows(npi.join(chosen, "npi_long", "left_semi"),
+                        ["npi_long", "npi_number", "first_name", "last_name", "city", "state", "zip5", "phone",
+                         "first_sx", "last_sx", "npi_key"], tiers)
+             .groupBy("npi_long", "tier", "k0", "k1", "k2", "k3").agg(F.min(F.struct(*fields)).alias("m")))
+    out = (won.join(attrs, ["npi_long", "tier", "k0", "k1", "k2", "k3"], "left").select(*lic_cols, "_tier", "m")
+           .unionByName(best.where("npi_long is null").select(*lic_cols, "_tier"), allowMissingColumns=True))
     conf = F.lit(0)
     mtype = F.lit("no_match")
     for rank, (score, name, _) in reversed(list(enumerate(tiers))):

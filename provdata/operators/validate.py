@@ -126,6 +126,8 @@ def validate_load(df: DataFrame, rules, prev: DataFrame | None = None, as_of: st
             aggs[f"_dv{i}"] = F.count(dcol)
             lo, hi = params.get("min_date"), params.get("max_date")
             if hi == "CURRENT_DATE()":
+                if as_of is None:
+                    raise ValueError(f"the date rule on {f} compares with the current date: pass as_of")
                 hi = as_of
             aggs[f"_old{i}"] = F.count_if(dcol < F.lit(lo).cast("date")) if lo else F.lit(0)
             aggs[f"_new{i}"] = F.count_if(dcol > F.lit(hi).cast("date")) if hi else F.lit(0)

@@ -158,23 +158,32 @@ def q_ready_fifo(spark, sf):
 _SEND_SQL = sql_cte("export_queue") + f""", {_CFG},
 res as (select export_id, 'ext-' || export_id as external_id,
           case when cast(export_id as bigint) % 9 = 0 then 'HTTP 500' end as error
-        from export_queue where status = 'approved')
+        from export_queue where status = 'approved'),
+two as (select * from res union all
+        select export_id, 'again-' || export_id, case when cast(export_id as bigint) % 2 = 0 then 'late retry' end
+        from export_queue where status = 'approved' and cast(export_id as bigint) % 9 in (0, 4)),
+one as (select * exclude (rn) from (select *, row_number() over (
+          partition by export_id order by error is not null, external_id, error) as rn from two) where rn = 1)
 """
 
 
 def _send(spark, sf):
     q = _queue(spark, sf)
-    res = q.filter(F.col("status") == "approved").select(
-        "export_id", F.concat(F.lit("ext-"), F.col("export_id")).alias("external_id"),
-        F.when(F.col("export_id").cast("bigint") % 9 == 0, F.lit("HTTP 500")).alias("error"))
+    ok, number = q.filter(F.col("status") == "approved"), F.col("export_id").cast("bigint")
+    res = ok.select("export_id", F.concat(F.lit("ext-"), F.col("export_id")).alias("external_id"),
+                    F.when(number % 9 == 0, F.lit("HTTP 500")).alias("error"))
+    again = ok.filter((number % 9).isin(0, 4)).select(
+        "export_id", F.concat(F.lit("again-"), F.col("export_id")),
+        F.when(number % 2 == 0, F.lit("late retry")))
+    res = res.union(again)
     return X.apply_send_results(q, res, G.destination_config(spark), AS_OF)
 
 
 @query("send_results_queue_status", _SEND_SQL + """
 select destination, case when r.export_id is null then q.status when r.error is not null then 'failed' else 'sent' end as status,
   count(*) as exports
-from export_queue q left join res r using (export_id) group by 1, 2
-""", "EXP5 (queue)")
+from export_queue q left join one r using (export_id) group by 1, 2
+""", "EXP5 (queue; several results of one export)")
 def q_send_queue(spark, sf):
     return _send(spark, sf)[0].groupBy("destination", "status").agg(F.count(F.lit(1)).alias("exports"))
 
@@ -182,22 +191,47 @@ def q_send_queue(spark, sf):
 @query("send_results_history", _SEND_SQL + f"""
 select left(md5(q.export_id || '-sent'), 12) as history_id, q.export_id, q.provider_id, q.destination,
   timestamp '{AS_OF}' as sent_at, r.external_id, coalesce(c.cost_per_record, 0.0) as estimated_cost
-from export_queue q join res r using (export_id) left join cfg c on q.destination = c.destination where r.error is null
+from export_queue q join one r using (export_id) left join cfg c on q.destination = c.destination where r.error is null
 """, "EXP5 (history)")
 def q_send_hist(spark, sf):
     return _send(spark, sf)[1]
 
 
-@query("rate_limited_sends", sql_cte("export_queue") + f""", {_CFG},
-r as (select q.*, c.rate_limit_per_day, cast(q.queued_at as date) as send_day from export_queue q
-      left join cfg c using (destination) where q.status = 'approved'),
-ranked as (select *, row_number() over (partition by destination, send_day order by queued_at, export_id) as rn from r
+SEND_TIME = "1998-08-02 12:00:00"
+
+
+@query("rate_limited_sends", sql_cte("export_queue", "export_history") + f""", {_CFG},
+sent as (select destination, count(*) as n from export_history where cast(sent_at as date) = date '1998-08-02' group by 1),
+r as (select q.*, c.rate_limit_per_day, cast(greatest(c.rate_limit_per_day - coalesce(sent.n, 0), 0) as integer) as allowed
+      from export_queue q left join cfg c using (destination) left join sent using (destination) where q.status = 'approved'),
+ranked as (select *, row_number() over (partition by destination order by queued_at, export_id) as rn from r
            where rate_limit_per_day is not null)
-select * exclude (rn), cast(rn as integer) as rank_in_group from ranked where rn <= rate_limit_per_day
-union all select *, cast(null as integer) from r where rate_limit_per_day is null
-""", "EXP8 (skew-safe capped rank)")
+select * exclude (rn), cast(rn as integer) as rank_in_group from ranked where rn <= allowed
+union all select * replace (cast(null as integer) as allowed), cast(null as integer) from r where rate_limit_per_day is null
+""", "EXP8 (day's cap over all queue days, less what was sent)")
 def q_rate_limited(spark, sf):
-    return X.rate_limited(_queue(spark, sf), G.destination_config(spark), AS_OF)
+    return X.rate_limited(_queue(spark, sf), G.destination_config(spark), SEND_TIME, export_history(spark, sf))
+
+
+# A tight hourly cap on two destinations, so that both caps and the sent history bind on small tables.
+@query("rate_limited_by_hour", sql_cte("export_queue", "export_history") + f"""
+, caps as (select * from (values ('ghl', 7, 40), ('instantly', cast(null as integer), 25)) v(destination, per_hour, per_day)),
+sent as (select destination, count_if(cast(sent_at as date) = date '1998-08-02') as d,
+    count_if(date_trunc('hour', sent_at) = timestamp '{SEND_TIME}') as h from export_history group by 1),
+a as (select c.destination, per_day as rate_limit_per_day,
+    cast(greatest(least(per_day - coalesce(d, 0), per_hour - coalesce(h, 0)), 0) as integer) as allowed
+  from caps c left join sent using (destination)),
+ranked as (select q.*, a.rate_limit_per_day, a.allowed, row_number() over (partition by destination order by queued_at, export_id) as rn
+           from export_queue q join a using (destination) where status = 'approved')
+select destination, rate_limit_per_day, allowed, count(*) as sends, max(queued_at) as last_queued_at
+from ranked where rn <= allowed group by all
+""", "EXP8 (hourly cap)")
+def q_rate_hour(spark, sf):
+    caps = spark.createDataFrame([("ghl", 7, 40), ("instantly", None, 25)],
+                                 "destination string, rate_limit_per_hour int, rate_limit_per_day int")
+    return (X.rate_limited(_queue(spark, sf), caps, SEND_TIME, export_history(spark, sf)).where("allowed is not null")
+            .groupBy("destination", "rate_limit_per_day", "allowed")
+            .agg(F.count(F.lit(1)).alias("sends"), F.max("queued_at").alias("last_queued_at")))
 
 
 @query("export_daily_summary", sql_cte("export_queue", "export_history") + f""", {_CFG}

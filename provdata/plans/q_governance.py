@@ -174,6 +174,28 @@ def q_quarantine(spark, sf):
     return _quarantine(spark, sf)[0]
 
 
+# A second quarantine by someone else must leave the first one's record as it is.
+@query("quarantine_twice", _QUAR_SQL + f"""
+, t2 as (select distinct load_id as target from data_loads where source_type = 'tx_hygienist' and not ({_Q_TARGETS})),
+c2 as (select q.data_load_id, count(*) as nc from newq q join t2 on q.data_load_id = t2.target
+       where status in ('queued', 'approved', 'scheduled') group by 1)
+select load_id, validation_passed, source_type, state_code, row_count, row_count_delta_pct, loaded_at, source_date,
+  validated_at, promotion_delay_hours,
+  case when t.target is not null or t2.target is not null then 'quarantined' else status end as status,
+  case when t2.target is not null then timestamp '2025-07-01' when t.target is not null then timestamp '{AS_OF}' end as quarantined_at,
+  case when t2.target is not null then 'qa' when t.target is not null then 'ops' end as quarantined_by,
+  case when t2.target is not null then 'format change' when t.target is not null then 'row count jump' end as quarantine_reason,
+  case when t2.target is not null then cast(coalesce(c2.nc, 0) as bigint)
+       when t.target is not null then cast(coalesce(c.nc, 0) as bigint) end as exports_cancelled
+from data_loads left join t on load_id = t.target left join c on load_id = c.data_load_id
+  left join t2 on load_id = t2.target left join c2 on load_id = c2.data_load_id
+""", "GOV4 (earlier quarantine records stay)")
+def q_quarantine_twice(spark, sf):
+    loads, queue = _quarantine(spark, sf)
+    second = data_loads(spark, sf).filter(F.expr(f"source_type = 'tx_hygienist' and not ({_Q_TARGETS})")).select("load_id")
+    return G.quarantine_loads(loads, queue, second, "format change", "qa", "2025-07-01")[0]
+
+
 @query("quarantine_queue_status", _QUAR_SQL + """
 select destination, status, count(*) as exports from newq group by destination, status
 """, "GOV4 (queue cascade)")

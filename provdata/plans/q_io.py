@@ -11,7 +11,7 @@ from .registry import query
 _CONTENT = ["lic_id", "lic_nbr", "lic_sta_cde", "lic_orig_dte", "lic_expr_dte", "first_nme", "last_nme", "address1",
             "city", "state", "zip", "county", "nox_permit_dte", "prac_types"]
 _DIGEST = ("sum(cast(cast(('0x' || left(md5(concat_ws('|', "
-           + ", ".join(f"coalesce(cast({c} as varchar), '\\N')" for c in _CONTENT)
+           + ", ".join(f"coalesce(length(cast({c} as varchar)) || ':' || cast({c} as varchar), '\\N')" for c in _CONTENT)
            + ")), 15)) as bigint) as decimal(38,0)))")
 
 _FP_SQL = sql_cte("tx_license_raw") + f""",

@@ -8,7 +8,7 @@ from ..functions import refdata
 from ..functions.soundex_sql import soundex_sql
 from ..operators import match as M
 from ..operators import staging as ST
-from ..sources.bindings import NPI_RAW, binding
+from ..sources.bindings import NPI_RAW, binding, sql_cte
 from .q_staging import SNAP1, SNAPSHOTS_SQL, snapshot
 from .memo import per_session
 from .registry import query
@@ -47,8 +47,9 @@ pairs as (
          else 0 end as conf
   from lic join npi on lic.first_sx = npi.first_sx and lic.last_sx = npi.last_sx and lic.state = npi.state
 ),
-ranked as (select *, row_number() over (partition by professional_id order by conf desc, npi_number) as rk
-           from pairs where conf > 0),
+ranked as (select *, row_number() over (partition by professional_id order by conf desc, npi_number,
+             nf nulls first, nl nulls first, nc nulls first, ns nulls first, nz nulls first, np nulls first) as rk
+           from pairs where conf > 0 and regexp_matches(npi_number, '^[0-9]{1,10}$')),
 best as (select * from ranked where rk = 1),
 matches as (
   select professional_id, state_code, license_number, professional_type, first_name as lic_first_name,
@@ -115,3 +116,11 @@ from a join b using (first_sx, last_sx, state)
 """, "JOIN2 skew profile")
 def q_blocks(spark, sf):
     return M.block_histogram(licenses(spark, sf), binding(spark, sf, "npi_raw"))
+
+
+@query("npi_unusable", sql_cte("npi_raw") + """
+select trim(npi) as npi, count(*) as rows from npi_raw
+where npi is null or not regexp_matches(trim(npi), '^[0-9]{1,10}$') group by 1
+""", "JOIN4 (registry rows set aside)")
+def q_unusable(spark, sf):
+    return M.unusable_npis(binding(spark, sf, "npi_raw"))

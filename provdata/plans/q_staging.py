@@ -299,6 +299,16 @@ def q_diff(spark, sf):
                            raw.filter(F.col("snapshot_date") == SNAP0), AS_OF)
 
 
+# The previous snapshot holds no hygienist file: only dentists can be compared.
+@query("snapshot_diff_new_type", _DIFF_SQL.replace("snapshot_date = '2025-06-29'", "snapshot_date = '2025-06-29' and professional_type = 'dentist'")
+       .replace("snapshot_date = '2025-06-30'", "snapshot_date = '2025-06-30' and professional_type = 'dentist'"),
+       "EVT11 (a type absent from the previous snapshot is skipped)")
+def q_diff_new_type(spark, sf):
+    raw = binding(spark, sf, "tx_license_raw")
+    return E.snapshot_diff(raw.filter(F.col("snapshot_date") == SNAP1),
+                           raw.filter((F.col("snapshot_date") == SNAP0) & (F.col("professional_type") == "dentist")), AS_OF)
+
+
 @query("dim_professionals", HISTORY_SQL + """
 select professional_id, state_code, professional_type, source_license_id, license_number, status_code,
   status_category, license_issue_date, license_expiration_date,

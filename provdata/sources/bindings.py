@@ -24,7 +24,8 @@ AS_OF = "2025-06-30"
 EVENTS_AS_OF = "2024-01-31"
 
 NPI_RAW = """
-select cast(1000000000 + c_custkey as string) as npi,
+select case when v = 1 and c_custkey % 170 = 0 then 'N-' || cast(c_custkey as string)
+    else cast(1000000000 + c_custkey as string) end as npi,
   case when c_custkey % 4 = 3 then '2' else '1' end as entity_type_code,
   case c_custkey % 6 when 0 then 'Robert' when 1 then 'Rupert' when 2 then 'Ann' when 3 then ' Anne ' when 4 then 'Jon' else 'Maria' end as first_name,
   case when c_custkey % 97 = 0 then '' when c_custkey % 10 = 0 then 'Smith' when c_custkey % 10 = 5 then 'Smyth'
@@ -33,7 +34,7 @@ select cast(1000000000 + c_custkey as string) as npi,
       || substr('dlmrcbdlmrcb', cast(1 + floor(c_custkey / 144.0) % 12 as int), 1) end as last_name,
   case when c_custkey % 4 = 3 then c_name else '' end as organization_name,
   case c_nationkey % 5 when 0 then 'TX' when 1 then 'CA' when 2 then 'NY' when 3 then 'PR' else 'TX' end as practice_state,
-  'City' || cast(c_custkey % 11 as string) as practice_city,
+  'City' || cast((c_custkey + 3 * v) % 11 as string) as practice_city,
   cast(75000 + c_custkey % 17 as string) || '-0001' as practice_zip,
   case when c_custkey % 19 = 0 then 'CA' else 'US' end as practice_country,
   '(512) 555-' || lpad(cast(c_custkey % 10000 as string), 4, '0') as practice_phone,

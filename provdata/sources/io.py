@@ -28,17 +28,22 @@ def string_schema(columns: Sequence[str], corrupt: str | None = "_corrupt_record
     return T.StructType(fields)
 
 
-def read_npi(spark: SparkSession, path: str, columns: Sequence[str] = RAW_COLUMNS) -> DataFrame:
+def read_npi(spark: SparkSession, path: str, columns: Sequence[str] = RAW_COLUMNS, names: dict[str, str] | None = None,
+             multi_line: bool = True) -> DataFrame:
     """SRC1: registry CSV (header, quoted fields, embedded newlines); short rows padded with NULLs.
 
-    ``columns`` are the canonical names in file order; bad rows keep their
-    text in ``_corrupt_record`` instead of failing the job.
+    Columns are found by the file's header, whatever their order; ``names`` maps header names to
+    canonical ones. Canonical ``columns`` that the file lacks are NULL, other columns are dropped. Bad rows
+    keep their text in ``_corrupt_record`` instead of failing the job. Quoted newlines need
+    ``multi_line``, which reads a file in one task; without them it can be off, and files split.
     """
-    return (spark.read.schema(string_schema(columns))
-            .option("header", True).option("quote", '"').option("escape", '"')
-            .option("multiLine", True).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", "_corrupt_record")
-            .csv(path))
+    names = names or {}
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
+    header = [names.get(c, c) for c in spark.read.options(**options).csv(path).columns]
+    rows = (spark.read.schema(string_schema(header)).options(**options).option("mode", "PERMISSIVE")
+            .option("enforceSchema", True).option("columnNameOfCorruptRecord", "_corrupt_record").csv(path))
+    return rows.select(*[F.col(f"`{c}`") if c in header else F.lit(None).cast("string").alias(c) for c in columns],
+                       "_corrupt_record")
 
 
 def normalise_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -92,8 +97,12 @@ def load_snapshot(df: DataFrame, date: str | Column, col: str = "snapshot_date")
 
 
 def row_digest(cols: Sequence[str]) -> Column:
-    """Canonical text of a row -> 60-bit integer (first 15 hex digits of md5)."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in cols])
+    """Canonical text of a row -> 60-bit integer (first 15 hex digits of md5).
+
+    Each value is written behind its length, so no value can pass for a separator.
+    """
+    text = F.concat_ws("|", *[F.coalesce(F.concat(F.length(F.col(c).cast("string")), F.lit(":"), F.col(c).cast("string")),
+                                         F.lit("\\N")) for c in cols])
     return F.conv(F.left(F.md5(text), F.lit(15)), 16, 10).cast("decimal(38,0)")
 
 
@@ -186,15 +195,26 @@ def merge_upsert(target: DataFrame, updates: DataFrame, key: Sequence[str], mode
 
     ``replace``: rows of ``updates`` win for their keys. ``insert_only``:
     keys already in ``target`` keep their row (only new keys are added).
-    New columns on either side are kept (missing values NULL).
+    New columns on either side are kept (missing values NULL). A key that
+    ``updates`` holds several times counts once, with its greatest row (in
+    column order); NULL in a key equals NULL.
     """
     key = list(key)
+    rest = [c for c in updates.columns if c not in key]
+    updates = (updates.groupBy(*key).agg(F.max(F.struct(*rest)).alias("_row")).select(*key, "_row.*").select(*updates.columns)
+               if rest else updates.distinct())
+
+    def without(a: DataFrame, b: DataFrame) -> DataFrame:
+        b = b.select(*[F.col(k).alias(f"_k_{k}") for k in key]).distinct()
+        on = F.lit(True)
+        for k in key:
+            on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        return a.join(b, on, "left_anti")
+
     if mode == "replace":
-        keep = target.join(updates.select(*key).distinct(), key, "left_anti")
-        return keep.unionByName(updates, allowMissingColumns=True)
+        return without(target, updates).unionByName(updates, allowMissingColumns=True)
     if mode == "insert_only":
-        new = updates.join(target.select(*key).distinct(), key, "left_anti")
-        return target.unionByName(new, allowMissingColumns=True)
+        return target.unionByName(without(updates, target), allowMissingColumns=True)
     raise ValueError(f"unknown mode {mode}")
 
 
@@ -230,7 +250,7 @@ def write_version(spark: SparkSession, df: DataFrame, base: str) -> int:
     v = (current_version(spark, base) or 0) + 1
     df.write.mode("overwrite").parquet(f"{base.rstrip('/')}/v={v}")
     fs, marker = _hadoop_fs(spark, f"{base.rstrip('/')}/_commit_{v}")
-    fs.create(marker, True).close()
+    fs.create(marker, False).close()  # raises if another writer has published this version meanwhile
     return v
 
 

@@ -134,15 +134,22 @@ def touchpoint_stream(spark: SparkSession, events_dir: str, file_glob: str = "ev
     return tp.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
 
 
+def _finish(q, timeout_s: int) -> None:
+    """Wait for an available-now query; one that is still running then is stopped and raises: its result is partial."""
+    if not q.awaitTermination(timeout_s):
+        q.stop()
+        raise TimeoutError(f"the stream was still running after {timeout_s} s")
+    if q.exception():
+        raise q.exception()
+
+
 def run_available_now(df: DataFrame, checkpoint_dir: str, query_name: str, mode: str = "complete",
                       timeout_s: int = 300) -> DataFrame:
     """Run a streaming DataFrame over everything available into a memory table and return it as batch."""
     spark = df.sparkSession
     q = (df.writeStream.outputMode(mode).format("memory").queryName(query_name)
          .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.exception():
-        raise q.exception()
+    _finish(q, timeout_s)
     return spark.table(query_name)
 
 
@@ -164,7 +171,5 @@ def run_upsert_stream(df: DataFrame, key: list[str], base: str, checkpoint_dir:
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     q = w.start()
     if available_now:
-        q.awaitTermination(timeout_s)
-        if q.exception():
-            raise q.exception()
+        _finish(q, timeout_s)
     return q
