@@ -53,6 +53,8 @@ class Params:
     block_tokens: int = 250_000
     #: Tokens that a map task gathers before it sends them on.
     buffer_tokens: int = 4_000_000
+    #: Bits of the sieve that spares most documents the shuffle of their texts: 4 MB, however large the corpus.
+    sieve_bits: int = 1 << 25
 
     def need(self, n):
         """Least overlap of a set of ``n`` tokens with any similar set."""
@@ -350,6 +352,24 @@ def _verified(pairs: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify(p), "a long, b long")
 
 
+def _sieved(docs: DataFrame, ids: DataFrame, p: Params) -> DataFrame:
+    """Rows of ``docs`` whose doc_id may be among the ``first_id`` of ``ids``: a bitmap of hashes, of fixed size, is broadcast.
+
+    It lets through all that are, and by chance some others, which the join that follows drops.
+    """
+    def bit(c):
+        return F.pmod(F.coalesce(F.xxhash64(c), F.lit(0)), F.lit(p.sieve_bits))
+
+    bitmap = (ids.select(bit("first_id").alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
+              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")))
+    place = F.bitmap_bit_position("bit")
+    byte = F.conv(F.hex(F.substring(F.col("bits"), F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return (docs.withColumn("bit", bit("doc_id")).withColumn("bucket", F.bitmap_bucket_number("bit"))
+            .join(F.broadcast(bitmap), "bucket")  # at most sieve_bits / 8 bytes in all
+            .where(F.get(F.array(*[byte.bitwiseAND(1 << k) > 0 for k in range(8)]), (place % 8).cast("int")))
+            .select("doc_id", "text"))
+
+
 def _links_of_large(index: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
     """Links between components under tokens of more than ``pairwise`` classes, found in pairs of blocks.
 
@@ -360,17 +380,16 @@ def _links_of_large(index: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
              .select("node", "n", "comp", F.col("home.token").alias("home")))
     placed = prefix_sums(nodes, [F.col("home"), F.col("comp"), F.col("n"), F.col("node")], {"before": F.col("n")})
     placed = materialize(placed.withColumn("block", F.floor(F.col("before") / p.block_tokens).cast("long")))
-    held = index.join(placed.select("node", "block"), "node").select("token", "block").distinct()
-    blocks = placed.groupBy("block").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"),
+    limits = placed.groupBy("block").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"),
                                          F.min("n").alias("n0"), F.max("n").alias("n1"))
-    pairs = (held.alias("l").join(held.alias("r"), F.col("l.token") == F.col("r.token"))
-             .where("l.block <= r.block").select(F.col("l.block").alias("b1"), F.col("r.block").alias("b2")).distinct())
-    for k in (1, 2):
-        pairs = pairs.join(blocks.select(F.col("block").alias(f"b{k}"), *[F.col(c).alias(f"{c}_{k}") for c in (
-            "c0", "c1", "n0", "n1")]), f"b{k}")
-    pairs = materialize(pairs.where("not (c0_1 = c1_1 and c0_2 = c1_2 and c0_1 = c0_2)")
-                        .where(F.col("n1_1") * 100 >= F.col("n0_2") * p.percent)
-                        .where(F.col("n1_2") * 100 >= F.col("n0_1") * p.percent).select("b1", "b2"))
+    held = (index.join(placed.select("node", "block"), "node").select("token", "block").distinct()
+            .join(limits, "block"))
+    l, r = held.alias("l"), held.alias("r")
+    pairs = materialize(
+        l.join(r, F.col("l.token") == F.col("r.token")).where("l.block <= r.block")
+        .where("not (l.c0 = l.c1 and r.c0 = r.c1 and l.c0 = r.c0)")
+        .where((F.col("l.n1") * 100 >= F.col("r.n0") * p.percent) & (F.col("r.n1") * 100 >= F.col("l.n0") * p.percent))
+        .select(F.col("l.block").alias("b1"), F.col("r.block").alias("b2")).distinct())
     sides = (pairs.where("b1 = b2").select("b1", "b2", F.col("b1").alias("block"), F.lit(0).alias("side"))
              .union(pairs.where("b1 < b2").select("b1", "b2", "b1", F.lit(1)))
              .union(pairs.where("b1 < b2").select("b1", "b2", "b2", F.lit(2))))
@@ -392,9 +411,9 @@ def link_components(df: DataFrame, p: Params = Params(), id_col: str = "doc_id",
     classes = materialize(rows.where("n > 0").groupBy("class", "cid", "n").agg(
         F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies")))
     wanted = F.ceil(_need(F.col("n"), p) * p.look / 100)
-    alive = classes.join(shared, "cid").where(F.col("times") >= wanted).select("class", "first_id")
+    alive = materialize(classes.join(shared, "cid").where(F.col("times") >= wanted).select("class", "first_id"))
     sets = materialize(
-        docs.join(alive, F.col("doc_id").eqNullSafe(F.col("first_id"))).select("class", "text")
+        _sieved(docs, alive, p).join(alive, F.col("doc_id").eqNullSafe(F.col("first_id"))).select("class", "text")
         .mapInArrow(_full_sets(p), "class binary, n long, tokens binary")
         .groupBy("class").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
         .withColumns({"node": F.monotonically_increasing_id(), "home": F.spark_partition_id()}))
@@ -408,7 +427,6 @@ def link_components(df: DataFrame, p: Params = Params(), id_col: str = "doc_id",
     to_pivot = (index.where("node <> b").where(_similar_sizes("n", "b_n", p))
                 .select(F.col("node").alias("a"), "b").distinct())
     found = components(_verified(to_pivot, sets, p)).select("node", F.col("component").alias("comp"))
-    found = materialize(found)
     index = materialize(index.select("token", "node", "n", "classes").join(found, "node", "left")
                         .withColumn("comp", F.coalesce("comp", "node")))
     apart = index.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("token")
