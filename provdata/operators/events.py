@@ -52,7 +52,13 @@ def _rule(fires: Column, rule_key: str, event_type: str, desc: str, prev_v: Colu
 
 
 def license_events(history: DataFrame, as_of: str, previous_events: DataFrame | None = None) -> DataFrame:
-    """EVT0: every rule (EVT1-EVT10) in one pass over the history."""
+    """EVT0: every rule (EVT1-EVT10) in one pass over the history.
+
+    After a first run only the keys with a version newer than its events are windowed.
+    """
+    if previous_events is not None:
+        touched = since_watermark(history, "valid_from", previous_events).select("professional_id").distinct()
+        history = history.join(touched, "professional_id", "left_semi")
     v = since_watermark(previous_version(history), "valid_from", previous_events)
     p = lambda n: F.col(f"prev.{n}")
     is_new = F.col("prev").isNull()

@@ -2,8 +2,8 @@
 
 ``scd2_apply`` is the snapshot step without MERGE: only the *open* versions
 take part in a full outer join with the incoming snapshot on the key;
-closed history passes through untouched (at scale it lives in its own
-partition, ``is_current=false``, and is only ever appended to). Each joined
+closed history passes through untouched (``streaming.changes`` gives the step
+the open versions alone and keeps closed ones in folders that are written once). Each joined
 row emits up to two output rows (close old, open new) through one
 ``explode`` of a two-element array, so the join is evaluated once.
 """

@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import functions as F
+
 from ..operators import history as H
-from ..sources.bindings import binding, sql_cte
+from ..session import ensure_checkpoint_dir
+from ..sources import io as IO
+from ..sources.bindings import AS_OF, binding, sql_cte
+from ..streaming import changes as CH
 from ..streaming import leads as L
+from .memo import per_session
+from .q_staging import _EVENTS_SQL, HISTORY_SQL, SNAPSHOTS_SQL
 from .registry import query
 
 _TP = sql_cte("touchpoints")
@@ -92,7 +101,6 @@ select base.*, top_channel, peak_hour, sessions, cast(events as double) / active
 from base join top_ch using (lead_id) join peak using (lead_id) join sess using (lead_id)
 """, "STR5 (batch twin)")
 def q_engagement(spark, sf):
-    from pyspark.sql import functions as F
     return L.engagement_features(touchpoints(spark, sf), bucket=F.date_trunc("hour", "event_timestamp"))
 
 
@@ -102,7 +110,6 @@ select count(*) as touchpoints, cast(count(json_extract(event_metadata, '$.k'))
 from touchpoints
 """, "event metadata VARIANT (parse_json / variant_get)")
 def q_metadata(spark, sf):
-    from pyspark.sql import functions as F
     m = L.metadata_fields(touchpoints(spark, sf))
     return m.agg(F.count(F.lit(1)).alias("touchpoints"), F.count("meta_k").cast("bigint").alias("with_k"),
                  F.sum(F.col("meta_k").cast("bigint")).alias("sum_k"))
@@ -114,6 +121,51 @@ v as (select user_id, ts, event_id, event_type from l where p is null or p <> ev
 select user_id, event_type, ts as valid_from, lead(ts) over (partition by user_id order by ts, event_id) as valid_to from v
 """, "HIS2")
 def q_state_log_history(spark, sf):
-    from pyspark.sql import functions as F
     return H.scd2_from_changes(binding(spark, sf, "state_log"), "user_id", ["event_type"], ["ts", "event_id"],
                                bucket=F.date_trunc("hour", "ts"))
+
+
+@per_session
+def change_stream(spark, sf) -> str:
+    """Run STR4 over the licence files: three files per date and type, and a third date that holds half the keys.
+
+    Returns the folder of its tables (history, events, loads).
+    """
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/change-stream-{uuid.uuid4().hex}"
+    raw = binding(spark, sf, "tx_license_raw")
+    half = raw.where("snapshot_date = '2025-06-30' and lic_id % 2 = 0").withColumn("snapshot_date", F.lit("2025-07-01"))
+    files = raw.union(half)
+    for day in ("2025-06-29", "2025-06-30", "2025-07-01"):
+        for kind in ("dentist", "hygienist"):
+            (files.where((F.col("snapshot_date") == day) & (F.col("professional_type") == kind))
+             .repartition(3, "lic_id").write.mode("append").parquet(f"{root}/in"))
+    (files.groupBy("snapshot_date", "professional_type").agg(F.count(F.lit(1)).alias("rows"))
+     .write.parquet(f"{root}/manifest"))
+    CH.run_change_events(spark, f"{root}/in", spark.read.parquet(f"{root}/in").schema, f"{root}/manifest", f"{root}/tables",
+                         f"{root}/progress", as_of=AS_OF, max_files=5)
+    return f"{root}/tables"
+
+
+@query("license_stream_history", HISTORY_SQL + "select * from history", "STR4, HIS1 (stream over files)")
+def q_stream_history(spark, sf):
+    return CH.read_history(spark, change_stream(spark, sf))
+
+
+@query("license_stream_events", _EVENTS_SQL + "select * from events_out", "STR4, EVT0-EVT10 (stream over files)")
+def q_stream_events(spark, sf):
+    return IO.read_current(spark, f"{change_stream(spark, sf)}/events")
+
+
+@query("license_stream_loads", SNAPSHOTS_SQL + """
+, k as (select (select count(*) from s0) as k0, (select count(*) from s1) as k1,
+  (select count(*) from tx_license_raw where snapshot_date = '2025-06-29') as r0,
+  (select count(*) from tx_license_raw where snapshot_date = '2025-06-30') as r1,
+  (select count(*) from tx_license_raw where snapshot_date = '2025-06-30' and lic_id % 2 = 0) as r2,
+  (select count(distinct professional_id) from staged where snapshot_date = '2025-06-30' and source_license_id % 2 = 0) as k2)
+select '2025-06-29' as snapshot_date, 'applied' as status, r0 as rows, r0 as expected_rows, k0 as keys, cast(0 as bigint) as open_before,
+  cast(null as varchar) as reason from k
+union all select '2025-06-30', 'applied', r1, r1, k1, k0, null from k
+union all select '2025-07-01', 'quarantined', r2, r2, k2, k1, 'key count moved by more than 20%' from k
+""", "STR4 (a refused snapshot is a row, not lost)")
+def q_stream_loads(spark, sf):
+    return CH.read_loads(spark, change_stream(spark, sf))

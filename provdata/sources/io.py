@@ -224,6 +224,11 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop_fs(spark, path.rstrip("/"))
+    return fs.exists(p)
+
+
 def current_version(spark: SparkSession, base: str) -> int | None:
     """Highest committed version under ``base`` (an empty ``_commit_<n>`` marker per version)."""
     fs, p = _hadoop_fs(spark, base.rstrip("/"))
@@ -239,22 +244,37 @@ def read_current(spark: SparkSession, base: str) -> DataFrame | None:
     return None if v is None else spark.read.parquet(f"{base.rstrip('/')}/v={v}")
 
 
-def write_version(spark: SparkSession, df: DataFrame, base: str) -> int:
+def drop_versions(spark: SparkSession, base: str, keep: int) -> None:
+    """Remove the data and then the markers of all but the last ``keep`` versions."""
+    last = current_version(spark, base)
+    for v in range((last or 0) - keep, 0, -1):
+        fs, marker = _hadoop_fs(spark, f"{base.rstrip('/')}/_commit_{v}")
+        if not fs.exists(marker):
+            break
+        fs.delete(_hadoop_fs(spark, f"{base.rstrip('/')}/v={v}")[1], True)
+        fs.delete(marker, False)
+
+
+def write_version(spark: SparkSession, df: DataFrame, base: str, keep: int | None = None) -> int:
     """Write ``df`` as the next version directory, then publish it with a commit marker.
 
     Creating the empty ``_commit_<n>`` file is the single atomic step:
     readers never see a half-written version, a job that dies before the
     marker leaves the table as it was, and a rerun overwrites that version
-    directory (same number, since it was never committed).
+    directory (same number, since it was never committed). ``keep`` removes
+    all but so many of the last versions; readers of an older one must be done.
     """
     v = (current_version(spark, base) or 0) + 1
     df.write.mode("overwrite").parquet(f"{base.rstrip('/')}/v={v}")
     fs, marker = _hadoop_fs(spark, f"{base.rstrip('/')}/_commit_{v}")
     fs.create(marker, False).close()  # raises if another writer has published this version meanwhile
+    if keep:
+        drop_versions(spark, base, keep)
     return v
 
 
-def upsert(spark: SparkSession, base: str, updates: DataFrame, key: Sequence[str], mode: str = "replace") -> int:
+def upsert(spark: SparkSession, base: str, updates: DataFrame, key: Sequence[str], mode: str = "replace",
+           keep: int | None = None) -> int:
     """SNK2: merge ``updates`` into the current version at ``base`` and publish a new version.
 
     The merged plan reads the current version, so it is written out
@@ -263,12 +283,4 @@ def upsert(spark: SparkSession, base: str, updates: DataFrame, key: Sequence[str
     """
     cur = read_current(spark, base)
     merged = updates if cur is None else merge_upsert(cur, updates, key, mode)
-    return write_version(spark, merged, base)
-
-
-def checkpoint_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage by writing ``df`` under the shared ``spark.checkpoint.dir`` and reading it back."""
-    from ..session import ensure_checkpoint_dir
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return write_version(spark, merged, base, keep)

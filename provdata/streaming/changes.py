@@ -1,16 +1,22 @@
 """Licence snapshots as a stream -> history + change events (STR4).
 
-Each micro-batch holds one or more snapshot files (partition
-``snapshot_date``). ``foreachBatch`` applies them in date order with the
-batch operators: stage, one row per key, ``scd2_apply`` against the current
-history version, then ``license_events`` since the previous events'
-watermark, merged insert-only by event id. Every step writes a new table
-version, so:
-
-* a replayed micro-batch (after an executor or driver failure) is a no-op —
-  applying the same snapshot twice changes nothing and events merge
-  insert-only;
-* lineage never grows across batches (each version is read back from disk).
+A snapshot date arrives as any number of files over any number of micro-batches. A manifest names
+the rows that each (snapshot_date, professional_type) has in all, and a date is applied only when every
+type of it has landed whole, in date order: a later date waits for an earlier one. What cannot be applied
+is not lost: its rows stay in the landing area, and the loads table says why.
+
+Under ``base``:
+
+* ``landing/batch=<n>``: the raw rows of each micro-batch, written before anything else; a replayed
+  micro-batch overwrites its own folder.
+* ``open``: the open version of every key (versioned table, as large as a snapshot).
+* ``closed/day=<d>``: the versions that day ``d`` closed, written once and never again, so the bytes written
+  per snapshot do not grow with the history.
+* ``events``: change events, merged insert-only by event id.
+* ``loads``: one row per decided date: applied, or quarantined with its reason.
+
+Every step can be replayed: closed versions are written before the open table moves on and are skipped when they
+are there; the same snapshot applied twice changes nothing; events merge insert-only.
 """
 
 from __future__ import annotations
@@ -26,43 +32,125 @@ from ..operators import staging as ST
 from ..operators.providers import latest_per_key
 from ..sources import io as IO
 
+KEY = "professional_id"
+LOADS_SCHEMA = "snapshot_date string, status string, rows long, expected_rows long, keys long, open_before long, reason string"
+
+
+def read_history(spark: SparkSession, base: str) -> DataFrame | None:
+    """The whole history: closed versions and open ones."""
+    open_v = IO.read_current(spark, f"{base}/open")
+    if open_v is None:
+        return None
+    closed = f"{base}/closed"
+    if not IO.exists(spark, closed):
+        return open_v
+    return open_v.unionByName(spark.read.schema(open_v.schema).parquet(closed).select(*open_v.columns))
+
+
+def read_loads(spark: SparkSession, base: str) -> DataFrame:
+    found = IO.read_current(spark, f"{base}/loads")
+    return spark.createDataFrame([], LOADS_SCHEMA) if found is None else found
+
+
+def landed_counts(landing: DataFrame) -> DataFrame:
+    return landing.groupBy("snapshot_date", "professional_type").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def date_states(landing: DataFrame, manifest: DataFrame, loads: DataFrame) -> DataFrame:
+    """Undecided dates of the manifest, with their rows landed and expected, and whether a type lacks or exceeds its rows."""
+    expected = manifest.groupBy(F.col("snapshot_date").cast("string").alias("snapshot_date"), "professional_type").agg(
+        F.max("rows").alias("expected"))
+    got = landed_counts(landing.withColumn("snapshot_date", F.col("snapshot_date").cast("string")))
+    both = expected.join(got, ["snapshot_date", "professional_type"], "full_outer")
+    rows, want = F.coalesce("rows", F.lit(0)), F.coalesce("expected", F.lit(0))
+    # Rows of a type or date that the manifest does not name (want = 0) are surplus once the manifest names the date.
+    per = both.groupBy("snapshot_date").agg(F.sum(rows).alias("rows"), F.sum(want).alias("expected_rows"),
+                                            F.max((rows < want).cast("int")).alias("lacking"),
+                                            F.max((rows > want).cast("int")).alias("surplus"))
+    return (per.where("expected_rows > 0").join(loads.select("snapshot_date"), "snapshot_date", "left_anti"))
+
 
-def apply_snapshot(spark: SparkSession, raw_snapshot: DataFrame, day: str, history_base: str, events_base: str,
+def apply_snapshot(spark: SparkSession, raw_snapshot: DataFrame, day: str, base: str,
                    check_cols: Sequence[str] = tuple(H.LICENSE_CHECK_COLS), as_of: str | None = None,
-                   max_delta_pct: float | None = 0.20) -> str:
-    """Apply one raw snapshot (all licence kinds of one date) to the versioned history and events.
+                   max_delta_pct: float | None = 0.20) -> dict:
+    """Apply one whole raw snapshot (all licence kinds of one date) to the history and events under ``base``.
 
-    A partial file must not close most of the history: when the snapshot's
-    key count differs from the open versions by more than ``max_delta_pct``
-    (the row-count-delta rule) the load is refused and nothing is written.
-    Returns 'applied' or 'refused'.
+    A partial export must not close most of the history: when the snapshot's key count differs
+    from the open versions by more than ``max_delta_pct`` (the row-count-delta rule) nothing is written.
+    Returns the decision: status ``applied`` or ``quarantined``, keys, open_before, reason.
     """
     staged = ST.stage_tx(raw_snapshot)
-    snap = latest_per_key(staged, ["professional_id"], [F.col("source_license_id")])
-    hist = IO.read_current(spark, history_base)
-    if hist is not None and max_delta_pct is not None:
-        open_n = hist.filter(F.col("valid_to").isNull()).select(F.count(F.lit(1))).scalar()
-        delta = snap.select((F.abs(F.count(F.lit(1)) - open_n) / F.greatest(open_n, F.lit(1))).alias("d")).first()["d"]
-        if delta is not None and delta > max_delta_pct:
-            return "refused"
-    IO.write_version(spark, H.scd2_apply(hist, snap, "professional_id", list(check_cols), day), history_base)
-    prev_events = IO.read_current(spark, events_base)
-    ev = E.license_events(IO.read_current(spark, history_base), as_of or day, previous_events=prev_events)
-    IO.upsert(spark, events_base, ev, ["event_id"], mode="insert_only")
-    return "applied"
-
-
-def change_events_stream(spark: SparkSession, snapshot_dir: str, schema, history_base: str, events_base: str,
-                         checkpoint_dir: str, as_of: str | None = None, max_files: int = 1):
-    """STR4: start the stream over ``snapshot_dir`` (parquet partitioned by snapshot_date); returns the query."""
-    raw = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(snapshot_dir))
+    snap = latest_per_key(staged, [KEY], [F.col("source_license_id")])
+    keys = snap.count()
+    open_v = IO.read_current(spark, f"{base}/open")
+    open_before = 0 if open_v is None else open_v.count()
+    if open_v is not None and max_delta_pct is not None and abs(keys - open_before) > max_delta_pct * max(open_before, 1):
+        return {"status": "quarantined", "keys": keys, "open_before": open_before,
+                "reason": f"key count moved by more than {max_delta_pct:.0%}"}
+    step = H.scd2_apply(open_v, snap, KEY, list(check_cols), day)
+    if open_v is not None:
+        closed = f"{base}/closed/day={day}"
+        if not IO.exists(spark, f"{closed}/_SUCCESS"):
+            step.where("valid_to is not null").write.mode("overwrite").parquet(closed)
+    IO.write_version(spark, step.where("valid_to is null"), f"{base}/open", keep=3)
+    events = E.license_events(read_history(spark, base), as_of or day, previous_events=IO.read_current(spark, f"{base}/events"))
+    IO.upsert(spark, f"{base}/events", events, ["event_id"], mode="insert_only", keep=3)
+    return {"status": "applied", "keys": keys, "open_before": open_before, "reason": None}
+
+
+def _decide(spark: SparkSession, base: str, day: str, rows: int, expected: int, decision: dict) -> None:
+    row = (day, decision["status"], rows, expected, decision.get("keys"), decision.get("open_before"), decision["reason"])
+    IO.upsert(spark, f"{base}/loads", spark.createDataFrame([row], LOADS_SCHEMA), ["snapshot_date"], keep=3)
+
+
+def apply_complete_dates(spark: SparkSession, base: str, schema, manifest: DataFrame, as_of: str | None = None,
+                         max_delta_pct: float | None = 0.20) -> None:
+    """Decide every date that has landed whole, oldest first, up to the first that has not."""
+    landing = spark.read.schema(schema).parquet(f"{base}/landing")
+    # One row per undecided date of the manifest: metadata, not data.
+    for r in date_states(landing, manifest, read_loads(spark, base)).orderBy("snapshot_date").collect():
+        if r["lacking"]:
+            break
+        if r["surplus"]:
+            decision = {"status": "quarantined", "reason": "more rows than the manifest names"}
+        else:
+            day = landing.where(F.col("snapshot_date").cast("string") == r["snapshot_date"]).drop("snapshot_date")
+            decision = apply_snapshot(spark, day, r["snapshot_date"], base, as_of=as_of, max_delta_pct=max_delta_pct)
+        _decide(spark, base, r["snapshot_date"], r["rows"], r["expected_rows"], decision)
+
+
+def release_snapshot(spark: SparkSession, base: str, schema, day: str, as_of: str | None = None) -> None:
+    """Apply a quarantined date after all, from its landed rows; only while no later date has been applied."""
+    loads = {r["snapshot_date"]: r for r in read_loads(spark, base).collect()}  # one row per decided date
+    if loads.get(day, {"status": None})["status"] != "quarantined":
+        raise ValueError(f"{day} is not in quarantine")
+    if any(d > day and r["status"] == "applied" for d, r in loads.items()):
+        raise ValueError(f"a date later than {day} has been applied")
+    landing = spark.read.schema(schema).parquet(f"{base}/landing")
+    raw = landing.where(F.col("snapshot_date").cast("string") == day).drop("snapshot_date")
+    decision = apply_snapshot(spark, raw, day, base, as_of=as_of, max_delta_pct=None)
+    _decide(spark, base, day, loads[day]["rows"], loads[day]["expected_rows"], decision)
+
+
+def change_events_stream(spark: SparkSession, snapshot_dir: str, schema, manifest_path: str, base: str, checkpoint_dir: str,
+                         as_of: str | None = None, max_files: int = 1, max_delta_pct: float | None = 0.20):
+    """STR4: start the stream over the files under ``snapshot_dir``; returns the query.
+
+    ``manifest_path`` is a Parquet table (snapshot_date, professional_type, rows); it is read anew for each
+    micro-batch, so it may grow with the dates.
+    """
+    raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(snapshot_dir)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        # The distinct snapshot dates of one micro-batch: a handful of values.
-        days = sorted(str(r[0]) for r in batch.select("snapshot_date").distinct().collect())
-        for day in days:
-            apply_snapshot(spark, batch.filter(F.col("snapshot_date") == day).drop("snapshot_date"), day,
-                           history_base, events_base, as_of=as_of)
+        batch.write.mode("overwrite").parquet(f"{base}/landing/batch={batch_id}")
+        apply_complete_dates(spark, base, schema, spark.read.parquet(manifest_path), as_of, max_delta_pct)
 
     return (raw.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_dir)
             .trigger(availableNow=True).start())
+
+
+def run_change_events(spark: SparkSession, snapshot_dir: str, schema, manifest_path: str, base: str, checkpoint_dir: str,
+                      timeout_s: int = 3600, **options) -> None:
+    """Run the stream over everything available; raises if it fails or does not finish in time."""
+    from .leads import _finish
+    _finish(change_events_stream(spark, snapshot_dir, schema, manifest_path, base, checkpoint_dir, **options), timeout_s)

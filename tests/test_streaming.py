@@ -36,29 +36,69 @@ def test_dedupe_stream_keeps_one_row_per_event(spark):
     assert out.count() == n
 
 
-def test_license_snapshot_stream_equals_batch_history(spark):
+def _snapshot_files(spark, root, raw, parts=3):
+    """Every date and type as ``parts`` files of their own, and the manifest; returns the schema."""
     import os
 
+    for day, kind in sorted((r[0], r[1]) for r in raw.select("snapshot_date", "professional_type").distinct().collect()):
+        raw.where((F.col("snapshot_date") == day) & (F.col("professional_type") == kind)).repartition(parts) \
+            .write.mode("append").parquet(os.path.join(root, "in"))
+    raw.groupBy("snapshot_date", "professional_type").agg(F.count(F.lit(1)).alias("rows")) \
+        .write.mode("overwrite").parquet(os.path.join(root, "manifest"))
+    return spark.read.parquet(os.path.join(root, "in")).schema
+
+
+def _history_rows(df):
+    return _rows(df.select("professional_id", "status_category", "valid_from", "valid_to"))
+
+
+def test_change_stream_over_many_files_equals_the_batch(spark, tmp_path):
+    from provdata.operators import events as E
     from provdata.plans.q_staging import history
     from provdata.sources import io as IO
-    from provdata.streaming.changes import change_events_stream
+    from provdata.streaming import changes as CH
+
+    root, base = str(tmp_path), str(tmp_path / "t")
+    schema = _snapshot_files(spark, root, binding(spark, SF_SMALL, "tx_license_raw"))
+    CH.run_change_events(spark, f"{root}/in", schema, f"{root}/manifest", base, f"{root}/ck", as_of="2025-06-30", max_files=2)
+    assert _history_rows(CH.read_history(spark, base)) == _history_rows(history(spark, SF_SMALL))
+    assert _rows(IO.read_current(spark, f"{base}/events")) == _rows(E.license_events(history(spark, SF_SMALL), "2025-06-30"))
+    assert [(r.snapshot_date, r.status) for r in CH.read_loads(spark, base).orderBy("snapshot_date").collect()] == [
+        ("2025-06-29", "applied"), ("2025-06-30", "applied")]
+    # Applied again, as after a failure before the loads row was written: nothing changes.
+    before = _history_rows(CH.read_history(spark, base)), IO.read_current(spark, f"{base}/events").count()
+    landing = spark.read.schema(schema).parquet(f"{base}/landing")
+    CH.apply_snapshot(spark, landing.where("snapshot_date = '2025-06-30'").drop("snapshot_date"), "2025-06-30", base, as_of="2025-06-30")
+    assert before == (_history_rows(CH.read_history(spark, base)), IO.read_current(spark, f"{base}/events").count())
+
+
+def test_change_stream_waits_for_a_whole_date_and_quarantines(spark, tmp_path):
+    from provdata.sources import io as IO
+    from provdata.streaming import changes as CH
 
-    root = tempfile.mkdtemp(prefix="snap-")
+    root, base = str(tmp_path), str(tmp_path / "t")
     raw = binding(spark, SF_SMALL, "tx_license_raw")
-    # One file per snapshot date, arriving in date order.
-    for day in ("2025-06-29", "2025-06-30"):
-        raw.filter(F.col("snapshot_date") == day).coalesce(1).write.mode("append") \
-            .partitionBy("snapshot_date").parquet(os.path.join(root, "in"))
-    schema = spark.read.parquet(os.path.join(root, "in")).schema
-    q = change_events_stream(spark, os.path.join(root, "in"), schema, os.path.join(root, "hist"),
-                             os.path.join(root, "events"), os.path.join(root, "ck"), as_of="2025-06-30")
-    q.awaitTermination(600)
-    got = IO.read_current(spark, os.path.join(root, "hist"))
-    exp = history(spark, SF_SMALL)
-    cols = ["professional_id", "status_category", "valid_from", "valid_to"]
-    assert _rows(got.select(*cols)) == _rows(exp.select(*cols))
-    ev = IO.read_current(spark, os.path.join(root, "events"))
-    assert ev.count() == ev.select("event_id").distinct().count() > 0
+    half = raw.where("snapshot_date = '2025-06-30' and lic_id % 2 = 0").withColumn("snapshot_date", F.lit("2025-07-01"))
+    schema = _snapshot_files(spark, root, raw.where("snapshot_date = '2025-06-29'").union(half), parts=2)
+    first = raw.where("snapshot_date = '2025-06-29'").count()
+    run = lambda: CH.run_change_events(spark, f"{root}/in", schema, f"{root}/manifest", base, f"{root}/ck", as_of="2025-06-30")
+    # The manifest names a date of which nothing has landed yet: the later one waits, though it is there whole.
+    manifest = spark.read.parquet(f"{root}/manifest").collect()
+    more = raw.where("snapshot_date = '2025-06-30'").groupBy("snapshot_date", "professional_type").agg(F.count(F.lit(1)).alias("rows")).collect()
+    spark.createDataFrame(manifest + more, "snapshot_date string, professional_type string, rows long").write.mode("overwrite").parquet(f"{root}/manifest")
+    run()
+    assert [r.snapshot_date for r in CH.read_loads(spark, base).collect()] == ["2025-06-29"]
+    assert CH.read_history(spark, base).where("valid_to is null").count() <= first
+    raw.where("snapshot_date = '2025-06-30'").repartition(3).write.mode("append").parquet(f"{root}/in")
+    run()
+    got = {r.snapshot_date: (r.status, r.reason) for r in CH.read_loads(spark, base).collect()}
+    assert got == {"2025-06-29": ("applied", None), "2025-06-30": ("applied", None),
+                   "2025-07-01": ("quarantined", "key count moved by more than 20%")}
+    open_before = CH.read_history(spark, base).where("valid_to is null").count()
+    CH.release_snapshot(spark, base, schema, "2025-07-01", as_of="2025-07-01")
+    assert CH.read_history(spark, base).where("valid_to is null").count() < 0.7 * open_before
+    assert {r.status for r in CH.read_loads(spark, base).collect()} == {"applied"}
+    assert IO.current_version(spark, f"{base}/open") == 3 and not IO.exists(spark, f"{base}/open/v=0")
 
 
 def test_attribution_windows_stream_equals_batch(spark):
