@@ -37,6 +37,9 @@ STAGED_COLUMNS = [
     "has_anesthesia_level_3", "has_anesthesia_level_4", "has_portability",
     "has_sealant_certification", "has_nitrous_monitoring", "has_local_infiltration_anesthesia",
     "has_disciplinary_action", "has_remedial_plans",
+    "anesthesia_level_1_date", "anesthesia_level_2_date", "anesthesia_level_3_date", "anesthesia_level_4_date",
+    "has_shrp_modifier", "has_spp_modifier", "has_erx_waiver", "is_level_exempt",
+    "business_name", "owner_name", "manager_name", "certified_dental_technician", "lab_type",
 ]
 
 
@@ -54,6 +57,11 @@ def permit_date(c) -> F.Column:
     return F.when(permit_flag(c), C.safe_date(c))
 
 
+def not_no(c) -> F.Column:
+    """Anything but 'NO' (NULL stays NULL)."""
+    return F.upper(F.trim(C.col_(c))) != "NO"
+
+
 def yes(c) -> F.Column:
     return F.upper(F.trim(C.col_(c))) == "YES"
 
@@ -64,7 +72,7 @@ def stage_tx(raw: DataFrame, professional_type: str | None = None, coalesce_flag
     ``professional_type`` names the file kind; when None the input carries a
     ``professional_type`` column (a combined extract) and each row is staged
     by its own type. Flags that do not apply to a type are ``false`` and
-    text that does not apply is NULL, as the unified 42-column schema wants
+    text that does not apply is NULL, as the unified schema wants
     (SET1), so the result of several kinds is already union-compatible.
     Permit flags keep the source's three-valued result (a missing permit
     date gives NULL, not false) unless ``coalesce_flags`` is set.
@@ -119,9 +127,18 @@ def stage_tx(raw: DataFrame, professional_type: str | None = None, coalesce_flag
         F.when(is_hyg, yes("lia_mod")).otherwise(false).alias("has_local_infiltration_anesthesia"),
         yes("disc_action").alias("has_disciplinary_action"),
         yes("remedial_plns").alias("has_remedial_plans"),
+        *[F.when(is_dentist, permit_date(f"level_{k}_dte")).alias(f"anesthesia_level_{k}_date") for k in (1, 2, 3, 4)],
+        F.when(is_dentist, not_no("shrp_mod")).otherwise(false).alias("has_shrp_modifier"),
+        F.when(is_dentist, not_no("spp_mod")).otherwise(false).alias("has_spp_modifier"),
+        F.when(is_dentist, yes("erx_waiver")).otherwise(false).alias("has_erx_waiver"),
+        F.when(is_dentist, yes("level_exempt")).otherwise(false).alias("is_level_exempt"),
+        # Labs have a business, not a person.
+        *[F.when(~is_person, F.trim(c)).alias(n) for c, n in (
+            ("lab_nme", "business_name"), ("lab_owner", "owner_name"), ("lab_manager", "manager_name"),
+            ("lab_cdt", "certified_dental_technician"), ("lab_type", "lab_type"))],
         *extra,
     )
-    flag_cols = [c for c in STAGED_COLUMNS if c.startswith("has_")]
+    flag_cols = [c for c in STAGED_COLUMNS if c.startswith(("has_", "is_"))]
     return staged.select(
         C.surrogate_key("state_code", "professional_type", "license_number").alias("professional_id"),
         *[F.coalesce(F.col(c), F.lit(False)).alias(c) if (coalesce_flags and c in flag_cols) else F.col(c)
@@ -140,10 +157,17 @@ def stage_tx_etn(raw: DataFrame) -> DataFrame:
 
 
 def union_professionals(*staged: DataFrame) -> DataFrame:
-    """SET1: stack staged kinds by name; missing columns become NULL."""
-    out = staged[0]
+    """SET1: stack staged kinds by name; a flag that a kind lacks is false, other missing columns are NULL."""
+    names = list(dict.fromkeys(c for df in staged for c in df.columns))
+    types = {f.name: f.dataType for df in staged for f in df.schema.fields}
+
+    def whole(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(c) if c in df.columns
+                           else F.lit(False if c.startswith(("has_", "is_")) else None).cast(types[c]).alias(c) for c in names])
+
+    out = whole(staged[0])
     for df in staged[1:]:
-        out = out.unionByName(df, allowMissingColumns=True)
+        out = out.unionByName(whole(df))
     return out
 
 

@@ -133,7 +133,15 @@ select md5(concat_ws('-', 'TX', professional_type, trim(lic_nbr))) as profession
   false as has_portability, false as has_sealant_certification,
   case when professional_type = 'dental_assistant' then upper(trim(nom_mod)) = 'YES' else false end as has_nitrous_monitoring,
   false as has_local_infiltration_anesthesia, upper(trim(disc_action)) = 'YES' as has_disciplinary_action,
-  cast(null as boolean) as has_remedial_plans
+  cast(null as boolean) as has_remedial_plans,
+  cast(null as date) as anesthesia_level_1_date, cast(null as date) as anesthesia_level_2_date,
+  cast(null as date) as anesthesia_level_3_date, cast(null as date) as anesthesia_level_4_date,
+  false as has_shrp_modifier, false as has_spp_modifier, false as has_erx_waiver, false as is_level_exempt,
+  case when professional_type = 'dental_lab' then trim(lab_nme) end as business_name,
+  case when professional_type = 'dental_lab' then trim(lab_owner) end as owner_name,
+  case when professional_type = 'dental_lab' then trim(lab_manager) end as manager_name,
+  case when professional_type = 'dental_lab' then trim(lab_cdt) end as certified_dental_technician,
+  case when professional_type = 'dental_lab' then trim(lab_type) end as lab_type
 from tx_other_raw
 """, "STG3, STG4 (assistant and lab kinds)")
 def q_other_kinds(spark, sf):

@@ -36,36 +36,51 @@ _SPEC = """case trim(prac_types) when 'GEN' then 'General Dentistry' when 'ORTH'
       when 'ANE' then 'Dental Anesthesiology' end"""
 
 # Oracle twin of stage_tx over the combined dentist+hygienist extract.
+def _permit_date(c):
+    return (f"case when professional_type = 'dentist' and not ({c} in ('No Permit', '')) "
+            f"then try_strptime(trim({c}), '%m/%d/%Y')::date end")
+
+
+def _permit(c):
+    return f"case when professional_type = 'dentist' then not ({c} in ('No Permit', '')) else false end"
+
+
+def _says(c, kind, test="= 'YES'"):
+    return f"case when professional_type = '{kind}' then upper(trim({c})) {test} else false end"
+
+
+_LEVELS = (1, 2, 3, 4)
+
 STAGED_SQL = sql_cte("tx_license_raw") + f""",
 staged as (
   select md5(concat_ws('-', 'TX', professional_type, trim(lic_nbr))) as professional_id,
     'TX' as state_code, professional_type, cast(lic_id as integer) as source_license_id,
-    trim(lic_nbr) as license_number, cast(null as integer) as entity_number,
-    cast(lic_sta_cde as integer) as status_code, cast(null as varchar) as status_description,
+    trim(lic_nbr) as license_number, try_cast(entity_nbr as integer) as entity_number,
+    cast(lic_sta_cde as integer) as status_code, trim(lic_sta_desc) as status_description,
     {_STATUS} as status_category,
     try_strptime(trim(lic_orig_dte), '%m/%d/%Y')::date as license_issue_date,
     try_strptime(trim(lic_expr_dte), '%m/%d/%Y')::date as license_expiration_date,
-    trim(first_nme) as first_name, cast(null as varchar) as middle_name, trim(last_nme) as last_name,
-    cast(null as varchar) as former_last_name, cast(null as varchar) as gender,
-    cast(null as varchar) as birth_year, cast(null as varchar) as graduation_year,
-    cast(null as varchar) as school_name, trim(address1) as address_line_1,
-    cast(null as varchar) as address_line_2, trim(city) as city, trim(state) as address_state,
-    trim(zip) as zip_code, trim(county) as county, cast(null as varchar) as country,
-    cast(null as varchar) as phone, cast(null as varchar) as practice_description,
+    trim(first_nme) as first_name, trim(middle_nme) as middle_name, trim(coalesce(last_nme, last_mne)) as last_name,
+    trim(former_last_nme) as former_last_name, trim(gender) as gender,
+    nullif(trim(birth_year), '') as birth_year, nullif(trim(grad_yr), '') as graduation_year,
+    trim(school) as school_name, trim(address1) as address_line_1,
+    trim(address2) as address_line_2, trim(city) as city, trim(state) as address_state,
+    trim(zip) as zip_code, trim(county) as county, trim(country) as country,
+    trim(phone) as phone, case when professional_type = 'dentist' then trim(prac_desc) end as practice_description,
     case when professional_type = 'dentist' then trim(prac_types) end as specialty_code,
     case when professional_type = 'dentist' then {_SPEC} end as specialty_description,
-    case when professional_type = 'dentist' and not (nox_permit_dte in ('No Permit', ''))
-         then try_strptime(trim(nox_permit_dte), '%m/%d/%Y')::date end as nitrous_oxide_permit_date,
-    case when professional_type = 'dentist' then not (nox_permit_dte in ('No Permit', '')) else false end as has_nitrous_oxide_permit,
-    case when professional_type = 'dentist' then cast(null as boolean) else false end as has_anesthesia_level_1,
-    case when professional_type = 'dentist' then cast(null as boolean) else false end as has_anesthesia_level_2,
-    case when professional_type = 'dentist' then cast(null as boolean) else false end as has_anesthesia_level_3,
-    case when professional_type = 'dentist' then cast(null as boolean) else false end as has_anesthesia_level_4,
-    case when professional_type = 'dentist' then cast(null as boolean) else false end as has_portability,
-    case when professional_type = 'hygienist' then cast(null as boolean) else false end as has_sealant_certification,
-    case when professional_type = 'hygienist' then cast(null as boolean) else false end as has_nitrous_monitoring,
-    case when professional_type = 'hygienist' then cast(null as boolean) else false end as has_local_infiltration_anesthesia,
-    cast(null as boolean) as has_disciplinary_action, cast(null as boolean) as has_remedial_plans,
+    {_permit_date('nox_permit_dte')} as nitrous_oxide_permit_date, {_permit('nox_permit_dte')} as has_nitrous_oxide_permit,
+    {', '.join(f"{_permit(f'level_{k}_dte')} as has_anesthesia_level_{k}" for k in _LEVELS)},
+    {_says('portability', 'dentist')} as has_portability,
+    {_says('sealant', 'hygienist')} as has_sealant_certification,
+    {_says('nom_mod', 'hygienist')} as has_nitrous_monitoring,
+    {_says('lia_mod', 'hygienist')} as has_local_infiltration_anesthesia,
+    upper(trim(disc_action)) = 'YES' as has_disciplinary_action, upper(trim(remedial_plns)) = 'YES' as has_remedial_plans,
+    {', '.join(f"{_permit_date(f'level_{k}_dte')} as anesthesia_level_{k}_date" for k in _LEVELS)},
+    {_says('shrp_mod', 'dentist', "<> 'NO'")} as has_shrp_modifier, {_says('spp_mod', 'dentist', "<> 'NO'")} as has_spp_modifier,
+    {_says('erx_waiver', 'dentist')} as has_erx_waiver, {_says('level_exempt', 'dentist')} as is_level_exempt,
+    cast(null as varchar) as business_name, cast(null as varchar) as owner_name, cast(null as varchar) as manager_name,
+    cast(null as varchar) as certified_dental_technician, cast(null as varchar) as lab_type,
     snapshot_date
   from tx_license_raw
 )
@@ -272,22 +287,22 @@ c as (select * from r where snapshot_date = '2025-06-30'),
 p as (select * from r where snapshot_date = '2025-06-29'),
 new_rows as (select c.* from c where lic_sta_cde in (20, 46, 70) and not exists
   (select 1 from p where p.professional_type = c.professional_type and trim(p.lic_nbr) = trim(c.lic_nbr))),
-ch as (select c.*, p.lic_sta_cde as prev_code from c join p on p.professional_type = c.professional_type
+ch as (select c.*, p.lic_sta_cde as prev_code, p.lic_sta_desc as prev_desc from c join p on p.professional_type = c.professional_type
   and trim(p.lic_nbr) = trim(c.lic_nbr) where p.lic_sta_cde is distinct from c.lic_sta_cde),
 shaped as (
   select 'NEW' as pfx, 'NEW_LICENSE' as event_type, cast(null as varchar) as previous_value, 'HIGH' as priority,
-    'onboarding_sequence' as marketing_action, * exclude (prev_code) from (select *, null as prev_code from new_rows)
-  union all select 'LAPSED', 'LAPSED', '', 'MEDIUM', 'suppress_or_winback', * exclude (prev_code) from ch
+    'onboarding_sequence' as marketing_action, * from new_rows
+  union all select 'LAPSED', 'LAPSED', coalesce(prev_desc, ''), 'MEDIUM', 'suppress_or_winback', * exclude (prev_code, prev_desc) from ch
     where prev_code in (20, 46, 70) and lic_sta_cde in (45, 48, 60)
-  union all select 'REINSTATED', 'REINSTATED', '', 'HIGH', 'reengagement_sequence', * exclude (prev_code) from ch
+  union all select 'REINSTATED', 'REINSTATED', coalesce(prev_desc, ''), 'HIGH', 'reengagement_sequence', * exclude (prev_code, prev_desc) from ch
     where prev_code in (45, 48, 60) and lic_sta_cde in (20, 46, 70)
 )
 select pfx || '_' || trim(lic_nbr) || '_2025-06-30' as event_id,
   concat_ws('_', pfx, professional_type, trim(lic_nbr), '2025-06-30') as event_key, event_type,
   '2025-06-30' as timestamp, 'TX' as state_code, professional_type, trim(lic_nbr) as license_number,
-  trim(coalesce(first_nme, '')) as first_name, trim(coalesce(last_nme, '')) as last_name,
+  trim(coalesce(first_nme, '')) as first_name, trim(coalesce(last_nme, last_mne, '')) as last_name,
   nullif(trim(city), '') as city, nullif(trim(county), '') as county, nullif(left(trim(zip), 5), '') as zip_code,
-  previous_value, '' as current_value, priority, marketing_action
+  previous_value, coalesce(lic_sta_desc, '') as current_value, priority, marketing_action
 from shaped
 """
 
@@ -299,6 +314,31 @@ def q_diff(spark, sf):
                            raw.filter(F.col("snapshot_date") == SNAP0), AS_OF)
 
 
+# Each kind staged from its own file, without the columns it has no use for, then stacked.
+_DENTIST_ONLY = [c for c in ST.STAGED_COLUMNS if "anesthesia_level" in c or c in (
+    "has_nitrous_oxide_permit", "has_portability", "has_shrp_modifier", "has_spp_modifier", "has_erx_waiver", "is_level_exempt")]
+_HYGIENIST_ONLY = ["has_sealant_certification", "has_nitrous_monitoring", "has_local_infiltration_anesthesia"]
+
+
+@query("professionals_union", STAGED_SQL + "select * from staged", "SET1")
+def q_union(spark, sf):
+    raw = binding(spark, sf, "tx_license_raw")
+    kinds = {k: ST.stage_tx(raw.where(F.col("professional_type") == k), k) for k in ("dentist", "hygienist")}
+    return ST.union_professionals(kinds["dentist"].drop(*_HYGIENIST_ONLY), kinds["hygienist"].drop(*_DENTIST_ONLY))
+
+
+# Events of every rule, so that a rule that no row reaches shows as a missing line.
+@query("license_event_rules", _EVENTS_SQL + """
+select event_type, event_description, priority, marketing_action, count(*) as events,
+  count(previous_value) as with_previous, count(current_value) as with_current
+from events_out group by all
+""", "EVT1-EVT10 (each rule fires)")
+def q_event_rules(spark, sf):
+    return license_events(spark, sf).groupBy("event_type", "event_description", "priority", "marketing_action").agg(
+        F.count(F.lit(1)).alias("events"), F.count("previous_value").alias("with_previous"),
+        F.count("current_value").alias("with_current"))
+
+
 # The previous snapshot holds no hygienist file: only dentists can be compared.
 @query("snapshot_diff_new_type", _DIFF_SQL.replace("snapshot_date = '2025-06-29'", "snapshot_date = '2025-06-29' and professional_type = 'dentist'")
        .replace("snapshot_date = '2025-06-30'", "snapshot_date = '2025-06-30' and professional_type = 'dentist'"),

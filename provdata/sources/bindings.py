@@ -54,19 +54,50 @@ select case when d = 0 then '2025-06-29' else '2025-06-30' end as snapshot_date,
   'L' || cast(case when c_custkey % 41 = 40 then c_custkey - 1 else c_custkey end as string) as lic_nbr,
   case when c_custkey % 3 = 2 then 'hygienist' else 'dentist' end as professional_type,
   cast(case (c_custkey + 3 * d * (case when c_custkey % 5 = 1 then 1 else 0 end)) % 8 when 3 then 60 when 4 then 45 when 5 then 47 when 6 then 80 when 7 then 46 else 20 end as int) as lic_sta_cde,
+  case when c_custkey % 14 <> 3 then 'Status ' || cast(case (c_custkey + 3 * d * (case when c_custkey % 5 = 1 then 1 else 0 end)) % 8 when 3 then 60 when 4 then 45 when 5 then 47 when 6 then 80 when 7 then 46 else 20 end as string) end as lic_sta_desc,
   lpad(cast(1 + c_custkey % 12 as string), 2, '0') || '/' || lpad(cast(1 + c_custkey % 28 as string), 2, '0') || '/' || cast(1996 + c_custkey % 30 as string) as lic_orig_dte,
   cast(1 + (c_custkey + 2 * d * (case when c_custkey % 17 = 4 then 1 else 0 end)) % 12 as string) || '/' || cast(1 + c_custkey % 28 as string) || '/2025' as lic_expr_dte,
   case c_custkey % 6 when 0 then 'ROBERT' when 1 then 'ROBERT' when 2 then 'ANN' when 3 then 'ANNE' when 4 then 'JOHN' else 'MARIA' end as first_nme,
-  case when c_custkey % 97 = 0 then '' when c_custkey % 5 = 0 then 'SMITH'
+  case when not (c_custkey % 3 = 2 and c_custkey % 4 = 1) then case when c_custkey % 97 = 0 then '' when c_custkey % 5 = 0 then 'SMITH'
     else upper(substr('BDFGKLMNPRST', cast(1 + c_custkey % 12 as int), 1) || case when c_custkey % 7 = 1 then 'o' else 'a' end
       || substr('bdlmrcbdlmrc', cast(1 + floor(c_custkey / 12.0) % 12 as int), 1) || 'e'
-      || substr('dlmrcbdlmrcb', cast(1 + floor(c_custkey / 144.0) % 12 as int), 1)) end as last_nme,
+      || substr('dlmrcbdlmrcb', cast(1 + floor(c_custkey / 144.0) % 12 as int), 1)) end end as last_nme,
+  case when c_custkey % 3 = 2 and c_custkey % 4 = 1 then case when c_custkey % 97 = 0 then '' when c_custkey % 5 = 0 then 'SMITH'
+    else upper(substr('BDFGKLMNPRST', cast(1 + c_custkey % 12 as int), 1) || case when c_custkey % 7 = 1 then 'o' else 'a' end
+      || substr('bdlmrcbdlmrc', cast(1 + floor(c_custkey / 12.0) % 12 as int), 1) || 'e'
+      || substr('dlmrcbdlmrcb', cast(1 + floor(c_custkey / 144.0) % 12 as int), 1)) end end as last_mne,
   cast(c_custkey % 500 as string) || case when d = 1 and c_custkey % 6 = 3 then ' New St' else ' Main St' end as address1,
   case when c_custkey % 6 = 2 then 'Elsewhere' else 'City' || cast(c_custkey % 11 as string) end as city,
   case c_nationkey % 5 when 0 then 'TX' when 1 then 'CA' when 2 then 'NY' when 3 then 'PR' else 'TX' end as state,
   cast(case when c_custkey % 9 = 5 then 99999 else 75000 + c_custkey % 17 end as string) as zip,
   case when c_custkey % 37 = 0 and d = 1 then null else 'COUNTY' || cast((c_custkey + d * (case when c_custkey % 16 = 2 then 1 else 0 end)) % 9 as string) end as county,
   case when c_custkey % 11 = 5 and d = 1 then '01/15/2025' when c_custkey % 11 in (0, 5) then 'No Permit' when c_custkey % 11 = 1 then '03/01/2019' end as nox_permit_dte,
+  case c_custkey % 13 when 1 then '02/01/2018' when 2 then 'No Permit' when 3 then '' when 4 then 'soon' end as level_1_dte,
+  case c_custkey % 13 when 2 then 'No Permit' when 5 then '3/9/2019' end as level_2_dte,
+  case c_custkey % 17 when 2 then 'No Permit' when 6 then '04/30/2020' end as level_3_dte,
+  case when c_custkey % 12 = 7 and d = 0 then 'No Permit' when c_custkey % 12 = 7 then '05/05/2025'
+    when c_custkey % 12 = 9 then '01/15/2015' when c_custkey % 12 = 3 then '' end as level_4_dte,
+  case c_custkey % 9 when 0 then 'YES' when 1 then ' yes' when 2 then 'No' end as portability,
+  case c_custkey % 8 when 0 then 'NO' when 1 then 'No ' when 2 then 'SHRP' end as shrp_mod,
+  case c_custkey % 9 when 3 then 'NO' when 4 then 'Y' end as spp_mod,
+  case c_custkey % 10 when 3 then 'Yes' when 4 then 'no' end as erx_waiver,
+  case c_custkey % 11 when 3 then 'YES' when 4 then 'NO' end as level_exempt,
+  case when c_custkey % 10 = 3 and d = 0 then 'No' when c_custkey % 10 = 3 then 'Yes' when c_custkey % 10 = 4 then 'YES' end as sealant,
+  case c_custkey % 7 when 2 then ' yes ' when 3 then 'NO' end as nom_mod,
+  case c_custkey % 8 when 5 then 'Yes' when 6 then 'no' end as lia_mod,
+  case c_custkey % 15 when 1 then 'YES' when 2 then 'no' end as disc_action,
+  case c_custkey % 16 when 1 then 'Yes' when 2 then 'NO' end as remedial_plns,
+  case c_custkey % 5 when 0 then '' when 1 then 'n/a' when 2 then null else cast(1950 + c_custkey % 40 as string) end as birth_year,
+  case c_custkey % 6 when 0 then ' ' when 1 then null else cast(1975 + c_custkey % 45 as string) end as grad_yr,
+  case c_custkey % 4 when 0 then ' F ' when 1 then 'M' end as gender,
+  case c_custkey % 5 when 1 then ' Lee' when 2 then '' end as middle_nme,
+  case c_custkey % 18 when 1 then 'Former' end as former_last_nme,
+  case c_custkey % 7 when 1 then ' State School ' end as school,
+  case c_custkey % 6 when 1 then 'Suite ' || cast(c_custkey % 30 as string) end as address2,
+  case c_custkey % 3 when 1 then 'USA' end as country,
+  case when c_custkey % 4 <> 2 then '512555' || lpad(cast(c_custkey % 10000 as string), 4, '0') end as phone,
+  case c_custkey % 5 when 1 then 'Private practice ' end as prac_desc,
+  case c_custkey % 6 when 1 then cast(c_custkey as string) when 2 then 'x' end as entity_nbr,
   case c_custkey % 4 when 0 then 'GEN' when 1 then 'OMS' when 2 then '' end as prac_types
 from {customer} cross join (select 0 as d union all select 1 as d) dd
 where not (d = 1 and c_custkey % 29 = 7) and not (d = 0 and c_custkey % 31 = 8)
@@ -218,11 +249,15 @@ select cast(s_suppkey as bigint) as lic_id, 'A' || cast(s_suppkey as string) as
   lpad(cast(1 + s_suppkey % 12 as string), 2, '0') || '/15/' || cast(2000 + s_suppkey % 20 as string) as lic_orig_dte,
   cast(1 + s_suppkey % 12 as string) || '/1/2026' as lic_expr_dte,
   case when s_suppkey % 2 = 0 then 'PAT' end as first_nme, case when s_suppkey % 2 = 0 then upper(s_name) end as last_nme,
-  case when s_suppkey % 2 = 1 then s_name || ' Lab' end as lab_nme,
   cast(s_suppkey % 300 as string) || ' Oak St' as address1, 'City' || cast(s_suppkey % 11 as string) as city,
   'TX' as state, cast(75000 + s_suppkey % 17 as string) as zip, 'COUNTY' || cast(s_suppkey % 9 as string) as county,
   case s_suppkey % 3 when 0 then 'YES' when 1 then 'no' end as nom_mod,
-  case when s_suppkey % 4 = 0 then 'Yes' else 'No' end as disc_action
+  case when s_suppkey % 4 = 0 then 'Yes' else 'No' end as disc_action,
+  case when s_suppkey % 2 = 1 then ' ' || s_name || ' Lab' end as lab_nme,
+  case s_suppkey % 6 when 1 then 'Owner ' || cast(s_suppkey as string) when 2 then 'not a lab' end as lab_owner,
+  case s_suppkey % 6 when 3 then 'Manager' end as lab_manager,
+  case s_suppkey % 10 when 5 then 'CDT-' || cast(s_suppkey as string) end as lab_cdt,
+  case s_suppkey % 4 when 1 then 'Commercial ' when 3 then 'In office' end as lab_type
 from {supplier}
 """
 
