@@ -243,6 +243,19 @@ def payload_hash(df: DataFrame, payload_col: str = "payload") -> DataFrame:
     return df.withColumn("payload_hash", F.sha2(F.col(payload_col), 256))
 
 
+def unsent_payloads(payloads: DataFrame, history: DataFrame) -> DataFrame:
+    """EXP10: payloads (destination, payload, ...) that were not sent to their destination before, one of each.
+
+    History is compared by ``payload_hash``; equal payloads of one destination in the batch count once (lowest provider).
+    """
+    hashed = payload_hash(payloads)
+    rest = [c for c in hashed.columns if c not in ("destination", "payload_hash")]
+    once = (hashed.groupBy("destination", "payload_hash").agg(F.min(F.struct("provider_id", *[c for c in rest if c != "provider_id"]))
+                                                              .alias("_row")).select("destination", "payload_hash", "_row.*"))
+    return once.join(history.select("destination", "payload_hash"), ["destination", "payload_hash"], "left_anti") \
+        .select(*hashed.columns)
+
+
 def capped_rank(df: DataFrame, keys: list[str], order: list[Column], cap: int | Column,
                 salts: int | None = None) -> DataFrame:
     """Rank within ``keys`` by ``order``, keeping only ranks <= ``cap`` — skew-safe.

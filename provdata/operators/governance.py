@@ -137,7 +137,10 @@ def register_load(loads: DataFrame, new_loads: DataFrame, as_of: str) -> DataFra
 
 
 def update_load(loads: DataFrame, updates: DataFrame, as_of: str) -> DataFrame:
-    """GOV1: set the given fields of existing loads (``updates`` has load_id + changed columns)."""
+    """GOV1: set the given fields of existing loads (``updates`` has load_id + changed columns).
+
+    A field that the table does not have yet is appended, NULL for the other loads.
+    """
     now = F.lit(as_of).cast("timestamp_ntz")
     changed = [c for c in updates.columns if c != "load_id"]
     u = updates.select(F.col("load_id").alias("_u"), *[F.col(c).alias(f"_u_{c}") for c in changed])
@@ -147,4 +150,5 @@ def update_load(loads: DataFrame, updates: DataFrame, as_of: str) -> DataFrame:
             for c in loads.columns if c != "updated_at"]
     upd = F.when(hit, now).otherwise(F.col("updated_at") if "updated_at" in loads.columns
                                      else F.lit(None).cast("timestamp_ntz")).alias("updated_at")
-    return j.select(*cols, upd)
+    new = [F.col(f"_u_{c}").alias(c) for c in changed if c not in loads.columns and c != "updated_at"]
+    return j.select(*cols, *new, upd)

@@ -84,30 +84,36 @@ def event_summary(events: DataFrame, samples: int = 3) -> DataFrame:
     return counts.join(smp, ["event_type", "professional_type"], "left")
 
 
-def distribution(df: DataFrame, col: str) -> DataFrame:
-    """AGG21: value counts and share of one column (verification group-by)."""
-    g = df.groupBy(col).agg(F.count(F.lit(1)).alias("rows"))
-    total = F.sum("rows").over(Window.partitionBy())  # over the grouped rows only
-    return g.select(col, "rows", C.percent(F.col("rows"), total, 2).alias("pct"))
+def distribution(df: DataFrame, col: str, by: str) -> DataFrame:
+    """AGG21: value counts of one column and their share within each ``by`` (a snapshot)."""
+    g = df.groupBy(by, col).agg(F.count(F.lit(1)).alias("rows"))
+    total = g.groupBy(by).agg(F.sum("rows").alias("_total"))
+    return g.join(total, by).select(by, col, "rows", C.percent(F.col("rows"), F.col("_total"), 2).alias("pct"))
 
 
 def budget_cut(df: DataFrame, order: Sequence[str], matched_col: str, limit: int,
-               bucket: Column) -> DataFrame:
+               bucket: Column, fan: int = 1000) -> DataFrame:
     """WIN8: keep rows while the matched credits *before* the row are below ``limit``.
 
     Distributed prefix sum in two levels, no single-task window over all
     rows: ``bucket`` must be non-decreasing in ``order`` (e.g. a prefix of a
     sortable key). Level 1 sums matches per bucket (one row per bucket);
     level 2 turns those into bucket offsets with a window over the bucket
-    table; the offsets join back and a window *partitioned by bucket* adds
-    the in-bucket running sum.
+    table, by groups of ``fan`` buckets first, so that neither window grows beyond the
+    square root of a large input's buckets; buckets that start at or above the limit are dropped before
+    the rows are sorted, and a window *partitioned by bucket* adds the in-bucket running sum.
     """
     d = df.withColumn("_b", bucket).withColumn("_m", F.col(matched_col).cast("int"))
     per = d.groupBy("_b").agg(F.sum("_m").alias("_bm"))
-    off = per.select("_b", F.coalesce(F.sum("_bm").over(
-        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    per = per.withColumn("_g", F.floor(F.col("_b") / fan))
+    groups = per.groupBy("_g").agg(F.sum("_bm").alias("_gm"))
+    before_g = Window.orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.select("_g", F.coalesce(F.sum("_gm").over(before_g), F.lit(0)).alias("_goff")).where(F.col("_goff") < limit)
+    before_b = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    off = (per.join(groups, "_g").select("_b", (F.col("_goff") + F.coalesce(F.sum("_bm").over(before_b), F.lit(0))).alias("_off"))
+           .where(F.col("_off") < limit))
     w = Window.partitionBy("_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    j = d.join(off, "_b", "left")
+    j = d.join(off, "_b")
     before = F.col("_off") + F.coalesce(F.sum("_m").over(w), F.lit(0))
     return j.select(*df.columns, before.alias("credits_before")).filter(F.col("credits_before") < limit)
 
@@ -131,8 +137,8 @@ def plan_requests(inputs: DataFrame, done: DataFrame, key: str, order: Sequence[
 
 
 def enrichment_queue_ready(queue: DataFrame, as_of: str) -> DataFrame:
-    """ENR5: pending items whose process_after / next_retry_at has passed, by priority desc, queued_at."""
+    """ENR5: pending items whose process_after / next_retry_at has passed, by priority desc, then ``queued_at`` if there is one."""
     now = F.lit(as_of).cast("timestamp_ntz")
     ok = ((F.col("status") == "pending") & (F.col("process_after").isNull() | (F.col("process_after") <= now))
           & (F.col("next_retry_at").isNull() | (F.col("next_retry_at") <= now)))
-    return queue.filter(ok)
+    return queue.filter(ok).orderBy(F.desc("priority"), *[c for c in ("queued_at",) if c in queue.columns])

@@ -43,6 +43,22 @@ NPI_RULES = [
     ("no_duplicates", {"key_fields": ["npi"]}),
 ]
 
+# FIXED VALUES: rules of the Washington and Colorado sources.
+WA_LICENSE_RULES = [
+    ("row_count_min", {"min_rows": 1000}),
+    ("row_count_delta", {"max_delta_pct": 0.20}),
+    ("field_populated", {"field": "credential_number", "min_pct": 0.99}),
+    ("field_populated", {"field": "last_name", "min_pct": 0.99}),
+    ("no_duplicates", {"key_fields": ["credential_number"]}),
+]
+CO_LICENSE_RULES = [
+    ("row_count_min", {"min_rows": 500}),
+    ("row_count_delta", {"max_delta_pct": 0.20}),
+    ("field_populated", {"field": "license_number", "min_pct": 0.99}),
+    ("field_populated", {"field": "last_name", "min_pct": 0.99}),
+    ("no_duplicates", {"key_fields": ["license_number"]}),
+]
+
 RESULT_SCHEMA = ["rule_index", "rule_name", "rule_type", "severity", "passed", "observed", "threshold", "detail"]
 
 
@@ -155,6 +171,41 @@ def validate_load(df: DataFrame, rules, prev: DataFrame | None = None, as_of: st
     return one.select("*", *side).select(F.inline(F.array(*structs)))
 
 
+def row_delta(df: DataFrame, prev: DataFrame) -> DataFrame:
+    """VAL8: row counts of a load and its predecessor, and the signed change (NULL after an empty one)."""
+    counts = prev.agg(F.count(F.lit(1)).alias("row_count_prev")).select(F.col("row_count_prev")).scalar()
+    return df.agg(F.count(F.lit(1)).alias("row_count")).select(
+        "row_count", counts.alias("row_count_prev"),
+        F.try_divide((F.col("row_count") - counts).cast("double"), counts).alias("row_count_delta"))
+
+
+def rule_details(df: DataFrame, rules, samples: int = 5, top: int = 10) -> DataFrame:
+    """VAL4, VAL7: what the verdict rows leave out, as (rule_index, rule_name, value, rows).
+
+    Of each field_format rule the ``samples`` lowest values that do not match, of each value_distribution rule
+    the ``top`` commonest values (ties: lowest first). Values are counted before they are ranked, and only the
+    first few are kept, so the result is small whatever the load.
+    """
+    out = None
+    for i, rule in enumerate(rules):
+        rtype, params = rule[0], rule[1]
+        if rtype not in ("field_format", "value_distribution") or params["field"] not in df.columns:
+            continue
+        value = F.col(params["field"]).cast("string")
+        counts = df.select(value.alias("value")).where("value is not null").groupBy("value").agg(F.count(F.lit(1)).alias("rows"))
+        if rtype == "field_format":
+            name = f"field_format_{params['field']}"
+            found = counts.where(~F.col("value").rlike(f"^(?:{params['pattern']})")).orderBy("value").limit(samples)
+        else:
+            name = f"value_distribution_{params['field']}_{params['value']}"
+            found = counts.orderBy(F.desc("rows"), "value").limit(top)
+        found = found.select(F.lit(i).alias("rule_index"), F.lit(name).alias("rule_name"), "value", "rows")
+        out = found if out is None else out.unionByName(found)
+    if out is None:
+        return df.sparkSession.createDataFrame([], "rule_index int, rule_name string, value string, rows long")
+    return out
+
+
 def load_verdict(results: DataFrame) -> DataFrame:
     """Load-level outcome: passed = no failed error; counts of errors and warnings."""
     failed_err = (~F.col("passed")) & (F.col("severity") == "error")

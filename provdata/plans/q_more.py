@@ -11,9 +11,11 @@ from ..operators import export as X
 from ..operators import match as M
 from ..operators import metrics as MET
 from ..operators import people as PE
+from ..operators import governance as G
 from ..operators import staging as ST
-from ..sources.bindings import AS_OF, NPI_RAW_FULL, binding, export_history, sql_cte
-from .q_staging import STAGED_SQL, SNAP1, staged
+from ..operators import validate as V
+from ..sources.bindings import AS_OF, NPI_RAW_FULL, binding, data_loads, export_history, sql_cte
+from .q_staging import STAGED_SQL, staged
 from .registry import query
 
 WA_SCHEMA = ("credentialnumber string, credentialtype string, status string, firstname string, middlename string, "
@@ -106,14 +108,14 @@ def q_etn(spark, sf):
 
 @query("phone_e164", sql_cte("npi_raw") + """
 , d as (select npi, practice_phone, practice_country, regexp_replace(practice_phone, '[^0-9]', '', 'g') as digits
-        from npi_raw where version = 0)
+        from npi_raw)
 select npi, practice_phone, practice_country,
   case when practice_phone is null then null when starts_with(practice_phone, '+') then practice_phone
        when practice_country = 'US' and length(digits) = 10 then '+1' || digits else '+' || digits end as phone_e164
 from d
 """, "PRJ7, PRJ6")
 def q_e164(spark, sf):
-    n = binding(spark, sf, "npi_raw").filter(F.col("version") == 0)
+    n = binding(spark, sf, "npi_raw")
     return n.select("npi", "practice_phone", "practice_country",
                     C.to_e164("practice_phone", "practice_country").alias("phone_e164"))
 
@@ -121,12 +123,11 @@ def q_e164(spark, sf):
 @query("license_to_npi", STAGED_SQL + f""", npi_raw_full as ({NPI_RAW_FULL.format(customer='customer')}),
 n as (select trim(license_number) as l, trim(license_state) as st, min(cast(npi as varchar)) as npi_number from npi_raw_full
       where trim(license_number) is not null and trim(license_state) is not null group by all)
-select s.professional_id, s.license_number, s.professional_type, s.state_code, n.npi_number
-from staged s left join n on s.license_number = n.l and s.state_code = n.st where s.snapshot_date = '{SNAP1}'
+select s.professional_id, s.license_number, s.professional_type, s.state_code, s.snapshot_date, n.npi_number
+from staged s left join n on s.license_number = n.l and s.state_code = n.st
 """, "JOIN18")
 def q_lic_npi(spark, sf):
-    lic = staged(spark, sf).filter(F.col("snapshot_date") == SNAP1).select(
-        "professional_id", "license_number", "professional_type", "state_code")
+    lic = staged(spark, sf).select("professional_id", "license_number", "professional_type", "state_code", "snapshot_date")
     return M.license_entity_to_npi(lic, binding(spark, sf, "npi_raw_full"))
 
 
@@ -234,9 +235,110 @@ def q_roles(spark, sf):
     return e.groupBy("title", PE.infer_role("title").alias("inferred_role")).agg(F.count(F.lit(1)).alias("contacts"))
 
 
-@query("type_distribution", STAGED_SQL + f"""
-, g as (select professional_type, count(*) as rows from staged where snapshot_date = '{SNAP1}' group by 1)
-select professional_type, rows, cast(round(cast(cast(rows as double) * 100 / cast(sum(rows) over () as double) as decimal(20,6)), 2) as double) as pct from g
+@query("type_distribution", STAGED_SQL + """
+, g as (select snapshot_date, professional_type, count(*) as rows from staged group by all)
+select snapshot_date, professional_type, rows, cast(round(cast(cast(rows as double) * 100
+  / cast(sum(rows) over (partition by snapshot_date) as double) as decimal(20,6)), 2) as double) as pct from g
 """, "AGG21")
 def q_type_dist(spark, sf):
-    return MET.distribution(staged(spark, sf).filter(F.col("snapshot_date") == SNAP1), "professional_type")
+    return MET.distribution(staged(spark, sf), "professional_type", "snapshot_date")
+
+
+# WA: no previous load. CO: the previous load holds nine tenths of the records.
+@query("validate_wa", sql_cte("wa_records") + f"""
+, cur as (select {_j('credentialnumber')} as credential_number, {_j('lastname')} as last_name from wa_records),
+s as (select count(*) as n, count_if(trim(credential_number) <> '') as p1, count_if(trim(last_name) <> '') as p2 from cur),
+d as (select coalesce(sum(c) filter (where c > 1), 0) as dup from (select credential_number, count(*) as c from cur group by 1))
+select 0 as rule_index, 'row_count_min' as rule_name, 'row_count_min' as rule_type, 'error' as severity, n >= 1000 as passed,
+  cast(n as double) as observed, cast(1000 as double) as threshold, '' as detail from s
+union all select 1, 'row_count_delta', 'row_count_delta', 'warning', true, null, 0.2, 'skipped: no previous load'
+union all select 2, 'field_populated_credential_number', 'field_populated', 'error', cast(p1 as double) / n >= 0.99, cast(p1 as double) / n, 0.99, '' from s
+union all select 3, 'field_populated_last_name', 'field_populated', 'error', cast(p2 as double) / n >= 0.99, cast(p2 as double) / n, 0.99, '' from s
+union all select 4, 'no_duplicates', 'no_duplicates', 'error', dup = 0, cast(dup as double), 0.0, '' from d
+""", "VAL8 (Washington rules)")
+def q_validate_wa(spark, sf):
+    wa = ST.stage_wa(_records(spark, sf, "wa_records", WA_SCHEMA)).withColumnRenamed("license_number", "credential_number")
+    return V.validate_load(wa, V.WA_LICENSE_RULES, as_of=AS_OF)
+
+
+@query("validate_co", sql_cte("co_records") + f"""
+, cur as (select {_j('licensenumber')} as license_number, {_j('lastname')} as last_name from co_records),
+prev as (select count(*) as pn from cur where right(license_number, 1) <> '7'),
+s as (select count(*) as n, count_if(trim(license_number) <> '') as p1, count_if(trim(last_name) <> '') as p2 from cur),
+d as (select coalesce(sum(c) filter (where c > 1), 0) as dup from (select license_number, count(*) as c from cur group by 1))
+select 0 as rule_index, 'row_count_min' as rule_name, 'row_count_min' as rule_type, 'error' as severity, n >= 500 as passed,
+  cast(n as double) as observed, cast(500 as double) as threshold, '' as detail from s
+union all select 1, 'row_count_delta', 'row_count_delta', 'error', abs(n - pn) / pn <= 0.2, cast(abs(n - pn) as double) / pn, 0.2, '' from s, prev
+union all select 2, 'field_populated_license_number', 'field_populated', 'error', cast(p1 as double) / n >= 0.99, cast(p1 as double) / n, 0.99, '' from s
+union all select 3, 'field_populated_last_name', 'field_populated', 'error', cast(p2 as double) / n >= 0.99, cast(p2 as double) / n, 0.99, '' from s
+union all select 4, 'no_duplicates', 'no_duplicates', 'error', dup = 0, cast(dup as double), 0.0, '' from d
+""", "VAL8 (Colorado rules)")
+def q_validate_co(spark, sf):
+    co = ST.stage_co(_records(spark, sf, "co_records", CO_SCHEMA))
+    return V.validate_load(co, V.CO_LICENSE_RULES, prev=co.where(~F.col("license_number").endswith("7")), as_of=AS_OF)
+
+
+@query("load_row_delta", sql_cte("tx_license_raw") + """
+, c as (select cast(count_if(snapshot_date = '2025-06-30') as bigint) as row_count,
+    cast(count_if(snapshot_date = '2025-06-29') as bigint) as row_count_prev from tx_license_raw)
+select *, cast(row_count - row_count_prev as double) / row_count_prev as row_count_delta from c
+""", "VAL8 (signed row delta)")
+def q_row_delta(spark, sf):
+    raw = binding(spark, sf, "tx_license_raw")
+    return V.row_delta(raw.where("snapshot_date = '2025-06-30'"), raw.where("snapshot_date = '2025-06-29'"))
+
+
+@query("validation_details", sql_cte("npi_raw") + """
+, f as (select npi as value, count(*) as rows from npi_raw where npi is not null and not regexp_matches(npi, '^(?:^\\d{10}$)') group by 1),
+v as (select taxonomy_code as value, count(*) as rows from npi_raw where taxonomy_code is not null group by 1)
+select 0 as rule_index, 'field_format_npi' as rule_name, * from (select * from f order by value limit 5)
+union all select 1, 'value_distribution_taxonomy_code_1223G0001X', * from (select * from v order by rows desc, value limit 10)
+""", "VAL4 (samples), VAL7 (top values)")
+def q_validation_details(spark, sf):
+    rules = [("field_format", {"field": "npi", "pattern": r"^\d{10}$", "min_pct": 0.99}),
+             ("value_distribution", {"field": "taxonomy_code", "value": "1223G0001X", "min_pct": 0.1})]
+    return V.rule_details(binding(spark, sf, "npi_raw"), rules)
+
+
+@query("update_loads", sql_cte("export_queue", "data_loads") + f"""
+select * exclude (status), case when source_type = 'tx_hygienist' then 'validated' else status end as status,
+  case when source_type = 'tx_hygienist' then 'checked by hand' end as note,
+  case when source_type = 'tx_hygienist' then timestamp '{AS_OF}' end as updated_at
+from data_loads
+""", "GOV1 (update_load; a new field)")
+def q_update_loads(spark, sf):
+    loads = data_loads(spark, sf)
+    updates = loads.where("source_type = 'tx_hygienist'").select(
+        "load_id", F.lit("validated").alias("status"), F.lit("checked by hand").alias("note"))
+    return G.update_load(loads, updates, AS_OF)
+
+
+@query("unsent_payloads", sql_cte("export_queue") + """
+, p as (select provider_id, destination, 'to ' || coalesce(email, '') || ' at ' || cast(match_confidence as varchar) as payload, status from export_queue),
+h as (select destination, sha256(payload) as payload_hash from p where status = 'sent')
+select min(provider_id) as provider_id, destination, payload, sha256(payload) as payload_hash from p
+where status <> 'sent' and not exists (select 1 from h where h.destination = p.destination and h.payload_hash = sha256(p.payload))
+group by destination, payload
+""", "EXP10 (history de-duplicated by payload)")
+def q_unsent(spark, sf):
+    p = binding(spark, sf, "export_queue").select(
+        "provider_id", "destination", "status", F.concat(F.lit("to "), F.coalesce("email", F.lit("")), F.lit(" at "),
+                                                         F.col("match_confidence").cast("string")).alias("payload"))
+    sent = X.payload_hash(p.where("status = 'sent'").drop("status"))
+    return X.unsent_payloads(p.where("status <> 'sent'").drop("status"), sent)
+
+
+@query("enrichment_metrics", sql_cte("enrichments") + f"""
+, e as (select *, email as enriched_email, case when email is not null and phone is not null then 'HIGH' when phone is not null then 'LOW' end as match_confidence from enrichments),
+d as (select *, lower(split_part(email, '@', -1)) in ({', '.join(f"'{x}'" for x in MET.PERSONAL_DOMAINS)}) as personal from e)
+select source, cast(count_if(match_confidence = 'HIGH') as bigint) as count_high_confidence,
+  cast(count_if(enriched_email is not null) as bigint) as count_enriched,
+  cast(round(cast(cast(count_if(enriched_email is not null) as double) * 100 / cast(count(*) as double) as decimal(20,6)), 1) as double) as enrichment_rate,
+  cast(count_if(email is not null and not personal) as bigint) as count_work_email, cast(count_if(personal) as bigint) as count_personal_email
+from d group by source
+""", "AGG22 (contact measures)")
+def q_enrichment_metrics(spark, sf):
+    e = binding(spark, sf, "enrichments")
+    e = e.withColumns({"enriched_email": F.col("email"), "match_confidence": F.when(
+        F.col("email").isNotNull() & F.col("phone").isNotNull(), "HIGH").when(F.col("phone").isNotNull(), "LOW")})
+    return MET.metric(e, ["source"], ["count_high_confidence", "count_enriched", "enrichment_rate", "count_work_email", "count_personal_email"])

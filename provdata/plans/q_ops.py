@@ -194,11 +194,11 @@ def q_event_summary(spark, sf):
 
 
 @query("status_distribution", STAGED_SQL + f"""
-, g as (select status_category, count(*) as rows from staged where snapshot_date = '{SNAP1}' group by 1)
-select status_category, rows, {pct_sql("rows", "sum(rows) over ()", 2)} as pct from g
+, g as (select snapshot_date, status_category, count(*) as rows from staged group by all)
+select snapshot_date, status_category, rows, {pct_sql("rows", "sum(rows) over (partition by snapshot_date)", 2)} as pct from g
 """, "AGG21")
 def q_status_dist(spark, sf):
-    return MET.distribution(staged(spark, sf).filter(F.col("snapshot_date") == SNAP1), "status_category")
+    return MET.distribution(staged(spark, sf), "status_category", "snapshot_date")
 
 
 @query("new_licensee_trigger_dry_run", STAGED_SQL + f"""

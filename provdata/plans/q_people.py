@@ -153,7 +153,7 @@ def q_kpis(spark, sf):
 
 _XWALK = STAGED_SQL + f""",
 addr as (select left(zip_code, 5) as zip5, upper(trim(county)) as county from staged
-         where snapshot_date = '{SNAP1}' and left(zip_code, 5) is not null and county is not null and upper(trim(county)) <> ''),
+         where left(zip_code, 5) is not null and county is not null and upper(trim(county)) <> ''),
 g as (select zip5, county, count(*) as n from addr group by all),
 xw as (select zip5, county, cast(n as double) / total as ratio from (
   select *, sum(n) over (partition by zip5) as total,
@@ -163,8 +163,7 @@ xw as (select zip5, county, cast(n as double) / total as ratio from (
 
 def crosswalk(spark, sf):
     from .q_staging import staged
-    addr = staged(spark, sf).filter(F.col("snapshot_date") == SNAP1)
-    return GEO.zip_county_crosswalk(addr)
+    return GEO.zip_county_crosswalk(staged(spark, sf))
 
 
 @query("zip_county_crosswalk", _XWALK + "select * from xw", "JOIN15")
