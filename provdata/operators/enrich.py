@@ -149,9 +149,11 @@ def golden(matches: DataFrame, licenses: DataFrame, npi: DataFrame, enrichment:
     lic = licenses.alias("lic")
     n = npi.alias("npi")
     e = enrichment.alias("enr")
+    # Unmatched licences have no NPI: a key of their own each keeps them from meeting in one partition.
+    npi_key = F.coalesce(F.col("m.npi_number"), F.concat(F.lit("none-"), F.col("m.professional_id")))
     pid = F.coalesce(F.col("m.npi_number"), F.concat(F.col("m.state_code"), F.lit("-"), F.col("m.license_number")))
     j = (m.join(lic, F.col("m.professional_id") == F.col("lic.professional_id"), "inner")
-         .join(n, F.col("m.npi_number") == F.col("npi.npi_number"), "left")
+         .join(n, npi_key == F.col("npi.npi_number"), "left")
          .join(e, pid == F.col("enr.provider_id"), "left"))
     if address_mode == "atomic":
         use_npi = F.col("npi.practice_address_1").isNotNull()

@@ -83,26 +83,28 @@ def enqueue(records: DataFrame, queue: DataFrame, suppression: DataFrame, config
     auto-approved when the destination allows it and the confidence reaches
     its threshold, scheduled ``delay_hours`` after ``as_of``.
 
-    "Earlier in this batch" is a per-(provider, destination) ``min(order)``
-    joined back, not a window: a provider offered a million times combines
-    map-side instead of sorting in one task.
+    One aggregate per (provider, destination) carries both whether the queue has an active
+    export and the first record offered (``min(order)``), and is joined back, not a window: a provider
+    offered a million times combines map-side instead of sorting in one task. Records without a provider
+    get a key of their own each, so they do not meet in one partition.
     """
     now = F.lit(as_of).cast("timestamp_ntz")
     rec = records.withColumn("_rid", F.col(order_col))
     has_id = F.coalesce(F.col("provider_id"), F.lit("")) != ""
     sup = suppressed_ids(rec.filter(has_id), suppression, as_of, "_rid").withColumn("_sup", F.lit(True))
-    active = queue.filter(F.col("status").isin(*ACTIVE_EXPORT_STATES)) \
-        .select("provider_id", "destination").distinct().withColumn("_active", F.lit(True))
-    r = (rec.join(sup.withColumnRenamed("_rid", "_srid"), F.col("_rid") == F.col("_srid"), "left").drop("_srid")
-         .join(active, ["provider_id", "destination"], "left"))
-    eligible = has_id & F.col("_sup").isNull() & F.col("_active").isNull()
-    first = (r.filter(eligible).groupBy("provider_id", "destination")
-             .agg(F.min("_rid").alias("_first")))
-    r = r.join(first, ["provider_id", "destination"], "left")
+    r = rec.join(sup.withColumnRenamed("_rid", "_srid"), F.col("_rid") == F.col("_srid"), "left").drop("_srid")
+    pair = lambda d, rid, active: d.select(F.col("provider_id").alias("_p"), F.col("destination").alias("_d"),
+                                           rid.alias("_rid"), F.lit(active).alias("_active"))
+    offered = pair(r.filter(has_id & F.col("_sup").isNull()), F.col("_rid"), False)
+    queued_now = pair(queue.filter(F.col("status").isin(*ACTIVE_EXPORT_STATES)), F.lit(None).cast(dict(rec.dtypes)["_rid"]), True)
+    pairs = (offered.union(queued_now).groupBy("_p", "_d")
+             .agg(F.max("_active").alias("_active"), F.min("_rid").alias("_first")))
+    own = F.when(has_id, F.col("provider_id")).otherwise(F.concat(F.lit("none-"), F.col("_rid").cast("string")))
+    r = r.join(pairs, (own == F.col("_p")) & (F.col("destination") == F.col("_d")), "left")
     cfg = config.select("destination", "auto_approve", "min_confidence_for_auto", "delay_hours")
     r = r.join(F.broadcast(cfg), "destination", "left")  # fixed 5-row destination list
     outcome = (F.when(~has_id, "skipped").when(F.col("_sup").isNotNull(), "suppressed")
-               .when(F.col("_active").isNotNull() | (F.col("_rid") != F.col("_first")), "skipped")
+               .when(F.coalesce("_active", F.lit(False)) | (F.col("_rid") != F.col("_first")), "skipped")
                .otherwise("queued"))
     conf = F.coalesce(F.col("match_confidence"), F.lit(0))
     auto = F.coalesce(F.col("auto_approve"), F.lit(False)) & (conf >= F.col("min_confidence_for_auto"))

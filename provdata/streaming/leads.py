@@ -1,9 +1,12 @@
 """Touchpoint streams (STR1-STR6).
 
-Every operator is a plain DataFrame function, so the same code runs over a
-batch DataFrame (the oracle twin) and over a ``readStream`` DataFrame.
-The stream side only adds what streaming needs: event time as TIMESTAMP
-(watermarks reject TIMESTAMP_NTZ), a watermark, and an output mode.
+Every operator is a plain DataFrame function. ``lead_rollup``, ``lead_stage``,
+``attribution_rollup`` and ``dedupe_events`` run over a batch DataFrame (the oracle
+twin) and over a ``readStream`` DataFrame; the stream side only adds what
+streaming needs: event time as TIMESTAMP (watermarks reject TIMESTAMP_NTZ), a
+watermark, and an output mode. ``channel_attribution`` (exact distinct leads) and
+``engagement_features`` (several aggregates, gaps between rows) are batch operators: a
+stream lands its touchpoints first, and they run over the landed table.
 """
 
 from __future__ import annotations
@@ -89,21 +92,19 @@ def engagement_features(tp: DataFrame, ts: str = "event_timestamp", session_gap_
     gap; with ``bucket`` (e.g. the hour) a hot lead is not sorted by one task.
     (In a stream, ``session_window`` with a watermark is the stateful form.)
     """
-    # One scan, one shuffle: per-lead totals and per-(lead, channel) / per-(lead, hour) counts
-    # come from a single GROUPING SETS aggregate, split by grouping id afterwards.
-    g = (tp.select("lead_id", "channel", F.hour(ts).alias("hour"), F.to_date(ts).alias("day"),
-                   F.dayofweek(ts).alias("dow"))
-         .groupingSets([["lead_id"], ["lead_id", "channel"], ["lead_id", "hour"]], "lead_id", "channel", "hour")
-         .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("day").alias("active_days"),
-              *[_count(F.col("dow") == d).alias(f"dow_{d}") for d in range(1, 8)],
-              F.grouping_id().alias("gid")))
-    base = g.filter(F.col("gid") == 3).select(
-        "lead_id", F.col("n").alias("events"), "active_days", *[f"dow_{d}" for d in range(1, 8)])
-    by_ch = g.filter(F.col("gid") == 1).select("lead_id", "channel", "n")
+    # One aggregate of the touchpoints; everything else rolls its cells up, without a distinct aggregate.
+    cells = (tp.groupBy("lead_id", "channel", F.hour(ts).cast("int").alias("hour"), F.to_date(ts).alias("day"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    days = cells.groupBy("lead_id", "day").agg(F.sum("n").alias("n"))
+    base = days.groupBy("lead_id").agg(
+        F.sum("n").alias("events"), F.count("day").alias("active_days"),
+        *[F.coalesce(F.sum(F.when(F.dayofweek("day") == d, F.col("n"))), F.lit(0)).cast("bigint").alias(f"dow_{d}")
+          for d in range(1, 8)])
+    by_ch = cells.groupBy("lead_id", "channel").agg(F.sum("n").alias("n"))
     # Smaller channel wins ties: order by (count desc, channel asc) via min over (-count, channel).
     top_ch = by_ch.groupBy("lead_id").agg(F.min(F.struct((-F.col("n")).alias("neg"), F.col("channel"))).alias("m")) \
         .select("lead_id", F.col("m.channel").alias("top_channel"))
-    by_hr = g.filter(F.col("gid") == 2).select("lead_id", "hour", "n")
+    by_hr = cells.groupBy("lead_id", "hour").agg(F.sum("n").alias("n"))
     peak = by_hr.groupBy("lead_id").agg(F.min(F.struct((-F.col("n")).alias("neg"), F.col("hour"))).alias("m")) \
         .select("lead_id", F.col("m.hour").alias("peak_hour"))
     # Sessions = rows at least ``session_gap_s`` after the lead's previous touch (skew-safe with a bucket).
