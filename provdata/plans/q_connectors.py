@@ -16,6 +16,7 @@ from ..operators import staging as ST
 from ..session import ensure_checkpoint_dir
 from ..sources import io as IO
 from ..sources.bindings import binding, sql_cte
+from .q_staging import status_sql
 from .registry import query
 
 _LIC_COLS = ["lic_id", "lic_nbr", "professional_type", "lic_sta_cde", "lic_orig_dte", "lic_expr_dte", "first_nme",
@@ -113,11 +114,7 @@ def q_append(spark, sf):
 select md5(concat_ws('-', 'TX', professional_type, trim(lic_nbr))) as professional_id, 'TX' as state_code, professional_type,
   cast(lic_id as integer) as source_license_id, trim(lic_nbr) as license_number, cast(null as integer) as entity_number,
   lic_sta_cde as status_code, cast(null as varchar) as status_description,
-  case when professional_type = 'dental_assistant' then case when lic_sta_cde in (20, 46) then 'ACTIVE'
-      when lic_sta_cde in (45, 48, 60) then 'LAPSED' when lic_sta_cde in (61, 65, 71, 27) then 'INACTIVE'
-      when lic_sta_cde = 80 then 'DECEASED' when lic_sta_cde = 47 then 'SUSPENDED' else 'UNKNOWN' end
-    else case when lic_sta_cde in (20, 46) then 'ACTIVE' when lic_sta_cde in (45, 48, 60) then 'LAPSED'
-      when lic_sta_cde in (61, 65) then 'INACTIVE' when lic_sta_cde = 80 then 'CLOSED' else 'UNKNOWN' end end as status_category,
+  """ + status_sql(["dental_assistant", "dental_lab"]) + """ as status_category,
   try_strptime(trim(lic_orig_dte), '%m/%d/%Y')::date as license_issue_date,
   try_strptime(trim(lic_expr_dte), '%m/%d/%Y')::date as license_expiration_date,
   case when professional_type <> 'dental_lab' then trim(first_nme) end as first_name, cast(null as varchar) as middle_name,

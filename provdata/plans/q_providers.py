@@ -162,6 +162,7 @@ def q_city_density(spark, sf):
     return S.city_density(providers(spark, sf))
 
 
+# FIXED VALUES in the SQL below: market-type thresholds, as in operators/segments.py.
 _MARKET_SQL = f"""
 , city_stats as (
   select practice_city as city, practice_state as state, count(*) as total_providers,

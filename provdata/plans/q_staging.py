@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import refdata
 from ..operators import events as E
 from ..operators import history as H
 from ..operators import staging as ST
@@ -15,25 +16,14 @@ from .registry import query
 
 SNAP0, SNAP1 = "2025-06-29", "2025-06-30"
 
-_STATUS = """case
-      when professional_type = 'dentist' and lic_sta_cde in (20, 46, 70) then 'ACTIVE'
-      when professional_type = 'dentist' and lic_sta_cde in (45, 48, 60) then 'LAPSED'
-      when professional_type = 'dentist' and lic_sta_cde in (61, 65, 71, 72) then 'INACTIVE'
-      when professional_type = 'dentist' and lic_sta_cde = 80 then 'DECEASED'
-      when professional_type = 'dentist' and lic_sta_cde = 47 then 'SUSPENDED'
-      when professional_type = 'hygienist' and lic_sta_cde in (20, 46) then 'ACTIVE'
-      when professional_type = 'hygienist' and lic_sta_cde in (45, 48, 60) then 'LAPSED'
-      when professional_type = 'hygienist' and lic_sta_cde in (61, 65, 72) then 'INACTIVE'
-      when professional_type = 'hygienist' and lic_sta_cde = 80 then 'DECEASED'
-      when professional_type = 'hygienist' and lic_sta_cde = 47 then 'SUSPENDED'
-      else 'UNKNOWN' end"""
-
-_SPEC = """case trim(prac_types) when 'GEN' then 'General Dentistry' when 'ORTH' then 'Orthodontics'
-      when 'OMS' then 'Oral & Maxillofacial Surgery' when 'PEDO' then 'Pediatric Dentistry'
-      when 'PERI' then 'Periodontics' when 'PROS' then 'Prosthodontics' when 'END' then 'Endodontics'
-      when 'DPH' then 'Dental Public Health' when 'OMP' then 'Oral Medicine/Pathology'
-      when 'OFPN' then 'Orofacial Pain' when 'OMR' then 'Oral & Maxillofacial Radiology'
-      when 'ANE' then 'Dental Anesthesiology' end"""
+def status_sql(kinds=refdata.STATUS_MAP) -> str:
+    """Status category of ``lic_sta_cde`` per type, from the reference lists."""
+    return "case " + " ".join(f"when professional_type = '{kind}' and lic_sta_cde in ({', '.join(map(str, codes))}) then '{category}'"
+                              for kind in kinds for codes, category in refdata.STATUS_MAP[kind]) + " else 'UNKNOWN' end"
+
+
+_STATUS = status_sql(["dentist", "hygienist"])
+_SPEC = "case trim(prac_types) " + " ".join(f"when '{code}' then '{text}'" for code, text in refdata.SPECIALTIES) + " end"
 
 # Oracle twin of stage_tx over the combined dentist+hygienist extract.
 def _permit_date(c):
@@ -349,6 +339,7 @@ def q_diff_new_type(spark, sf):
                            raw.filter((F.col("snapshot_date") == SNAP0) & (F.col("professional_type") == "dentist")), AS_OF)
 
 
+# FIXED VALUES in the SQL below: expiry bands, sedation order, segments and priority scores, as in operators/dims.py.
 @query("dim_professionals", HISTORY_SQL + """
 select professional_id, state_code, professional_type, source_license_id, license_number, status_code,
   status_category, license_issue_date, license_expiration_date,
