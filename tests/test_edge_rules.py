@@ -130,3 +130,66 @@ def test_match_returns_the_row_that_matched_and_counts_unusable_npis(spark):
     assert {r.npi: r.rows for r in M.unusable_npis(npi).collect()} == {"N-7": 1, "12345678901": 1, None: 1}
     by_npi = M.best_match(lic.withColumn("n", F.lit("1000000001")), npi, npi_on_license_col="n")
     assert {(r.professional_id, r.match_type) for r in by_npi.collect()} == {("p", "exact_npi"), ("q", "exact_npi")}
+
+
+def test_checkpoint_folder_must_be_set_outside_local_masters(monkeypatch):
+    from provdata import session
+
+    class Conf(dict):
+        def set(self, k, v):
+            self[k] = v
+
+    class Context:
+        def __init__(self, master, folder=None):
+            self.master, self.folder = master, folder
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
+
+    class Session:
+        def __init__(self, master, **conf):
+            self.sparkContext, self.conf = Context(master), Conf(conf)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session("spark://host:7077"))
+    cluster = Session("yarn", **{"spark.checkpoint.dir": "hdfs:///ck"})
+    assert session.ensure_checkpoint_dir(cluster) == "hdfs:///ck" == cluster.sparkContext.folder
+    local = Session("local[4]")
+    assert session.ensure_checkpoint_dir(local) == local.conf["spark.checkpoint.dir"] == local.sparkContext.folder
+
+
+def test_every_event_rule_fires_on_the_bound_tables(spark):
+    from provdata.plans.registry import load_all
+    rows = load_all()["license_event_rules"].build(spark, "/root/testdata/sf0.01").collect()
+    assert len(rows) == 10 and all(r.events > 0 for r in rows)
+    levels = {r.sedation_level for r in load_all()["dim_professionals"].build(spark, "/root/testdata/sf0.01").collect()}
+    assert levels == {"NONE", "NITROUS_ONLY", "LEVEL_1", "LEVEL_2", "LEVEL_3", "LEVEL_4"}
+
+
+def test_union_fills_missing_flags_with_false(spark):
+    from provdata.operators import staging as ST
+    a = spark.createDataFrame([(1, None)], "k int, has_x boolean")
+    b = spark.createDataFrame([(2, True, "t")], "k int, is_y boolean, z string")
+    got = {r.k: (r.has_x, r.is_y, r.z) for r in ST.union_professionals(a, b).collect()}
+    assert got == {1: (None, False, None), 2: (False, True, "t")}
+
+
+def test_load_fields_that_are_new_are_kept(spark):
+    loads = spark.createDataFrame([("a", "x"), ("b", "y")], "load_id string, status string")
+    got = G.update_load(loads, spark.createDataFrame([("a", "z", "n")], "load_id string, status string, note string"), "2025-06-30")
+    assert {(r.load_id, r.status, r.note, r.updated_at is None) for r in got.collect()} == {("a", "z", "n", False), ("b", "y", None, True)}
+
+
+def test_budget_cut_over_many_buckets(spark):
+    from provdata.operators import metrics as MET
+    rows = [(k, k % 3 == 0) for k in range(2000)]
+    df = spark.createDataFrame(rows, "k long, m boolean").repartition(5)
+    got = {r.k: r.credits_before for r in MET.budget_cut(df, ["k"], "m", 50, F.floor(F.col("k") / 7), fan=4).collect()}
+    run, want = 0, {}
+    for k, m in rows:
+        if run < 50:
+            want[k] = run
+        run += m
+    assert got == want
