@@ -128,7 +128,7 @@ select load_id, validation_passed, source_type, state_code, row_count, row_count
        when not coalesce(validation_passed, false) then 'error: Load did not pass validation'
        else 'promoted' end as promotion_result
 from data_loads left join t on load_id = t.target
-""", "GOV3, GOV1 (new table version)")
+""", "GOV3")
 def q_promote(spark, sf):
     loads = data_loads(spark, sf)
     return G.promote_loads(loads, loads.filter(F.col("source_type") == "tx_hygienist").select("load_id"),

@@ -138,7 +138,7 @@ def history(spark, sf):
     return H.scd2_apply(h, snapshot(spark, sf, SNAP1), "professional_id", H.LICENSE_CHECK_COLS, SNAP1)
 
 
-@query("stage_tx_licenses", STAGED_SQL + "select * from staged", "STG1, STG2, SET1, KEY1, PRJ8")
+@query("stage_tx_licenses", STAGED_SQL + "select * from staged", "STG1, STG2, KEY1, PRJ8")
 def q_staged(spark, sf):
     return staged(spark, sf)
 
@@ -176,7 +176,7 @@ def q_recent_events(spark, sf):
     return E.recent_to_events(ST.recent_licenses(s, 1000, AS_OF))
 
 
-@query("license_history", HISTORY_SQL + "select * from history", "HIS1, STR4 (batch twin)")
+@query("license_history", HISTORY_SQL + "select * from history", "HIS1")
 def q_history(spark, sf):
     return history(spark, sf)
 
@@ -248,7 +248,7 @@ def license_events(spark, sf):
     return E.license_events(history(spark, sf), AS_OF)
 
 
-@query("license_events", _EVENTS_SQL + "select * from events_out", "EVT0-EVT10, JOIN6, WIN6, JOIN17, STR4 (batch twin)")
+@query("license_events", _EVENTS_SQL + "select * from events_out", "EVT0-EVT10, JOIN6, WIN6, JOIN17")
 def q_events(spark, sf):
     return license_events(spark, sf)
 
