@@ -87,9 +87,9 @@ class Encoder:
 
     def __call__(self, texts: pa.Array) -> list[np.ndarray]:
         texts = pc.fill_null(texts, "")
-        odd = np.flatnonzero(pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(zero_copy_only=False))
         if self.fast is None:
-            odd = np.arange(len(texts))
+            return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) for t in texts.to_pylist()]
+        odd = np.flatnonzero(pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(zero_copy_only=False))
         parts = split_lists(pc.split_pattern(pc.replace_with_mask(
             texts, pa.array(np.isin(np.arange(len(texts)), odd)), pa.scalar("")), " "))
         if len(self.after) + len(self.first) > _CACHE_ENTRIES:
