@@ -69,7 +69,7 @@ def exports_ready(queue: DataFrame, loads: DataFrame, config: DataFrame, suppres
     sched = F.col("scheduled_send_at") if "scheduled_send_at" in queue.columns else F.lit(None).cast("timestamp_ntz")
     q = (queue.filter((F.col("status") == "approved") & (sched.isNull() | (sched <= now)))
          .join(promoted, "data_load_id", "left_semi")
-         .join(F.broadcast(active), "destination", "left_semi"))  # fixed 5-row destination list
+         .join(active, "destination", "left_semi"))
     return suppress(q, suppression, as_of, "export_id")
 
 
@@ -102,7 +102,7 @@ def enqueue(records: DataFrame, queue: DataFrame, suppression: DataFrame, config
     own = F.when(has_id, F.col("provider_id")).otherwise(F.concat(F.lit("none-"), F.col("_rid").cast("string")))
     r = r.join(pairs, (own == F.col("_p")) & (F.col("destination") == F.col("_d")), "left")
     cfg = config.select("destination", "auto_approve", "min_confidence_for_auto", "delay_hours")
-    r = r.join(F.broadcast(cfg), "destination", "left")  # fixed 5-row destination list
+    r = r.join(cfg, "destination", "left")
     outcome = (F.when(~has_id, "skipped").when(F.col("_sup").isNotNull(), "suppressed")
                .when(F.coalesce("_active", F.lit(False)) | (F.col("_rid") != F.col("_first")), "skipped")
                .otherwise("queued"))
@@ -186,7 +186,7 @@ def apply_send_results(queue: DataFrame, results: DataFrame, config: DataFrame,
                      F.when(failed, F.col("_err")).otherwise(old("error_message", "string")).alias("error_message"),
                      F.when(sent, now).otherwise(old("sent_at", "timestamp_ntz")).alias("sent_at"),
                      F.when(sent, F.col("external_id")).otherwise(old("external_id", "string")).alias("external_id"))
-    hist = (j.filter(sent).join(F.broadcast(config.select("destination", "cost_per_record")), "destination", "left")
+    hist = (j.filter(sent).join(config.select("destination", "cost_per_record"), "destination", "left")
             .select(F.left(F.md5(F.concat(F.col("export_id"), F.lit("-sent"))), F.lit(12)).alias("history_id"),
                     "export_id", "provider_id", "destination", now.alias("sent_at"), "external_id",
                     F.coalesce("cost_per_record", F.lit(0.0)).alias("estimated_cost")))
@@ -319,7 +319,7 @@ def ready_to_send_all(queue: DataFrame, as_of: str) -> DataFrame:
 
 def export_daily_summary(history: DataFrame, config: DataFrame) -> DataFrame:
     """AGG17: per send day and destination: sent, estimated cost, bounces, complaints."""
-    h = history.join(F.broadcast(config.select("destination", "cost_per_record")), "destination", "left")
+    h = history.join(config.select("destination", "cost_per_record"), "destination", "left")
     return h.groupBy(F.to_date("sent_at").alias("send_date"), "destination").agg(
         F.count(F.lit(1)).alias("total_sent"),
         C.money(F.sum(F.coalesce("cost_per_record", F.lit(0.0)))).alias("estimated_cost"),

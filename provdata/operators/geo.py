@@ -51,10 +51,10 @@ def state_dim(spark) -> DataFrame:
 def normalize_state(df: DataFrame, dim: DataFrame, col: str) -> DataFrame:
     """JOIN19: accept a state given as a name or as a code; add ``state_code`` and ``state_name``.
 
-    ``dim`` is the fixed 51-row list, so the broadcast is bounded.
+    Spark broadcasts ``dim`` if its size allows.
     """
     # One dimension row per accepted spelling (name and code), so the lookup is one equi-join.
     keys = dim.select(F.explode(F.array(F.upper("state_name"), F.upper("state_code"))).alias("_k"),
                       F.col("state_code").alias("_c"), F.col("state_name").alias("_sn"))
-    j = df.join(F.broadcast(keys), F.upper(F.trim(col)) == F.col("_k"), "left")
+    j = df.join(keys, F.upper(F.trim(col)) == F.col("_k"), "left")
     return j.select(*df.columns, F.col("_c").alias("state_code"), F.col("_sn").alias("state_name"))

@@ -111,7 +111,7 @@ def plan_reversals(history: DataFrame, load_ids: DataFrame, config: DataFrame) -
     """GOV5: sent exports of quarantined loads -> skip (unknown destination) / failure (irreversible) / reverse."""
     t = load_ids.select(F.col("load_id").alias("_target")).distinct()
     sent = history.join(t, history["data_load_id"] == t["_target"], "left_semi")
-    j = sent.join(F.broadcast(config.select("destination", "is_reversible")), "destination", "left")
+    j = sent.join(config.select("destination", "is_reversible"), "destination", "left")
     return j.select("*", F.when(F.col("is_reversible").isNull(), "skip_unknown_destination")
                     .when(~F.col("is_reversible"), "cannot_reverse").otherwise("reverse").alias("reversal_action"))
 

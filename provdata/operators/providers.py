@@ -156,8 +156,8 @@ def taxonomy_dim(spark) -> DataFrame:
 
 
 def with_taxonomy(providers: DataFrame, dim: DataFrame, code_col: str = "primary_taxonomy_code") -> DataFrame:
-    """JOIN1: many-to-one lookup. ``dim`` is a fixed list of 13 rows, so broadcasting it is bounded."""
-    return providers.join(F.broadcast(dim), providers[code_col] == dim["taxonomy_code"], "left") \
+    """JOIN1: many-to-one lookup. Spark broadcasts ``dim`` if its size allows."""
+    return providers.join(dim, providers[code_col] == dim["taxonomy_code"], "left") \
         .drop(dim["taxonomy_code"])
 
 

@@ -97,7 +97,7 @@ def practice_age_distribution(providers: DataFrame) -> DataFrame:
 def state_share(providers: DataFrame, limit: int = 10) -> DataFrame:
     """AGG5 + WIN7 + TOP1: providers per state, percent of all, top ``limit`` (ties by state)."""
     g = providers.groupBy("practice_state").agg(F.count(F.lit(1)).alias("provider_count"))
-    total = F.sum("provider_count").over(Window.partitionBy())
+    total = g.select(F.sum("provider_count")).scalar()  # one row, whatever the states are
     return (g.select("practice_state", "provider_count",
                      C.percent(F.col("provider_count"), total, 2).alias("pct"))
             .orderBy(F.desc("provider_count"), F.asc_nulls_last("practice_state")).limit(limit))
