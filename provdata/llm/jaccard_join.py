@@ -171,26 +171,41 @@ def _route_shown(p: Params, parts: int):
     return run
 
 
-def _count_shared(batches) -> Iterator[pa.RecordBatch]:
-    """How many tokens of this range each class shares with another."""
+def _count_shared(parts: int):
+    """How many tokens of this range each class shares with another, to the part that has the class's range."""
+    schema = pa.schema([("part", pa.int32()), ("ids", pa.binary()), ("times", pa.binary())])
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        got = [list(map(lambda f, b: f(b), (_longer, _u64, _longer, _u64, _i64), row)) for batch in batches
+               for row in zip(*[batch[c].to_pylist() for c in ("tokens", "ids", "marks", "done", "times")])]
+        if not got:
+            return
+        tokens, ids, marks, done, times = (np.concatenate(x) for x in zip(*got))
+        order = np.lexsort((ids, tokens))
+        tokens, ids = tokens[order], ids[order]
+        if len(tokens):
+            new = np.concatenate(([True], (tokens[1:] != tokens[:-1]) | (ids[1:] != ids[:-1])))
+            tokens, ids = tokens[new], ids[new]
+            same = tokens[1:] == tokens[:-1]
+            shared = np.concatenate((same, [False])) | np.concatenate(([False], same)) | np.isin(tokens, marks)
+            own, n = np.unique(ids[shared], return_counts=True)
+            done, times = np.concatenate([done, own]), np.concatenate([times, n])
+        if len(done):
+            ids, place = np.unique(done, return_inverse=True)
+            cut = _slots(ids, parts)
+            yield _frame(schema, [list(range(parts)), [x.tobytes() for x in np.split(ids, cut)],
+                                  [x.tobytes() for x in np.split(np.bincount(place, times).astype("<i8"), cut)]])
+    return run
+
+
+def _sum_shared(batches) -> Iterator[pa.RecordBatch]:
+    """The sums of the classes of this range."""
     schema = pa.schema([("cid", pa.int64()), ("times", pa.int64())])
-    got = [list(map(lambda f, b: f(b), (_longer, _i64, _longer, _i64, _i64), row))
-           for batch in batches for row in zip(*[batch[c].to_pylist() for c in ("tokens", "ids", "marks", "done", "times")])]
-    if not got:
-        return
-    tokens, ids, marks, done, times = (np.concatenate(x) for x in zip(*got))
-    order = np.lexsort((ids, tokens))
-    tokens, ids = tokens[order], ids[order]
-    if len(tokens):
-        new = np.concatenate(([True], (tokens[1:] != tokens[:-1]) | (ids[1:] != ids[:-1])))
-        tokens, ids = tokens[new], ids[new]
-        same = tokens[1:] == tokens[:-1]
-        shared = np.concatenate((same, [False])) | np.concatenate(([False], same)) | np.isin(tokens, marks)
-        own, n = np.unique(ids[shared], return_counts=True)
-        done, times = np.concatenate([done, own]), np.concatenate([times, n])
-    if len(done):
-        ids, place = np.unique(done, return_inverse=True)
-        yield _frame(schema, [ids, np.bincount(place, times).astype(np.int64)])
+    got = [(_u64(i), _i64(t)) for batch in batches for i, t in zip(batch["ids"].to_pylist(), batch["times"].to_pylist())]
+    ids, times = (np.concatenate(x) for x in zip(*got)) if got else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    if len(ids):
+        ids, place = np.unique(ids, return_inverse=True)
+        yield _frame(schema, [ids.view(np.int64), np.bincount(place, times).astype(np.int64)])
 
 
 def _full_sets(p: Params):
@@ -400,14 +415,14 @@ def _links_of_large(index: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
 
 def link_components(df: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (the smallest id reachable by links)."""
-    parts = shuffle_partitions(df)
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = materialize(docs.mapInArrow(_sketch(p), "doc_id long, n long, class binary, shown binary")
                        .withColumn("cid", F.conv(F.hex(F.substring("class", 1, 8)), 16, -10).cast("long")))
+    parts = shuffle_partitions(df)
     shared = (rows.where("n > 0").select("cid", "shown")
               .mapInArrow(_route_shown(p, parts), "part int, tokens binary, ids binary, marks binary, done binary, times binary")
-              .repartitionById(parts, F.col("part"))
-              .mapInArrow(_count_shared, "cid long, times long").groupBy("cid").agg(F.sum("times").alias("times")))
+              .repartitionById(parts, F.col("part")).mapInArrow(_count_shared(parts), "part int, ids binary, times binary")
+              .repartitionById(parts, F.col("part")).mapInArrow(_sum_shared, "cid long, times long"))
     classes = materialize(rows.where("n > 0").groupBy("class", "cid", "n").agg(
         F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies")))
     wanted = F.ceil(_need(F.col("n"), p) * p.look / 100)
