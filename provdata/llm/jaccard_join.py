@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from provdata.llm.arrays import scramble, slices, window_hashes, words
 from provdata.llm.graph import components
-from provdata.llm.tables import materialize, prefix_sums, shuffle_partitions
+from provdata.llm.tables import materialize, prefix_sums, reducers
 
 
 @dataclass(frozen=True)
@@ -418,7 +418,7 @@ def link_components(df: DataFrame, p: Params = Params(), id_col: str = "doc_id",
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = materialize(docs.mapInArrow(_sketch(p), "doc_id long, n long, class binary, shown binary")
                        .withColumn("cid", F.conv(F.hex(F.substring("class", 1, 8)), 16, -10).cast("long")))
-    parts = shuffle_partitions(df)
+    parts = reducers(rows)
     shared = (rows.where("n > 0").select("cid", "shown")
               .mapInArrow(_route_shown(p, parts), "part int, tokens binary, ids binary, marks binary, done binary, times binary")
               .repartitionById(parts, F.col("part")).mapInArrow(_count_shared(parts), "part int, ids binary, times binary")

@@ -22,6 +22,15 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def reducers(df: DataFrame) -> int:
+    """Partitions for an exchange whose tasks hold what they get in memory: as many as ``df`` has, or more if so set.
+
+    The input's partitions follow its size, so what reaches a task does not grow with the input.
+    """
+    last = df.select(F.spark_partition_id().alias("part")).agg(F.max("part")).first()[0]
+    return max(shuffle_partitions(df), (last or 0) + 1)
+
+
 def prefix_sums(df: DataFrame, order: list[Column], sums: dict[str, Column], by: str | None = None) -> DataFrame:
     """Add to each row the exclusive running sums ``sums`` in ``order`` (within each ``by``).
 
