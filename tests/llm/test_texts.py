@@ -143,7 +143,7 @@ def test_toxicity_slices_agree_with_whole_batches():
     ("<table><tr><th>Name<th>Qty<tr><td>apple<td>3<tr><td colspan=2>both columns</table>", "Name  | Qty\napple | 3\nboth columns"),
     ("<table><tr><td>a<td><table><tr><td>in<td>ner</table><tr><td>bcd<td>e</table>", "a   | in | ner\nbcd | e"),
     ("<style>.x, b.z{display:none} #y{visibility: hidden}</style><i class='q x'>no</i><b class=z>no</b><i class=z>yes</i><p id=y>no", "yes"),
-    ("a<div hidden>no</div><span style='display : none'>no</span><input type=hidden value=no>b", "a\nb"),
+    ("a<div hidden>no</div><span style='display : none'>no</span><input type=hidden value=no>b", "ab"),  # what is not drawn breaks no line
     ("<details><summary>S</summary>no</details><details open><summary>T</summary>yes</details>", "S\nT\nyes"),
     ("<head><title>no</title></head><script>no</script><!-- no --><noscript>no</noscript>x&amp;y&nbsp;z", "x&y\xa0z"),
     ("<pre>a\n  b\n\nc</pre>d", "a\n  b\n\nc\n\nd"),
