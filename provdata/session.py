@@ -52,7 +52,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        if not sc.master.startswith("local["):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="provdata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
