@@ -166,6 +166,6 @@ select '2025-06-29' as snapshot_date, 'applied' as status, r0 as rows, r0 as exp
   cast(null as varchar) as reason from k
 union all select '2025-06-30', 'applied', r1, r1, k1, k0, null from k
 union all select '2025-07-01', 'quarantined', r2, r2, k2, k1, 'key count moved by more than 20%' from k
-""", "STR4 (a refused snapshot is a row, not lost)")
+""", "STR4 (a refused snapshot is a row, not lost), SNK2 (the writer)")
 def q_stream_loads(spark, sf):
     return CH.read_loads(spark, change_stream(spark, sf))
