@@ -66,6 +66,12 @@ def test_lm_without_training_rows_and_empty(spark):
     assert hpy_lm.score_texts(docs(spark, []), SMALL).count() == 0
 
 
+@pytest.mark.parametrize("bad", [{"classes": 60}, {"hot": 70_000}, {"hot": 50}])
+def test_lm_parameters_that_do_not_fit_are_refused(bad):
+    with pytest.raises(ValueError):
+        hpy_lm.Params(**bad)
+
+
 def test_lm_probabilities_add_up_to_one():
     """Over the vocabulary and the unknown word, in every context, with the totals of the seating."""
     rng = np.random.default_rng(0)
