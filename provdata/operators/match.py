@@ -134,20 +134,20 @@ def best_match(licenses: DataFrame, npi_raw: DataFrame, npi_on_license_col: str
     best = j.groupBy(*lic_cols).agg(F.min(code).alias("_b")).select(
         *lic_cols, (F.col("_b") / _TIER_SCALE).cast("int").alias("_tier"),
         (F.col("_b") % _TIER_SCALE).alias("npi_long"))
-    # The attributes are those of the registry row that matched: of the chosen NPI's rows, one with the
-    # winning tier's key. Unmatched licences are set aside: their NULL key would be one hot partition.
-    keys = F.array(*[F.struct(*[c.alias(f"k{i}") for i, c in enumerate([F.col(k) for k in t[2]] + [F.lit("")] * (4 - len(t[2])))])
-                     for t in tiers])
-    won = best.where("npi_long is not null").withColumn("_k", F.get(keys, F.col("_tier"))).select(
-        "*", F.col("_tier").alias("tier"), "_k.*").drop("_k")
-    chosen = won.select("npi_long").distinct()
+    # The attributes are those of the registry row that matched: of the chosen NPI's rows, the least one whose
+    # key of the winning tier agrees. Unmatched licences get a key of their own each (NULL would be one hot partition).
     fields = ["npi_number", "first_name", "last_name", "city", "state", "zip5", "phone"]
-    attrs = (_tier_rows(npi.join(chosen, "npi_long", "left_semi"),
-                        ["npi_long", "npi_number", "first_name", "last_name", "city", "state", "zip5", "phone",
-                         "first_sx", "last_sx", "npi_key"], tiers)
-             .groupBy("npi_long", "tier", "k0", "k1", "k2", "k3").agg(F.min(F.struct(*fields)).alias("m")))
-    out = (won.join(attrs, ["npi_long", "tier", "k0", "k1", "k2", "k3"], "left").select(*lic_cols, "_tier", "m")
-           .unionByName(best.where("npi_long is null").select(*lic_cols, "_tier"), allowMissingColumns=True))
+    rows = npi.select(F.col("npi_long").alias("_n"), *[F.col(c).alias(f"n_{c}") for c in fields + ["first_sx", "last_sx", "npi_key"]])
+    none = -F.pmod(F.xxhash64("professional_id"), F.lit(_TIER_SCALE)) - 1
+    agree = []
+    for _, _, keys in tiers:
+        same = F.lit(True)
+        for k in keys:
+            same = same & (F.col(k) == F.col(f"n_{k}"))
+        agree.append(same)
+    found = F.struct(*[F.col(f"n_{c}").alias(c) for c in fields])
+    out = (best.join(rows, F.coalesce("npi_long", none) == F.col("_n"), "left").groupBy(*lic_cols, "_tier")
+           .agg(F.min(F.when(F.get(F.array(*agree), F.col("_tier")), found)).alias("m")))
     conf = F.lit(0)
     mtype = F.lit("no_match")
     for rank, (score, name, _) in reversed(list(enumerate(tiers))):
