@@ -260,20 +260,20 @@ def test_every_licence_appears_once_in_match_output(spark):
 def test_replaying_a_snapshot_changes_nothing(spark, tmp_path):
     from provdata.sources import io as IO
     from provdata.sources.bindings import binding
-    from provdata.streaming.changes import apply_snapshot
+    from provdata.streaming.changes import apply_snapshot, read_history
     from tests.conftest import SF_SMALL
     raw = binding(spark, SF_SMALL, "tx_license_raw")
-    hist, ev = str(tmp_path / "h"), str(tmp_path / "e")
+    base = str(tmp_path / "t")
     for day in ("2025-06-29", "2025-06-30"):
-        apply_snapshot(spark, raw.filter(F.col("snapshot_date") == day).drop("snapshot_date"), day, hist, ev,
+        apply_snapshot(spark, raw.filter(F.col("snapshot_date") == day).drop("snapshot_date"), day, base,
                        as_of="2025-06-30")
-    h1 = rows(IO.read_current(spark, hist), "professional_id", "valid_from", "valid_to")
-    e1 = rows(IO.read_current(spark, ev), "event_id")
+    h1 = rows(read_history(spark, base), "professional_id", "valid_from", "valid_to")
+    e1 = rows(IO.read_current(spark, f"{base}/events"), "event_id")
     # Replay the last snapshot (a retried micro-batch).
     apply_snapshot(spark, raw.filter(F.col("snapshot_date") == "2025-06-30").drop("snapshot_date"), "2025-06-30",
-                   hist, ev, as_of="2025-06-30")
-    assert rows(IO.read_current(spark, hist), "professional_id", "valid_from", "valid_to") == h1
-    assert rows(IO.read_current(spark, ev), "event_id") == e1
+                   base, as_of="2025-06-30")
+    assert rows(read_history(spark, base), "professional_id", "valid_from", "valid_to") == h1
+    assert rows(IO.read_current(spark, f"{base}/events"), "event_id") == e1
 
 
 def test_optional_exact_npi_tier_and_flag_coalescing(spark):
@@ -298,13 +298,13 @@ def test_partial_snapshot_is_refused(spark, tmp_path):
     from provdata.streaming.changes import apply_snapshot
     from tests.conftest import SF_SMALL
     raw = binding(spark, SF_SMALL, "tx_license_raw")
-    hist, ev = str(tmp_path / "h"), str(tmp_path / "e")
+    base = str(tmp_path / "t")
     day0 = raw.filter(F.col("snapshot_date") == "2025-06-29").drop("snapshot_date")
-    assert apply_snapshot(spark, day0, "2025-06-29", hist, ev) == "applied"
-    before = IO.current_version(spark, hist)
+    assert apply_snapshot(spark, day0, "2025-06-29", base)["status"] == "applied"
+    before = IO.current_version(spark, f"{base}/open")
     partial = raw.filter((F.col("snapshot_date") == "2025-06-30") & (F.col("lic_id") % 2 == 0)).drop("snapshot_date")
-    assert apply_snapshot(spark, partial, "2025-06-30", hist, ev) == "refused"
-    assert IO.current_version(spark, hist) == before
+    assert apply_snapshot(spark, partial, "2025-06-30", base)["status"] == "quarantined"
+    assert IO.current_version(spark, f"{base}/open") == before
 
 
 def test_build_history_with_checkpoints_equals_stepwise(spark):
