@@ -25,8 +25,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a shingle similarity of 0.75 or more, the one with the smallest doc_id."""
-    return jaccard_join.drop_near_duplicates(docs)
+    """Of documents linked by a shingle similarity of 0.75 or more, the one with the smallest doc_id, if any has one."""
+    return jaccard_join.drop_near_duplicates(docs, spare_unnamed=False)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

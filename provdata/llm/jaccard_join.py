@@ -23,7 +23,7 @@ A token that many rows share is merged map-side, and each map task sends it on o
 Defined results: a document without words (null, empty or blank text) has no shingles and is linked with
 nothing; with one to four words the whole sequence is its one shingle; copies are linked; a null id is
 never the name of a component, and a component without other ids has a null name; rows of one id with
-different texts are different documents; an empty table gives an empty result.
+different texts are different documents, in what stays too; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -119,12 +119,13 @@ def _frame(schema: pa.Schema, columns: list) -> pa.RecordBatch:
 
 
 def _sketch(p: Params):
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("class", pa.binary()), ("shown", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("n", pa.int64()), ("class", pa.binary()),
+                        ("shown", pa.binary())])
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             sets = list(token_sets(batch["text"], p.width))
-            yield _frame(schema, [batch["doc_id"], [len(s) for s in sets], [_class_of(s) for s in sets],
+            yield _frame(schema, [batch["doc_id"], batch["digest"], [len(s) for s in sets], [_class_of(s) for s in sets],
                                   [_short(s[:p.shown(len(s))]) for s in sets]])
     return run
 
@@ -413,10 +414,18 @@ def _links_of_large(index: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
             .groupBy("b1", "b2").applyInArrow(_block_links(p), "a long, b long"))
 
 
-def link_components(df: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id (the smallest id reachable by links)."""
+def _text_digest(text: Column) -> Column:
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
+def _linked_rows(df: DataFrame, p: Params, id_col: str, text_col: str) -> DataFrame:
+    """One row per input row: doc_id, digest (of the text), n, class, component, component_id.
+
+    ``component`` is the node that names the component among all, null for a class that no other is linked with.
+    """
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = materialize(docs.mapInArrow(_sketch(p), "doc_id long, n long, class binary, shown binary")
+    rows = materialize(docs.withColumn("digest", _text_digest(F.col("text")))
+                       .mapInArrow(_sketch(p), "doc_id long, digest binary, n long, class binary, shown binary")
                        .withColumn("cid", F.conv(F.hex(F.substring("class", 1, 8)), 16, -10).cast("long")))
     parts = reducers(rows)
     shared = (rows.where("n > 0").select("cid", "shown")
@@ -456,25 +465,53 @@ def link_components(df: DataFrame, p: Params = Params(), id_col: str = "doc_id",
     named = (sets.select("node", "class").join(joined, "node").join(classes.select("class", "first_id"), "class")
              .select("class", "component", "first_id"))
     names = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    linked = named.join(names, "component").select(F.col("class").alias("m_class"), "component_id")
+    linked = named.join(names, "component").select(F.col("class").alias("m_class"), "component", "component_id")
     copied = (classes.where("copies > 1").join(linked, F.col("class") == F.col("m_class"), "left_anti")
-              .select(F.col("class").alias("m_class"), F.col("first_id").alias("component_id")))
+              .select(F.col("class").alias("m_class"), F.lit(None).cast("long").alias("component"),
+                      F.col("first_id").alias("component_id")))
     members = linked.union(copied)
-    return (rows.select("doc_id", "n", "class").join(members, F.col("class") == F.col("m_class"), "left")
-            .select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.coalesce("component_id", "doc_id").alias("component_id")))
+    return (rows.select("doc_id", "digest", "n", "class").join(members, F.col("class") == F.col("m_class"), "left")
+            .select("doc_id", "digest", "n", "class", "component", F.coalesce("component_id", "doc_id").alias("component_id")))
+
+
+def link_components(df: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id (the smallest id reachable by links)."""
+    return _linked_rows(df, p, id_col, text_col).select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"),
+                                                        "component_id")
 
 
-def drop_near_duplicates(df: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` whose id names their component, with all their columns; one of rows repeated with one id.
+def drop_near_duplicates(df: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_col: str = "text",
+                         spare_unnamed: bool = True) -> DataFrame:
+    """The rows of ``df`` that stay, with all their columns: one of each component, and all rows without shingles.
 
-    Rows that share an id stand or fall together, and rows without an id stay.
+    Rows are judged by their text: of a component the row with the smallest id stays, then the least digest of its
+    text, then of the whole row. Rows without an id all stay, unless ``spare_unnamed`` is off: then they are
+    members like any other, and one stays where its component has no row with an id.
     """
-    found = materialize(link_components(df, p, id_col, text_col))
-    stay = found.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(
-        F.max((F.col("component_id") == F.col(id_col)).cast("int")).alias("__stays"), F.count(F.lit(1)).alias("__rows"))
-    stay = materialize(stay.where("__stays = 1"))
-    kept = df.join(stay, F.col(id_col) == F.col("__id"), "left_semi")
-    if not stay.where("__rows > 1").isEmpty():
-        kept = kept.dropDuplicates([id_col])
-    return kept.unionByName(df.where(F.col(id_col).isNull()))
+    found = _linked_rows(df, p, id_col, text_col)
+    if spare_unnamed:
+        found = found.where("doc_id is not null")
+    found = materialize(found.select("doc_id", "digest", "n", "class", "component"))
+    alone = F.when(F.col("component").isNull(), F.col("class"))  # a class that no other is linked with names itself
+    best = (found.where("n > 0").groupBy("component", alone.alias("alone"))
+            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")).alias("best"))
+            .select("best.doc_id", "best.digest"))
+    same = F.col("doc_id").eqNullSafe(F.col("b_id")) & (F.col("digest") == F.col("b_digest"))
+    best = (found.join(best.select(F.col("doc_id").alias("b_id"), F.col("digest").alias("b_digest")), same, "left_semi")
+            .groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("times")))
+    blank = found.where("n = 0").select("doc_id", "digest").distinct().withColumn("times", F.lit(1).cast("long"))
+    stay = materialize(best.union(blank).select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), "times"))
+
+    def rows_of(keys: DataFrame) -> DataFrame:
+        return df.join(keys, F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
+                       & (_text_digest(F.col(text_col)) == F.col("__digest")), "left_semi")
+
+    kept = rows_of(stay.where("times = 1"))
+    again = stay.where("times > 1")
+    if not again.isEmpty():
+        whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+        one = (rows_of(again).select(F.col(id_col).cast("long").alias("__id"), _text_digest(F.col(text_col)).alias("__digest"),
+                                     whole.alias("__row"))
+               .groupBy("__id", "__digest").agg(F.min_by("__row", F.sha2(F.to_json("__row"), 256)).alias("__row")))
+        kept = kept.unionByName(one.select("__row.*"))
+    return kept.unionByName(df.where(F.col(id_col).isNull())) if spare_unnamed else kept

@@ -136,6 +136,25 @@ def test_join_rows_that_stay(spark):
     assert Counter(r.doc_id for r in stay.collect()) == want
 
 
+def test_join_judges_rows_by_their_text(spark):
+    """Repeated and null ids: a clean text stays whatever else has its id, and each component keeps one row."""
+    def text(name, n=30):
+        return " ".join(f"{name}{k}" for k in range(n))
+    rows = [(50, text("clean")), (50, text("a")), (40, text("a") + " end"),  # one row of 50 is a copy of 40, one is clean
+            (60, text("b")), (60, text("c") + " end"), (30, text("c")), (61, text("b") + " end"),  # 60 heads b, follows 30 in c
+            (None, text("d")), (None, text("d") + " end"), (None, text("e")), (20, text("e") + " end"),
+            (None, text("lone")), (None, ""), (None, " "), (70, ""), (70, None), (80, text("f")), (80, text("f"))]
+    want = Counter([(50, text("clean")), (40, text("a") + " end"), (60, text("b")), (30, text("c")), (20, text("e") + " end"),
+                    (None, text("lone")), (None, ""), (None, " "), (70, ""), (70, None), (80, text("f"))])
+    for parts in (1, 4):
+        stay = jaccard_join.drop_near_duplicates(docs(spark, rows, parts), spare_unnamed=False)
+        got = Counter((r.doc_id, r.text) for r in stay.collect())
+        one_of_d = got - want
+        assert want - got == Counter() and list(one_of_d.values()) == [1] and next(iter(one_of_d))[1].startswith(text("d"))
+        spared = Counter((r.doc_id, r.text) for r in jaccard_join.drop_near_duplicates(docs(spark, rows, parts)).collect())
+        assert spared == Counter({k: n for k, n in want.items() if k[0] is not None}) + Counter(r for r in rows if r[0] is None)
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(30)] + [(100, 200), (200, 150), (7, 7), (300, 301), (301, 300)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
