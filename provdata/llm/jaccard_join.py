@@ -386,6 +386,12 @@ def _sieved(docs: DataFrame, ids: DataFrame, p: Params) -> DataFrame:
             .select("doc_id", "text"))
 
 
+def _with_first_text(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Of each of ``classes`` (class, first_id, first_digest) the text of its first row, as often as that is repeated."""
+    same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (_text_digest(F.col("text")) == F.col("first_digest"))
+    return docs.join(classes, same).select("class", "text")
+
+
 def _links_of_large(index: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
     """Links between components under tokens of more than ``pairwise`` classes, found in pairs of blocks.
 
@@ -433,11 +439,15 @@ def _linked_rows(df: DataFrame, p: Params, id_col: str, text_col: str) -> DataFr
               .repartitionById(parts, F.col("part")).mapInArrow(_count_shared(parts), "part int, ids binary, times binary")
               .repartitionById(parts, F.col("part")).mapInArrow(_sum_shared, "cid long, times long"))
     classes = materialize(rows.where("n > 0").groupBy("class", "cid", "n").agg(
-        F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies")))
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")).alias("first"),
+        F.count(F.lit(1)).alias("copies"))
+        .select("class", "cid", "n", "copies", F.col("first.doc_id").alias("first_id"), F.col("first.digest").alias("first_digest")))
     wanted = F.ceil(_need(F.col("n"), p) * p.look / 100)
-    alive = materialize(classes.join(shared, "cid").where(F.col("times") >= wanted).select("class", "first_id"))
+    alive = materialize(classes.join(shared, "cid").where(F.col("times") >= wanted)
+                        .select("class", "first_id", "first_digest"))
+    # By id and text: an id of many rows with different texts would meet all living classes of that id.
     sets = materialize(
-        _sieved(docs, alive, p).join(alive, F.col("doc_id").eqNullSafe(F.col("first_id"))).select("class", "text")
+        _with_first_text(_sieved(docs, alive, p), alive)
         .mapInArrow(_full_sets(p), "class binary, n long, tokens binary")
         .groupBy("class").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
         .withColumns({"node": F.monotonically_increasing_id(), "home": F.spark_partition_id()}))

@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from provdata.llm import exact_dedup, jaccard_join
 from provdata.llm.graph import components
@@ -155,6 +156,17 @@ def test_join_judges_rows_by_their_text(spark):
         assert spared == Counter({k: n for k, n in want.items() if k[0] is not None}) + Counter(r for r in rows if r[0] is None)
 
 
+def test_join_reads_the_texts_of_one_hot_id_once(spark):
+    """Rows that share an id and differ in text: as many come out of the fetch of the texts as there are classes."""
+    rows = [(7, f"t{k} a b c d") for k in range(60)]
+    df = docs(spark, rows, 3).select("doc_id", "text")
+    classes = df.select(F.encode("text", "utf-8").alias("class"), F.col("doc_id").alias("first_id"),
+                        jaccard_join._text_digest(F.col("text")).alias("first_digest"))
+    assert jaccard_join._with_first_text(df, classes).count() == 60
+    near = [(7, " ".join(f"x{j}" for j in range(40)) + f" end{k}") for k in range(8)] + rows
+    assert Counter(tuple(r) for r in jaccard_join.link_components(docs(spark, near, 3)).collect()) == brute(near)
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(30)] + [(100, 200), (200, 150), (7, 7), (300, 301), (301, 300)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
