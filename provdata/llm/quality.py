@@ -1,9 +1,9 @@
 """Quality rules: compression bands.
 
-zstandard ratios (compressed over raw bytes) of the whole text and of its fixed chunks. Text that
-repeats itself compresses too well, encoded or random text too badly. What is usual depends on the
-length, as short texts carry the frame's overhead and give the matcher little to find, so each
-length class has its own limits, and chunks, all of one length, have one pair.
+zstandard ratios (compressed over raw bytes) of the whole text and of its chunks, which cover every byte
+of it. Text that repeats itself compresses too well, encoded or random text too badly. What is usual
+depends on the length, as short texts carry the frame's overhead and give the matcher little to find, so
+each length class has its own limits; whole chunks have one pair, a shorter one that of its length.
 
 The base measures (words, symbols, repeated lines, repeated 8-word windows) are columns beside the
 verdict. Each row is judged by itself, in slices of bounded size: no shuffle, no state.
@@ -31,12 +31,14 @@ class Bands:
     """Limits of the ratios: from each class's least length in bytes on, the least and the greatest ratio."""
 
     whole: tuple[tuple[int, float, float], ...] = (
-        (128, 0.42, 0.98), (256, 0.40, 0.88), (512, 0.38, 0.80), (1024, 0.36, 0.75), (2048, 0.34, 0.72),
-        (4096, 0.33, 0.72), (8192, 0.32, 0.72), (16384, 0.31, 0.72), (32768, 0.30, 0.72))
-    chunk_bytes: int = 4096
-    chunk: tuple[float, float] = (0.25, 0.75)
+        (128, 0.42, 0.98), (192, 0.41, 0.89), (256, 0.40, 0.82), (384, 0.39, 0.78), (512, 0.38, 0.73), (768, 0.37, 0.68),
+        (1024, 0.36, 0.64), (2048, 0.34, 0.58), (4096, 0.33, 0.55), (8192, 0.32, 0.55), (16384, 0.31, 0.55),
+        (32768, 0.30, 0.55))
+    #: A rest of less than half a chunk belongs to the chunk before it.
+    chunk_bytes: int = 512
+    chunk: tuple[float, float] = (0.25, 0.73)
     #: More than this share of the chunks out of their limits rejects the text.
-    bad_chunks: float = 0.25
+    bad_chunks: float = 0.03
     level: int = 3
 
 
@@ -78,16 +80,22 @@ def repeated_lines(texts: pa.Array) -> np.ndarray:
     return np.bincount(owner, minlength=n) - np.bincount(first, minlength=n)
 
 
+def _limits(n_bytes: int, bands: Bands) -> tuple[float, float]:
+    return next(((low, high) for least, low, high in reversed(bands.whole) if n_bytes >= least), (0.0, float("inf")))
+
+
 def _ratios(raw: bytes, compress, bands: Bands) -> tuple[float, int, int, bool]:
     if not raw:
         return 0.0, 0, 0, True
     ratio = len(compress(raw)) / len(raw)
-    chunks = [raw[k:k + bands.chunk_bytes] for k in range(0, len(raw) - bands.chunk_bytes + 1, bands.chunk_bytes)]
-    low, high = bands.chunk
-    bad = sum(not low <= len(compress(c)) / len(c) <= high for c in chunks)
-    limits = [(a, b) for least, a, b in bands.whole if len(raw) >= least]
-    fits = not limits or limits[-1][0] <= ratio <= limits[-1][1]
-    return ratio, len(chunks), bad, fits and bad <= bands.bad_chunks * len(chunks)
+    size = bands.chunk_bytes
+    cuts = [*range(0, max(1, len(raw) - size // 2 + 1), size), len(raw)]
+    bad = 0
+    for start, end in zip(cuts, cuts[1:]):
+        low, high = bands.chunk if end - start >= size else _limits(end - start, bands)
+        bad += not low <= len(compress(raw[start:end])) / (end - start) <= high
+    low, high = _limits(len(raw), bands)
+    return ratio, len(cuts) - 1, bad, low <= ratio <= high and bad <= bands.bad_chunks * (len(cuts) - 1)
 
 
 def _measure(bands: Bands):

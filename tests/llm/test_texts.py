@@ -7,12 +7,14 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from provdata.llm import html_text, quality, tool_chat, toxicity, url_rules
 from provdata.llm.arrays import slices, words
+from tests.conftest import SF_SMALL
 from tests.llm.helpers import AWKWARD, docs, long_text, split_words
 
 
@@ -63,6 +65,22 @@ def test_quality_bands(spark):
     assert quality.judge_quality(docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("good,junk", [(4096, 4094), (3000, 1000), (4096 * 3, 1024), (1500, 600)])
+def test_quality_checks_every_byte(good, junk):
+    """Prose with a tail of base64: kept without the tail, rejected with it, wherever the chunks end."""
+    import base64
+
+    import zstandard
+
+    compress = zstandard.ZstdCompressor(level=3).compress
+    docs_ = pq.read_table(f"{SF_SMALL}/documents.parquet", columns=["text"])["text"].to_pylist()
+    prose = "\n".join(dict.fromkeys(t for t in docs_ if t and len(t) < 3000)).encode()[:good]
+    noise = base64.b64encode(random.Random(7).randbytes(junk))[:junk]
+    assert quality._ratios(prose, compress, quality.Bands())[3]
+    for text in (prose + noise, noise + prose, prose[:good // 2] + noise + prose[good // 2:]):
+        assert not quality._ratios(text, compress, quality.Bands())[3]
+
+
 # ---- toxicity --------------------------------------------------------------------------------------------------------
 
 BAD = ["villain", "rotter", "scoundrel"]
