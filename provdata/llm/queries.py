@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provdata.llm import exact_dedup, hpy_lm, html_text, jaccard_join, mixing, packing, quality, tool_chat, toxicity, url_rules
+from provdata.llm import (bpe_fst, conversation_repair, exact_dedup, hpy_lm, html_text, jaccard_join, lexical_search, mixing, packing,
+                          quality, tool_chat, toxicity, url_rules)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -182,3 +183,45 @@ TOOL_SCHEMAS = {
 def op6_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls, results = tool_chat.calls_of_conversations(_table(spark, sf_dir, "conversations"))
     return tool_chat.link_tool_calls(calls, results, TOOL_SCHEMAS)
+
+
+@_query()
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    edits = conversation_repair.repair(conversation_repair.damage(conversations), conversations)
+    return conversation_repair.report(edits)
+
+
+@_query()
+def op12_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe_fst.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                              public_tokenizers.PATTERN)
+
+
+_TERMS = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+
+@_query(f"""
+with doc as (select row_number() over () as row, doc_id, text from documents),
+item as (select row_number() over () as item, item_id, text from benchmark),
+tf as (select row, term, count(*)::bigint as tf from (select row, unnest({_TERMS}) as term from doc) group by row, term),
+size as (select row, sum(tf)::bigint as n from tf group by row),
+total as (select count(*)::bigint as docs, sum(n)::bigint as length from size),
+asked as (select distinct item, term from (select item, unnest({_TERMS}) as term from item)),
+weight as (select term, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::bigint as w
+           from (select term, count(*)::bigint as df from tf group by term), total),
+scored as (
+  select item, row,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // length))))::bigint as score
+  from asked join weight using (term) join tf using (term) join size using (row), total
+  group by item, row),
+ranked as (
+  select item_id, doc_id, score, row_number() over (partition by item order by score desc, doc_id nulls first)::int as rank
+  from scored join doc using (row) join item using (item) where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 10
+""")
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))

@@ -16,10 +16,13 @@ COLUMNS = {
     "op8_pitman_yor": {"doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"},
     "op9_best_fit_packing": {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"},
     "op10_source_mix": {"doc_id", "size", "source_size", "target", "taken"},
+    "op11_conversation_repair": {"conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"},
+    "op12_bpe_transducer": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
+    "op13_lexical_search": {"item_id", "rank", "doc_id", "score"},
 }
 
 
-def test_ten_queries_and_pipeline():
+def test_queries_and_pipeline():
     import __spark_entry__
     assert set(QUERIES) == set(COLUMNS) and set(ORACLES) <= set(QUERIES)
     assert {*QUERIES, "pipeline"} <= set(__spark_entry__.queries())
@@ -30,11 +33,12 @@ def test_query_runs_whole_table(spark, name):
     df = QUERIES[name](spark, SF_SMALL)
     assert COLUMNS[name] <= set(df.columns)
     rows = df.collect()
-    table, key = ("pages", "page_id") if "page_id" in df.columns else ("documents", "doc_id")
-    if name != "op6_tool_calls":
+    table, key = next((t, k) for t, k in (("pages", "page_id"), ("benchmark", "item_id"), ("conversations", "conv_id"),
+                                          ("documents", "doc_id")) if k in df.columns)
+    if name not in ("op6_tool_calls", "op13_lexical_search"):
         ids = {r[0] for r in spark.read.parquet(f"{SF_SMALL}/{table}.parquet").select(key).collect()}
         assert {r[key] for r in rows} == ids
-    if name not in ("op6_tool_calls", "op9_best_fit_packing"):
+    if name not in ("op6_tool_calls", "op9_best_fit_packing", "op13_lexical_search"):
         assert len(rows) == len(ids)
 
 
