@@ -15,6 +15,7 @@ taking what the division leaves; any other piece is a whole document.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -40,14 +41,16 @@ class Encoder:
     a visible character, so a text is the sequence of its parts " word". Parts that are new are
     joined and encoded in one call, by the same merges in tiktoken, which is several times faster;
     the lengths of the tokens' bytes then show where each part ends. Texts in which a blank meets
-    other white space are encoded whole by the tokenizers library.
+    other white space, or that hold the content of an added token (it has an id of its own), are encoded whole by the
+    tokenizers library.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = "|".join([_ODD_SPACE, *added])
         self.fast, self.n_bytes = _byte_bpe(path)
         self._clear()
 
@@ -89,7 +92,7 @@ class Encoder:
         texts = pc.fill_null(texts, "")
         if self.fast is None:
             return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) for t in texts.to_pylist()]
-        odd = np.flatnonzero(pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(zero_copy_only=False))
+        odd = np.flatnonzero(pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False))
         parts = split_lists(pc.split_pattern(pc.replace_with_mask(
             texts, pa.array(np.isin(np.arange(len(texts)), odd)), pa.scalar("")), " "))
         if len(self.after) + len(self.first) > _CACHE_ENTRIES:

@@ -51,7 +51,7 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 with sized as (
   select doc_id, source,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
-         md5('mix:' || coalesce(doc_id::varchar, 'null')) as key
+         md5('mix:' || coalesce(doc_id::varchar, 'null') || ':' || md5(coalesce(text, ''))) as key
   from documents),
 per as (select source, sum(size)::bigint as source_size from sized group by source),
 ranked as (select *, (row_number() over (order by source is null, source) - 1) % 3 + 1 as weight from per),

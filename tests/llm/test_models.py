@@ -123,7 +123,6 @@ def test_seating_has_the_process_distribution():
 def encode_all(rows):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(VOCABULARY)
-    t.encode_special_tokens = True
     return [np.array(t.encode(r[1] or "", add_special_tokens=False).ids + [0], "<u4") for r in rows]
 
 
@@ -200,6 +199,13 @@ def test_encoder_whose_vocabulary_is_no_byte_level_bpe():
     assert [list(x) for x in whole(pa.array(["a b", None]))] == [whole.tokenizer.encode(t, add_special_tokens=False).ids for t in ("a b", "")]
 
 
+def test_added_tokens_have_their_own_ids(spark):
+    rows = [(1, "hello <|endoftext|> world"), (2, "<|endoftext|>"), (3, "a<|endoftext|><|endoftext|>\nb <|endo ftext|>"), (4, "hello world")]
+    got = packing.pack(docs(spark, rows), VOCABULARY).collect()
+    check_packing(got, [(r[0], ids) for r, ids in zip(rows, encode_all(rows))], 2048)
+    assert {(r.length, r.ids_crc32) for r in got if r.doc_id == 1} == {(5, 4120161527)}
+
+
 # ---- mixing --------------------------------------------------------------------------------------------------------------
 
 def water_fill(sizes, weights, cap):
@@ -249,6 +255,19 @@ def test_mix_repeats_rows(spark):
     assert got == {k: n for k, n in copies.items() if n}
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_mix_cuts_rows_without_an_id_of_their_own(spark, doc_id):
+    """Of 300 rows of ten words, all with one id, each source yields its target: 1,000 and 2,000 words."""
+    same = [(doc_id, "w " * 10, "a")] * 150 + [(doc_id, f"v{k} " * 10, "a") for k in range(50)]
+    rows = same + [(doc_id, f"x{k % 40} " * 10, "b") for k in range(100)]
+    df = docs(spark, rows, 5)
+    taken = {r.source: r.words for r in mixing.mix_sources(df).groupBy("source").agg(F.sum("taken").alias("words")).collect()}
+    out = mixing.repeat_to_mix(df)
+    assert out.columns == df.columns
+    sizes = {r.source: r["count"] * 10 for r in out.groupBy("source").count().collect()}
+    assert taken == sizes == {"a": 1000, "b": 2000}
+
+
 def test_mix_without_words(spark):
     assert mixing.mix_sources(docs(spark, [])).count() == 0 and mixing.repeat_to_mix(docs(spark, [])).count() == 0
     assert {(r.target, r.taken) for r in mixing.mix_sources(docs(spark, [(1, None, None), (2, "", "a")])).collect()} == {(0.0, 0)}
