@@ -30,10 +30,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from provdata.llm.arrays import SLICE_BYTES
+from provdata.llm.arrays import split_lists
 
-MAX_STATES = 250_000
-MAX_PIECES = 200_000
+MAX_STATES = 200_000
+MAX_PIECES = 120_000
+MAX_CHAINS = 10_000
+SLICE_BYTES = 4 << 20
 
 #: Code points that are letters or numbers for the `regex` package alone, whose tables are newer than
 #: the Unicode 16 of the tokenizer that results are to equal. There they are neither.
@@ -81,7 +83,7 @@ class Transducer:
         #: The two tokens that the last merge of a token joins, and the token's own bytes.
         self.halves: dict[int, tuple[int, int]] = {}
         self.bytes_of: dict[int, bytes] = {rank: token for token, rank in ranks.items()}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.chains: tuple[dict, dict] = ({}, {})
         for token, rank in ranks.items():
             if len(token) > 1:
@@ -115,7 +117,8 @@ class Transducer:
         ``left``, at its right one of the chain of left halves of ``right``. The boundary goes if the two that meet
         make a token before either of them is used up within its own side.
         """
-        known = self.pairs.get((left, right))
+        pair = left << 32 | right
+        known = self.pairs.get(pair)
         if known is not None:
             return known
         ups, downs = self._chain(left, 1), self._chain(right, 0)
@@ -134,9 +137,9 @@ class Transducer:
                 i += 1
             else:
                 j += 1
-        if len(self.pairs) >= 4 * self.max_states:
+        if len(self.pairs) >= self.max_states:
             self.pairs = {}
-        self.pairs[left, right] = ok
+        self.pairs[pair] = ok
         return ok
 
     def _chain(self, token: int, side: int) -> tuple:
@@ -148,29 +151,34 @@ class Transducer:
                 chain = (*lower[:-1], (lower[-1][0], token), (self.bytes_of[token], 1 << 60))
             else:
                 chain = ((self.bytes_of[token], 1 << 60),)
+            if len(self.chains[side]) >= MAX_CHAINS:
+                self.chains[side].clear()
             self.chains[side][token] = chain
         return chain
 
     def _step(self, state: int, byte: int) -> int:
         """Make the arc of ``state`` under ``byte``: the next state and the tokens that are now certain."""
         alive, present = [], None
-        children, token_at = self.children, self.token_at
+        children, token_at, pairs = self.children, self.token_at, self.pairs
         for node, last, held in self.alive[state]:
             child = children[node].get(byte)
             if child is None:
                 continue
             token = token_at[child]
-            if token >= 0 and present is None and (last < 0 or self.compatible(last, token)):
-                present = (0, token, held + (token,))
+            if token >= 0 and present is None:
+                fits = last < 0 or pairs.get(last << 32 | token)
+                if self.compatible(last, token) if fits is None else fits:
+                    present = (0, token, (*held, token))
             if children[child]:
                 alive.append((child, last, held))
         alive.append(present)
         out, first = 0, alive[0][2]
         if first:  # tokens in front that all positions share
             out = len(first)
-            while any(held[:out] != first[:out] for _, _, held in alive):
-                out -= 1
-        key = tuple((node, last, held[out:]) for node, last, held in alive) if out else tuple(alive)
+            for _, _, held in alive:
+                while held[:out] != first[:out]:
+                    out -= 1
+        key = tuple([(node, last, held[out:]) for node, last, held in alive] if out else alive)
         if len(self.alive) >= self.max_states:
             self._clear()
             state = None
@@ -213,8 +221,17 @@ def _class_of(pattern: str, newer: bool):
     return regex.compile(pattern, regex.V1 if newer else regex.V0)
 
 
+#: A blank beside other white space, or at an end of the text.
+_ODD_BLANK = r"[\s\x0b\x1c-\x1f\x{85}\pZ] | [\s\x0b\x1c-\x1f\x{85}\pZ]|^ | $"
+
+
 class Encoder:
-    """Token ids of texts: split by the pattern, each distinct match sent through the transducer once."""
+    """Token ids of texts: split by the pattern, each distinct match sent through the transducer once.
+
+    The pattern attaches a blank to what follows it and never reaches over a blank between two visible characters, so such a
+    text is the sequence of its parts " word", and each distinct part of a slice is split once. Texts in which a
+    blank meets other white space, or with characters that newer tables class otherwise, are split whole.
+    """
 
     def __init__(self, path: str, pattern: str):
         self.machine = Transducer(read_ranks(path))
@@ -226,8 +243,8 @@ class Encoder:
         self.starts, self.lengths, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def _slots_of(self, pieces: list[str]) -> np.ndarray:
-        slots = list(map(self.slots.get, pieces))
-        new = list(dict.fromkeys(p for p, slot in zip(pieces, slots) if slot is None))
+        """The slot of each match, where its ids lie."""
+        new = list(dict.fromkeys(p for p in pieces if p not in self.slots))
         if new:
             found = [self.machine.encode(p.encode()) for p in new]
             lengths = np.fromiter(map(len, found), np.int64, len(found))
@@ -235,24 +252,44 @@ class Encoder:
             self.slots.update(zip(new, range(len(self.lengths), len(self.lengths) + len(new))))
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
             self.lengths, self.ids = np.concatenate([self.lengths, lengths]), np.concatenate([self.ids, ids])
-            slots = map(self.slots.__getitem__, pieces)
-        return np.fromiter(slots, np.int64, len(pieces))
+        return np.fromiter(map(self.slots.__getitem__, pieces), np.int64, len(pieces))
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(number of tokens of each text, all ids one text after the other); texts without nulls."""
         if len(self.slots) > MAX_PIECES:
             self._clear()
-        newer = pc.match_substring_regex(texts, f"[{NEWER_THAN_UNICODE_16}]").to_pylist()
+        newer = pc.match_substring_regex(texts, f"[{NEWER_THAN_UNICODE_16}]").to_numpy(zero_copy_only=False)
+        odd = newer | pc.match_substring_regex(texts, _ODD_BLANK).to_numpy(zero_copy_only=False)
+        parts = split_lists(pc.split_pattern(pc.if_else(pa.array(odd), "", texts), " "))
+        # A text's first part has no blank before it; an odd text is its own only part.
+        words, firsts = parts.dictionary.to_pylist(), parts.offsets[:-1]
+        later = np.ones(len(parts.codes), bool)
+        later[firsts] = False
+        used = np.unique(parts.codes[later])
+        number = np.empty(len(parts.codes), np.int64)
+        number[later] = np.searchsorted(used, parts.codes[later])
+        number[firsts] = len(used) + np.arange(len(texts))
         pieces: list[str] = []
-        ends = np.zeros(len(texts) + 1, np.int64)
-        for k, (text, odd) in enumerate(zip(texts.to_pylist(), newer)):
-            pieces += (self.split_newer if odd else self.split)(text)
-            ends[k + 1] = len(pieces)
-        slots = self._slots_of(pieces)
-        lengths = self.lengths[slots]
-        upto = np.concatenate(([0], np.cumsum(lengths)))
-        ids = self.ids[np.repeat(self.starts[slots] - upto[:-1], lengths) + np.arange(upto[-1])]
-        return np.diff(upto[ends]), ids
+        counts = np.empty(len(used) + len(texts), np.int64)
+        for k, code in enumerate(used.tolist()):
+            found = self.split(" " + words[code])
+            pieces += found
+            counts[k] = len(found)
+        for k, code in enumerate(parts.codes[firsts].tolist()):
+            found = (self.split_newer if newer[k] else self.split)(texts[k].as_py() if odd[k] else words[code])
+            pieces += found
+            counts[len(used) + k] = len(found)
+        slots, _ = _gather(self._slots_of(pieces), np.cumsum(counts) - counts, counts, number)
+        ids, upto = _gather(self.ids, self.starts, self.lengths, slots)
+        per_part = np.concatenate(([0], np.cumsum(counts[number])))
+        return np.diff(upto[per_part[parts.offsets]]), ids
+
+
+def _gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ranges ``which`` of ``values`` one after the other, and where each of them begins (and the last ends)."""
+    n = lengths[which]
+    upto = np.concatenate(([0], np.cumsum(n)))
+    return values[np.repeat(starts[which] - upto[:-1], n) + np.arange(upto[-1])], upto
 
 
 #: A state of the UTF-8 machine is (continuation bytes to come, least and greatest next byte); this one is between characters.
