@@ -4,9 +4,10 @@ Merging pairs by rank gives, for the bytes of one match of the split pattern, th
 which every two neighbours are *compatible*: merging their joint bytes gives back these two. So the tokens of a
 prefix end in the only vocabulary entry that is a suffix of it and compatible with the last token before it.
 ``Transducer`` reads bytes from left to right. A state holds every earlier position from which a token may still be under
-way: its place in the trie of the vocabulary, the last token before it, and the tokens to it that
+way (and could follow what is before it): its place in the trie of the vocabulary, the last token before it, and the tokens to it that
 are not out yet. Tokens that all these positions share are put out, so none is held back further than the
-longest vocabulary entry. States and arcs are made when first met, and the table is dropped and begun anew when it
+longest vocabulary entry; and as the tokens behind a certain boundary are those of the remaining bytes alone, a state is
+determined by the bytes read since that boundary. States and arcs are made when first met, and the table is dropped and begun anew when it
 is full, so a worker's memory is bounded by ``MAX_STATES`` and ``MAX_PIECES``.
 
 ``Utf8Stream`` decodes: tokens go in, the bytes of whole characters come out, and what may still become a
@@ -14,7 +15,7 @@ character is held, three bytes at most; malformed bytes are passed on as they ar
 
 Defined results: null and empty texts have no tokens, and no tokens decode to no bytes (null: none). Rows are
 independent, so equal rows, ties, null or repeated ids and the order of rows change nothing; an empty table stays
-empty. Texts are read whole however long: a batch is worked on in slices of 4 MB or one text. All columns stay as
+empty. Texts are read whole however long: a batch is worked on in slices of 2 MB or one text. All columns stay as
 they are; the new one takes the place of a column of its own name.
 """
 
@@ -29,13 +30,15 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from provdata.llm.arrays import split_lists
+from provdata.llm.arrays import slices, split_lists
 
-MAX_STATES = 200_000
-MAX_PIECES = 120_000
+MAX_STATES = 100_000
+MAX_PIECES = 100_000
 MAX_CHAINS = 10_000
-SLICE_BYTES = 4 << 20
+FEW = 16
+SLICE_BYTES = 2 << 20
 
 #: Code points that are letters or numbers for the `regex` package alone, whose tables are newer than
 #: the Unicode 16 of the tokenizer that results are to equal. There they are neither.
@@ -70,7 +73,7 @@ def merge_by_rank(piece: bytes, ranks: dict[bytes, int]) -> tuple[list[bytes], t
 class Transducer:
     """Bytes in, token ids out, equal to merging by rank.
 
-    A state is a number; ``alive`` holds for it (trie node, last token or -1, tokens not yet out) of each position, oldest
+    A state is a number; ``alive`` holds for it (trie node, last token or -1 if it is out, tokens not yet out) of each position, oldest
     first, the present one last. ``arcs`` leads from ``state << 8 | byte`` to ``next state << 24 | number of an output``.
     """
 
@@ -84,6 +87,7 @@ class Transducer:
         self.halves: dict[int, tuple[int, int]] = {}
         self.bytes_of: dict[int, bytes] = {rank: token for token, rank in ranks.items()}
         self.pairs: dict[int, bool] = {}
+        self.behind: dict[int, tuple] = {}
         self.chains: tuple[dict, dict] = ({}, {})
         for token, rank in ranks.items():
             if len(token) > 1:
@@ -137,11 +141,26 @@ class Transducer:
                 i += 1
             else:
                 j += 1
-        if len(self.pairs) >= self.max_states:
+        if len(self.pairs) >= 3 * self.max_states:
             self.pairs = {}
         self.pairs[pair] = ok
         return ok
 
+    def _leads_on(self, node: int, last: int) -> bool:
+        """Whether a token behind ``node`` can follow ``last``; taken for granted where more than ``FEW`` tokens lie behind."""
+        few = self.behind.get(node)
+        if few is None:
+            few, todo = [], list(self.children[node].values())
+            while todo and len(few) <= FEW:
+                child = todo.pop()
+                if self.token_at[child] >= 0:
+                    few.append(self.token_at[child])
+                todo += self.children[child].values()
+            if len(self.behind) >= self.max_states:
+                self.behind = {}
+            self.behind[node] = few = () if len(few) > FEW else tuple(few)
+        return not few or any(self.compatible(last, token) for token in few)
+
     def _chain(self, token: int, side: int) -> tuple:
         """(bytes, rank of the merge that uses it up) of the single byte at that side of ``token`` up to ``token`` itself."""
         chain = self.chains[side].get(token)
@@ -169,7 +188,7 @@ class Transducer:
                 fits = last < 0 or pairs.get(last << 32 | token)
                 if self.compatible(last, token) if fits is None else fits:
                     present = (0, token, (*held, token))
-            if children[child]:
+            if children[child] and (last < 0 or self._leads_on(child, last)):
                 alive.append((child, last, held))
         alive.append(present)
         out, first = 0, alive[0][2]
@@ -178,7 +197,8 @@ class Transducer:
             for _, _, held in alive:
                 while held[:out] != first[:out]:
                     out -= 1
-        key = tuple([(node, last, held[out:]) for node, last, held in alive] if out else alive)
+        # What follows a certain boundary is tokenised by itself, so the token before it is forgotten.
+        key = tuple([(node, last if len(held) > out else -1, held[out:]) for node, last, held in alive] if out else alive)
         if len(self.alive) >= self.max_states:
             self._clear()
             state = None
@@ -433,10 +453,30 @@ def decode_ids(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded"
     return df.withColumn(into, decode(F.col(f"`{ids}`")))
 
 
+def encode_and_decode(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+    """doc_id, the token ids of column ``text`` (``ids``) and the bytes decoded from them (``decoded``), in one pass of small batches."""
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    doc_id = df.schema["doc_id"].dataType
+    schema = T.StructType([T.StructField("doc_id", doc_id), T.StructField("ids", T.ArrayType(T.IntegerType())),
+                           T.StructField("decoded", T.BinaryType())])
+    id_type = to_arrow_type(doc_id)
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = _machine(Encoder, path, pattern), _machine(Decoder, path)
+        for part in slices(batches, "text", SLICE_BYTES):
+            lengths, ids = encoder(pc.fill_null(part["text"], ""))
+            ends = np.concatenate(([0], np.cumsum(lengths)))
+            yield pa.RecordBatch.from_arrays(
+                [part["doc_id"].cast(id_type), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids)),
+                 pa.array([decoder(ids[a:b]) for a, b in zip(ends[:-1], ends[1:])], pa.binary())], ["doc_id", "ids", "decoded"])
+
+    return df.select("doc_id", F.col(f"`{text}`").alias("text")).mapInArrow(code, schema)
+
+
 def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """Digests of ids and of the bytes decoded from them: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    coded = encode_texts(df.select("doc_id", F.col(text).alias("text")), path, pattern).select("doc_id", "ids")
-    return decode_ids(coded, path).select(
+    return encode_and_decode(df, path, pattern, text).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
