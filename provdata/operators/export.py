@@ -89,7 +89,9 @@ def enqueue(records: DataFrame, queue: DataFrame, suppression: DataFrame, config
     get a key of their own each, so they do not meet in one partition.
     """
     now = F.lit(as_of).cast("timestamp_ntz")
-    rec = records.withColumn("_rid", F.col(order_col))
+    # Records of one order key are told apart by their rows; of equal rows the first copy alone can be queued.
+    rec = records.groupBy(*records.columns).agg(F.count(F.lit(1)).alias("_copies")).withColumn(
+        "_rid", F.struct(F.col(order_col).alias("o"), F.xxhash64(*records.columns).alias("h")))
     has_id = F.coalesce(F.col("provider_id"), F.lit("")) != ""
     sup = suppressed_ids(rec.filter(has_id), suppression, as_of, "_rid").withColumn("_sup", F.lit(True))
     r = rec.join(sup.withColumnRenamed("_rid", "_srid"), F.col("_rid") == F.col("_srid"), "left").drop("_srid")
@@ -104,14 +106,15 @@ def enqueue(records: DataFrame, queue: DataFrame, suppression: DataFrame, config
     cfg = config.select("destination", "auto_approve", "min_confidence_for_auto", "delay_hours")
     r = r.join(cfg, "destination", "left")
     outcome = (F.when(~has_id, "skipped").when(F.col("_sup").isNotNull(), "suppressed")
-               .when(F.coalesce("_active", F.lit(False)) | (F.col("_rid") != F.col("_first")), "skipped")
+               .when(F.coalesce("_active", F.lit(False)) | (F.col("_rid") != F.col("_first")) | (F.col("_copy") > 1), "skipped")
                .otherwise("queued"))
+    r = r.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
     conf = F.coalesce(F.col("match_confidence"), F.lit(0))
     auto = F.coalesce(F.col("auto_approve"), F.lit(False)) & (conf >= F.col("min_confidence_for_auto"))
     queued = outcome == "queued"
     return r.select(
         *records.columns, outcome.alias("outcome"),
-        F.when(queued, C.short_id("provider_id", "destination", F.lit(as_of), F.col("_rid"))).alias("new_export_id"),
+        F.when(queued, C.short_id("provider_id", "destination", F.lit(as_of), F.col(order_col))).alias("new_export_id"),
         F.when(queued, F.when(auto, "approved").otherwise("queued")).alias("new_status"),
         F.when(queued, ~auto).alias("requires_approval"),
         F.when(queued & auto, now).alias("approved_at"),

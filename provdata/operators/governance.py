@@ -139,11 +139,14 @@ def register_load(loads: DataFrame, new_loads: DataFrame, as_of: str) -> DataFra
 def update_load(loads: DataFrame, updates: DataFrame, as_of: str) -> DataFrame:
     """GOV1: set the given fields of existing loads (``updates`` has load_id + changed columns).
 
-    A field that the table does not have yet is appended, NULL for the other loads.
+    A field that the table does not have yet is appended, NULL for the other loads. A load named several times takes
+    its greatest row of ``updates`` (in column order, NULL least), so it stays one row.
     """
     now = F.lit(as_of).cast("timestamp_ntz")
     changed = [c for c in updates.columns if c != "load_id"]
-    u = updates.select(F.col("load_id").alias("_u"), *[F.col(c).alias(f"_u_{c}") for c in changed])
+    once = updates.groupBy("load_id").agg(F.max(F.struct(*changed)).alias("_row")).select("load_id", "_row.*") if changed \
+        else updates.select("load_id").distinct()
+    u = once.select(F.col("load_id").alias("_u"), *[F.col(c).alias(f"_u_{c}") for c in changed])
     j = loads.join(u, loads["load_id"] == u["_u"], "left")
     hit = F.col("_u").isNotNull()
     cols = [F.when(hit, F.col(f"_u_{c}")).otherwise(F.col(c)).alias(c) if c in changed else F.col(c)

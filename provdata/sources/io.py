@@ -2,13 +2,15 @@
 
 Raw files are read with explicit all-string schemas (no inference pass over
 the data) and typed at staging. Writes never update in place: a table
-version is a new directory published by an empty ``_commit_<n>`` marker,
+version is a new directory published by a ``_commit_<n>`` marker that names it,
 so a failed job leaves the previous version intact and a rerun simply
-writes the version again (executor loss only retries tasks).
+writes another directory (executor loss only retries tasks).
 """
 
 from __future__ import annotations
 
+import csv
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,18 +34,33 @@ def read_npi(spark: SparkSession, path: str, columns: Sequence[str] = RAW_COLUMN
              multi_line: bool = True) -> DataFrame:
     """SRC1: registry CSV (header, quoted fields, embedded newlines); short rows padded with NULLs.
 
-    Columns are found by the file's header, whatever their order; ``names`` maps header names to
-    canonical ones. Canonical ``columns`` that the file lacks are NULL, other columns are dropped. Bad rows
-    keep their text in ``_corrupt_record`` instead of failing the job. Quoted newlines need
+    Columns are found by each file's own header, whatever their order: the files of a folder are read in groups of equal
+    headers. ``names`` maps header names to canonical ones. Canonical ``columns`` that a file lacks are NULL, other
+    columns are dropped. Bad rows keep their text in ``_corrupt_record`` instead of failing the job. Quoted newlines need
     ``multi_line``, which reads a file in one task; without them it can be off, and files split.
     """
     names = names or {}
     options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
-    header = [names.get(c, c) for c in spark.read.options(**options).csv(path).columns]
-    rows = (spark.read.schema(string_schema(header)).options(**options).option("mode", "PERMISSIVE")
-            .option("enforceSchema", True).option("columnNameOfCorruptRecord", "_corrupt_record").csv(path))
-    return rows.select(*[F.col(f"`{c}`") if c in header else F.lit(None).cast("string").alias(c) for c in columns],
-                       "_corrupt_record")
+    groups: dict[tuple, list[str]] = {}
+    for file, header in _headers(spark, path).items():
+        groups.setdefault(tuple(names.get(c, c) for c in header), []).append(file)
+    out = None
+    for header, files in groups.items():
+        rows = (spark.read.schema(string_schema(header)).options(**options).option("mode", "PERMISSIVE")
+                .option("enforceSchema", True).option("columnNameOfCorruptRecord", "_corrupt_record").csv(files))
+        rows = rows.select(*[F.col(f"`{c}`") if c in header else F.lit(None).cast("string").alias(c) for c in columns],
+                           "_corrupt_record")
+        out = rows if out is None else out.unionByName(rows)
+    return out if out is not None else spark.createDataFrame([], string_schema(columns))
+
+
+def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Column names of each CSV file at ``path``: one row per file, its first record."""
+    first = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+                                         F.monotonically_increasing_id().alias("row"), "value")
+    # The first record of a file lies in the split that begins at 0; ids rise within a split.
+    heads = first.where("at = 0").groupBy("file").agg(F.min_by("value", "row").alias("head"))
+    return {r["file"]: next(csv.reader([r["head"].lstrip("\ufeff")])) for r in heads.orderBy("file").collect()}
 
 
 def normalise_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -229,45 +246,69 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def current_version(spark: SparkSession, base: str) -> int | None:
-    """Highest committed version under ``base`` (an empty ``_commit_<n>`` marker per version)."""
+class ConcurrentWrite(RuntimeError):
+    """Another writer has published the same version meanwhile; its rows stay."""
+
+
+def _markers(spark: SparkSession, base: str) -> list[int]:
     fs, p = _hadoop_fs(spark, base.rstrip("/"))
     if not fs.exists(p):
-        return None
-    versions = [int(st.getPath().getName()[len("_commit_"):]) for st in fs.listStatus(p)
-                if st.getPath().getName().startswith("_commit_")]
-    return max(versions) if versions else None
+        return []
+    return sorted(int(st.getPath().getName()[len("_commit_"):]) for st in fs.listStatus(p)
+                  if st.getPath().getName().startswith("_commit_"))
+
+
+def _last_marker(spark: SparkSession, base: str) -> int:
+    return max(_markers(spark, base), default=0)
+
+
+def _folder(spark: SparkSession, base: str, version: int) -> str | None:
+    """The data folder that the marker of ``version`` names; None while its writer has not closed it."""
+    fs, marker = _hadoop_fs(spark, f"{base.rstrip('/')}/_commit_{version}")
+    stream = fs.open(marker)
+    name = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return f"{base.rstrip('/')}/{name}" if name else None
+
+
+def current_version(spark: SparkSession, base: str) -> int | None:
+    """Highest committed version under ``base`` (a ``_commit_<n>`` marker per version, which names its folder)."""
+    return next((v for v in reversed(_markers(spark, base)) if _folder(spark, base, v)), None)
 
 
 def read_current(spark: SparkSession, base: str) -> DataFrame | None:
     v = current_version(spark, base)
-    return None if v is None else spark.read.parquet(f"{base.rstrip('/')}/v={v}")
+    return None if v is None else spark.read.parquet(_folder(spark, base, v))
 
 
 def drop_versions(spark: SparkSession, base: str, keep: int) -> None:
     """Remove the data and then the markers of all but the last ``keep`` versions."""
-    last = current_version(spark, base)
-    for v in range((last or 0) - keep, 0, -1):
+    for v in _markers(spark, base)[:-keep]:
         fs, marker = _hadoop_fs(spark, f"{base.rstrip('/')}/_commit_{v}")
-        if not fs.exists(marker):
-            break
-        fs.delete(_hadoop_fs(spark, f"{base.rstrip('/')}/v={v}")[1], True)
+        if data := _folder(spark, base, v):
+            fs.delete(_hadoop_fs(spark, data)[1], True)
         fs.delete(marker, False)
 
 
 def write_version(spark: SparkSession, df: DataFrame, base: str, keep: int | None = None) -> int:
-    """Write ``df`` as the next version directory, then publish it with a commit marker.
+    """Write ``df`` as the next version, in a folder of its own, then publish it with a commit marker that names the folder.
 
-    Creating the empty ``_commit_<n>`` file is the single atomic step:
-    readers never see a half-written version, a job that dies before the
-    marker leaves the table as it was, and a rerun overwrites that version
-    directory (same number, since it was never committed). ``keep`` removes
-    all but so many of the last versions; readers of an older one must be done.
+    Creating ``_commit_<n>`` is exclusive: of two writers of one version the second raises ``ConcurrentWrite`` and
+    what it wrote is named by no marker. Readers never see a half-written version, and a job that dies before the marker
+    leaves the table as it was. ``keep`` removes all but so many of the last versions; readers of an older one must be done.
     """
-    v = (current_version(spark, base) or 0) + 1
-    df.write.mode("overwrite").parquet(f"{base.rstrip('/')}/v={v}")
+    v = _last_marker(spark, base) + 1
+    name = f"v={v}-{uuid.uuid4().hex}"
+    df.write.parquet(f"{base.rstrip('/')}/{name}")
     fs, marker = _hadoop_fs(spark, f"{base.rstrip('/')}/_commit_{v}")
-    fs.create(marker, False).close()  # raises if another writer has published this version meanwhile
+    try:
+        out = fs.create(marker, False)
+    except Exception as e:
+        if "FileAlreadyExists" in str(e) or "already exists" in str(e):
+            raise ConcurrentWrite(f"version {v} of {base} was published by another writer") from e
+        raise
+    out.write(bytearray(name.encode()))
+    out.close()
     if keep:
         drop_versions(spark, base, keep)
     return v

@@ -74,8 +74,8 @@ def test_two_writers_of_one_version_conflict(spark, tmp_path, monkeypatch):
     base = str(tmp_path / "t")
     df = spark.range(2)
     IO.write_version(spark, df, base)
-    monkeypatch.setattr(IO, "current_version", lambda *_: 0)  # a writer that read the table before the first commit
-    with pytest.raises(Exception, match="exists"):
+    monkeypatch.setattr(IO, "_last_marker", lambda *_: 0)  # a writer that read the table before the first commit
+    with pytest.raises(IO.ConcurrentWrite):
         IO.write_version(spark, df, base)
 
 
@@ -193,3 +193,41 @@ def test_budget_cut_over_many_buckets(spark):
             want[k] = run
         run += m
     assert got == want
+
+
+def test_files_of_a_folder_are_bound_by_their_own_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('npi,last_name,city\n1,"Smith\nJones",Austin\n2,"O""Neil",Waco\n')
+    (tmp_path / "b.csv").write_text("last_name,npi\nJones,3\n")
+    (tmp_path / "c.csv").write_text("npi,last_name,city\n4,Kay,Paris\n")
+    (tmp_path / "d.csv").write_text("\ufeffNPI,extra\n5,x\n")
+    got = IO.read_npi(spark, str(tmp_path), columns=["npi", "last_name", "city"], names={"NPI": "npi"}).collect()
+    assert sorted((r.npi, r.last_name, r.city, r._corrupt_record) for r in got) == [
+        ("1", "Smith\nJones", "Austin", None), ("2", 'O"Neil', "Waco", None), ("3", "Jones", None, None),
+        ("4", "Kay", "Paris", None), ("5", None, None, None)]
+
+
+def test_a_load_updated_twice_stays_one_row(spark):
+    from provdata.operators import governance as G
+
+    loads = spark.createDataFrame([("a", "pending", None), ("b", "pending", None)], "load_id string, status string, updated_at timestamp_ntz")
+    updates = spark.createDataFrame([("a", "promoted"), ("a", "quarantined")], "load_id string, status string")
+    got = G.update_load(loads, updates, "2025-06-30").collect()
+    assert sorted((r.load_id, r.status) for r in got) == [("a", "quarantined"), ("b", "pending")]
+
+
+def test_records_of_one_order_key_are_queued_once(spark):
+    from provdata.operators import export as X, governance as G
+
+    records = spark.createDataFrame(
+        [(1, "p1", "email", 95, "L1", "a@x"), (1, "p1", "email", 96, "L1", "b@x"), (1, "p2", "email", 90, "L2", None),
+         (2, "p1", "email", 95, "L1", "a@x")],
+        "rec_id long, provider_id string, destination string, match_confidence int, license_number string, email string")
+    records = records.union(records.where("provider_id = 'p2'"))  # an equal row
+    queue = spark.createDataFrame([], "provider_id string, destination string, status string")
+    suppression = spark.createDataFrame([], "email string, npi string, license_number string, destination string, "
+                                            "is_active boolean, expires_at timestamp_ntz")
+    out = X.enqueue(records, queue, suppression, G.destination_config(spark), "load", "2025-06-30", "rec_id").collect()
+    queued = [r for r in out if r.outcome == "queued"]
+    assert len(out) == 5 and sorted(r.provider_id for r in queued) == ["p1", "p2"]
+    assert len({r.new_export_id for r in queued}) == 2
+    assert sum(r.outcome == "skipped" for r in out) == 3

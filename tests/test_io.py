@@ -34,7 +34,7 @@ def test_versioned_upsert_and_pointer(spark):
     cur = sorted(tuple(r) for r in IO.read_current(spark, base).collect())
     assert cur == [("k1", 1), ("k2", 20), ("k3", 3), ("k4", 4)]
     # Version 1 is untouched.
-    assert spark.read.parquet(f"{base}/v=1").count() == 2
+    assert spark.read.parquet(IO._folder(spark, base, 1)).count() == 2
 
 
 def test_clustered_and_by_type_writes(spark):
