@@ -59,7 +59,11 @@ def license_events(history: DataFrame, as_of: str, previous_events: DataFrame |
     if previous_events is not None:
         touched = since_watermark(history, "valid_from", previous_events).select("professional_id").distinct()
         history = history.join(touched, "professional_id", "left_semi")
-    v = since_watermark(previous_version(history), "valid_from", previous_events)
+    return version_events(since_watermark(previous_version(history), "valid_from", previous_events), as_of)
+
+
+def version_events(v: DataFrame, as_of: str) -> DataFrame:
+    """EVT1-EVT10 of versions that carry their predecessor's tracked fields as ``prev`` (NULL: none)."""
     p = lambda n: F.col(f"prev.{n}")
     is_new = F.col("prev").isNull()
     old = ~is_new

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ..operators import history as H
 from ..session import ensure_checkpoint_dir
-from ..sources import io as IO
 from ..sources.bindings import AS_OF, binding, sql_cte
 from ..streaming import changes as CH
 from ..streaming import leads as L
@@ -153,7 +152,7 @@ def q_stream_history(spark, sf):
 
 @query("license_stream_events", _EVENTS_SQL + "select * from events_out", "STR4, EVT0-EVT10 (stream over files)")
 def q_stream_events(spark, sf):
-    return IO.read_current(spark, f"{change_stream(spark, sf)}/events")
+    return CH.read_events(spark, change_stream(spark, sf))
 
 
 @query("license_stream_loads", SNAPSHOTS_SQL + """

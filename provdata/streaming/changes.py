@@ -7,16 +7,19 @@ is not lost: its rows stay in the landing area, and the loads table says why.
 
 Under ``base``:
 
-* ``landing/batch=<n>``: the raw rows of each micro-batch, written before anything else; a replayed
-  micro-batch overwrites its own folder.
-* ``open``: the open version of every key (versioned table, as large as a snapshot).
-* ``closed/day=<d>``: the versions that day ``d`` closed, written once and never again, so the bytes written
-  per snapshot do not grow with the history.
-* ``events``: change events, merged insert-only by event id.
+* ``landing/batch=<n>/snapshot_date=<d>``: the raw rows of each micro-batch, written before anything else; a replayed
+  micro-batch overwrites its own folder. A date is read from its own folders alone.
+* ``ledger``: rows per micro-batch, date and type, of undecided dates only. What a micro-batch decides on is this small
+  table and the rows it landed itself, so the rows read do not grow with the dates landed.
+* ``latest``: the last version of every key, open or closed (merge-on-read, so a snapshot writes the keys that changed).
+* ``superseded/day=<d>``: the versions that day ``d`` replaced, written once and never again.
+* ``events``: change events, merged insert-only by event id. They come from the changed keys and their last versions:
+  neither the history nor the events before are read.
 * ``loads``: one row per decided date: applied, or quarantined with its reason.
 
-Every step can be replayed: closed versions are written before the open table moves on and are skipped when they
-are there; the same snapshot applied twice changes nothing; events merge insert-only.
+Every step can be replayed: a day's changes are computed once and kept (``steps/day=<d>``) until ``latest`` has them,
+which comes last; superseded versions are skipped when they are there, and events merge insert-only. The same snapshot
+applied twice changes nothing.
 """
 
 from __future__ import annotations
@@ -25,42 +28,67 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions import clean as C
 from ..operators import events as E
 from ..operators import history as H
 from ..operators import staging as ST
 from ..operators.providers import latest_per_key
 from ..sources import io as IO
+from ..sources.keyed import KeyedTable
 
 KEY = "professional_id"
 LOADS_SCHEMA = "snapshot_date string, status string, rows long, expected_rows long, keys long, open_before long, reason string"
+LEDGER_SCHEMA = "batch long, snapshot_date string, professional_type string, rows long"
+
+
+def latest_table(spark: SparkSession, base: str) -> KeyedTable:
+    return KeyedTable(spark, f"{base}/latest", [KEY])
+
+
+def events_table(spark: SparkSession, base: str) -> KeyedTable:
+    return KeyedTable(spark, f"{base}/events", ["event_id"])
+
+
+def loads_table(spark: SparkSession, base: str) -> KeyedTable:
+    return KeyedTable(spark, f"{base}/loads", ["snapshot_date"], buckets=1)
+
+
+def ledger_table(spark: SparkSession, base: str) -> KeyedTable:
+    return KeyedTable(spark, f"{base}/ledger", ["batch", "snapshot_date", "professional_type"], buckets=1)
 
 
 def read_history(spark: SparkSession, base: str) -> DataFrame | None:
-    """The whole history: closed versions and open ones."""
-    open_v = IO.read_current(spark, f"{base}/open")
-    if open_v is None:
+    """The whole history: the last versions and those before them."""
+    latest = latest_table(spark, base).read()
+    if latest is None:
         return None
-    closed = f"{base}/closed"
-    if not IO.exists(spark, closed):
-        return open_v
-    return open_v.unionByName(spark.read.schema(open_v.schema).parquet(closed).select(*open_v.columns))
+    old = f"{base}/superseded"
+    if not IO.exists(spark, old):
+        return latest
+    return latest.unionByName(spark.read.schema(latest.schema).parquet(old).select(*latest.columns))
+
+
+def read_events(spark: SparkSession, base: str) -> DataFrame | None:
+    return events_table(spark, base).read()
 
 
 def read_loads(spark: SparkSession, base: str) -> DataFrame:
-    found = IO.read_current(spark, f"{base}/loads")
+    found = loads_table(spark, base).read()
     return spark.createDataFrame([], LOADS_SCHEMA) if found is None else found
 
 
-def landed_counts(landing: DataFrame) -> DataFrame:
-    return landing.groupBy("snapshot_date", "professional_type").agg(F.count(F.lit(1)).alias("rows"))
+def read_ledger(spark: SparkSession, base: str) -> DataFrame:
+    found = ledger_table(spark, base).read()
+    return spark.createDataFrame([], LEDGER_SCHEMA) if found is None else found
 
 
-def date_states(landing: DataFrame, manifest: DataFrame, loads: DataFrame) -> DataFrame:
+def date_states(ledger: DataFrame, manifest: DataFrame, loads: DataFrame) -> DataFrame:
     """Undecided dates of the manifest, with their rows landed and expected, and whether a type lacks or exceeds its rows."""
     expected = manifest.groupBy(F.col("snapshot_date").cast("string").alias("snapshot_date"), "professional_type").agg(
         F.max("rows").alias("expected"))
-    got = landed_counts(landing.withColumn("snapshot_date", F.col("snapshot_date").cast("string")))
+    got = ledger.groupBy("snapshot_date", "professional_type").agg(F.sum("rows").alias("rows"))
     both = expected.join(got, ["snapshot_date", "professional_type"], "full_outer")
     rows, want = F.coalesce("rows", F.lit(0)), F.coalesce("expected", F.lit(0))
     # Rows of a type or date that the manifest does not name (want = 0) are surplus once the manifest names the date.
@@ -79,46 +107,97 @@ def apply_snapshot(spark: SparkSession, raw_snapshot: DataFrame, day: str, base:
     from the open versions by more than ``max_delta_pct`` (the row-count-delta rule) nothing is written.
     Returns the decision: status ``applied`` or ``quarantined``, keys, open_before, reason.
     """
-    staged = ST.stage_tx(raw_snapshot)
-    snap = latest_per_key(staged, [KEY], [F.col("source_license_id")])
+    snap = latest_per_key(ST.stage_tx(raw_snapshot), [KEY], [F.col("source_license_id")])
+    table = latest_table(spark, base)
+    latest = table.read()
     keys = snap.count()
-    open_v = IO.read_current(spark, f"{base}/open")
-    open_before = 0 if open_v is None else open_v.count()
-    if open_v is not None and max_delta_pct is not None and abs(keys - open_before) > max_delta_pct * max(open_before, 1):
+    open_before = 0 if latest is None else latest.where("valid_to is null").count()
+    if latest is not None and max_delta_pct is not None and abs(keys - open_before) > max_delta_pct * max(open_before, 1):
         return {"status": "quarantined", "keys": keys, "open_before": open_before,
                 "reason": f"key count moved by more than {max_delta_pct:.0%}"}
-    step = H.scd2_apply(open_v, snap, KEY, list(check_cols), day)
-    if open_v is not None:
-        closed = f"{base}/closed/day={day}"
-        if not IO.exists(spark, f"{closed}/_SUCCESS"):
-            step.where("valid_to is not null").write.mode("overwrite").parquet(closed)
-    IO.write_version(spark, step.where("valid_to is null"), f"{base}/open", keep=3)
-    events = E.license_events(read_history(spark, base), as_of or day, previous_events=IO.read_current(spark, f"{base}/events"))
-    IO.upsert(spark, f"{base}/events", events, ["event_id"], mode="insert_only", keep=3)
+    step = f"{base}/steps/day={day}"
+    if not IO.exists(spark, f"{step}/_SUCCESS"):
+        changed_versions(latest, snap, check_cols, day).write.mode("overwrite").parquet(step)
+    done = spark.read.parquet(step)
+    if latest is not None and not IO.exists(spark, f"{base}/superseded/day={day}/_SUCCESS"):
+        done.where("replaced").select("old.*").write.mode("overwrite").parquet(f"{base}/superseded/day={day}")
+    prev = F.when(F.col("old").isNotNull(), F.struct(*[F.col(f"old.{c}").alias(n) for c, n in E.PREV_FIELDS]))
+    opened = done.where("opened").select("new.*", prev.alias("prev"))
+    events_table(spark, base).upsert(E.version_events(opened, as_of or day), "insert_only")
+    table.upsert(done.select("new.*"))
     return {"status": "applied", "keys": keys, "open_before": open_before, "reason": None}
 
 
+def changed_versions(latest: DataFrame | None, snapshot: DataFrame, check_cols: Sequence[str], day: str) -> DataFrame:
+    """HIS1 over last versions, changes only: ``old`` and ``new`` version of each key whose last version changes.
+
+    ``opened``: the snapshot opens a version (new key, changed, or back again); ``replaced``: the old one then belongs to
+    the history. A key that is gone has its last version closed.
+    """
+    ts = F.lit(day).cast("timestamp_ntz")
+    fields = snapshot.columns
+    fresh = F.struct(*[F.col(f"s.{c}").alias(c) for c in fields], C.surrogate_key(F.col(f"s.{KEY}"), ts).alias("scd_id"),
+                     ts.alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to"))
+    if latest is None:
+        new = snapshot.alias("s").select(fresh.alias("new"))
+        return new.select(F.lit(None).cast(new.schema["new"].dataType).alias("old"), "new", F.lit(True).alias("opened"),
+                          F.lit(False).alias("replaced"))
+    j = latest.select(*fields, "scd_id", "valid_from", "valid_to").alias("c").join(
+        snapshot.alias("s"), F.col(f"c.{KEY}") == F.col(f"s.{KEY}"), "full_outer")
+    had, has = F.col(f"c.{KEY}").isNotNull(), F.col(f"s.{KEY}").isNotNull()
+    was_open = had & F.col("c.valid_to").isNull()
+    opened = has & (~was_open | H.changed(check_cols))
+    gone = was_open & ~has
+    old = [F.col(f"c.{c}").alias(c) for c in [*fields, "scd_id", "valid_from"]]
+    ended = F.struct(*old, F.when(was_open, ts).otherwise(F.col("c.valid_to")).alias("valid_to"))
+    return j.where(opened | gone).select(
+        F.when(had, ended).alias("old"), F.when(opened, fresh).otherwise(ended).alias("new"), opened.alias("opened"),
+        (opened & had).alias("replaced"))
+
+
 def _decide(spark: SparkSession, base: str, day: str, rows: int, expected: int, decision: dict) -> None:
     row = (day, decision["status"], rows, expected, decision.get("keys"), decision.get("open_before"), decision["reason"])
-    IO.upsert(spark, f"{base}/loads", spark.createDataFrame([row], LOADS_SCHEMA), ["snapshot_date"], keep=3)
+    loads_table(spark, base).upsert(spark.createDataFrame([row], LOADS_SCHEMA))
+    ledger_table(spark, base).delete(read_ledger(spark, base).where(F.col("snapshot_date") == day))
 
 
 def apply_complete_dates(spark: SparkSession, base: str, schema, manifest: DataFrame, as_of: str | None = None,
                          max_delta_pct: float | None = 0.20) -> None:
     """Decide every date that has landed whole, oldest first, up to the first that has not."""
-    landing = spark.read.schema(schema).parquet(f"{base}/landing")
     # One row per undecided date of the manifest: metadata, not data.
-    for r in date_states(landing, manifest, read_loads(spark, base)).orderBy("snapshot_date").collect():
+    for r in date_states(read_ledger(spark, base), manifest, read_loads(spark, base)).orderBy("snapshot_date").collect():
         if r["lacking"]:
             break
         if r["surplus"]:
             decision = {"status": "quarantined", "reason": "more rows than the manifest names"}
         else:
-            day = landing.where(F.col("snapshot_date").cast("string") == r["snapshot_date"]).drop("snapshot_date")
-            decision = apply_snapshot(spark, day, r["snapshot_date"], base, as_of=as_of, max_delta_pct=max_delta_pct)
+            decision = apply_snapshot(spark, landed(spark, base, schema, r["snapshot_date"]), r["snapshot_date"], base,
+                                      as_of=as_of, max_delta_pct=max_delta_pct)
         _decide(spark, base, r["snapshot_date"], r["rows"], r["expected_rows"], decision)
 
 
+def landed(spark: SparkSession, base: str, schema, day: str) -> DataFrame:
+    """The landed raw rows of one date (a partition filter), without the date."""
+    rest = [f for f in schema.fields if f.name != "snapshot_date"]
+    rows = (spark.read.option("basePath", f"{base}/landing").schema(T.StructType([*rest, T.StructField("snapshot_date", T.StringType())]))
+            .parquet(f"{base}/landing"))
+    return rows.where(F.col("snapshot_date") == day).select(*[f.name for f in rest])
+
+
+def land(batch: DataFrame, batch_id: int, base: str) -> None:
+    """Write a micro-batch's rows by date and enter their numbers; a replay overwrites both."""
+    spark = batch.sparkSession
+    folder = f"{base}/landing/batch={batch_id}"
+    (batch.withColumn("snapshot_date", F.col("snapshot_date").cast("string")).write.mode("overwrite")
+     .partitionBy("snapshot_date").parquet(folder))
+    rows = spark.read.schema(T.StructType([T.StructField("professional_type", T.StringType()),
+                                           T.StructField("snapshot_date", T.StringType())])).parquet(folder)
+    decided = read_loads(spark, base).select("snapshot_date")
+    counts = (rows.groupBy("snapshot_date", "professional_type").agg(F.count(F.lit(1)).alias("rows"))
+              .join(decided, "snapshot_date", "left_anti").withColumn("batch", F.lit(batch_id).cast("long")))
+    ledger_table(spark, base).upsert(counts.select("batch", "snapshot_date", "professional_type", "rows"))
+
+
 def release_snapshot(spark: SparkSession, base: str, schema, day: str, as_of: str | None = None) -> None:
     """Apply a quarantined date after all, from its landed rows; only while no later date has been applied."""
     loads = {r["snapshot_date"]: r for r in read_loads(spark, base).collect()}  # one row per decided date
@@ -126,9 +205,7 @@ def release_snapshot(spark: SparkSession, base: str, schema, day: str, as_of: st
         raise ValueError(f"{day} is not in quarantine")
     if any(d > day and r["status"] == "applied" for d, r in loads.items()):
         raise ValueError(f"a date later than {day} has been applied")
-    landing = spark.read.schema(schema).parquet(f"{base}/landing")
-    raw = landing.where(F.col("snapshot_date").cast("string") == day).drop("snapshot_date")
-    decision = apply_snapshot(spark, raw, day, base, as_of=as_of, max_delta_pct=None)
+    decision = apply_snapshot(spark, landed(spark, base, schema, day), day, base, as_of=as_of, max_delta_pct=None)
     _decide(spark, base, day, loads[day]["rows"], loads[day]["expected_rows"], decision)
 
 
@@ -142,7 +219,7 @@ def change_events_stream(spark: SparkSession, snapshot_dir: str, schema, manifes
     raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(snapshot_dir)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{base}/landing/batch={batch_id}")
+        land(batch, batch_id, base)
         apply_complete_dates(spark, base, schema, spark.read.parquet(manifest_path), as_of, max_delta_pct)
 
     return (raw.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_dir)

@@ -144,29 +144,38 @@ def _finish(q, timeout_s: int) -> None:
         raise q.exception()
 
 
-def run_available_now(df: DataFrame, checkpoint_dir: str, query_name: str, mode: str = "complete",
+def run_available_now(df: DataFrame, checkpoint_dir: str, table: str, mode: str = "complete",
                       timeout_s: int = 300) -> DataFrame:
-    """Run a streaming DataFrame over everything available into a memory table and return it as batch."""
+    """Run a streaming DataFrame over everything available into the table at ``table`` and return it as batch.
+
+    Tasks write the rows of each micro-batch to a folder of its own (a replay overwrites it). In complete mode
+    the last micro-batch holds the result, in append mode all of them do.
+    """
+    from ..sources import io as IO
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{table}/batch={batch_id:09d}")
+
     spark = df.sparkSession
-    q = (df.writeStream.outputMode(mode).format("memory").queryName(query_name)
-         .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
-    _finish(q, timeout_s)
-    return spark.table(query_name)
+    _finish(df.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", checkpoint_dir)
+            .trigger(availableNow=True).start(), timeout_s)
+    if not IO.exists(spark, table):
+        return spark.createDataFrame([], df.schema)
+    rows = spark.read.schema(df.schema.add("batch", "long")).parquet(table)
+    return (rows.where(F.col("batch") == rows.agg(F.max("batch")).scalar()) if mode == "complete" else rows).drop("batch")
 
 
 def run_upsert_stream(df: DataFrame, key: list[str], base: str, checkpoint_dir: str, available_now: bool = True,
                       timeout_s: int = 600):
-    """Run an aggregating stream in update mode into a versioned table keyed by ``key``.
+    """Run an aggregating stream in update mode into the merge-on-read table (``sources.keyed``) at ``base``.
 
-    Each micro-batch carries the keys whose aggregate changed; they replace
-    their rows in the current version (``io.upsert``) and a new version is
-    published by its commit marker. A replayed micro-batch re-merges the same
-    rows, so the table ends up identical (exactly-once result).
+    Each micro-batch carries the keys whose aggregate changed and writes these rows alone; they replace
+    their rows. A replayed micro-batch writes the same rows again, so the table ends up identical (exactly-once result).
     """
-    from ..sources import io as IO
+    from ..sources.keyed import KeyedTable
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        IO.upsert(batch.sparkSession, base, batch, key, mode="replace")
+        KeyedTable(batch.sparkSession, base, key).upsert(batch)
 
     w = df.writeStream.outputMode("update").foreachBatch(merge).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -16,7 +16,7 @@ def _rows(df):
 def test_lead_rollup_stream_equals_batch(spark):
     batch = L.lead_rollup(binding(spark, SF_SMALL, "touchpoints"))
     stream = L.lead_rollup(L.touchpoint_stream(spark, SF_SMALL))
-    out = L.run_available_now(stream, tempfile.mkdtemp(prefix="ck-"), "lead_rollup_t", "complete")
+    out = L.run_available_now(stream, tempfile.mkdtemp(prefix="ck-"), tempfile.mkdtemp(prefix="out-") + "/lead_rollup_t", "complete")
     out = out.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c.endswith("_at") else F.col(c)
                        for c in out.columns])
     assert _rows(out.select(*batch.columns)) == _rows(batch)
@@ -25,13 +25,13 @@ def test_lead_rollup_stream_equals_batch(spark):
 def test_lead_stage_stream_equals_batch(spark):
     batch = L.lead_stage(binding(spark, SF_SMALL, "touchpoints"))
     stream = L.lead_stage(L.touchpoint_stream(spark, SF_SMALL))
-    out = L.run_available_now(stream, tempfile.mkdtemp(prefix="ck-"), "lead_stage_t", "complete")
+    out = L.run_available_now(stream, tempfile.mkdtemp(prefix="ck-"), tempfile.mkdtemp(prefix="out-") + "/lead_stage_t", "complete")
     assert _rows(out.select(*batch.columns)) == _rows(batch)
 
 
 def test_dedupe_stream_keeps_one_row_per_event(spark):
     stream = L.dedupe_events(L.touchpoint_stream(spark, SF_SMALL), streaming=True)
-    out = L.run_available_now(stream, tempfile.mkdtemp(prefix="ck-"), "dedupe_t", "append")
+    out = L.run_available_now(stream, tempfile.mkdtemp(prefix="ck-"), tempfile.mkdtemp(prefix="out-") + "/dedupe_t", "append")
     n = binding(spark, SF_SMALL, "touchpoints").select("event_id").distinct().count()
     assert out.count() == n
 
@@ -55,25 +55,22 @@ def _history_rows(df):
 def test_change_stream_over_many_files_equals_the_batch(spark, tmp_path):
     from provdata.operators import events as E
     from provdata.plans.q_staging import history
-    from provdata.sources import io as IO
     from provdata.streaming import changes as CH
 
     root, base = str(tmp_path), str(tmp_path / "t")
     schema = _snapshot_files(spark, root, binding(spark, SF_SMALL, "tx_license_raw"))
     CH.run_change_events(spark, f"{root}/in", schema, f"{root}/manifest", base, f"{root}/ck", as_of="2025-06-30", max_files=2)
     assert _history_rows(CH.read_history(spark, base)) == _history_rows(history(spark, SF_SMALL))
-    assert _rows(IO.read_current(spark, f"{base}/events")) == _rows(E.license_events(history(spark, SF_SMALL), "2025-06-30"))
+    assert _rows(CH.read_events(spark, base)) == _rows(E.license_events(history(spark, SF_SMALL), "2025-06-30"))
     assert [(r.snapshot_date, r.status) for r in CH.read_loads(spark, base).orderBy("snapshot_date").collect()] == [
         ("2025-06-29", "applied"), ("2025-06-30", "applied")]
     # Applied again, as after a failure before the loads row was written: nothing changes.
-    before = _history_rows(CH.read_history(spark, base)), IO.read_current(spark, f"{base}/events").count()
-    landing = spark.read.schema(schema).parquet(f"{base}/landing")
-    CH.apply_snapshot(spark, landing.where("snapshot_date = '2025-06-30'").drop("snapshot_date"), "2025-06-30", base, as_of="2025-06-30")
-    assert before == (_history_rows(CH.read_history(spark, base)), IO.read_current(spark, f"{base}/events").count())
+    before = _history_rows(CH.read_history(spark, base)), CH.read_events(spark, base).count()
+    CH.apply_snapshot(spark, CH.landed(spark, base, schema, "2025-06-30"), "2025-06-30", base, as_of="2025-06-30")
+    assert before == (_history_rows(CH.read_history(spark, base)), CH.read_events(spark, base).count())
 
 
 def test_change_stream_waits_for_a_whole_date_and_quarantines(spark, tmp_path):
-    from provdata.sources import io as IO
     from provdata.streaming import changes as CH
 
     root, base = str(tmp_path), str(tmp_path / "t")
@@ -98,13 +95,13 @@ def test_change_stream_waits_for_a_whole_date_and_quarantines(spark, tmp_path):
     CH.release_snapshot(spark, base, schema, "2025-07-01", as_of="2025-07-01")
     assert CH.read_history(spark, base).where("valid_to is null").count() < 0.7 * open_before
     assert {r.status for r in CH.read_loads(spark, base).collect()} == {"applied"}
-    assert IO.current_version(spark, f"{base}/open") == 3 and not IO.exists(spark, f"{base}/open/v=0")
+    assert CH.latest_table(spark, base).version() == 3 and CH.read_ledger(spark, base).count() == 0
 
 
 def test_attribution_windows_stream_equals_batch(spark):
     batch = L.attribution_rollup(binding(spark, SF_SMALL, "touchpoints"))
     stream = L.attribution_rollup(L.touchpoint_stream(spark, SF_SMALL).withWatermark("event_timestamp", "1 day"))
-    out = L.run_available_now(stream, tempfile.mkdtemp(prefix="ck-"), "attr_t", "complete")
+    out = L.run_available_now(stream, tempfile.mkdtemp(prefix="ck-"), tempfile.mkdtemp(prefix="out-") + "/attr_t", "complete")
     out = out.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c.startswith("window_") else F.col(c)
                        for c in out.columns])
     assert _rows(out.select(*batch.columns)) == _rows(batch)
@@ -112,7 +109,7 @@ def test_attribution_windows_stream_equals_batch(spark):
 
 def test_lead_rollup_update_stream_into_versioned_table(spark):
     import os
-    from provdata.sources import io as IO
+    from provdata.sources.keyed import KeyedTable
     root = tempfile.mkdtemp(prefix="upd-")
     src = os.path.join(root, "events")
     # The events arrive as several files, so the stream runs several micro-batches.
@@ -124,11 +121,11 @@ def test_lead_rollup_update_stream_into_versioned_table(spark):
     from provdata.sources.bindings import TOUCHPOINTS
     tp = spark.sql(TOUCHPOINTS, events=raw).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
     L.run_upsert_stream(L.lead_rollup(tp), ["lead_id"], os.path.join(root, "rollup"), os.path.join(root, "ck"))
-    got = IO.read_current(spark, os.path.join(root, "rollup"))
+    got = KeyedTable(spark, os.path.join(root, "rollup"), ["lead_id"]).read()
     got = got.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c.endswith("_at") else F.col(c) for c in got.columns])
     batch = L.lead_rollup(binding(spark, SF_SMALL, "touchpoints"))
     assert _rows(got.select(*batch.columns)) == _rows(batch)
-    assert IO.current_version(spark, os.path.join(root, "rollup")) >= 3
+    assert KeyedTable(spark, os.path.join(root, "rollup"), ["lead_id"]).version() >= 3
 
 
 def test_attribution_windows_are_emitted_once_they_close(spark, tmp_path):
@@ -147,7 +144,7 @@ def test_attribution_windows_are_emitted_once_they_close(spark, tmp_path):
     from provdata.sources.bindings import TOUCHPOINTS
     raw = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     tp = spark.sql(TOUCHPOINTS, events=raw).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
-    out = L.run_available_now(L.attribution_rollup(tp.withWatermark("event_timestamp", "1 hour")), str(tmp_path / "ck"), "attr_append", "append")
+    out = L.run_available_now(L.attribution_rollup(tp.withWatermark("event_timestamp", "1 hour")), str(tmp_path / "ck"), str(tmp_path / "out"), "append")
     out = out.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c.startswith("window_") else F.col(c) for c in out.columns])
     batch = L.attribution_rollup(binding(spark, SF_SMALL, "touchpoints"))
     got, want = set(_rows(out.select(*batch.columns))), set(_rows(batch))

@@ -258,9 +258,8 @@ def test_every_licence_appears_once_in_match_output(spark):
 
 
 def test_replaying_a_snapshot_changes_nothing(spark, tmp_path):
-    from provdata.sources import io as IO
     from provdata.sources.bindings import binding
-    from provdata.streaming.changes import apply_snapshot, read_history
+    from provdata.streaming.changes import apply_snapshot, read_events, read_history
     from tests.conftest import SF_SMALL
     raw = binding(spark, SF_SMALL, "tx_license_raw")
     base = str(tmp_path / "t")
@@ -268,12 +267,12 @@ def test_replaying_a_snapshot_changes_nothing(spark, tmp_path):
         apply_snapshot(spark, raw.filter(F.col("snapshot_date") == day).drop("snapshot_date"), day, base,
                        as_of="2025-06-30")
     h1 = rows(read_history(spark, base), "professional_id", "valid_from", "valid_to")
-    e1 = rows(IO.read_current(spark, f"{base}/events"), "event_id")
+    e1 = rows(read_events(spark, base), "event_id")
     # Replay the last snapshot (a retried micro-batch).
     apply_snapshot(spark, raw.filter(F.col("snapshot_date") == "2025-06-30").drop("snapshot_date"), "2025-06-30",
                    base, as_of="2025-06-30")
     assert rows(read_history(spark, base), "professional_id", "valid_from", "valid_to") == h1
-    assert rows(IO.read_current(spark, f"{base}/events"), "event_id") == e1
+    assert rows(read_events(spark, base), "event_id") == e1
 
 
 def test_optional_exact_npi_tier_and_flag_coalescing(spark):
@@ -293,18 +292,17 @@ def test_optional_exact_npi_tier_and_flag_coalescing(spark):
 
 
 def test_partial_snapshot_is_refused(spark, tmp_path):
-    from provdata.sources import io as IO
     from provdata.sources.bindings import binding
-    from provdata.streaming.changes import apply_snapshot
+    from provdata.streaming.changes import apply_snapshot, latest_table
     from tests.conftest import SF_SMALL
     raw = binding(spark, SF_SMALL, "tx_license_raw")
     base = str(tmp_path / "t")
     day0 = raw.filter(F.col("snapshot_date") == "2025-06-29").drop("snapshot_date")
     assert apply_snapshot(spark, day0, "2025-06-29", base)["status"] == "applied"
-    before = IO.current_version(spark, f"{base}/open")
+    before = latest_table(spark, base).version()
     partial = raw.filter((F.col("snapshot_date") == "2025-06-30") & (F.col("lic_id") % 2 == 0)).drop("snapshot_date")
     assert apply_snapshot(spark, partial, "2025-06-30", base)["status"] == "quarantined"
-    assert IO.current_version(spark, f"{base}/open") == before
+    assert latest_table(spark, base).version() == before
 
 
 def test_build_history_with_checkpoints_equals_stepwise(spark):
