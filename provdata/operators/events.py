@@ -164,36 +164,44 @@ def snapshot_diff(cur: DataFrame, prev: DataFrame, as_of: str, state_code: str =
     so its licences do not all come out as new.
     """
     day = as_of[:10]
-
-    def shape(df, etype, prefix, prev_v, cur_v, priority, action):
-        return df.select(
-            F.concat(F.lit(prefix + "_"), F.col("lic_nbr"), F.lit("_" + day)).alias("event_id"),
-            F.concat_ws("_", F.lit(prefix), F.col("professional_type"), F.col("lic_nbr"), F.lit(day)).alias("event_key"),
-            F.lit(etype).alias("event_type"), F.lit(as_of).alias("timestamp"),
-            F.lit(state_code).alias("state_code"), "professional_type",
-            F.col("lic_nbr").alias("license_number"), *_person(df),
-            prev_v.cast("string").alias("previous_value"), cur_v.cast("string").alias("current_value"),
-            F.lit(priority).alias("priority"), F.lit(action).alias("marketing_action")).drop("status_desc")
-
-    # Each snapshot is de-duplicated once; one left join gives new licences and status changes alike.
-    cur, prev = _dedupe_license(cur), _dedupe_license(prev)
-    cur = cur.join(prev.select("professional_type").distinct(), "professional_type", "left_semi")
-    before = prev.select("professional_type", "lic_nbr", F.lit(True).alias("known"),
-                         F.col("lic_sta_cde").try_cast("int").alias("prev_code"),
-                         (F.col("lic_sta_desc") if "lic_sta_desc" in prev.columns
-                          else F.lit(None).cast("string")).alias("prev_desc"))
-    both = cur.join(before, ["professional_type", "lic_nbr"], "left").withColumn(
-        "cur_code", F.col("lic_sta_cde").try_cast("int"))
-    new = both.filter(F.col("known").isNull() & F.col("cur_code").isin(*DIFF_ACTIVE))
-    ch = both.filter(F.col("known") & ~F.col("cur_code").eqNullSafe(F.col("prev_code")))
-    desc = F.coalesce(F.col("lic_sta_desc") if "lic_sta_desc" in cur.columns else F.lit(None), F.lit(""))
-    pdesc = F.coalesce(F.col("prev_desc"), F.lit(""))
-    lapsed = ch.filter(F.col("prev_code").isin(*DIFF_ACTIVE) & F.col("cur_code").isin(*DIFF_LAPSED))
-    back = ch.filter(F.col("prev_code").isin(*DIFF_LAPSED) & F.col("cur_code").isin(*DIFF_ACTIVE))
-    # FIXED VALUES: differ vocabulary.
-    return (shape(new, "NEW_LICENSE", "NEW", F.lit(None), desc, "HIGH", "onboarding_sequence")
-            .unionByName(shape(lapsed, "LAPSED", "LAPSED", pdesc, desc, "MEDIUM", "suppress_or_winback"))
-            .unionByName(shape(back, "REINSTATED", "REINSTATED", pdesc, desc, "HIGH", "reengagement_sequence")))
+    desc = lambda df: F.col("lic_sta_desc") if "lic_sta_desc" in df.columns else F.lit(None).cast("string")
+    # Both snapshots in one aggregate: the newest row of each licence number on either side, without a join.
+    names = [c for c in ("lic_id", "lic_sta_cde", "lic_sta_desc", "first_nme", "last_nme", "last_mne", "city", "county", "zip")
+             if c in cur.columns]
+    number = F.trim(F.col("lic_nbr").cast("string")).alias("lic_nbr")
+    c = cur.select("professional_type", number, F.struct(*names).alias("c"))
+    p = prev.select("professional_type", number, F.struct(
+        "lic_id", F.col("lic_sta_cde").try_cast("int").alias("code"), desc(prev).alias("desc")).alias("p"))
+    sides = c.select("*", F.lit(None).cast(p.schema["p"].dataType).alias("p")).unionByName(
+        p.select("*", F.lit(None).cast(c.schema["c"].dataType).alias("c")))
+    both = (sides.where("lic_nbr is not null and professional_type is not null").groupBy("professional_type", "lic_nbr")
+            .agg(F.max("c").alias("c"), F.max("p").alias("p")).where("c is not null"))
+    # Types of which the previous snapshot has a file (a handful of rows).
+    both = both.join(prev.select("professional_type").distinct(), "professional_type", "left_semi")
+    v = both.select("professional_type", "lic_nbr", "c.*", F.col("p").isNotNull().alias("known"), F.col("p.code").alias("prev_code"),
+                    F.coalesce(F.col("p.desc"), F.lit("")).alias("prev_desc"), F.col("c.lic_sta_cde").try_cast("int").alias("cur_code"))
+    now = F.coalesce(desc(v), F.lit(""))
+    active, lapsed = F.col("cur_code").isin(*DIFF_ACTIVE), F.col("cur_code").isin(*DIFF_LAPSED)
+    was_active, was_lapsed = F.col("prev_code").isin(*DIFF_ACTIVE), F.col("prev_code").isin(*DIFF_LAPSED)
+
+    def rule(fires, etype, prefix, prev_v, priority, action):
+        return F.when(fires, F.struct(F.lit(etype).alias("event_type"), F.lit(prefix).alias("prefix"),
+                                      prev_v.cast("string").alias("previous_value"), F.lit(priority).alias("priority"),
+                                      F.lit(action).alias("marketing_action")))
+
+    # FIXED VALUES: differ vocabulary. A licence fires one rule at most.
+    fired = F.coalesce(
+        rule(~F.col("known") & active, "NEW_LICENSE", "NEW", F.lit(None), "HIGH", "onboarding_sequence"),
+        rule(F.col("known") & was_active & lapsed, "LAPSED", "LAPSED", F.col("prev_desc"), "MEDIUM", "suppress_or_winback"),
+        rule(F.col("known") & was_lapsed & active, "REINSTATED", "REINSTATED", F.col("prev_desc"), "HIGH", "reengagement_sequence"))
+    e = v.withColumn("e", fired).where("e is not null")
+    return e.select(
+        F.concat(F.col("e.prefix"), F.lit("_"), F.col("lic_nbr"), F.lit("_" + day)).alias("event_id"),
+        F.concat_ws("_", F.col("e.prefix"), F.col("professional_type"), F.col("lic_nbr"), F.lit(day)).alias("event_key"),
+        F.col("e.event_type").alias("event_type"), F.lit(as_of).alias("timestamp"),
+        F.lit(state_code).alias("state_code"), "professional_type", F.col("lic_nbr").alias("license_number"), *_person(e),
+        F.col("e.previous_value").alias("previous_value"), now.cast("string").alias("current_value"),
+        F.col("e.priority").alias("priority"), F.col("e.marketing_action").alias("marketing_action")).drop("status_desc")
 
 
 def recent_to_events(recent: DataFrame) -> DataFrame:

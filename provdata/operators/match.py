@@ -14,7 +14,8 @@ tiers share one key layout), the NPI side is *pre-aggregated by (tier, key)*
 (``min(npi)``, a hash aggregate that combines map-side), and ONE equi-join
 gives each licence at most one partner per tier; a final per-licence ``min``
 picks the best tier; attributes are fetched for the chosen NPIs only. Nothing is emitted per pair, a hot surname collapses to one
-NPI row per key before any shuffle, and the NPI file is scanned once. The
+NPI row per key before any shuffle; the NPI file is read once for the keys and once
+for the chosen rows. The
 result is identical to the all-pairs form (the DuckDB oracle runs that
 form). AQE broadcasts a candidate table that turns out small and splits
 skewed licence partitions of the block-only tier.
@@ -22,7 +23,7 @@ skewed licence partitions of the block-only tier.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import clean as C
@@ -170,8 +171,38 @@ def best_match(licenses: DataFrame, npi_raw: DataFrame, npi_on_license_col: str
         (c >= 95).alias("auto_approve_for_mail"))
 
 
+def match_candidates(licenses: DataFrame, npi_raw: DataFrame, k: int = 5) -> DataFrame:
+    """JOIN2: the first ``k`` candidates of each licence (best tier, then lowest NPI), for manual review.
+
+    No pair of a block is emitted: each (tier, key) is reduced to its ``k`` lowest NPIs, first in every task and then in
+    all (a group limit on both sides of the shuffle, so a hot block sends ``k`` rows per task), and a licence meets at most
+    ``k`` rows in each of its tiers. That is enough: if the better tiers hold fewer than ``k`` candidates, these are the only ones
+    that a worse tier's ``k`` lowest can repeat. Licences without a candidate have no row.
+    """
+    npi = npi_match_side(npi_raw).filter(_usable_npi("npi_number")).withColumn("npi_long", F.col("npi_number").try_cast("long"))
+    by = ["tier", "k0", "k1", "k2", "k3"]
+    keys = (_tier_rows(npi, ["npi_long", "first_name", "last_name", "city", "state", "zip5", "first_sx", "last_sx"])
+            .where("tier is not null").select(*by, "npi_long").distinct())
+    lowest = (keys.withColumn("_nth", F.row_number().over(Window.partitionBy(*by).orderBy("npi_long"))).where(F.col("_nth") <= k)
+              .groupBy(*by).agg(F.collect_list("npi_long").alias("_npis")))
+    own = ["professional_id", "license_number", "professional_type"]
+    lic = license_match_side(licenses)
+    met = _tier_rows(lic, own + ["first_name", "last_name", "city", "state", "zip5", "first_sx", "last_sx"]).where("tier is not null")
+    found = met.join(lowest, by).select(*own, "tier", F.explode("_npis").alias("npi_long"))
+    # At most five tiers of k: the best tier of each NPI, and then the first k of these.
+    best = found.groupBy(*own, "npi_long").agg(F.min("tier").alias("tier")).groupBy(*own).agg(
+        F.slice(F.array_sort(F.collect_list(F.struct("tier", "npi_long"))), 1, k).alias("_first"))
+    ranked = best.select(*own, F.posexplode("_first").alias("_at", "c"))
+    tier = F.col("c.tier")
+    return ranked.select(
+        *own, (F.col("_at") + 1).alias("candidate_rank"), F.col("c.npi_long").cast("string").alias("npi_number"),
+        F.get(F.array(*[F.lit(score) for score, _, _ in TIERS]), tier).alias("match_confidence"),
+        F.get(F.array(*[F.lit(name) for _, name, _ in TIERS]), tier).alias("match_type"),
+        F.get(F.array(*[F.lit(score < 90) for score, _, _ in TIERS]), tier).alias("needs_manual_review"))
+
+
 def candidate_counts(licenses: DataFrame, npi_raw: DataFrame) -> DataFrame:
-    """JOIN2, re-aimed: candidates per licence counted through the block key, not enumerated.
+    """JOIN2: all candidates per licence, counted through the block key.
 
     Returns the licence keys with ``candidate_count`` (NPI rows in the
     licence's block) — the per-licence work of an all-pairs blocking join —

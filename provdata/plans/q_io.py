@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from ..sources import io as IO
 from ..sources.bindings import binding, sql_cte
+from ..sources.keyed import KeyedTable
 from .registry import query
 
 _CONTENT = ["lic_id", "lic_nbr", "lic_sta_cde", "lic_orig_dte", "lic_expr_dte", "first_nme", "last_nme", "address1",
@@ -83,3 +87,45 @@ select * from upd u where not exists (select 1 from tgt t where u.provider_id =
 def q_upsert_insert(spark, sf):
     t, u = _merge_inputs(spark, sf)
     return IO.merge_upsert(t, u, ["provider_id", "source", "enriched_at"], "insert_only")
+
+
+_KEYED_SQL = _MERGE_SQL + """,
+merged as (
+  select * from tgt t where not exists (select 1 from upd u where u.provider_id = t.provider_id and u.source = t.source
+    and u.enriched_at = t.enriched_at)
+  union all select * from upd),
+kept as (select * from merged where day(enriched_at) <> 15)
+"""
+
+
+def _keyed_table(spark, sf):
+    """Target, upserts and deletions as commits of a merge-on-read table under the checkpoint folder."""
+    table = KeyedTable(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/keyed-{uuid.uuid4().hex}",
+                       ["provider_id", "source", "enriched_at"], buckets=8)
+    target, updates = _merge_inputs(spark, sf)
+    table.upsert(target)
+    table.compact()
+    table.upsert(updates)
+    table.delete(table.read().where(F.dayofmonth("enriched_at") == 15))
+    return table
+
+
+@query("keyed_table_merge_on_read", _KEYED_SQL + "select * from kept", "SNK2 (deltas and tombstones over a base)")
+def q_keyed(spark, sf):
+    return _keyed_table(spark, sf).read()
+
+
+@query("keyed_table_compacted", _KEYED_SQL + """
+select * replace (case when day(enriched_at) >= 28 then null else email end as email) from kept
+union all select * replace ('late-' || provider_id as provider_id) from tgt where day(enriched_at) <= 3
+""", "SNK2 (insert-only and replace after a compaction)")
+def q_keyed_compacted(spark, sf):
+    table = _keyed_table(spark, sf)
+    table.compact()
+    now = table.read()
+    table.upsert(now.where(F.dayofmonth("enriched_at") >= 28).withColumn("email", F.lit(None).cast("string")))
+    target = _merge_inputs(spark, sf)[0]
+    late = target.where(F.dayofmonth("enriched_at") <= 3).withColumn("provider_id", F.concat(F.lit("late-"), "provider_id"))
+    table.upsert(late.unionByName(now.withColumn("email", F.lit("never"))), "insert_only")
+    table.vacuum(1)
+    return table.read()

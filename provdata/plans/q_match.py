@@ -124,3 +124,18 @@ where npi is null or not regexp_matches(trim(npi), '^[0-9]{1,10}$') group by 1
 """, "JOIN4 (registry rows set aside)")
 def q_unusable(spark, sf):
     return M.unusable_npis(binding(spark, sf, "npi_raw"))
+
+
+@query("match_candidates", MATCH_SQL + """
+, c as (select professional_id, license_number, professional_type, npi_number, max(conf) as conf from pairs
+        where conf > 0 and regexp_matches(npi_number, '^[0-9]{1,10}$') group by all),
+first as (select *, row_number() over (partition by professional_id, license_number, professional_type
+                                       order by conf desc, cast(npi_number as bigint)) as rk from c)
+select professional_id, license_number, professional_type, cast(rk as integer) as candidate_rank, npi_number,
+  conf as match_confidence,
+  case conf when 95 then 'exact_name_city_state' when 90 then 'exact_name_zip' when 85 then 'soundex_name_city_state'
+    when 80 then 'soundex_name_zip' else 'soundex_name_state' end as match_type, conf < 90 as needs_manual_review
+from first where rk <= 5
+""", "JOIN2 (first five candidates of each licence)")
+def q_match_candidates(spark, sf):
+    return M.match_candidates(licenses(spark, sf), binding(spark, sf, "npi_raw"), 5)

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from ..operators import history as H
 from ..session import ensure_checkpoint_dir
-from ..sources.bindings import AS_OF, binding, sql_cte
+from ..sources.bindings import AS_OF, TOUCHPOINTS, binding, sql_cte
 from ..streaming import changes as CH
+from ..streaming import engagement as G
 from ..streaming import leads as L
 from .memo import per_session
 from .q_staging import _EVENTS_SQL, HISTORY_SQL, SNAPSHOTS_SQL
@@ -83,7 +84,7 @@ def q_dedupe(spark, sf):
     return L.dedupe_events(touchpoints(spark, sf))
 
 
-@query("engagement_features", _TP + """
+_ENGAGEMENT_SQL = _TP + """
 , base as (select lead_id, count(*) as events, count(distinct cast(event_timestamp as date)) as active_days,
     cast(count_if(dayofweek(event_timestamp) = 0) as bigint) as dow_1, cast(count_if(dayofweek(event_timestamp) = 1) as bigint) as dow_2,
     cast(count_if(dayofweek(event_timestamp) = 2) as bigint) as dow_3, cast(count_if(dayofweek(event_timestamp) = 3) as bigint) as dow_4,
@@ -98,11 +99,30 @@ ordered as (select lead_id, event_timestamp, lag(event_timestamp) over (partitio
 sess as (select lead_id, count(*) as sessions from ordered where prev is null or event_timestamp - prev >= interval 30 minute group by lead_id)
 select base.*, top_channel, peak_hour, sessions, cast(events as double) / active_days as events_per_active_day
 from base join top_ch using (lead_id) join peak using (lead_id) join sess using (lead_id)
-""", "STR5 (batch twin)")
+"""
+
+
+@query("engagement_features", _ENGAGEMENT_SQL, "STR5 (batch twin)")
 def q_engagement(spark, sf):
     return L.engagement_features(touchpoints(spark, sf), bucket=F.date_trunc("hour", "event_timestamp"))
 
 
+@query("engagement_stream", _ENGAGEMENT_SQL, "STR5 (per-lead state over a stream of three files)")
+def q_engagement_stream(spark, sf):
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/engagement-{uuid.uuid4().hex}"
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(at), F.max(at)).first()
+    third = F.least(F.floor((at - F.lit(low)) * 3 / F.lit(max(high - low, 1))), F.lit(2))
+    for k in range(3):  # files in event-time order, so that each moves the watermark
+        events.where(third == k).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    raw = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    tp = spark.sql(TOUCHPOINTS, events=raw).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
+    lead = events.sparkSession.sql(TOUCHPOINTS, events=events).schema["lead_id"].dataType
+    table = G.run_engagement(spark, tp, f"{root}/out", f"{root}/progress", delay="1 hour")
+    return table.read().drop("expired").withColumn("lead_id", F.col("lead_id").cast(lead))
+
+
 @query("touchpoint_metadata", _TP + """
 select count(*) as touchpoints, cast(count(json_extract(event_metadata, '$.k')) as bigint) as with_k,
   cast(sum(cast(json_extract(event_metadata, '$.k') as integer)) as bigint) as sum_k
