@@ -15,7 +15,7 @@ character is held, three bytes at most; malformed bytes are passed on as they ar
 
 Defined results: null and empty texts have no tokens, and no tokens decode to no bytes (null: none). Rows are
 independent, so equal rows, ties, null or repeated ids and the order of rows change nothing; an empty table stays
-empty. Texts are read whole however long: a batch is worked on in slices of 2 MB or one text. All columns stay as
+empty. Texts are read whole however long: a batch is worked on in slices of 4 MB or one text. All columns stay as
 they are; the new one takes the place of a column of its own name.
 """
 
@@ -34,11 +34,11 @@ from pyspark.sql import types as T
 
 from provdata.llm.arrays import slices, split_lists
 
-MAX_STATES = 100_000
-MAX_PIECES = 100_000
+MAX_STATES = 200_000
+MAX_PIECES = 250_000
 MAX_CHAINS = 10_000
 FEW = 16
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 
 #: Code points that are letters or numbers for the `regex` package alone, whose tables are newer than
 #: the Unicode 16 of the tokenizer that results are to equal. There they are neither.
