@@ -82,6 +82,16 @@ def scd2_apply(history: DataFrame | None, snapshot: DataFrame, key: str, check_c
     return closed.unionByName(rows.select("r.*"))
 
 
+def scd2_apply_ranges(history: DataFrame, snapshot: DataFrame, inside: Column, key: str, check_cols: Sequence[str],
+                      as_of: str) -> DataFrame:
+    """HIS1 over the part of the keys that has changed: ``snapshot`` holds the rows of that part, ``inside`` tells its keys.
+
+    Open versions outside pass through untouched, as they would if their equal snapshot rows were joined.
+    """
+    part = F.col("valid_to").isNull() & F.coalesce(inside, F.lit(False))
+    return history.filter(~part).unionByName(scd2_apply(history.filter(part), snapshot, key, check_cols, as_of))
+
+
 def build_history(snapshots: DataFrame, key: str, check_cols: Sequence[str], dates: Sequence[str],
                   date_col: str = "snapshot_date", checkpoint_every: int = 8) -> DataFrame:
     """HIS1 over many snapshots: apply them in date order.

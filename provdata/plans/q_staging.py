@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import refdata
@@ -10,7 +12,9 @@ from ..operators import history as H
 from ..operators import staging as ST
 from ..operators import dims as D
 from ..operators.providers import latest_per_key
+from ..session import ensure_checkpoint_dir
 from ..sources.bindings import AS_OF, binding, sql_cte
+from ..sources.ranges import RangedSnapshots
 from .memo import per_session
 from .registry import query
 
@@ -181,6 +185,18 @@ def q_history(spark, sf):
     return history(spark, sf)
 
 
+@query("license_history_changed_ranges", HISTORY_SQL + "select * from history", "HIS1, SRC5 (only key ranges whose digests differ)")
+def q_history_ranges(spark, sf):
+    ranged = RangedSnapshots(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/ranged-{uuid.uuid4().hex}",
+                             ["professional_type", "license_number"], ["professional_id", *H.LICENSE_CHECK_COLS], fanout=4)
+    for day in (SNAP0, SNAP1):
+        ranged.write(day, snapshot(spark, sf, day))
+    first = H.scd2_apply(None, ranged.read(SNAP0), "professional_id", H.LICENSE_CHECK_COLS, SNAP0)
+    changed = ranged.changed(SNAP0, SNAP1)
+    return H.scd2_apply_ranges(first, ranged.read(SNAP1, changed), ranged.inside(changed), "professional_id",
+                               H.LICENSE_CHECK_COLS, SNAP1)
+
+
 @query("license_history_current", HISTORY_SQL + "select * from history where valid_to is null", "HIS4")
 def q_history_current(spark, sf):
     return H.current_view(history(spark, sf))
