@@ -4,7 +4,7 @@ Calls and results meet in a hash join by conversation and call id. The calls of
 may refer to one another by ``"$<call id>"`` strings in their arguments, so each message's calls
 are put in topological order; calls of later messages come later anyway. Arguments are validated
 against their tool's schema, and call and result are serialised as canonical JSON: keys in code-point
-order, no blanks, shortest numbers.
+order, no blanks, integral numbers as integers and others in their shortest form.
 
 A conversation is never gathered: a message's calls are one group, which its own text bounds, however many
 messages a conversation has. Results are reduced to one per id before the join.
@@ -30,9 +30,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _plain(value):
+    """The value with every integral number as an integer (so no negative zero either): equal numbers are written alike."""
+    if isinstance(value, float) and value.is_integer():
+        return int(value)
+    if isinstance(value, list):
+        return [_plain(v) for v in value]
+    return {k: _plain(v) for k, v in value.items()} if isinstance(value, dict) else value
+
+
 def canonical(value) -> str:
     """Canonical JSON of a value; NaN and infinities have none, and lone surrogates stay escaped."""
-    text = json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    text = json.dumps(_plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
     return re.sub("[\ud800-\udfff]", lambda m: f"\\u{ord(m[0]):04x}", text)
 
 
@@ -130,7 +139,7 @@ def _format(schemas: dict[str, dict]):
         for k, call in enumerate(calls):
             try:
                 value = read_json(call["arguments"] or "")
-                canonical(value)  # raises where it is nested too deeply
+                canonical([[value]])  # raises where it is nested too deeply, as part of a message too
                 errors.append(schema_errors(value, schemas[call["name"]]) if call["name"] in schemas else ["$: unknown tool"])
             except (ValueError, RecursionError):
                 value = call["arguments"]

@@ -251,6 +251,16 @@ def test_topological_order(needs):
     assert all(needs[k] & stuck for k in stuck)
 
 
+def test_equal_numbers_are_written_alike():
+    for some, text in (([1, 1.0], "1"), ([0, -0.0, 0.0], "0"), ([10 ** 16, 1e16], "1" + "0" * 16), ([0.1, 1e-1], "0.1"), ([True], "true")):
+        assert {tool_chat.canonical(v) for v in some} == {text}
+    read = [tool_chat.canonical(tool_chat.read_json(t)) for t in ('{"b":[1.0,-0],"a":1E2}', '{"a":100,"b":[1,0.0]}')]
+    assert read == ['{"a":100,"b":[1,0]}'] * 2
+    with pytest.raises(ValueError):
+        tool_chat.canonical(tool_chat.read_json("1e400"))
+
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.recursive(st.none() | st.booleans() | st.integers() | st.floats(allow_nan=False, allow_infinity=False) | st.text(),
                     lambda x: st.lists(x, max_size=4) | st.dictionaries(st.text(), x, max_size=4), max_leaves=12))
