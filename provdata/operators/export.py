@@ -303,15 +303,25 @@ def rate_limited(queue: DataFrame, config: DataFrame, as_of: str, history: DataF
     left = F.least(F.col("rate_limit_per_day") - F.coalesce("_day", F.lit(0)),
                    F.col("rate_limit_per_hour") - F.coalesce("_hour", F.lit(0)))
     caps = caps.select("destination", "rate_limit_per_day", F.greatest(left, F.when(left.isNotNull(), 0)).cast("int").alias("allowed"))
-    most = caps.agg(F.max("allowed")).first()[0]  # of the few configured destinations
     ready = ready_to_send_all(queue, as_of).join(caps, "destination", "left")
     uncapped = ready.filter(F.col("allowed").isNull()).withColumn("rank_in_group", F.lit(None).cast("int"))
-    if most is None:
-        return uncapped
-    # A literal cap lets each salted window stop early; the destination's own cap follows.
-    capped = capped_rank(ready.filter(F.col("allowed").isNotNull()), ["destination"],
-                         [F.col("queued_at"), F.col("export_id")], int(most)).filter(F.col("rank_in_group") <= F.col("allowed"))
-    return uncapped.unionByName(capped)
+    capped = first_of_each(ready.filter(F.col("allowed").isNotNull()), "destination", "queued_at", F.col("allowed"))
+    ranked = capped_rank(capped, ["destination"], [F.col("queued_at"), F.col("export_id")], F.col("allowed"))
+    return uncapped.unionByName(ranked)
+
+
+def first_of_each(df: DataFrame, key: str, ts: str, cap: Column) -> DataFrame:
+    """AGG20: of each ``key`` the rows up to the minute that holds its ``cap``-th row by time, by counting minutes, not ranking rows.
+
+    One aggregate counts each key's rows per minute; the running counts name the last minute needed, and one filter
+    keeps the rows up to it: about ``cap`` of each key, however many it has. Rows without a time come first.
+    """
+    minute = F.coalesce(F.date_trunc("minute", F.col(ts)), F.lit("0001-01-01").cast("timestamp_ntz"))
+    counts = df.groupBy(F.col(key).alias("_key"), minute.alias("_minute")).agg(F.count(F.lit(1)).alias("_n"), F.max(cap).alias("_cap"))
+    before = Window.partitionBy("_key").orderBy("_minute").rowsBetween(Window.unboundedPreceding, -1)
+    last = (counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).where(F.col("_before") < F.col("_cap"))
+            .groupBy("_key").agg(F.max("_minute").alias("_last")))
+    return df.join(last, F.col(key) == F.col("_key")).where(minute <= F.col("_last")).drop("_key", "_last")
 
 
 def ready_to_send_all(queue: DataFrame, as_of: str) -> DataFrame:

@@ -231,3 +231,21 @@ def test_records_of_one_order_key_are_queued_once(spark):
     assert len(out) == 5 and sorted(r.provider_id for r in queued) == ["p1", "p2"]
     assert len({r.new_export_id for r in queued}) == 2
     assert sum(r.outcome == "skipped" for r in out) == 3
+
+
+def test_rate_limit_counts_minutes_before_it_ranks(spark):
+    import datetime as dt
+
+    from provdata.operators import export as X
+
+    start = dt.datetime(2025, 6, 1)
+    rows = [("email", k, start + dt.timedelta(minutes=k // 7)) for k in range(500)]
+    rows += [("email", 900 + k, None) for k in range(3)] + [("mail", k, start) for k in range(50)] + [("off", k, start) for k in range(5)]
+    df = spark.createDataFrame(rows, "destination string, export_id int, queued_at timestamp_ntz").withColumn(
+        "allowed", F.expr("case destination when 'email' then 20 when 'mail' then 8 else 0 end"))
+    kept = X.first_of_each(df, "destination", "queued_at", F.col("allowed"))
+    assert {r.destination: r["count"] for r in kept.groupBy("destination").count().collect()} == {"email": 24, "mail": 50}
+    ranked = X.capped_rank(kept, ["destination"], [F.col("queued_at"), F.col("export_id")], F.col("allowed")).collect()
+    assert sorted(r.rank_in_group for r in ranked if r.destination == "email") == list(range(1, 21))
+    assert sorted(r.export_id for r in ranked if r.destination == "email") == [*range(17), 900, 901, 902]
+    assert sorted(r.export_id for r in ranked if r.destination == "mail") == list(range(8))
