@@ -91,3 +91,14 @@ def test_bucketed_tables_join_without_shuffle(spark):
         assert j.count() == prov.join(enr, "npi").count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_candidates_are_limited_before_the_shuffle(spark):
+    """A hot block sends its k lowest NPIs per task: a group limit on both sides of the exchange, and no pair join."""
+    plan = load_all()["match_candidates"].build(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2 and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_differ_reads_each_snapshot_once_for_its_rows(spark):
+    plan = load_all()["snapshot_diff_events"].build(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Relation \[|LogicalRelation", plan)) <= 4 and len(re.findall(r"Join ", plan)) <= 1
