@@ -118,21 +118,23 @@ def scd2_from_changes(log: DataFrame, key: str, value_cols: Sequence[str], order
     A row opens a version when its tracked values differ (NULL-safe) from the
     previous row of the same key; a version ends where the next one starts.
 
-    With ``bucket`` (any expression that never decreases along ``order``,
-    e.g. the hour of the timestamp) the windows run per (key, bucket) and the
-    bucket boundaries are stitched through a per-bucket table (last row /
-    first change of each bucket, shifted by one bucket). A key holding a
-    third of all rows is then spread over its buckets instead of being
-    sorted by one task; the result is identical.
+    Rows are cut into ranges of (key, order) and the edges carried over
+    (``carry.Ranges``), so a key holding a third of all rows is spread over
+    tasks whatever its times are. With ``bucket`` (any expression that never
+    decreases along ``order``, e.g. the hour of the timestamp) the windows run
+    per (key, bucket) and are stitched through a per-bucket table instead; it
+    writes nothing, and suits logs whose buckets are known to be small.
+    Repeated rows change nothing and are dropped first.
     """
     vals = F.struct(*value_cols)
     if bucket is None:
-        w = Window.partitionBy(key).orderBy(*order)
-        prev = F.lag(vals).over(w)
-        starts = log.select("*", (prev.isNull() | ~vals.eqNullSafe(prev)).alias("_starts")) \
-            .filter("_starts").drop("_starts")
-        return starts.select(key, *value_cols, F.col(order[0]).alias("valid_from"),
-                             F.lead(F.col(order[0])).over(w).alias("valid_to"))
+        from .carry import Ranges
+        ties = [c for c in value_cols if c not in order]
+        log = log.select(key, *order, *ties).distinct()
+        r = Ranges(log, [key], order, ties).previous(vals, "_prev")
+        starts = r.of(r.rows.filter(F.col("_prev").isNull() | ~vals.eqNullSafe(F.col("_prev"))).drop("_prev"))
+        return starts.following(F.col(order[0]), "valid_to").rows.select(
+            key, *value_cols, F.col(order[0]).alias("valid_from"), "valid_to")
     from .windows import with_next_start, with_previous
     d = with_previous(log, key, order, value_cols, bucket, out="_prev")
     starts = d.filter(F.col("_prev").isNull() | ~vals.eqNullSafe(F.col("_prev"))).drop("_prev")

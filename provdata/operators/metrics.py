@@ -92,17 +92,24 @@ def distribution(df: DataFrame, col: str, by: str) -> DataFrame:
 
 
 def budget_cut(df: DataFrame, order: Sequence[str], matched_col: str, limit: int,
-               bucket: Column, fan: int = 1000) -> DataFrame:
+               bucket: Column | None = None, fan: int = 1000) -> DataFrame:
     """WIN8: keep rows while the matched credits *before* the row are below ``limit``.
 
-    Distributed prefix sum in two levels, no single-task window over all
-    rows: ``bucket`` must be non-decreasing in ``order`` (e.g. a prefix of a
-    sortable key). Level 1 sums matches per bucket (one row per bucket);
+    Distributed prefix sum, no single-task window over all rows: the rows are cut into ranges of ``order``,
+    each range is summed, and the sums before it are carried into it (``carry.Ranges``). ``order`` must be
+    total, or the order among its ties is open.
+
+    With ``bucket``, non-decreasing in ``order`` (e.g. a prefix of a
+    sortable key), nothing is written: level 1 sums matches per bucket (one row per bucket);
     level 2 turns those into bucket offsets with a window over the bucket
     table, by groups of ``fan`` buckets first, so that neither window grows beyond the
     square root of a large input's buckets; buckets that start at or above the limit are dropped before
     the rows are sorted, and a window *partitioned by bucket* adds the in-bucket running sum.
     """
+    if bucket is None:
+        from .carry import Ranges
+        ranges = Ranges(df, [], order).before(F.col(matched_col).cast("int"), "credits_before", below=limit)
+        return ranges.plain().select(*df.columns, "credits_before")
     d = df.withColumn("_b", bucket).withColumn("_m", F.col(matched_col).cast("int"))
     per = d.groupBy("_b").agg(F.sum("_m").alias("_bm"))
     per = per.withColumn("_g", F.floor(F.col("_b") / fan))

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean as C
+from .heavy import lowest_values, top_values
 
 # FIXED VALUES: rules of the Texas licence source (column names lower-cased).
 TX_LICENSE_RULES = [
@@ -183,8 +184,7 @@ def rule_details(df: DataFrame, rules, samples: int = 5, top: int = 10) -> DataF
     """VAL4, VAL7: what the verdict rows leave out, as (rule_index, rule_name, value, rows).
 
     Of each field_format rule the ``samples`` lowest values that do not match, of each value_distribution rule
-    the ``top`` commonest values (ties: lowest first). Values are counted before they are ranked, and only the
-    first few are kept, so the result is small whatever the load.
+    the ``top`` commonest values (ties: lowest first). Neither groups the whole column: see ``heavy``.
     """
     out = None
     for i, rule in enumerate(rules):
@@ -192,13 +192,12 @@ def rule_details(df: DataFrame, rules, samples: int = 5, top: int = 10) -> DataF
         if rtype not in ("field_format", "value_distribution") or params["field"] not in df.columns:
             continue
         value = F.col(params["field"]).cast("string")
-        counts = df.select(value.alias("value")).where("value is not null").groupBy("value").agg(F.count(F.lit(1)).alias("rows"))
         if rtype == "field_format":
             name = f"field_format_{params['field']}"
-            found = counts.where(~F.col("value").rlike(f"^(?:{params['pattern']})")).orderBy("value").limit(samples)
+            found = lowest_values(df, F.when(~value.rlike(f"^(?:{params['pattern']})"), value), samples)
         else:
             name = f"value_distribution_{params['field']}_{params['value']}"
-            found = counts.orderBy(F.desc("rows"), "value").limit(top)
+            found = top_values(df, value, top)
         found = found.select(F.lit(i).alias("rule_index"), F.lit(name).alias("rule_name"), "value", "rows")
         out = found if out is None else out.unionByName(found)
     if out is None:

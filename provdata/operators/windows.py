@@ -7,6 +7,9 @@ order (e.g. the hour of a timestamp) — and the first row of each bucket gets
 its predecessor from a per-bucket table (the last row of each (key, bucket),
 shifted one bucket along the key). The per-bucket table has one row per
 (key, bucket), so its own window is small. Results equal the plain window.
+
+Without a bucket the rows are cut into ranges of (key, order) and the edges carried over (``carry.Ranges``),
+which holds for a key whose rows all lie within one hour too.
 """
 
 from __future__ import annotations
@@ -16,13 +19,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .carry import Ranges
+
 
 def with_previous(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str], bucket: Column | None = None,
                   out: str = "_prev") -> DataFrame:
     """Add ``out`` = struct of ``cols`` of the previous row of the same key (NULL for the first row)."""
     vals = F.struct(*[F.col(c) for c in cols])
     if bucket is None:
-        return df.withColumn(out, F.lag(vals).over(Window.partitionBy(key).orderBy(*order)))
+        return Ranges(df, [key], order, [c for c in cols if c not in order]).previous(vals, out).plain()
     d = df.withColumn("_b", bucket)
     kb = [key, "_b"]
     last = d.groupBy(*kb).agg(F.max(F.struct(*[F.col(o) for o in order], vals.alias("v"))).alias("_last"))

@@ -89,7 +89,7 @@ def engagement_features(tp: DataFrame, ts: str = "event_timestamp", session_gap_
     Top channel / peak hour are the argmax of per-(lead, value) counts with a
     deterministic tie-break (smaller value wins), computed as aggregates —
     no per-lead lists are collected. Sessions come from the previous-touch
-    gap; with ``bucket`` (e.g. the hour) a hot lead is not sorted by one task.
+    gap, carried over ranges of (lead, time), or over a ``bucket`` of the time, so a hot lead is not sorted by one task.
     (In a stream, ``session_window`` with a watermark is the stateful form.)
     """
     # One aggregate of the touchpoints; everything else rolls its cells up, without a distinct aggregate.
@@ -107,9 +107,9 @@ def engagement_features(tp: DataFrame, ts: str = "event_timestamp", session_gap_
     by_hr = cells.groupBy("lead_id", "hour").agg(F.sum("n").alias("n"))
     peak = by_hr.groupBy("lead_id").agg(F.min(F.struct((-F.col("n")).alias("neg"), F.col("hour"))).alias("m")) \
         .select("lead_id", F.col("m.hour").alias("peak_hour"))
-    # Sessions = rows at least ``session_gap_s`` after the lead's previous touch (skew-safe with a bucket).
+    # Sessions = rows at least ``session_gap_s`` after the lead's previous touch; equal touches open none.
     from ..operators.windows import session_starts
-    sess = session_starts(tp.select("lead_id", ts), "lead_id", ts, session_gap_s, bucket) \
+    sess = session_starts(tp.select("lead_id", ts).distinct(), "lead_id", ts, session_gap_s, bucket) \
         .groupBy("lead_id").agg(F.count(F.lit(1)).alias("sessions"))
     out = base.join(top_ch, "lead_id").join(peak, "lead_id").join(sess, "lead_id")
     return out.select("*", (F.col("events").cast("double") / F.col("active_days")).alias("events_per_active_day"))
