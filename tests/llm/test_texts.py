@@ -167,6 +167,26 @@ def test_toxicity_slices_agree_with_whole_batches():
     ("<pre>a\n  b\n\nc</pre>d", "a\n  b\n\nc\n\nd"),
     ("<div>a <i> b</i>\n c</div><div>d</div>", "a b c\nd"),
     ("<dl><dt>t<dd>def</dl>", "t\n    def"),
+    # style rules: media, cascade, inheritance
+    ("<style>@media print{.nav{display:none}}</style><i class=nav>seen</i>", "seen"),
+    ("<style>@media screen and (max-width: 600px){.m{display:none}} @media (min-width:50em){.w{display:none}}</style>"
+     "<i class=m>a</i><i class=w>no</i>", "a"),
+    ("<style media=print>.nav{display:none}</style><style media=screen>.x{display:none}</style><i class=nav>a</i><i class=x>no</i>", "a"),
+    ("<style>p{display:none} p{display:block}</style><p>seen", "seen"),
+    ("<style>#a{display:block} .b{display:none} i.c{display:none!important} #c{display:inline}</style>"
+     "<i id=a class=b>x</i><i id=c class=c>no</i><i class=c style='display:inline'>no</i>", "x"),
+    ("<style>@keyframes k{from{display:none}} @font-face{src:url(a)} q::before{content:'}.n{display:none}'}</style><b class=n>x</b>", "x"),
+    ("<style>[hidden]{x:y} div{display:block}</style><div hidden>seen</div><span hidden>no</span>", "seen"),
+    ("<style>.open</style><b>x</b>", "x"), ("<style>b{display:none</style><b>no</b>x", "x"),
+    ("<div style='visibility:hidden'>no<p style='visibility:visible'>yes</p>no</div>", "yes"),
+    # drawn text beside HTML's own
+    ("<p>E <math><mi>m</mi><mo>=</mo><mn>2</mn></math> <svg><title>no</title><defs><text>no</text></defs><text>lab</text></svg>", "E m=2 lab"),
+    ("<button>Go</button><textarea>t</textarea><input type=submit value=Send><input value=no>", "Go t Send"),
+    # cells
+    ("<table><tr><td>k<td><ul><li>a<li>b</ul><p>x<p>y<tr><td>l<td>z</table>", "k | - a\n  | - b\n\n  | x\n\n  | y\nl | z"),
+    ("<table><tr><td rowspan=2>one<td>a<tr><td>b<tr><td>two<td>c</table>", "one | a\n    | b\ntwo | c"),
+    ("<table><tbody><tr><td rowspan=0>x<td>1<tr><td>2<tbody><tr><td>y<td>3</table>", "x | 1\n  | 2\ny | 3"),
+    ("<table><tr><td colspan=1000>w<td>v<tr><td>a<td>b</table>", "w     | v\na | b"),
     ("", ""), ("<p> </p>", ""), ("<b>never closed", "never closed"), ("</p></div>x", "x"), ("<![foo[x]]>y", "y"),
 ])
 def test_html_layout(page, text):
@@ -177,11 +197,21 @@ def test_html_depth_and_width_stay_in_proportion():
     assert html_text.render_page("<div>" * 30_000 + "x").strip() == "x"
     page = "<table>" + "<tr><td>a<td>b" * 500 + "<tr><td>" + "long " * 5000 + "<td>c</table>"
     assert len(html_text.render_page(page)) < 2 * len(page)
+    page = "<table>" + "<tr>" + "<td>" + "x" * 40 + "<td>y" * 300 + ("<tr><td colspan=900>" + "<p>q" * 20 + "<td>z") * 200 + "</table>"
+    assert len(html_text.render_page(page)) < 2 * len(page)
+    page = "<table><tr><td>" + "<p>long cell" * 3000 + "<td>" * 500 + "side</table>"
+    text = html_text.render_page(page)
+    assert text.count("long cell") == 3000 and text.endswith("side") and len(text) < 2 * len(page)
+
+
+def test_media_queries():
+    assert all(map(html_text.on_screen, ["", "screen", "all", "only screen", "print, screen", "not print", "(max-width:90em)"]))
+    assert not any(map(html_text.on_screen, ["print", "not screen", "screen and (max-width: 999px)", "(prefers-color-scheme: dark)"]))
 
 
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<table>", "<tr>", "<td colspan=x>", "</table>", "<li>", "<ul>", "</ul>", "x", " ",
-                                 "<!--", "<![", "&#x0;", "<b", ">", "<br/>", "</br>", "<details>", "<pre>", "\n", "<body>", "<dd>"]),
+                                 "<!--", "<![", "&#x0;", "<b", ">", "<br/>", "</br>", "<details>", "<pre>", "<td rowspan=2>", "<style>", "</style>", "@media x{b{display:none}", "<svg>", "<input type=submit value=v>", "\n", "<body>", "<dd>"]),
                 max_size=25))
 def test_html_never_fails(parts):
     text = html_text.render_page("".join(parts))
