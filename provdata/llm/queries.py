@@ -100,15 +100,15 @@ HOST_RULES = [
     url_rules.HostRule("block", "net", "/fr/"),
 ]
 PATTERN_RULES = [
-    url_rules.PatternRule("block", "paged listing", r"[?&]page=[0-9]+(&|#|$)", ("page",)),
-    url_rules.PatternRule("block", "referral link", r"[?&]ref=[a-z0-9]+(&|#|$)", ("ref",)),
-    url_rules.PatternRule("block", "paged referral", r"[?&]page=[0-9]+&ref=", ("page", "ref")),
+    url_rules.PatternRule("block", "paged listing", r"[?&]page=[0-9]+(&|#|$)"),
+    url_rules.PatternRule("block", "referral link", r"[?&]ref=[a-z0-9]+(&|#|$)"),
+    url_rules.PatternRule("block", "paged referral", r"[?&]page=[0-9]+&ref="),
     url_rules.PatternRule("block", "session", r"[?&;](sid|phpsessid|jsessionid)=[a-z0-9]+"),
-    url_rules.PatternRule("block", "campaign", r"[?&]utm_(source|medium|campaign)=", ("utm",)),
+    url_rules.PatternRule("block", "campaign", r"[?&]utm_(source|medium|campaign)="),
     url_rules.PatternRule("block", "advert host", r"://(ads?|banner)[0-9]*\."),
-    url_rules.PatternRule("block", "log in", r"/(user/)?login(/|[?#]|$)", ("login",)),
-    url_rules.PatternRule("allow", "first page", r"[?&]page=1(&|#|$)", ("page", "1")),
-    url_rules.PatternRule("allow", "static document", r"^https?://www\.[^/]+/[a-z]{2}/[0-9]+\.html([?#]|$)", ("www", "html")),
+    url_rules.PatternRule("block", "log in", r"/(user/)?login(/|[?#]|$)"),
+    url_rules.PatternRule("allow", "first page", r"[?&]page=1(&|#|$)"),
+    url_rules.PatternRule("allow", "static document", r"^https?://www\.[^/]+/[a-z]{2}/[0-9]+\.html([?#]|$)"),
 ]
 
 

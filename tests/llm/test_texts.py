@@ -338,3 +338,45 @@ def test_urls_against_all_rules(spark):
 def test_url_rules_are_filed_under_their_rarest_token():
     index = url_rules.pattern_index(PATTERNS, {"page": 5, "1": 2})
     assert {at: [r["name"] for r in rules] for at, rules in index.items()} == {"page": ["page"], "1": ["first"], "": ["any"]}
+
+
+def test_tokens_that_patterns_require():
+    want = {r"[?&]page=[0-9]+(&|#|$)": ("page",), r"[?&]page=[0-9]+&ref=": ("page", "ref"), r"page=1$": ("1",), r"/(user/)?login(/|[?#]|$)": ("login",),
+            r"^https?://www\.[^/]+/[a-z]{2}/[0-9]+\.html([?#]|$)": ("www", "html"), r"://(ads?|banner)[0-9]*\.": (), r"a|/b/": (),
+            r"(?i)/b/": (), r"/ab+/": (), r"/ab?/": (), r"/a{2}/c{1}/": (), r"/x(?:/y/)z/": ("x", "y", "z"), r"\bfoo\b": ("foo",), r"/\d1/": (),
+            r"/b(?!c)/": (), r"[/\]a]x/": (), r"/q*/z/": ("z",), r"/a/*/b/": ("b",), r"[^/]a/": (), r"/A/b/": ("b",), r"/a_b/": ("a", "b"),
+            "(": (), "[": (), "a)": (), "": ()}
+    assert {p: url_rules.required_tokens(p) for p in want} == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["/", "a", "b", "1", "=", "?", "*", "+", "{2}", "{0,1}", "(", ")", "(?:", "|", "[/=]", "[a/]", "[^a]", ".", "^", "$",
+                                 r"\.", r"\d", r"\b"]), max_size=9), st.lists(st.sampled_from("/ab1=.-"), max_size=12))
+def test_matches_hold_the_required_tokens(parts, url):
+    pattern, url = "".join(parts), "".join(url)
+    try:
+        hit = re.search(pattern, url)
+    except re.error:
+        return
+    if hit:
+        assert set(url_rules.required_tokens(pattern)) <= set(re.split("[^a-z0-9]+", url))
+
+
+def test_ten_thousand_rules_equal_running_them_all(spark):
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choice("abcde") for _ in range(4))
+    rules = [url_rules.PatternRule(rnd.choice(["allow", "block"]), f"r{k}", rnd.choice([
+        f"/{word()}/{word()}(/|$)", f"[?&]{word()}=[0-9]+", f"^http://{word()}\\.", f"/{word()}_[0-9]/"])) for k in range(10_000)]
+    rules.append(url_rules.PatternRule("block", "no token", "zz+"))
+    urls = [f"http://{word()}.org/{word()}/{word()}{rnd.choice(['', '/', '_1/'])}?{word()}={rnd.choice(['1', 'x'])}{rnd.choice(['', 'zz'])}"
+            for _ in range(60)] + [None, "", "HTTP://ABCD.org"]
+    df = spark.createDataFrame([(k, u) for k, u in enumerate(urls + urls)], "page_id long, url string")
+    compiled = [re.compile(r.pattern) for r in rules]
+    got = url_rules.judge_urls(df, [], rules).collect()
+    assert len(got) == 2 * len(urls)
+    for r in got:
+        url = urls[r.page_id % len(urls)]
+        hits = [x for x, p in zip(rules, compiled) if url is not None and p.search(url.lower())]
+        first = min(hits, key=lambda x: (x.verdict != "allow", int(x.name[1:]) if x.name != "no token" else 10_000), default=None)
+        assert (r.pattern, r.verdict) == ((first.name, first.verdict) if first else (None, "allow"))
+        assert len(hits) <= r.candidates < 200
