@@ -107,22 +107,47 @@ def q_engagement(spark, sf):
     return L.engagement_features(touchpoints(spark, sf))
 
 
-@query("engagement_stream", _ENGAGEMENT_SQL, "STR5 (per-lead state over a stream of three files)")
-def q_engagement_stream(spark, sf):
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/engagement-{uuid.uuid4().hex}"
+def _in_three_files(spark, sf, root: str):
+    """The events as three files in event-time order, so that each moves the watermark; their stream as touchpoints."""
     events = spark.read.parquet(f"{sf}/events.parquet")
     at = F.unix_micros(F.col("ts").cast("timestamp"))
     low, high = events.agg(F.min(at), F.max(at)).first()
     third = F.least(F.floor((at - F.lit(low)) * 3 / F.lit(max(high - low, 1))), F.lit(2))
-    for k in range(3):  # files in event-time order, so that each moves the watermark
+    for k in range(3):
         events.where(third == k).coalesce(1).write.mode("append").parquet(f"{root}/in")
     raw = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-    tp = spark.sql(TOUCHPOINTS, events=raw).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
-    lead = events.sparkSession.sql(TOUCHPOINTS, events=events).schema["lead_id"].dataType
-    table = G.run_engagement(spark, tp, f"{root}/out", f"{root}/progress", delay="1 hour")
+    return spark.sql(TOUCHPOINTS, events=raw).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
+
+
+@query("engagement_stream", _ENGAGEMENT_SQL, "STR5 (per-lead state over a stream of three files)")
+def q_engagement_stream(spark, sf):
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/engagement-{uuid.uuid4().hex}"
+    lead = spark.sql(TOUCHPOINTS, events=spark.read.parquet(f"{sf}/events.parquet")).schema["lead_id"].dataType
+    table = G.run_engagement(spark, _in_three_files(spark, sf, root), f"{root}/out", f"{root}/progress", delay="1 hour")
     return table.read().drop("expired").withColumn("lead_id", F.col("lead_id").cast(lead))
 
 
+_LEAD_WINDOWS = _TP + """
+select date_trunc('day', event_timestamp) as window_start, date_trunc('day', event_timestamp) + interval 1 day as window_end,
+  channel, campaign_id, event_type, count(*) as touchpoints, count(distinct lead_id) as leads
+from touchpoints group by all
+"""
+
+
+@query("lead_windows", _LEAD_WINDOWS, "STR2 (exact distinct leads per window, batch twin)")
+def q_lead_windows(spark, sf):
+    return L.lead_windows(touchpoints(spark, sf))
+
+
+@query("lead_windows_stream", _LEAD_WINDOWS + """
+having window_end <= (select max(event_timestamp) - interval 1 hour from touchpoints)
+""", "STR2 (exact distinct leads over a stream of three files: the windows that its watermark passed)")
+def q_lead_windows_stream(spark, sf):
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lead-windows-{uuid.uuid4().hex}"
+    out = L.run_available_now(L.lead_windows(_in_three_files(spark, sf, root)), f"{root}/progress", f"{root}/out", "append")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
 @query("touchpoint_metadata", _TP + """
 select count(*) as touchpoints, cast(count(json_extract(event_metadata, '$.k')) as bigint) as with_k,
   cast(sum(cast(json_extract(event_metadata, '$.k') as integer)) as bigint) as sum_k

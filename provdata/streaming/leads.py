@@ -74,6 +74,35 @@ def channel_attribution(tp: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("touchpoints"), F.count_distinct("lead_id").alias("leads"))
 
 
+def lead_windows(tp: DataFrame, ts: str = "event_timestamp", window: str = "1 day", delay: str = "1 hour",
+                 exact: bool = True, lg_k: int = 12) -> DataFrame:
+    """STR2: touchpoints and distinct leads per tumbling window, channel, campaign and event type, on a batch or a stream.
+
+    On a stream a window comes out once the watermark has passed it, and its state goes (append mode). The exact form
+    keeps a counter per lead of the open windows, aggregated twice, so a hot window is many small groups rather
+    than one set. The other keeps a mergeable sketch of 2^lg_k cells per group, whatever its leads number:
+    ``leads`` is then an estimate with a relative standard error of about 1.04 / sqrt(2^lg_k), 1.6 % for 12, and
+    ``leads_sketch`` merges over windows and keys (``merged_leads``).
+    """
+    if tp.isStreaming:
+        tp = tp.withWatermark(ts, delay)
+    by = ["w", "channel", "campaign_id", "event_type"]
+    rows = tp.select(F.window(ts, window).alias("w"), *by[1:], "lead_id")
+    bounds = [F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by[1:], "touchpoints", "leads"]
+    if exact:
+        per_lead = rows.groupBy(*by, "lead_id").agg(F.count(F.lit(1)).alias("n"))
+        return per_lead.groupBy(*by).agg(F.sum("n").alias("touchpoints"), F.count("lead_id").alias("leads")).select(*bounds)
+    sketch = F.hll_sketch_agg(F.col("lead_id").cast("string"), lg_k)
+    return (rows.groupBy(*by).agg(F.count(F.lit(1)).alias("touchpoints"), sketch.alias("leads_sketch"))
+            .withColumn("leads", F.hll_sketch_estimate("leads_sketch")).select(*bounds, "leads_sketch"))
+
+
+def merged_leads(windows: DataFrame, by: list[str]) -> DataFrame:
+    """Touchpoints and estimated distinct leads of coarser groups, from the sketches of ``lead_windows``."""
+    return windows.groupBy(*by).agg(F.sum("touchpoints").alias("touchpoints"),
+                                    F.hll_sketch_estimate(F.hll_union_agg("leads_sketch")).alias("leads"))
+
+
 def dedupe_events(tp: DataFrame, streaming: bool = False, ts: str = "event_timestamp",
                   delay: str = "1 hour") -> DataFrame:
     """STR3: one row per event_id; in a stream, late duplicates beyond the watermark are dropped."""

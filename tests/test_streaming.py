@@ -151,3 +151,45 @@ def test_attribution_windows_are_emitted_once_they_close(spark, tmp_path):
     assert got and got < want
     last = max(r[1] for r in want)
     assert {r for r in want if r[1] < last} >= got >= {r for r in want if (last - r[1]).days >= 2}
+
+
+def _closed(spark, exact):
+    """Result of a stream over three files in event-time order, and its progress reports."""
+    from provdata.plans.q_streaming import _in_three_files
+
+    root = tempfile.mkdtemp(prefix="leads-")
+    df = L.lead_windows(_in_three_files(spark, SF_SMALL, root), exact=exact)
+    out = L.run_available_now(df, root + "/progress", root + "/out", "append")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+def test_distinct_leads_of_a_stream_equal_the_batch_where_windows_are_closed(spark):
+    tp = binding(spark, SF_SMALL, "touchpoints")
+    last = tp.agg(F.max("event_timestamp") - F.expr("interval 1 hour")).first()[0]
+    want = L.lead_windows(tp).where(F.col("window_end") <= F.lit(last))
+    got = _closed(spark, exact=True)
+    assert want.count() > 10 and _rows(got.select(*want.columns)) == _rows(want)  # each window once: none is late
+
+
+def test_sketches_of_a_stream_stay_within_their_error_and_merge(spark):
+    tp = binding(spark, SF_SMALL, "touchpoints")
+    exact = {tuple(r)[:5]: r.leads for r in L.lead_windows(tp).collect()}
+    got = _closed(spark, exact=False)
+    for r in got.collect():
+        assert abs(r.leads - exact[tuple(r)[:5]]) <= max(1, 0.05 * exact[tuple(r)[:5]])
+    last = got.agg(F.max("window_end")).first()[0]
+    whole = {r.channel: r.n for r in tp.where(F.col("event_timestamp") < F.lit(last)).groupBy("channel").agg(
+        F.count_distinct("lead_id").alias("n")).collect()}
+    merged = {r.channel: r.leads for r in L.merged_leads(got, ["channel"]).collect()}
+    assert merged.keys() == whole.keys() and all(abs(merged[c] - n) <= max(1, 0.05 * n) for c, n in whole.items())
+
+
+def test_windows_that_the_watermark_passed_leave_the_state(spark, tmp_path):
+    from provdata.plans.q_streaming import _in_three_files
+
+    df = L.lead_windows(_in_three_files(spark, SF_SMALL, str(tmp_path)))
+    q = (df.writeStream.outputMode("append").format("noop").option("checkpointLocation", str(tmp_path / "progress"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    states = q.lastProgress["stateOperators"]
+    assert len(states) == 2 and sum(s["numRowsTotal"] for s in states) < L.lead_windows(binding(spark, SF_SMALL, "touchpoints")).count()
