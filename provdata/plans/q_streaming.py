@@ -128,9 +128,10 @@ def q_engagement_stream(spark, sf):
 
 
 _LEAD_WINDOWS = _TP + """
-select date_trunc('day', event_timestamp) as window_start, date_trunc('day', event_timestamp) + interval 1 day as window_end,
+, windows as (select date_trunc('day', event_timestamp) as window_start, date_trunc('day', event_timestamp) + interval 1 day as window_end,
   channel, campaign_id, event_type, count(*) as touchpoints, count(distinct lead_id) as leads
-from touchpoints group by all
+from touchpoints group by all)
+select * from windows
 """
 
 
@@ -140,7 +141,7 @@ def q_lead_windows(spark, sf):
 
 
 @query("lead_windows_stream", _LEAD_WINDOWS + """
-having window_end <= (select max(event_timestamp) - interval 1 hour from touchpoints)
+where window_end <= (select max(event_timestamp) - interval 1 hour from touchpoints)
 """, "STR2 (exact distinct leads over a stream of three files: the windows that its watermark passed)")
 def q_lead_windows_stream(spark, sf):
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lead-windows-{uuid.uuid4().hex}"
