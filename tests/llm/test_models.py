@@ -118,6 +118,18 @@ def test_seating_has_the_process_distribution():
     assert np.allclose(got, want, rtol=0.06) and (hpy_lm.seat(np.array([0, 1]), np.ones(2), 0.5, rng) == [0, 1]).all()
 
 
+def test_many_customers_are_seated_exactly():
+    """Without a discount the mean is known: each customer opens a table with odds ``opening`` against those seated."""
+    rng = np.random.default_rng(2)
+    for customers, opening in ((5000, 50.0), (400, 30.0), (100, 2.0)):
+        got = hpy_lm.seat(np.full(4000, customers), np.full(4000, opening), 0.0, rng).mean()
+        want = 1 + np.sum(opening / (opening + np.arange(1, customers)))
+        assert abs(got / want - 1) < 0.01, (customers, opening, got, want)
+    # Openings so small that their chance underflows open nothing; so large that each customer opens one.
+    assert (hpy_lm.seat(np.array([2, 10**9]), np.full(2, 1e-200), 0.5, rng) == 1).all()
+    assert (hpy_lm.seat(np.array([2, 50]), np.full(2, 1e15), 0.5, rng) == [2, 50]).all()
+
+
 # ---- packing -------------------------------------------------------------------------------------------------------------
 
 def encode_all(rows):
