@@ -357,6 +357,13 @@ BINDINGS = {
 }
 
 
+def file_size(spark: SparkSession, path: str) -> int:
+    """Bytes of one file, by the file system that Spark's readers use."""
+    jvm = spark.sparkContext._jvm
+    file = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+    return file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(file).getLen()
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -405,9 +412,22 @@ def binding(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _binding(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     _, tables = BINDINGS[name]
     frames = {t: read_table(spark, sf_dir, t) for t in tables}
+    if name in WIDENED:
+        frames = {t: spread(df, WIDENED[name]) for t, df in frames.items()}
     return spark.sql(spark_text(name), **frames)
 
 
+#: Bindings that make several wide rows of each narrow one, and the bytes of input that a task is to widen: a
+#: file split of 128 MB, or a file of one row group, would be millions of wide rows in one task.
+WIDENED = {"tx_license_raw": 1 << 20}
+
+
+def spread(df: DataFrame, bytes_per_task: int) -> DataFrame:
+    """The rows dealt over tasks by the size of their files; as they are where that is one task's."""
+    tasks = -(-sum(file_size(df.sparkSession, f) for f in df.inputFiles()) // bytes_per_task)
+    return df.repartition(tasks) if tasks > 1 else df
+
+
 def data_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = DATA_LOADS
     for shared, spark_form in _SPARK_TYPES:
