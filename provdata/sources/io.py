@@ -161,17 +161,21 @@ def write_events_json(df: DataFrame, path: str) -> None:
 # --- writers (SNK1-SNK4) -------------------------------------------------------
 
 def write_clustered(df: DataFrame, path: str, cluster_by: Sequence[str], partition_by: Sequence[str] = (),
-                    num_files: int | None = None) -> None:
+                    num_files: int | None = None, rows_per_file: int = 100_000) -> None:
     """SNK1: replace a table, clustered by (state, type): range-partitioned and sorted so parquet
     row-group min/max statistics let scans skip on the cluster keys.
 
     The cluster keys have few values (one state may hold a third of all
     rows), so a row hash is the last range key: a hot key spreads over as
     many files as its size needs while files stay ordered by the keys.
+    ``num_files`` is the number for a table of up to so many times ``rows_per_file`` rows; a larger one has more
+    files of that size, so that what a task sorts does not grow with the table.
     """
     spread = F.xxhash64(*df.columns).alias("_spread")
-    keyed = df.select("*", spread)
     keys = [*cluster_by, "_spread"]
+    if num_files:
+        num_files = max(num_files, -(-df.count() // rows_per_file))
+    keyed = df.select("*", spread)
     out = keyed.repartitionByRange(num_files, *keys) if num_files else keyed.repartitionByRange(*keys)
     w = out.sortWithinPartitions(*keys).drop("_spread").write.mode("overwrite")
     if partition_by:

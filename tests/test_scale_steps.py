@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from provdata.sources import io as IO
 from provdata.sources.bindings import spread
 
 
@@ -13,3 +14,10 @@ def test_rows_of_one_file_are_dealt_over_tasks(spark, tmp_path):
     assert len(sizes) >= 5 and max(sizes) < 2000 and sum(sizes) == 5000
     assert sorted(dealt.collect()) == sorted(one.collect())
     assert spread(one, 1 << 30) is one
+
+
+def test_clustered_files_grow_in_number_not_in_size(spark, tmp_path):
+    df = spark.range(6000).select(F.lit("TX").alias("state"), "id")
+    IO.write_clustered(df, str(tmp_path), ["state"], num_files=2, rows_per_file=500)
+    sizes = [r["count"] for r in spark.read.parquet(str(tmp_path)).groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 12 and max(sizes) < 1000 and sum(sizes) == 6000
