@@ -17,6 +17,7 @@ import json
 import time
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -132,8 +133,12 @@ class KeyedTable:
 
     # --- reading -----------------------------------------------------------------------------
 
-    def read(self, state: dict | None = None, buckets: Sequence[int] | None = None) -> DataFrame | None:
-        """The rows as of the last commit (or ``state``), of all buckets or some; None before the first commit."""
+    def read(self, state: dict | None = None, buckets: Sequence[int] | None = None,
+             only: Sequence[str] | None = None) -> DataFrame | None:
+        """The rows as of the last commit (or ``state``), of all buckets or some; None before the first commit.
+
+        ``only`` names the columns wanted: the others are neither read nor shuffled.
+        """
         state = state or self.state()
         if not state["version"]:
             return None
@@ -142,17 +147,25 @@ class KeyedTable:
         live = lambda kind: [(c, b) for c, own in state[kind] for b in own if wanted is None or b in wanted]
         base, delta = live("base"), live("delta")
         touched = {b for _, b in delta}
-        columns = [F.col(f"`{f.name}`") for f in schema.fields]
-        out = self._scan([p for p in base if p[1] not in touched], schema).select(*columns)
-        if not touched:
-            return out
-        rest = [f"`{f.name}`" for f in schema.fields if f.name not in self.key]
-        newest = (self._scan(delta, schema).groupBy(*[F.col(f"`{k}`") for k in self.key])
-                  .agg(F.max_by(F.struct("_deleted", *rest), "_commit").alias("_row")))
-        kept = newest.where(~F.col("_row._deleted")).select(*[f"`{k}`" for k in self.key], "_row.*").select(*columns)
-        old = self._scan([p for p in base if p[1] in touched], schema).select(*columns)
-        old = old.alias("b").join(newest.select(*[f"`{k}`" for k in self.key]).alias("d"), _same_key(self.key, "b", "d"), "left_anti")
-        return out.unionByName(old).unionByName(kept)
+        names = [f.name for f in schema.fields if only is None or f.name in only]
+        columns, keys = [F.col(f"`{n}`") for n in names], [F.col(f"`{k}`") for k in self.key]
+        parts = [self._scan([p for p in base if p[1] not in touched], schema).select(*columns)]
+        # A commit names a key once, so where a bucket has one delta its rows are the newest as they are.
+        several = {b for b in touched if sum(b == x for _, x in delta) > 1}
+        for some in (touched - several, several):
+            if not some:
+                continue
+            rows = self._scan([p for p in delta if p[1] in some], schema)
+            if some is several:
+                rest = [f"`{n}`" for n in names if n not in self.key]
+                rows = (rows.groupBy(*keys).agg(F.max_by(F.struct("_deleted", *rest), "_commit").alias("_row"))
+                        .select(*keys, "_row.*"))
+            parts.append(rows.where(~F.col("_deleted")).select(*columns))
+            if under := [p for p in base if p[1] in some]:
+                old = self._scan(under, schema).select(*[F.col(f"`{n}`") for n in dict.fromkeys([*self.key, *names])])
+                parts.append(old.alias("b").join(rows.select(*keys).alias("d"), _same_key(self.key, "b", "d"), "left_anti")
+                             .select(*columns))
+        return reduce(DataFrame.unionByName, parts)
 
     # --- writing -----------------------------------------------------------------------------
 
@@ -170,10 +183,11 @@ class KeyedTable:
                 pass
         return version
 
-    def upsert(self, updates: DataFrame, mode: str = "replace") -> int:
+    def upsert(self, updates: DataFrame, mode: str = "replace", one_per_key: bool = False) -> int:
         """Rows of ``updates`` replace those of their keys, or (``insert_only``) only add keys that are not there.
 
-        A key that ``updates`` holds several times counts once, with its greatest row in column order.
+        A key that ``updates`` holds several times counts once, with its greatest row in column order;
+        ``one_per_key`` says that none is, which saves grouping them.
         """
         if mode not in ("replace", "insert_only"):
             raise ValueError(f"unknown mode {mode}")
@@ -183,11 +197,12 @@ class KeyedTable:
         schema = _merged(T.StructType.fromJson(read["schema"]), updates.schema) if read["schema"] else updates.schema
         rest = [f"`{c}`" for c in updates.columns if c not in self.key]
         keys = [F.col(f"`{k}`") for k in self.key]
-        rows = (updates.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_row")).select(*keys, "_row.*") if rest
+        rows = (updates if one_per_key
+                else updates.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_row")).select(*keys, "_row.*") if rest
                 else updates.select(*keys).distinct())
         if mode == "insert_only" and read["version"]:
             hit = [r[0] for r in rows.select(self._bucket(read["buckets"]).alias("b")).distinct().collect()]  # at most ``buckets``
-            there = self.read(read, hit).select(*keys)
+            there = self.read(read, hit, self.key).select(*keys)
             rows = rows.alias("u").join(there.alias("t"), _same_key(self.key, "u", "t"), "left_anti")
         return self._change(rows.withColumn("_deleted", F.lit(False)), mode, read, schema)
 

@@ -39,6 +39,8 @@ from ..sources import io as IO
 from ..sources.keyed import KeyedTable
 
 KEY = "professional_id"
+#: Rows of a landed file at most: a date is read by as many tasks as its rows want, however few files it came in.
+LANDED_ROWS = 50_000
 LOADS_SCHEMA = "snapshot_date string, status string, rows long, expected_rows long, keys long, open_before long, reason string"
 LEDGER_SCHEMA = "batch long, snapshot_date string, professional_type string, rows long"
 
@@ -107,11 +109,13 @@ def apply_snapshot(spark: SparkSession, raw_snapshot: DataFrame, day: str, base:
     from the open versions by more than ``max_delta_pct`` (the row-count-delta rule) nothing is written.
     Returns the decision: status ``applied`` or ``quarantined``, keys, open_before, reason.
     """
-    snap = latest_per_key(ST.stage_tx(raw_snapshot), [KEY], [F.col("source_license_id")])
+    staged = ST.stage_tx(raw_snapshot)
+    snap = latest_per_key(staged, [KEY], [F.col("source_license_id")])
     table = latest_table(spark, base)
     latest = table.read()
-    keys = snap.count()
-    open_before = 0 if latest is None else latest.where("valid_to is null").count()
+    # Both counts take the columns they need alone: a whole row per key would be shuffled to be counted.
+    keys = staged.select(KEY).distinct().count()
+    open_before = 0 if latest is None else table.read(only=["valid_to"]).where("valid_to is null").count()
     if latest is not None and max_delta_pct is not None and abs(keys - open_before) > max_delta_pct * max(open_before, 1):
         return {"status": "quarantined", "keys": keys, "open_before": open_before,
                 "reason": f"key count moved by more than {max_delta_pct:.0%}"}
@@ -124,7 +128,7 @@ def apply_snapshot(spark: SparkSession, raw_snapshot: DataFrame, day: str, base:
     prev = F.when(F.col("old").isNotNull(), F.struct(*[F.col(f"old.{c}").alias(n) for c, n in E.PREV_FIELDS]))
     opened = done.where("opened").select("new.*", prev.alias("prev"))
     events_table(spark, base).upsert(E.version_events(opened, as_of or day), "insert_only")
-    table.upsert(done.select("new.*"))
+    table.upsert(done.select("new.*"), one_per_key=True)  # of keys joined one to one
     return {"status": "applied", "keys": keys, "open_before": open_before, "reason": None}
 
 
@@ -189,7 +193,7 @@ def land(batch: DataFrame, batch_id: int, base: str) -> None:
     spark = batch.sparkSession
     folder = f"{base}/landing/batch={batch_id}"
     (batch.withColumn("snapshot_date", F.col("snapshot_date").cast("string")).write.mode("overwrite")
-     .partitionBy("snapshot_date").parquet(folder))
+     .option("maxRecordsPerFile", LANDED_ROWS).partitionBy("snapshot_date").parquet(folder))
     rows = spark.read.schema(T.StructType([T.StructField("professional_type", T.StringType()),
                                            T.StructField("snapshot_date", T.StringType())])).parquet(folder)
     decided = read_loads(spark, base).select("snapshot_date")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from provdata.sources import io as IO
 from provdata.sources.bindings import spread
+from provdata.sources.keyed import KeyedTable
 
 
 def test_rows_of_one_file_are_dealt_over_tasks(spark, tmp_path):
@@ -21,3 +22,19 @@ def test_clustered_files_grow_in_number_not_in_size(spark, tmp_path):
     IO.write_clustered(df, str(tmp_path), ["state"], num_files=2, rows_per_file=500)
     sizes = [r["count"] for r in spark.read.parquet(str(tmp_path)).groupBy(F.input_file_name()).count().collect()]
     assert len(sizes) == 12 and max(sizes) < 1000 and sum(sizes) == 6000
+
+
+def test_keyed_read_of_some_columns_and_single_deltas(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path), ["k"], buckets=2)
+    rows = lambda *r: spark.createDataFrame(list(r), "k string, v string, w long")
+    table.upsert(rows(("a", "1", 1), ("b", "2", 2), (None, "3", 3)), one_per_key=True)
+    assert "Aggregate" not in table.read()._jdf.queryExecution().toString()  # one delta is not grouped
+    table.compact()
+    table.upsert(rows(("a", "4", 4), ("c", None, 5)))
+    table.delete(rows((None, "", 0)))
+    want = [("a", "4", 4), ("b", "2", 2), ("c", None, 5)]
+    assert sorted(tuple(r) for r in table.read().collect()) == want
+    assert sorted(tuple(r) for r in table.read(only=["w"]).collect()) == [(2,), (4,), (5,)]
+    assert sorted(tuple(r) for r in table.read(only=["k"]).collect()) == [(k,) for k, *_ in want]
+    table.upsert(rows(("c", "6", 6), ("b", "7", 7)))
+    assert sorted(tuple(r) for r in table.read(only=["v", "k"]).collect()) == [("a", "4"), ("b", "7"), ("c", "6")]
