@@ -1,10 +1,12 @@
 """Steps whose cost per task must not grow with the table: dealing out, clustered files, keyed reads."""
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from provdata.sources import io as IO
 from provdata.sources.bindings import spread
 from provdata.sources.keyed import KeyedTable
+from provdata.streaming.engagement import LeadState
 
 
 def test_rows_of_one_file_are_dealt_over_tasks(spark, tmp_path):
@@ -38,3 +40,12 @@ def test_keyed_read_of_some_columns_and_single_deltas(spark, tmp_path):
     assert sorted(tuple(r) for r in table.read(only=["k"]).collect()) == [(k,) for k, *_ in want]
     table.upsert(rows(("c", "6", 6), ("b", "7", 7)))
     assert sorted(tuple(r) for r in table.read(only=["v", "k"]).collect()) == [("a", "4"), ("b", "7"), ("c", "6")]
+
+
+def test_lead_state_of_mixed_touches():
+    lead, hour = LeadState(), 3_600_000_000
+    touches = pd.DataFrame({"at": [0, hour, hour, 60_000_000], "hour": [0, 1, 1, 0], "day": [0, 0, 0, 0], "dow": [5, 5, 5, 5],
+                            "channel": ["x", None, "x", float("nan")]})
+    lead.add(touches, 1_800_000_000)
+    assert lead.stored() == (4, 0, 0, hour, [0, 0, 0, 0, 4, 0, 0], [2, 2] + [0] * 22, [("x", 2), (None, 2)], [0],
+                             [(0, 60_000_000), (hour, hour)])
