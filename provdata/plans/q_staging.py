@@ -190,7 +190,7 @@ def q_history_ranges(spark, sf):
     ranged = RangedSnapshots(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/ranged-{uuid.uuid4().hex}",
                              ["professional_type", "license_number"], ["professional_id", *H.LICENSE_CHECK_COLS], fanout=4)
     for day in (SNAP0, SNAP1):
-        ranged.write(day, snapshot(spark, sf, day))
+        ranged.write(day, snapshot(spark, sf, day), staged(spark, sf).filter(F.col("snapshot_date") == day))
     first = H.scd2_apply(None, ranged.read(SNAP0), "professional_id", H.LICENSE_CHECK_COLS, SNAP0)
     changed = ranged.changed(SNAP0, SNAP1)
     return H.scd2_apply_ranges(first, ranged.read(SNAP1, changed), ranged.inside(changed), "professional_id",

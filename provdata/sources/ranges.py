@@ -45,23 +45,25 @@ class RangedSnapshots:
         self.spark.createDataFrame([(x,) for x in lows], "low string").coalesce(1).write.mode("overwrite").parquet(f"{self.base}/bounds")
 
     def range_of(self) -> Column:
-        """The number of a row's range: the group of ``fanout`` ranges first, then the range in it."""
+        """The number of a row's range, by halving: as many comparisons a row as ``fanout ** 2`` has bits."""
         lows, key = self.bounds(), self._key()
-        groups = [lows[k * self.fanout:(k + 1) * self.fanout] for k in range(len(lows) // self.fanout + 1)]
 
-        def reached(some: list[str]) -> Column:
-            return reduce(lambda a, b: a + b, [(key >= F.lit(x)).cast("int") for x in some], F.lit(0))
+        def number(first: int, last: int) -> Column:
+            if first == last:
+                return F.lit(first)
+            mid = (first + last + 1) // 2
+            return F.when(key < F.lit(lows[mid - 1]), number(first, mid - 1)).otherwise(number(mid, last))
 
-        group = reached([g[0] for g in groups[1:] if g])
-        number = F.lit(0)
-        for k, g in enumerate(groups):
-            number = F.when(group == k, F.lit(k * self.fanout) + reached(g if k == 0 else g[1:]) + (0 if k == 0 else 1)).otherwise(number)
-        return number.cast("int")
+        return number(0, len(lows)).cast("int")
 
-    def write(self, day: str, df: DataFrame) -> None:
-        """Write one snapshot and its tree; the tree comes last, so a snapshot without one is not there."""
+    def write(self, day: str, df: DataFrame, keys: DataFrame | None = None) -> None:
+        """Write one snapshot and its tree; the tree comes last, so a snapshot without one is not there.
+
+        ``keys`` has the key columns of the rows that ``df`` was made of: where boundaries are set, they are read there
+        if given, so that a snapshot that costs an aggregate of whole rows is made once, not twice.
+        """
         if not exists(self.spark, f"{self.base}/bounds/_SUCCESS"):
-            self._set_bounds(df)
+            self._set_bounds(df if keys is None else keys)
         spread = F.pmod(F.xxhash64(self._key()), F.lit(4))
         ranged = df.withColumn("_range", self.range_of())
         ranged.repartition("_range", spread).write.mode("overwrite").partitionBy("_range").parquet(f"{self.base}/day={day}")
@@ -97,5 +99,11 @@ class RangedSnapshots:
         return self.spark.read.option("basePath", folder).parquet(*there).drop("_range")
 
     def inside(self, ranges: Sequence[int]) -> Column:
-        """Whether a row with the key columns lies in one of ``ranges``."""
-        return self.range_of().isin(list(ranges)) if ranges else F.lit(False)
+        """Whether a row with the key columns lies in one of ``ranges``: two comparisons for each run of neighbours."""
+        lows, key = self.bounds(), self._key()
+        some, runs = set(ranges) & set(range(len(lows) + 1)), []
+        for first in sorted(n for n in some if n - 1 not in some):
+            last = next(n for n in range(first, len(lows) + 1) if n + 1 not in some)
+            edges = [key >= F.lit(x) for x in lows[:first][-1:]] + [key < F.lit(x) for x in lows[last:last + 1]]
+            runs.append(reduce(lambda a, b: a & b, edges, F.lit(True)))
+        return reduce(lambda a, b: a | b, runs, F.lit(False))
